@@ -25,7 +25,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strobe.functions.columns import q
@@ -42,12 +42,16 @@ def _bucket_rows(df: DataFrame, bucket_rows: int | None) -> int:
 
 
 def split_hot_keys(
-    df: DataFrame, keys: Sequence[str], order_col: str, bucket_rows: int | None = None
+    df: DataFrame, keys: Sequence[str], order_col: str | Column, bucket_rows: int | None = None
 ) -> tuple[DataFrame, bool]:
     """Tag rows with ``__sub``: 0 for ordinary keys, an ordered sub-bucket for hot keys.
 
-    Returns the tagged frame and whether any key was hot.
+    ``order_col`` is the leading order column, or any numeric expression that
+    never decreases along the order (it only places the cuts). Returns the
+    tagged frame and whether any key was hot.
     """
+    split = F.col(q(order_col)) if isinstance(order_col, str) else order_col
+    df = df.withColumn("__split", split)
     limit = _bucket_rows(df, bucket_rows)
     kcols = [q(k) for k in keys]
     counts = df.groupBy(*kcols).agg(F.count(F.lit(1)).alias("__n"))
@@ -55,12 +59,12 @@ def split_hot_keys(
     # One number: how finely the hottest key must be cut (a plan parameter).
     top = hot.agg(F.max("__n").alias("m")).collect()[0]["m"]
     if top is None:
-        return df.withColumn(_SUB, F.lit(0)), False
+        return df.drop("__split").withColumn(_SUB, F.lit(0)), False
     resolution = max(2, math.ceil(top / limit))
     fractions = [i / resolution for i in range(1, resolution)]
     hot_rows = df.join(F.broadcast(hot), list(keys), "left_semi")
     cuts = hot_rows.groupBy(*kcols).agg(
-        F.percentile_approx(F.col(q(order_col)), fractions).alias("__cuts")
+        F.percentile_approx(F.col("__split"), fractions).alias("__cuts")
     )
     cuts = cuts.join(hot, list(keys)).withColumn(
         "__parts", F.ceil(F.col("__n") / F.lit(limit)).cast("long")
@@ -74,7 +78,7 @@ def split_hot_keys(
     tagged = df.join(cuts, cond, "left")
     # rank = number of cuts <= value, by binary search over the sorted cuts:
     # ceil(log2(resolution)) chained projections, O(log R) work per row.
-    v = F.col(q(order_col))
+    v = F.col("__split")
     tagged = tagged.withColumn("__rank", F.lit(0))
     step = 1 << max(0, (resolution - 1).bit_length() - 1)
     while step >= 1:
@@ -87,7 +91,7 @@ def split_hot_keys(
     sub = F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(
         F.floor(F.col("__rank") * F.col("__parts") / F.lit(resolution)).cast("int")
     )
-    keep = [F.col(q(x)) for x in df.columns]
+    keep = [F.col(q(x)) for x in df.columns if x != "__split"]
     return tagged.select(*keep, sub.alias(_SUB)), True
 
 
@@ -99,6 +103,7 @@ def ordered_scan(
     weight: str | None = None,
     lag: Sequence[str] = (),
     bucket_rows: int | None = None,
+    split_on: Column | None = None,
 ) -> DataFrame:
     """Add ``out`` = exclusive running sum of ``weight`` (1 when None, i.e. the
     0-based position) within ``keys`` in ``order``; for each column in ``lag``
@@ -106,12 +111,13 @@ def ordered_scan(
 
     Same result as ``sum(weight) OVER (PARTITION BY keys ORDER BY order ROWS
     BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)`` and ``lag(col)``; the order
-    columns must make rows unique within a key.
+    columns must make rows unique within a key. ``split_on`` optionally gives
+    a finer monotone numeric proxy of the order for cutting hot keys.
     """
     keys = list(keys)
     order = list(order)
     lag = list(lag)
-    tagged, any_hot = split_hot_keys(df, keys, order[0], bucket_rows)
+    tagged, any_hot = split_hot_keys(df, keys, split_on if split_on is not None else order[0], bucket_rows)
     kcols = [q(k) for k in keys]
     ocols = [F.col(q(o)).asc_nulls_first() for o in order]
     w_expr = F.lit(1).cast("long") if weight is None else F.col(q(weight)).cast("long")
