@@ -135,7 +135,9 @@ def words_to_base64(words: Column) -> Column:
     """ARRAY<BIGINT> uint32 words -> base64 of their little-endian bytes."""
     from strobe.sources.captures import le_uint32
 
-    return F.base64(F.unhex(F.array_join(F.transform(words, lambda w: F.hex(le_uint32(w))), "")))
+    encoded = F.base64(F.unhex(F.array_join(F.transform(words, lambda w: F.hex(le_uint32(w))), "")))
+    # one line per table value: drop MIME line breaks if the session chunks base64
+    return F.regexp_replace(encoded, "[\r\n]", "")
 
 
 def base64_to_words(text: Column) -> Column:
