@@ -5,7 +5,6 @@ usage: python scripts/check_oracles.py [sf_dir] [name ...]
 
 from __future__ import annotations
 
-import math
 import sys
 import time
 import traceback
@@ -14,33 +13,12 @@ import duckdb
 
 sys.path.insert(0, ".")
 
+from strobe.plans.compare import canonical as rows  # noqa: E402
 from strobe.plans.registry import ORACLES, QUERIES, load_all  # noqa: E402
 from strobe.plans.tables import TABLES  # noqa: E402
 from strobe.session import get_session  # noqa: E402
 
 
-def norm(v):
-    import pandas as pd
-
-    if v is None or (not isinstance(v, (list, tuple, dict)) and pd.isna(v) is True):
-        return None
-    if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return round(v, 6)
-    if hasattr(v, "item"):
-        return norm(v.item())
-    return v
-
-
-def rows(df):
-    cols = sorted(df.columns)
-    out = []
-    for rec in df[cols].itertuples(index=False):
-        out.append(tuple(norm(x) for x in rec))
-    return cols, sorted(out, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
-
-
 def main() -> int:
     args = sys.argv[1:]
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"

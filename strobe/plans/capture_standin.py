@@ -28,15 +28,9 @@ from pyspark.sql import functions as F
 from strobe.operators.ordering import position_within
 from strobe.plans.tables import table
 from strobe.session import shared_dir
-from strobe.sources.capture_format import FieldSpec, fields_from_json
-from strobe.sources.captures import (
-    cut_chunks,
-    decode_payloads,
-    encode_records,
-    frame_records,
-    stream_messages,
-)
-from strobe.sources.dumps import index_chunks, list_chunks, load_payloads, write_chunks
+from strobe.sources.capture_format import FieldSpec
+from strobe.sources.captures import cut_chunks, encode_records, frame_records, stream_messages
+from strobe.sources.dumps import decode_index, index_chunks, list_chunks, signatures, write_chunks  # noqa: F401
 
 # Fields declared in every stand-in header, in header order. The record also
 # starts with the implicit 4-byte PCAP.SAMPLES gate (sample_bytes = 48).
@@ -181,51 +175,3 @@ def archive(spark: SparkSession, cap: StandinCapture, chunk_bytes: int = 4096) -
 
 def index_archive(spark: SparkSession, root: str) -> DataFrame:
     return index_chunks(list_chunks(spark, root))
-
-
-def signatures(index: DataFrame, limit: int = 256) -> list[tuple[str, str]]:
-    """Distinct (layout, process) pairs; a plan is built per signature."""
-    rows = (
-        index.where(F.col("kind") == "frame").select("layout", "process").distinct().limit(limit + 1).collect()
-    )
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} record layouts in one archive")
-    return [(r["layout"], r["process"]) for r in rows]
-
-
-def decode_index(
-    index: DataFrame,
-    select: list[str] | None = None,
-    calibrated: bool = False,
-    from_files: bool = True,
-) -> DataFrame:
-    """Decode all frames of an index, one plan per signature, unioned by name.
-
-    Frames are spread round-robin before decoding, so the frames of one huge
-    acquisition are decoded by many tasks.
-    """
-    from strobe.operators.calibrate import calibrate, gate_column
-
-    frames = index.where(F.col("kind") == "frame")
-    n = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = None
-    for layout, process in signatures(index):
-        fields = fields_from_json(layout)
-        names = [f.column for f in fields]
-        wanted = list(select) if select is not None else names
-        if calibrated and process == "Raw" and any(
-            f.capture == "Mean" and f.column in wanted for f in fields
-        ):
-            gate = gate_column(names)
-            if gate not in wanted:
-                wanted.append(gate)
-        part = frames.where((F.col("layout") == layout) & (F.col("process") == process)).repartition(n)
-        if from_files:
-            part = load_payloads(part)
-        decoded = decode_payloads(
-            part, fields, keep=["conn_id", "acq_no", "frame_no", "process"], select=wanted
-        )
-        if calibrated:
-            decoded = calibrate(decoded, [f for f in fields if f.column in wanted], process)
-        out = decoded if out is None else out.unionByName(decoded, allowMissingColumns=True)
-    return out
