@@ -17,6 +17,7 @@ def write_acquisitions(
     order: str = "sample_idx",
     partitions: int | None = None,
     mode: str = "overwrite",
+    presorted: bool = False,
 ) -> None:
     """Write calibrated samples as Parquet, one directory per acquisition, rows
     in sample order.
@@ -26,8 +27,13 @@ def write_acquisitions(
     its directory) and small ones share tasks, so no task holds a whole hot
     acquisition and the file count stays near the task count.
     """
-    n = partitions or int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = samples.repartitionByRange(n, *keys, order).sortWithinPartitions(*keys, order)
+    if presorted:
+        # partitions already hold contiguous (keys, order) ranges, e.g. decoded
+        # from a range-partitioned frame index: only order rows within them
+        ordered = samples.sortWithinPartitions(*keys, order)
+    else:
+        n = partitions or int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ordered = samples.repartitionByRange(n, *keys, order).sortWithinPartitions(*keys, order)
     ordered.write.mode(mode).partitionBy(*keys).parquet(path)
 
 

@@ -30,7 +30,14 @@ from strobe.plans.tables import table
 from strobe.session import shared_dir
 from strobe.sources.capture_format import FieldSpec
 from strobe.sources.captures import cut_chunks, encode_records, frame_records, stream_messages
-from strobe.sources.dumps import decode_index, index_chunks, list_chunks, signatures, write_chunks  # noqa: F401
+from strobe.sources.dumps import (  # noqa: F401
+    decode_index,
+    index_chunks,
+    list_chunks,
+    materialize_index,
+    signatures,
+    write_chunks,
+)
 
 # Fields declared in every stand-in header, in header order. The record also
 # starts with the implicit 4-byte PCAP.SAMPLES gate (sample_bytes = 48).
@@ -100,7 +107,9 @@ def _iso(ts: Column, nanos: Column) -> Column:
     )
 
 
-def build(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> StandinCapture:
+def build(
+    spark: SparkSession, sf_dir: str, events: DataFrame | None = None, frame_rows: int = FRAME_ROWS
+) -> StandinCapture:
     ev = events if events is not None else table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
     per_user = ev.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n"),
@@ -159,7 +168,7 @@ def build(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) ->
         ).alias("PCAP.TS_START.Value"),
     )
     records = encode_records(samples, RECORD)
-    frames = frame_records(records, FRAME_ROWS)
+    frames = frame_records(records, frame_rows)
     messages = stream_messages(acq, frames)
     return StandinCapture(acq, samples, frames, messages)
 
@@ -174,4 +183,5 @@ def archive(spark: SparkSession, cap: StandinCapture, chunk_bytes: int = 4096) -
 
 
 def index_archive(spark: SparkSession, root: str) -> DataFrame:
-    return index_chunks(list_chunks(spark, root))
+    """Frame index of an archive, walked once and kept as a table."""
+    return materialize_index(index_chunks(list_chunks(spark, root)), root + "/_index")

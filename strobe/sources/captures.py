@@ -218,13 +218,21 @@ def decode_payloads(
     keep = keep if keep is not None else ["conn_id", "acq_no", "frame_no"]
     dtype = record_dtype(fields)
     wanted = [f for f in fields if select is None or f.column in select]
+    has_pieces = "pieces" in frames.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from strobe.sources.dumps import PieceReader
+
+        reader = PieceReader()
         for batch in batches:
             payload = batch.column(batch.schema.get_field_index("payload"))
             first = batch.column(batch.schema.get_field_index("first_sample")).to_numpy(zero_copy_only=False)
-            # one contiguous buffer for the whole batch of frames
+            # one contiguous buffer for the whole batch of frames; frames of an
+            # archive on storage are read from their byte pieces here
             blobs = payload.to_pylist()
+            if has_pieces and any(b is None for b in blobs):
+                pieces = batch.column(batch.schema.get_field_index("pieces")).to_pylist()
+                blobs = [b if b is not None else reader.read(p) for b, p in zip(blobs, pieces)]
             lengths = np.fromiter((len(b) for b in blobs), dtype=np.int64, count=len(blobs))
             if (lengths % dtype.itemsize).any():
                 raise ValueError("frame payload is not a whole number of records")

@@ -223,6 +223,26 @@ class _Cursor:
                 return None
 
 
+_LAYOUTS: dict[str, str] = {}
+
+
+def _parse_cached(text: str):
+    return parse_header(text)
+
+
+def _layout_cached(text: str, header) -> str:
+    """Field layouts repeat across acquisitions (only times differ): encode the
+    JSON once per distinct ``<fields>`` block."""
+    cut = text.find("<fields>")
+    key = text[cut:] + str(header.sample_bytes) if cut >= 0 else text
+    layout = _LAYOUTS.get(key)
+    if layout is None:
+        if len(_LAYOUTS) > 4096:
+            _LAYOUTS.clear()
+        layout = _LAYOUTS[key] = fields_to_json(header.fields)
+    return layout
+
+
 def _walk(conn_id: int, cursor: _Cursor, with_payload: bool) -> Iterator[dict]:
     def row(kind: str, **kw) -> dict:
         base = {name: None for name in INDEX_SCHEMA.names}
@@ -253,11 +273,11 @@ def _walk(conn_id: int, cursor: _Cursor, with_payload: bool) -> Iterator[dict]:
             text += line
         header_text = text.decode()
         try:
-            header = parse_header(header_text)
+            header = _parse_cached(header_text)
         except (ParseError, ValueError, TypeError) as exc:
             yield row("reject", acq_no=acq_no, pos=start, message=f"bad header: {exc}")
             return
-        layout = fields_to_json(header.fields)
+        layout = _layout_cached(header_text, header)
         record = header.sample_bytes
         yield row(
             "header", acq_no=acq_no, pos=start, header=header_text, layout=layout, process=header.process
@@ -355,34 +375,59 @@ def index_chunks(chunks: DataFrame, with_payload: bool | None = None) -> DataFra
     else:
         with_payload = False
     cols = ["conn_id", "chunk_no", "size", "path"] + (["data"] if "data" in chunks.columns else [])
-    ordered = chunks.select(*cols).repartition("conn_id").sortWithinPartitions("conn_id", "chunk_no")
+    # an explicit count keeps AQE from merging connections into one walking task
+    n = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = chunks.select(*cols).repartition(n, "conn_id").sortWithinPartitions("conn_id", "chunk_no")
     return ordered.mapInPandas(_walker(with_payload), INDEX_SCHEMA)
 
 
+class PieceReader:
+    """Reads byte pieces (path, start, length) with a small cache of open files."""
+
+    def __init__(self, max_open: int = 64):
+        self._handles: dict[str, object] = {}
+        self._max = max_open
+
+    def read(self, pieces) -> bytes:
+        parts = []
+        for p in pieces or []:
+            handle = self._handles.get(p["path"])
+            if handle is None:
+                if len(self._handles) >= self._max:
+                    self._handles.clear()
+                filesystem, inner = _filesystem(p["path"])
+                handle = filesystem.open_input_file(inner)
+                self._handles[p["path"]] = handle
+            parts.append(handle.read_at(p["length"], p["start"]))
+        return b"".join(parts)
+
+
 def load_payloads(frames: DataFrame) -> DataFrame:
     """Fill ``payload`` of frame index rows by reading their byte pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        handles: dict[str, object] = {}
+        reader = PieceReader()
         for batch in batches:
             pieces = batch.column(batch.schema.get_field_index("pieces")).to_pylist()
-            out = []
-            for plist in pieces:
-                parts = []
-                for p in plist or []:
-                    handle = handles.get(p["path"])
-                    if handle is None:
-                        filesystem, inner = _filesystem(p["path"])
-                        handle = filesystem.open_input_file(inner)
-                        handles[p["path"]] = handle
-                    parts.append(handle.read_at(p["length"], p["start"]))
-                out.append(b"".join(parts))
+            out = [reader.read(p) for p in pieces]
             idx = batch.schema.get_field_index("payload")
             yield batch.set_column(idx, "payload", pa.array(out, pa.binary()))
 
     return frames.mapInArrow(run, frames.schema)
 
 
+def materialize_index(index: DataFrame, path: str | None = None) -> DataFrame:
+    """Write the frame index (one small row per frame) to the shared folder and
+    read it back: the forward walk then runs once, and later stages read a
+    table that survives executor loss."""
+    from strobe.session import shared_dir
+
+    spark = index.sparkSession
+    path = path or shared_dir(spark, "frame-index")
+    index.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 # --------------------------------------------------------------------------- decode
 
 
@@ -401,18 +446,20 @@ def decode_index(
     select: list[str] | None = None,
     calibrated: bool = False,
     from_files: bool = True,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Decode all frames of an index, one plan per signature, unioned by name.
 
-    Frames are spread round-robin before decoding, so the frames of one huge
-    acquisition are decoded by many tasks.
+    Output partitions hold contiguous frame ranges in (connection,
+    acquisition, frame) order, which ``write_acquisitions(presorted=True)``
+    uses to write without shuffling samples.
     """
     from strobe.operators.calibrate import calibrate, gate_column
     from strobe.sources.capture_format import fields_from_json
     from strobe.sources.captures import decode_payloads
 
     frames = index.where(F.col("kind") == "frame")
-    n = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = None
     for layout, process in signatures(index):
         fields = fields_from_json(layout)
@@ -424,11 +471,18 @@ def decode_index(
             gate = gate_column(names)
             if gate not in wanted:
                 wanted.append(gate)
-        part = frames.where((F.col("layout") == layout) & (F.col("process") == process)).repartition(n)
+        # Range-partition the (small) frame index, not the samples: each task
+        # decodes a contiguous run of frames, so a huge acquisition is spread
+        # over many tasks and the output is already grouped for the writer.
+        part = frames.where((F.col("layout") == layout) & (F.col("process") == process))
+        part = part.repartitionByRange(n, "conn_id", "acq_no", "frame_no").sortWithinPartitions(
+            "conn_id", "acq_no", "frame_no"
+        )
+        cols = ["conn_id", "acq_no", "frame_no", "process", "first_sample", "payload"]
         if from_files:
-            part = load_payloads(part)
+            cols.append("pieces")
         decoded = decode_payloads(
-            part, fields, keep=["conn_id", "acq_no", "frame_no", "process"], select=wanted
+            part.select(*cols), fields, keep=["conn_id", "acq_no", "frame_no", "process"], select=wanted
         )
         if calibrated:
             decoded = calibrate(decoded, [f for f in fields if f.column in wanted], process)
