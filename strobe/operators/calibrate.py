@@ -100,8 +100,10 @@ def choose_gate(fields: DataFrame, keys: list[str]) -> DataFrame:
 
 def renamed(fields: DataFrame, renames: DataFrame) -> DataFrame:
     """Stored column name: a (name, capture) -> new_name lookup, default
-    ``<name>.<capture>``. ``renames`` is small (a user mapping)."""
-    joined = fields.join(F.broadcast(renames), ["name", "capture"], "left")
+    ``<name>.<capture>``. The mapping's size is not bounded up front, so the
+    join is left to AQE, which broadcasts it only if its measured size is
+    under the broadcast threshold."""
+    joined = fields.join(renames, ["name", "capture"], "left")
     return joined.withColumn(
         "stored_name", F.coalesce(F.col("new_name"), F.concat_ws(".", "name", "capture"))
     ).drop("new_name")

@@ -236,7 +236,7 @@ def end_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(r, "device" if i < 6 else "software") for i, r in enumerate(END_REASONS)], "reason string, origin string"
     )
     counts = index.where(F.col("kind") == "end").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
-    return F.broadcast(dim).join(counts, "reason", "left").select(
+    return dim.join(counts, "reason", "left").select(
         "reason", "origin", F.coalesce("n", F.lit(0)).cast("long").alias("n_acquisitions")
     )
 

@@ -157,3 +157,22 @@ def test_files_roundtrip_matches_memory(spark, tmp_path):
     dec = decode_index(index, from_files=True)
     assert dec.count() == 58
     assert sorted(r[0] for r in dec.select(c("COUNTER2.OUT.Mean")).collect()) == [2.0 * i for i in range(1, 59)]
+
+
+def test_capture_dump_data_source(spark, tmp_path):
+    from strobe.sources.datasource import register
+    from strobe.sources.dumps import list_chunks, materialize_index, write_chunks
+
+    data = stream(acquisition(SCALED_FIELDS, fast_values(), [10, 11, 10, 10, 10, 7], end=("Ok", 58)),
+                  acquisition(SCALED_FIELDS, fast_values(20), [20], end=("Ok", 20)))
+    root = str(tmp_path / "arch")
+    write_chunks(chunks_df(spark, data, 257), root).collect()
+    idx_path = str(tmp_path / "index")
+    materialize_index(index_chunks(list_chunks(spark, root)), idx_path)
+    register(spark)
+    df = spark.read.format("capture_dump").option("index", idx_path).load()
+    assert df.count() == 78
+    assert sorted(r[0] for r in df.where("acq_no = 2").select(c("COUNTER2.OUT.Mean")).collect()) == [2.0 * i for i in range(1, 21)]
+    pruned = spark.read.format("capture_dump").option("index", idx_path).option("fields", "COUNTER3.OUT.Value").load()
+    assert pruned.columns == ["conn_id", "acq_no", "frame_no", "sample_idx", "COUNTER3.OUT.Value"]
+    assert pruned.agg(F.sum(c("COUNTER3.OUT.Value"))).collect()[0][0] == 3 * (58 * 59 / 2 + 20 * 21 / 2)
