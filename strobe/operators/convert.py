@@ -1,10 +1,11 @@
 """Archive conversion: capture archive -> calibrated per-acquisition datasets.
 
 The batch form of the capture-to-file job: list chunk files, walk the frame
-index once (kept as a table), decode and calibrate every layout, write one
-Parquet directory per acquisition in sample order, write the acquisitions
-table (header attributes and end records), then fail if any acquisition
-ended by data overrun -- after its rows are stored.
+index once (kept as a table), decode and calibrate every layout, write the
+samples in (acquisition, sample) order -- clustered by acquisition by default,
+or one directory per acquisition -- write the acquisitions table (header
+attributes and end records), then fail if any acquisition ended by data
+overrun, after its rows are stored.
 """
 
 from __future__ import annotations
@@ -53,14 +54,19 @@ def acquisitions_table(index: DataFrame) -> DataFrame:
 
 
 def convert_archive(
-    spark: SparkSession, root: str, out: str, check_overrun: bool = True, partitions: int | None = None
+    spark: SparkSession,
+    root: str,
+    out: str,
+    check_overrun: bool = True,
+    partitions: int | None = None,
+    layout: str = "clustered",
 ) -> Converted:
     index = materialize_index(index_chunks(list_chunks(spark, root)), out.rstrip("/") + "/_index")
     acq = acquisitions_table(index)
     acq.write.mode("overwrite").parquet(out.rstrip("/") + "/acquisitions")
     samples = decode_index(index, calibrated=True, partitions=partitions).drop("process", "frame_no")
     path = out.rstrip("/") + "/samples"
-    write_acquisitions(samples, path, presorted=True)
+    write_acquisitions(samples, path, presorted=True, layout=layout)
     total = index.where(F.col("kind") == "frame").agg(F.sum("n_rows")).collect()[0][0] or 0
     if check_overrun:
         guard_overruns(index.where(F.col("kind") == "end"))

@@ -18,23 +18,32 @@ def write_acquisitions(
     partitions: int | None = None,
     mode: str = "overwrite",
     presorted: bool = False,
+    layout: str = "per_acquisition",
 ) -> None:
-    """Write calibrated samples as Parquet, one directory per acquisition, rows
-    in sample order.
+    """Write calibrated samples as Parquet with rows in sample order.
+
+    ``layout="per_acquisition"``: one directory per acquisition (the original
+    one-file-per-acquisition shape). ``layout="clustered"``: one dataset whose
+    files hold contiguous (acquisition, sample) ranges, so an acquisition is
+    read back by row-group statistics on ``keys``; at scale this avoids one
+    small file per acquisition per task.
 
     Range partitioning on (keys, order) gives each task a contiguous run of
-    samples: a huge acquisition is written by many tasks (several files in
-    its directory) and small ones share tasks, so no task holds a whole hot
-    acquisition and the file count stays near the task count.
+    samples: a huge acquisition is written by many tasks and small ones share
+    tasks. With ``presorted`` the partitions already hold such runs (decoded
+    from a range-partitioned frame index) and are only sorted in place.
     """
     if presorted:
-        # partitions already hold contiguous (keys, order) ranges, e.g. decoded
-        # from a range-partitioned frame index: only order rows within them
         ordered = samples.sortWithinPartitions(*keys, order)
     else:
         n = partitions or int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         ordered = samples.repartitionByRange(n, *keys, order).sortWithinPartitions(*keys, order)
-    ordered.write.mode(mode).partitionBy(*keys).parquet(path)
+    writer = ordered.write.mode(mode)
+    if layout == "per_acquisition":
+        writer = writer.partitionBy(*keys)
+    elif layout != "clustered":
+        raise ValueError(f"unknown layout {layout!r}")
+    writer.parquet(path)
 
 
 def guard_overruns(ends: DataFrame) -> None:
