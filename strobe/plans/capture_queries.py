@@ -60,16 +60,17 @@ ITEMSIZE = {"int8": 1, "uint8": 1, "int16": 2, "uint16": 2, "int32": 4, "uint32"
 
 
 def _archive_index(spark: SparkSession, sf_dir: str, chunk_bytes: int = 4096):
-    cap = cs.build(spark, sf_dir)
-    root = cs.archive(spark, cap, chunk_bytes)
-    return cap, cs.index_archive(spark, root)
+    prep = cs.prepared(spark, sf_dir, chunk_bytes)
+    return prep, prep.index
 
 
-def _users(cap: cs.StandinCapture) -> DataFrame:
-    return cap.acquisitions.select("conn_id", "acq_no", "user_id")
+def _users(prep) -> DataFrame:
+    """(conn_id, acq_no) -> user_id: the acquisitions table (one row per
+    acquisition); joins to it are sized by AQE at run time."""
+    return prep.acquisitions.select("conn_id", "acq_no", "user_id")
 
 
-def _decoded(spark, sf_dir, calibrated=False, select=None) -> tuple[cs.StandinCapture, DataFrame]:
+def _decoded(spark, sf_dir, calibrated=False, select=None) -> tuple[cs.Prepared, DataFrame]:
     cap, index = _archive_index(spark, sf_dir)
     dec = cs.decode_index(index, select=select, calibrated=calibrated)
     return cap, dec.join(_users(cap), ["conn_id", "acq_no"])
