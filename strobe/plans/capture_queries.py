@@ -491,13 +491,17 @@ SELECT user_id, i // 10 AS bucket, round(arg_max(value, i), 6) AS v_value, round
        round(max(value), 6) AS v_max, round(sum(value * g) / sum(g), 6) AS v_mean
 FROM s GROUP BY ALL""")
 def capture_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, dec = _decoded(spark, sf_dir)
-    return reduce_decoded(dec)
+    prep, index = _archive_index(spark, sf_dir)
+    dec = cs.decode_index(index, select=["COUNTER1.OUT.Min", SAMPLES_FIELD])
+    return reduce_decoded(dec, _users(prep))
 
 
-def reduce_decoded(dec: DataFrame) -> DataFrame:
+def reduce_decoded(dec: DataFrame, users: DataFrame) -> DataFrame:
+    """Reduce per (acquisition, 10-sample bucket) first -- partial aggregates
+    map-side -- and attach user ids to the aggregates only."""
     s = dec.withColumn("bucket", F.floor(F.col("sample_idx") / 10).cast("long"))
-    r = capture_modes(s, ["user_id", "bucket"], "COUNTER1.OUT.Min", c(SAMPLES_FIELD), "sample_idx")
+    r = capture_modes(s, ["conn_id", "acq_no", "bucket"], "COUNTER1.OUT.Min", c(SAMPLES_FIELD), "sample_idx")
+    r = r.join(users, ["conn_id", "acq_no"])
     return r.select("user_id", "bucket", *[rounded(F.col(x)).alias(x) for x in ("v_value", "v_min", "v_max", "v_mean")])
 
 
@@ -524,10 +528,11 @@ WITH {_U}, d AS (SELECT user_id, n, ((epoch_us(t1) - epoch_us(t0)) * 125) * 8e-0
 SELECT user_id, round(n * 48 / nullif(secs, 0), 3) AS bytes_per_s, round(n / nullif(secs, 0), 6) AS samples_per_s
 FROM d""")
 def throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, dec = _decoded(spark, sf_dir, select=["PCAP.TS_START.Value"])
-    per = dec.groupBy("user_id").agg(
+    prep, index = _archive_index(spark, sf_dir)
+    dec = cs.decode_index(index, select=["PCAP.TS_START.Value"])
+    per = dec.groupBy("conn_id", "acq_no").agg(
         F.count(F.lit(1)).alias("n"), (F.max(c("PCAP.TS_START.Value")) * F.lit(8e-09)).alias("secs")
-    )
+    ).join(_users(prep), ["conn_id", "acq_no"])
     secs = F.when(F.col("secs") != 0, F.col("secs"))
     return per.select(
         "user_id", F.round(F.col("n") * 48 / secs, 3).alias("bytes_per_s"), F.round(F.col("n") / secs, 6).alias("samples_per_s")
@@ -612,11 +617,11 @@ def overrun_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {_U}
 SELECT user_id, declared, n AS decoded, declared - n AS diff FROM a WHERE reason IS NOT NULL AND declared <> n""")
 def count_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cap, dec = _decoded(spark, sf_dir, select=["EVENT.ID.Value"])
-    _, index = _archive_index(spark, sf_dir)
+    prep, index = _archive_index(spark, sf_dir)
+    dec = cs.decode_index(index, select=["EVENT.ID.Value"])
     ends = index.where(F.col("kind") == "end").select("conn_id", "acq_no", F.col("samples").alias("declared"))
-    got = dec.groupBy("conn_id", "acq_no", "user_id").agg(F.count(F.lit(1)).alias("decoded"))
-    j = got.join(ends, ["conn_id", "acq_no"])
+    got = dec.groupBy("conn_id", "acq_no").agg(F.count(F.lit(1)).alias("decoded"))
+    j = got.join(ends, ["conn_id", "acq_no"]).join(_users(prep), ["conn_id", "acq_no"])
     return j.where(F.col("declared") != F.col("decoded")).select(
         "user_id", "declared", "decoded", (F.col("declared") - F.col("decoded")).alias("diff")
     )
