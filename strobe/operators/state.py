@@ -7,7 +7,7 @@ change feed never lands whole in a single task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strobe.operators.ordering import ordered_scan
@@ -39,11 +39,11 @@ def segment_statements(lines: DataFrame, keys: list[str], order: str = "line_no"
     marked = lines.withColumn("__blank", blank).withColumn("__ml", is_multiline(F.col("line")))
     # run id = number of blank lines strictly before this line
     runs = ordered_scan(marked, keys, [order], out="__run", weight="__blank")
-    per_run = runs.groupBy(*keys, "__run").agg(
-        F.min(F.when(F.col("__ml"), F.col(order))).alias("__opener"),
-        F.max(F.col("__blank")).alias("__closed"),
+    # a run holds at most one statement body, so a window over it is bounded
+    run = Window.partitionBy(*keys, "__run")
+    j = runs.withColumn("__opener", F.min(F.when(F.col("__ml"), F.col(order))).over(run)).withColumn(
+        "__closed", F.max(F.col("__blank")).over(run)
     )
-    j = runs.join(per_run, [*keys, "__run"])
     in_body = F.col("__opener").isNotNull() & (F.col(order) >= F.col("__opener"))
     stmt = F.when(in_body, F.col("__opener")).otherwise(F.col(order))
     keep = ~in_body | (F.col("__closed") == 1)
