@@ -253,10 +253,10 @@ def sample_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS sample_idx,
        CAST(3 AS BIGINT) AS n_cuts FROM events""")
 def chunk_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cap = cs.build(spark, sf_dir)
+    prep = cs.prepared(spark, sf_dir)
     out = None
     for size in (61, 997, 8192):
-        index = index_chunks(cut_chunks(cap.messages, size))
+        index = index_chunks(cut_chunks(prep.messages, size))
         dec = cs.decode_index(index, from_files=False).select(
             c("EVENT.ID.Value").alias("event_id"), "sample_idx", c("COUNTER1.OUT.Mean").alias("v"),
             F.lit(size).alias("cut"),
@@ -649,9 +649,10 @@ SELECT DISTINCT CAST(2 AS BIGINT) AS conn_id, CAST(2 AS BIGINT) AS acq_no, 'bad
        CAST(2 AS BIGINT) AS headers_before
 FROM events WHERE user_id % 4 = 2""")
 def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cap = cs.build(spark, sf_dir)
+    prep = cs.prepared(spark, sf_dir)
     bad = (F.col("conn_id") == 2) & (F.col("acq_no") == 2) & (F.col("part") == 2) & (F.col("seq") == 0)
-    corrupted = cap.messages.withColumn(
+    # same length, so the stream layout (offsets) is unchanged
+    corrupted = prep.messages.withColumn(
         "data",
         F.when(bad, F.concat(F.lit(b"BAD ").cast("binary"), F.expr("substring(data, 5)"))).otherwise(F.col("data")),
     )

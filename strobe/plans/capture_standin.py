@@ -29,7 +29,7 @@ from strobe.operators.ordering import position_within
 from strobe.plans.tables import table
 from strobe.session import shared_dir
 from strobe.sources.capture_format import FieldSpec
-from strobe.sources.captures import cut_chunks, encode_records, frame_records, stream_messages
+from strobe.sources.captures import cut_chunks, encode_records, frame_records, stream_messages, stream_offsets
 from strobe.sources.dumps import (  # noqa: F401
     decode_index,
     index_chunks,
@@ -173,12 +173,11 @@ def build(
     return StandinCapture(acq, samples, frames, messages)
 
 
-def archive(spark: SparkSession, cap: StandinCapture, chunk_bytes: int = 4096) -> str:
+def archive(spark: SparkSession, cap: StandinCapture, chunk_bytes: int = 4096, placed: DataFrame | None = None) -> str:
     """Write the stand-in streams as chunk files under the shared folder."""
     root = shared_dir(spark, "capture-archive")
-    write_chunks(cut_chunks(cap.messages, chunk_bytes), root).write.mode("overwrite").parquet(
-        root + "/_listing"
-    )
+    source = placed if placed is not None else cap.messages
+    write_chunks(cut_chunks(source, chunk_bytes), root).write.mode("overwrite").parquet(root + "/_listing")
     return root
 
 
@@ -195,6 +194,7 @@ class Prepared:
     acquisitions: DataFrame
     index: DataFrame
     root: str
+    messages: DataFrame  # (conn_id, acq_no, part, seq, data, n_bytes, offset)
 
 
 _PREPARED: dict[tuple, Prepared] = {}
@@ -212,9 +212,14 @@ def prepared(spark: SparkSession, sf_dir: str, chunk_bytes: int = 4096) -> Prepa
     if hit is not None:
         return hit
     cap = build(spark, sf_dir)
-    root = archive(spark, cap, chunk_bytes)
+    # the stream layout (messages with byte offsets) is kept as a table too, so
+    # the same streams can be re-cut at other sizes without re-encoding
+    messages_path = shared_dir(spark, "capture-messages")
+    stream_offsets(cap.messages).write.mode("overwrite").parquet(messages_path)
+    placed = spark.read.parquet(messages_path)
+    root = archive(spark, cap, chunk_bytes, placed=placed)
     cap.acquisitions.drop("t0").write.mode("overwrite").parquet(root + "/_acquisitions")
     index = index_archive(spark, root)
-    prep = Prepared(spark.read.parquet(root + "/_acquisitions"), index, root)
+    prep = Prepared(spark.read.parquet(root + "/_acquisitions"), index, root, placed)
     _PREPARED[key] = prep
     return prep

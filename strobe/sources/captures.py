@@ -162,8 +162,10 @@ def cut_chunks(messages: DataFrame, chunk_bytes: int) -> DataFrame:
 
     Cut points ignore message boundaries, as a socket or a file split would;
     every (connection, chunk) group holds at most ``chunk_bytes`` bytes.
+    Messages that already carry ``offset``/``n_bytes`` (see ``stream_offsets``)
+    are cut directly.
     """
-    placed = stream_offsets(messages)
+    placed = messages if "offset" in messages.columns else stream_offsets(messages)
     end = F.col("offset") + F.col("n_bytes")
     pieces = placed.withColumn(
         "chunk_no",
