@@ -35,9 +35,11 @@ def write_acquisitions(
     """
     if presorted:
         ordered = samples.sortWithinPartitions(*keys, order)
+    elif partitions:
+        ordered = samples.repartitionByRange(partitions, *keys, order).sortWithinPartitions(*keys, order)
     else:
-        n = partitions or int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ordered = samples.repartitionByRange(n, *keys, order).sortWithinPartitions(*keys, order)
+        # no fixed count: AQE sizes the range partitions from the data
+        ordered = samples.repartitionByRange(*keys, order).sortWithinPartitions(*keys, order)
     writer = ordered.write.mode(mode)
     if layout == "per_acquisition":
         writer = writer.partitionBy(*keys)

@@ -441,6 +441,21 @@ def signatures(index: DataFrame, limit: int = 256) -> list[tuple[str, str]]:
     return [(r["layout"], r["process"]) for r in rows]
 
 
+DEFAULT_DECODE_BYTES = 256 << 20
+
+
+def decode_partitions(frames: DataFrame) -> int:
+    """Partition count for decoding: payload bytes in the index divided by a
+    per-task target (``strobe.decode.bytesPerPartition``, default 256 MiB),
+    never below the session's shuffle partitions. One aggregate over the
+    small index."""
+    spark = frames.sparkSession
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = int(spark.conf.get("strobe.decode.bytesPerPartition", str(DEFAULT_DECODE_BYTES)))
+    total = frames.agg(F.sum("n_bytes")).collect()[0][0] or 0
+    return max(floor, -(-int(total) // target))
+
+
 def decode_index(
     index: DataFrame,
     select: list[str] | None = None,
@@ -459,7 +474,7 @@ def decode_index(
     from strobe.sources.captures import decode_payloads
 
     frames = index.where(F.col("kind") == "frame")
-    n = partitions or int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or decode_partitions(frames)
     out = None
     for layout, process in signatures(index):
         fields = fields_from_json(layout)
