@@ -174,3 +174,20 @@ def test_windowed_reduction_drops_late_rows(spark, tmp_path):
          .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination(300)
     assert [r["v_max"] for r in rows] == [5.0]  # the row 9 days behind the watermark is dropped
+
+
+def test_streaming_capture_job_appends_calibrated_samples(spark, tmp_path):
+    from strobe.streaming.capture_job import read_samples, start_capture_stream
+
+    data = _data()
+    src = str(tmp_path / "src")
+    _write_chunk_files(spark, src, data, 211)
+    out = str(tmp_path / "out")
+    q = start_capture_stream(spark, src, out, str(tmp_path / "ckpt"), available_now=True, max_files_per_trigger=2)
+    q.awaitTermination(300)
+    got = read_samples(spark, out)
+    assert got.count() == 2 * 83
+    assert got.select("batch").distinct().count() > 1  # appended over several micro-batches
+    want = sorted(tuple(r) for r in decode_index(index_chunks(spark.read.parquet(src)), from_files=False, calibrated=True)
+                  .select("conn_id", "acq_no", "sample_idx", c("COUNTER1.OUT.Mean")).collect())
+    assert sorted(tuple(r) for r in got.select("conn_id", "acq_no", "sample_idx", c("COUNTER1.OUT.Mean")).collect()) == want
