@@ -205,51 +205,70 @@ def _column_array(values: np.ndarray, type_name: str) -> pa.Array:
     return pa.array(values.astype(widen) if widen is not None else values)
 
 
+MAX_RECORDS_PER_BATCH = 1 << 17
+
+
 def decode_payloads(
     frames: DataFrame,
     fields: list[FieldSpec],
     keep: list[str] | None = None,
     select: list[str] | None = None,
+    max_records: int = MAX_RECORDS_PER_BATCH,
 ) -> DataFrame:
     """Decode ``payload`` of each frame row into one row per sample.
 
-    ``frames`` must carry ``payload`` (BINARY) and ``first_sample``; ``keep``
-    columns are repeated on every sample. ``select`` restricts the decoded
-    field columns (the others are never materialised).
+    ``frames`` must carry ``payload`` (BINARY, or NULL with ``pieces`` to read
+    from storage) and ``first_sample``; ``keep`` columns are repeated on every
+    sample. ``select`` restricts the decoded field columns (the others are
+    never materialised). Output batches hold at most ``max_records`` samples,
+    so memory per batch is bounded however large the frames are.
     """
     keep = keep if keep is not None else ["conn_id", "acq_no", "frame_no"]
     dtype = record_dtype(fields)
     wanted = [f for f in fields if select is None or f.column in select]
     has_pieces = "pieces" in frames.columns
+    names = keep + ["sample_idx"] + [f.column for f in wanted]
+
+    def emit(batch: pa.RecordBatch, rows: list[int], blobs: list[bytes], first: np.ndarray) -> pa.RecordBatch:
+        lengths = np.fromiter((len(b) for b in blobs), dtype=np.int64, count=len(blobs))
+        if (lengths % dtype.itemsize).any():
+            raise ValueError("frame payload is not a whole number of records")
+        counts = lengths // dtype.itemsize
+        records = np.frombuffer(b"".join(blobs), dtype=dtype)
+        local = np.repeat(np.arange(len(blobs)), counts)
+        starts = np.cumsum(counts) - counts
+        row_of = np.asarray(rows, dtype=np.int64)[local]
+        sample_idx = first[row_of] + (np.arange(len(records)) - starts[local])
+        take = pa.array(row_of)
+        cols = [batch.column(batch.schema.get_field_index(k)).take(take) for k in keep]
+        cols.append(pa.array(sample_idx.astype(np.int64)))
+        for f in wanted:
+            cols.append(_column_array(records[f.column], np.dtype(f.type).name))
+        return pa.RecordBatch.from_arrays(cols, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from strobe.sources.dumps import PieceReader
 
         reader = PieceReader()
         for batch in batches:
-            payload = batch.column(batch.schema.get_field_index("payload"))
+            payload = batch.column(batch.schema.get_field_index("payload")).to_pylist()
+            pieces = batch.column(batch.schema.get_field_index("pieces")).to_pylist() if has_pieces else None
             first = batch.column(batch.schema.get_field_index("first_sample")).to_numpy(zero_copy_only=False)
-            # one contiguous buffer for the whole batch of frames; frames of an
-            # archive on storage are read from their byte pieces here
-            blobs = payload.to_pylist()
-            if has_pieces and any(b is None for b in blobs):
-                pieces = batch.column(batch.schema.get_field_index("pieces")).to_pylist()
-                blobs = [b if b is not None else reader.read(p) for b, p in zip(blobs, pieces)]
-            lengths = np.fromiter((len(b) for b in blobs), dtype=np.int64, count=len(blobs))
-            if (lengths % dtype.itemsize).any():
-                raise ValueError("frame payload is not a whole number of records")
-            counts = lengths // dtype.itemsize
-            records = np.frombuffer(b"".join(blobs), dtype=dtype)
-            row_of = np.repeat(np.arange(len(blobs)), counts)
-            starts = np.cumsum(counts) - counts
-            sample_idx = first[row_of] + (np.arange(len(records)) - starts[row_of])
-            take = pa.array(row_of)
-            cols = [batch.column(batch.schema.get_field_index(k)).take(take) for k in keep]
-            cols.append(pa.array(sample_idx.astype(np.int64)))
-            for f in wanted:
-                cols.append(_column_array(records[f.column], np.dtype(f.type).name))
-            names = keep + ["sample_idx"] + [f.column for f in wanted]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            rows: list[int] = []
+            blobs: list[bytes] = []
+            pending = 0
+            for i, blob in enumerate(payload):
+                # frames of an archive on storage are read from their byte pieces here
+                if blob is None and pieces is not None:
+                    blob = reader.read(pieces[i])
+                rows.append(i)
+                blobs.append(blob or b"")
+                pending += len(blob or b"") // dtype.itemsize
+                if pending >= max_records:
+                    yield emit(batch, rows, blobs, first)
+                    rows, blobs, pending = [], [], 0
+            if rows:
+                yield emit(batch, rows, blobs, first)
 
     schema = T.StructType(
         [frames.schema[k] for k in keep]

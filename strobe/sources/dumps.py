@@ -433,27 +433,34 @@ def materialize_index(index: DataFrame, path: str | None = None) -> DataFrame:
 
 def signatures(index: DataFrame, limit: int = 256) -> list[tuple[str, str]]:
     """Distinct (layout, process) pairs; a plan is built per signature."""
+    return [(layout, process) for layout, process, _ in signature_sizes(index, limit)]
+
+
+def signature_sizes(index: DataFrame, limit: int = 256) -> list[tuple[str, str, int]]:
+    """(layout, process, payload bytes) per signature, in one small aggregate
+    over the index; more than ``limit`` layouts is refused."""
     rows = (
-        index.where(F.col("kind") == "frame").select("layout", "process").distinct().limit(limit + 1).collect()
+        index.where(F.col("kind") == "frame")
+        .groupBy("layout", "process")
+        .agg(F.sum("n_bytes").alias("bytes"))
+        .limit(limit + 1)
+        .collect()
     )
     if len(rows) > limit:
         raise ValueError(f"more than {limit} record layouts in one archive")
-    return [(r["layout"], r["process"]) for r in rows]
+    return [(r["layout"], r["process"], int(r["bytes"] or 0)) for r in rows]
 
 
 DEFAULT_DECODE_BYTES = 256 << 20
 
 
-def decode_partitions(frames: DataFrame) -> int:
-    """Partition count for decoding: payload bytes in the index divided by a
-    per-task target (``strobe.decode.bytesPerPartition``, default 256 MiB),
-    never below the session's shuffle partitions. One aggregate over the
-    small index."""
-    spark = frames.sparkSession
+def decode_partitions(spark: SparkSession, payload_bytes: int) -> int:
+    """Partition count for decoding: payload bytes divided by a per-task target
+    (``strobe.decode.bytesPerPartition``, default 256 MiB), never below the
+    session's shuffle partitions."""
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
     target = int(spark.conf.get("strobe.decode.bytesPerPartition", str(DEFAULT_DECODE_BYTES)))
-    total = frames.agg(F.sum("n_bytes")).collect()[0][0] or 0
-    return max(floor, -(-int(total) // target))
+    return max(floor, -(-int(payload_bytes) // target))
 
 
 def decode_index(
@@ -474,9 +481,10 @@ def decode_index(
     from strobe.sources.captures import decode_payloads
 
     frames = index.where(F.col("kind") == "frame")
-    n = partitions or decode_partitions(frames)
+    spark = index.sparkSession
     out = None
-    for layout, process in signatures(index):
+    for layout, process, size in signature_sizes(index):
+        n = partitions or decode_partitions(spark, size)
         fields = fields_from_json(layout)
         names = [f.column for f in fields]
         wanted = list(select) if select is not None else names
@@ -493,12 +501,14 @@ def decode_index(
         part = part.repartitionByRange(n, "conn_id", "acq_no", "frame_no").sortWithinPartitions(
             "conn_id", "acq_no", "frame_no"
         )
-        cols = ["conn_id", "acq_no", "frame_no", "process", "first_sample", "payload"]
+        cols = ["conn_id", "acq_no", "frame_no", "first_sample", "payload"]
         if from_files:
             cols.append("pieces")
-        decoded = decode_payloads(
-            part.select(*cols), fields, keep=["conn_id", "acq_no", "frame_no", "process"], select=wanted
-        )
+        decoded = decode_payloads(part.select(*cols), fields, keep=["conn_id", "acq_no", "frame_no"], select=wanted)
+        # the process is fixed per signature: a literal, not a per-row string from Python
+        decoded = decoded.withColumn("process", F.lit(process))
+        rest = [F.col(f"`{c}`") for c in decoded.columns if c not in ("conn_id", "acq_no", "frame_no", "process")]
+        decoded = decoded.select("conn_id", "acq_no", "frame_no", "process", *rest)
         if calibrated:
             decoded = calibrate(decoded, [f for f in fields if f.column in wanted], process)
         out = decoded if out is None else out.unionByName(decoded, allowMissingColumns=True)
