@@ -25,7 +25,7 @@ from strobe.plans import capture_standin as cs
 from strobe.plans.registry import register
 from strobe.plans.tables import table
 from strobe.session import shared_dir
-from strobe.sources.capture_format import END_REASONS, SAMPLES_FIELD
+from strobe.sources.capture_format import END_REASONS, GATE_DURATION_FIELD, SAMPLES_FIELD
 from strobe.sources.captures import cut_chunks
 from strobe.sources.dumps import index_chunks
 
@@ -76,6 +76,13 @@ def _decoded(spark, sf_dir, calibrated=False, select=None) -> tuple[cs.Prepared,
     return cap, dec.join(_users(cap), ["conn_id", "acq_no"])
 
 
+def gate_of(df: DataFrame):
+    """The gate word of each sample whatever its layout: the explicit
+    ``PCAP.GATE_DURATION`` where captured, else the ``PCAP.SAMPLES`` word."""
+    cols = [x for x in (GATE_DURATION_FIELD, SAMPLES_FIELD) if x in df.columns]
+    return F.coalesce(*[c(x) for x in cols]) if len(cols) > 1 else c(cols[0])
+
+
 def parsed_headers(index: DataFrame) -> DataFrame:
     """Header rows of an index parsed in the JVM with ``from_xml``."""
     h = index.where(F.col("kind") == "header").select(
@@ -137,7 +144,7 @@ def dump_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, dec = _decoded(spark, sf_dir)
     return dec.select(
         c("EVENT.ID.Value").alias("event_id"), "sample_idx",
-        c("PCAP.SAMPLES.Value").alias("gate"), c("PCAP.BITS0.Value").alias("bits"),
+        gate_of(dec).alias("gate"), c("PCAP.BITS0.Value").alias("bits"),
         rounded(c("COUNTER1.OUT.Mean")).alias("raw_value"), c("PCAP.TS_START.Value").alias("ticks"),
     )
 
@@ -171,7 +178,12 @@ SELECT user_id, CAST(pos AS BIGINT) AS pos, name, type, capture, CAST(scale AS D
        CASE WHEN user_id % 2 = 0 THEN 'Raw' ELSE 'Scaled' END AS process,
        user_id % 5 AS missed,
        CASE WHEN user_id % 3 = 1 THEN user_id * 1001 END AS hw_time_offset_ns
-FROM u, {_DECLARED_VALUES}""")
+FROM u, {_DECLARED_VALUES}
+UNION ALL
+SELECT user_id, CAST(6 AS BIGINT), 'PCAP.GATE_DURATION', 'uint32', 'Value', NULL, NULL, NULL,
+       CASE WHEN user_id % 2 = 0 THEN 'Raw' ELSE 'Scaled' END, user_id % 5,
+       CASE WHEN user_id % 3 = 1 THEN user_id * 1001 END
+FROM u WHERE user_id % 5 = 0""")
 def header_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     cap, index = _archive_index(spark, sf_dir)
     h = parsed_headers(index).select(
@@ -187,8 +199,8 @@ def header_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("implicit_gate", """
-SELECT DISTINCT user_id, CAST(44 AS BIGINT) AS declared_bytes, CAST(48 AS BIGINT) AS sample_bytes,
-       true AS gate_inserted, CAST(7 AS BIGINT) AS n_fields
+SELECT DISTINCT user_id, CAST(CASE WHEN user_id % 5 = 0 THEN 48 ELSE 44 END AS BIGINT) AS declared_bytes,
+       CAST(48 AS BIGINT) AS sample_bytes, user_id % 5 <> 0 AS gate_inserted, CAST(7 AS BIGINT) AS n_fields
 FROM events""")
 def implicit_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     cap, index = _archive_index(spark, sf_dir)
@@ -206,12 +218,17 @@ def implicit_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("record_layout", """
-WITH f(record_pos, col, size) AS (VALUES (0, 'PCAP.SAMPLES.Value', 4), (1, 'PCAP.BITS0.Value', 4),
-  (2, 'EVENT.ID.Value', 8), (3, 'COUNTER1.OUT.Mean', 8), (4, 'COUNTER1.OUT.Min', 8),
-  (5, 'COUNTER1.OUT.Max', 8), (6, 'PCAP.TS_START.Value', 8)),
-o AS (SELECT record_pos, col, CAST(coalesce(sum(size) OVER (ORDER BY record_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS byte_offset FROM f)
+WITH f(layout, record_pos, col, size) AS (VALUES ('A', 0, 'PCAP.SAMPLES.Value', 4), ('A', 1, 'PCAP.BITS0.Value', 4),
+  ('A', 2, 'EVENT.ID.Value', 8), ('A', 3, 'COUNTER1.OUT.Mean', 8), ('A', 4, 'COUNTER1.OUT.Min', 8),
+  ('A', 5, 'COUNTER1.OUT.Max', 8), ('A', 6, 'PCAP.TS_START.Value', 8),
+  ('B', 0, 'PCAP.BITS0.Value', 4), ('B', 1, 'EVENT.ID.Value', 8), ('B', 2, 'COUNTER1.OUT.Mean', 8),
+  ('B', 3, 'COUNTER1.OUT.Min', 8), ('B', 4, 'COUNTER1.OUT.Max', 8), ('B', 5, 'PCAP.TS_START.Value', 8),
+  ('B', 6, 'PCAP.GATE_DURATION.Value', 4)),
+o AS (SELECT layout, record_pos, col, CAST(coalesce(sum(size) OVER (PARTITION BY layout ORDER BY record_pos
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS byte_offset FROM f)
 SELECT user_id, CAST(record_pos AS BIGINT) AS record_pos, col AS "column", byte_offset
-FROM (SELECT DISTINCT user_id FROM events), o""")
+FROM (SELECT DISTINCT user_id, CASE WHEN user_id % 5 = 0 THEN 'B' ELSE 'A' END AS layout FROM events) u
+JOIN o USING (layout)""")
 def record_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     cap, index = _archive_index(spark, sf_dir)
     rf = record_fields(index)
@@ -304,7 +321,7 @@ def calibrate_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, dec = _decoded(spark, sf_dir, calibrated=True)
     return dec.select(
         c("EVENT.ID.Value").alias("event_id"), rounded(c("COUNTER1.OUT.Max")).alias("v"),
-        c("PCAP.BITS0.Value").alias("bits"), c("PCAP.SAMPLES.Value").alias("gate"),
+        c("PCAP.BITS0.Value").alias("bits"), gate_of(dec).alias("gate"),
     )
 
 
@@ -406,6 +423,18 @@ def rename_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return renamed(f, renames).select("field_id", "stored_name")
 
 
+@register("acq_gate_choice", """
+SELECT DISTINCT user_id,
+  CASE WHEN user_id % 5 = 0 THEN 'PCAP.GATE_DURATION.Value' ELSE 'PCAP.SAMPLES.Value' END AS gate_column
+FROM events""")
+def acq_gate_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per acquisition, the gate a gated mean divides by, from its header
+    fields after the implicit-gate rule."""
+    prep, index = _archive_index(spark, sf_dir)
+    gates = choose_gate(record_fields(index), ["conn_id", "acq_no"])
+    return gates.join(_users(prep), ["conn_id", "acq_no"]).select("user_id", "gate_column")
+
+
 @register("select_columns", """SELECT event_id, round(value, 6) AS v FROM events""")
 def select_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, dec = _decoded(spark, sf_dir, select=["EVENT.ID.Value", "COUNTER1.OUT.Max"])
@@ -492,7 +521,7 @@ SELECT user_id, i // 10 AS bucket, round(arg_max(value, i), 6) AS v_value, round
 FROM s GROUP BY ALL""")
 def capture_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     prep, index = _archive_index(spark, sf_dir)
-    dec = cs.decode_index(index, select=["COUNTER1.OUT.Min", SAMPLES_FIELD])
+    dec = cs.decode_index(index, select=["COUNTER1.OUT.Min", SAMPLES_FIELD, GATE_DURATION_FIELD])
     return reduce_decoded(dec, _users(prep))
 
 
@@ -500,7 +529,7 @@ def reduce_decoded(dec: DataFrame, users: DataFrame) -> DataFrame:
     """Reduce per (acquisition, 10-sample bucket) first -- partial aggregates
     map-side -- and attach user ids to the aggregates only."""
     s = dec.withColumn("bucket", F.floor(F.col("sample_idx") / 10).cast("long"))
-    r = capture_modes(s, ["conn_id", "acq_no", "bucket"], "COUNTER1.OUT.Min", c(SAMPLES_FIELD), "sample_idx")
+    r = capture_modes(s, ["conn_id", "acq_no", "bucket"], "COUNTER1.OUT.Min", gate_of(dec), "sample_idx")
     r = r.join(users, ["conn_id", "acq_no"])
     return r.select("user_id", "bucket", *[rounded(F.col(x)).alias(x) for x in ("v_value", "v_min", "v_max", "v_mean")])
 
@@ -567,8 +596,9 @@ def idle_gaps(spark: SparkSession, sf_dir: str, hours: int = 24) -> DataFrame:
 
 
 @register("schema_mismatch", f"""
-WITH {_U}
-SELECT user_id, false AS mismatch FROM a WHERE acq_no > 1""")
+WITH {_U}, m AS (SELECT user_id, acq_no, (user_id % 5 = 0) IS DISTINCT FROM
+    lag(user_id % 5 = 0) OVER (PARTITION BY conn_id ORDER BY acq_no) AS mismatch FROM a)
+SELECT user_id, mismatch FROM m WHERE acq_no > 1""")
 def schema_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     cap, index = _archive_index(spark, sf_dir)
     sig = index.where(F.col("kind") == "header").select(
@@ -699,7 +729,7 @@ def calibrate_long_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["COUNTER1.OUT.Mean", "COUNTER1.OUT.Min", "COUNTER1.OUT.Max"]
     stacked = dec.select(
         "conn_id", "acq_no", "sample_idx", c("EVENT.ID.Value").alias("event_id"),
-        c(SAMPLES_FIELD).alias("gate"),
+        gate_of(dec).alias("gate"),
         F.explode(F.array(*[F.struct(F.lit(x).alias("column"), c(x).cast("double").alias("value")) for x in cols])).alias("kv"),
     ).select("*", "kv.column", "kv.value").drop("kv")
     fields = header_field_rows(index).withColumn("column", F.concat_ws(".", "name", "capture"))

@@ -6,6 +6,9 @@ grows with the table):
 * acquisition = one user; connection = ``user_id % 4``; connections 0 and 2
   stream ``Raw`` data, 1 and 3 ``Scaled``; acquisition number = rank of the
   user within its connection (1-based);
+* two record layouts: users with ``user_id % 5 == 0`` capture an explicit
+  ``PCAP.GATE_DURATION`` word at the end of the record; the others rely on the
+  implicit leading ``PCAP.SAMPLES`` gate (header 4 bytes short);
 * sample order = (ts, event_id); frame = 10 consecutive samples;
 * gate = ``1 + event_id % 125`` (sent as the implicit ``PCAP.SAMPLES`` word),
   bit word = ``event_id``, raw value = ``value``, timestamp ticks = 8 ns ticks
@@ -39,8 +42,9 @@ from strobe.sources.dumps import (  # noqa: F401
     write_chunks,
 )
 
-# Fields declared in every stand-in header, in header order. The record also
-# starts with the implicit 4-byte PCAP.SAMPLES gate (sample_bytes = 48).
+# Fields declared in the stand-in headers, in header order. Layout A records
+# start with the implicit 4-byte PCAP.SAMPLES gate; layout B declares an
+# explicit PCAP.GATE_DURATION word last. Both records are 48 bytes.
 DECLARED = [
     FieldSpec("PCAP.BITS0", "uint32", "Value"),
     FieldSpec("EVENT.ID", "int64", "Value"),
@@ -50,8 +54,16 @@ DECLARED = [
     FieldSpec("PCAP.TS_START", "int64", "Value", 8e-09, 0.0, "s"),
 ]
 GATE = FieldSpec("PCAP.SAMPLES", "uint32", "Value")
+GATE_DURATION = FieldSpec("PCAP.GATE_DURATION", "uint32", "Value")
 RECORD = [GATE] + DECLARED
+DECLARED_B = DECLARED + [GATE_DURATION]
+RECORD_B = DECLARED_B
 SAMPLE_BYTES = sum(f.itemsize for f in RECORD)
+assert SAMPLE_BYTES == sum(f.itemsize for f in RECORD_B)
+
+
+def is_layout_b(user_id: Column) -> Column:
+    return user_id % 5 == 0
 FRAME_ROWS = 10
 
 # Stand-in end reasons by the user's last event type (fixed mapping).
@@ -89,7 +101,9 @@ def header_column(acq: DataFrame) -> Column:
         _attr("arm_time", F.col("arm_time")),
         _attr("start_time", F.col("start_time")),
         _attr("hw_time_offset_ns", F.col("offset_attr")),
-        F.lit(" />\n<fields>\n" + _field_lines(DECLARED) + "</fields>\n</header>\n"),
+        F.lit(" />\n<fields>\n"),
+        F.when(is_layout_b(F.col("user_id")), F.lit(_field_lines(DECLARED_B))).otherwise(F.lit(_field_lines(DECLARED))),
+        F.lit("</fields>\n</header>\n"),
     )
 
 
@@ -157,6 +171,7 @@ def build(
         "event_id",
         "sample_idx",
         (1 + F.col("event_id") % 125).alias("PCAP.SAMPLES.Value"),
+        (1 + F.col("event_id") % 125).alias("PCAP.GATE_DURATION.Value"),
         F.col("event_id").bitwiseAND(F.lit(0xFFFFFFFF)).alias("PCAP.BITS0.Value"),
         F.col("event_id").alias("EVENT.ID.Value"),
         F.col("value").alias("COUNTER1.OUT.Mean"),
@@ -167,7 +182,11 @@ def build(
             * 125
         ).alias("PCAP.TS_START.Value"),
     )
-    records = encode_records(samples, RECORD)
+    # one encoder per record layout (a plan per layout, as on the decode side)
+    layout_b = is_layout_b(F.col("user_id"))
+    records = encode_records(samples.where(~layout_b), RECORD).unionByName(
+        encode_records(samples.where(layout_b), RECORD_B)
+    )
     frames = frame_records(records, frame_rows)
     messages = stream_messages(acq, frames)
     return StandinCapture(acq, samples, frames, messages)
