@@ -58,6 +58,9 @@ def session(cpus: int) -> SparkSession:
     )
     spark.sparkContext.setLogLevel("ERROR")
     spark.sparkContext.setCheckpointDir(scratch + "/ckpt")
+    from strobe.session import ship_package
+
+    ship_package(spark)
     return spark
 
 

@@ -71,3 +71,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", base)
     spark.sparkContext.setCheckpointDir(base)
     return spark.sparkContext.getCheckpointDir()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``strobe`` importable by Python workers: zip the package once per
+    application and register it with ``SparkContext.addPyFile``, which copies it
+    to every executor (as ``--py-files`` would)."""
+    import zipfile
+    from pathlib import Path
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="strobe-pkg-")) / "strobe.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for path in pkg.rglob("*.py"):
+            zf.write(path, path.relative_to(pkg.parent).as_posix())
+    sc.addPyFile(str(target))
+    _SHIPPED.add(app)
