@@ -25,7 +25,7 @@ from strobe.plans import capture_standin as cs
 from strobe.plans.registry import register
 from strobe.plans.tables import table
 from strobe.session import shared_dir
-from strobe.sources.capture_format import END_REASONS, GATE_DURATION_FIELD, SAMPLES_FIELD
+from strobe.sources.capture_format import DEVICE_END_REASONS, END_REASONS, GATE_DURATION_FIELD, SAMPLES_FIELD
 from strobe.sources.captures import cut_chunks
 from strobe.sources.dumps import index_chunks
 
@@ -238,7 +238,7 @@ def record_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _REASONS_SQL = "(VALUES " + ", ".join(
-    f"('{r}', '{'device' if i < 6 else 'software'}')" for i, r in enumerate(END_REASONS)
+    f"('{r}', '{'device' if r in DEVICE_END_REASONS else 'software'}')" for r in END_REASONS
 ) + ") d(reason, origin)"
 
 
@@ -251,7 +251,7 @@ LEFT JOIN (SELECT reason, count(*) AS n FROM a WHERE reason IS NOT NULL GROUP BY
 def end_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, index = _archive_index(spark, sf_dir)
     dim = spark.createDataFrame(
-        [(r, "device" if i < 6 else "software") for i, r in enumerate(END_REASONS)], "reason string, origin string"
+        [(r, "device" if r in DEVICE_END_REASONS else "software") for r in END_REASONS], "reason string, origin string"
     )
     counts = index.where(F.col("kind") == "end").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
     return dim.join(counts, "reason", "left").select(

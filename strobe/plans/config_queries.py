@@ -17,7 +17,6 @@ from strobe.operators.packed import (
     base64_to_words,
     enum_index,
     pack_row,
-    row_words,
     unpack_rows,
     words_to_base64,
 )

@@ -334,26 +334,34 @@ _LABELS_BY_SHAPE = {
 
 
 def field_attributes(fields: DataFrame) -> DataFrame:
-    """Attribute replies per field as rows (block, field, attr, pos, value), by shape."""
-    rows = []
-    f = fields
-    rows.append(f.where(F.col("shape") == "uint").select("block", "field", F.lit("MAX").alias("attr"), F.lit(0).alias("pos"),
-                                                         (F.col("p_size") * 1000).cast("string").alias("value")))
-    for attr, val in (("UNITS", F.lit("mm")), ("SCALE", (F.col("p_retailprice") / 1000).cast("string")),
-                      ("OFFSET", F.col("p_size").cast("string"))):
-        rows.append(f.where(F.col("shape") == "scalar").select("block", "field", F.lit(attr).alias("attr"), F.lit(0).alias("pos"), val.alias("value")))
-    enum_labels = F.split(F.col("p_name"), " ")
-    rows.append(f.where(F.col("shape") == "enum").select("block", "field", F.lit("LABEL").alias("attr"),
-                                                         F.posexplode(enum_labels).alias("pos", "value")))
-    rows.append(f.where(F.col("shape") == "pos_mux").select("block", "field", F.lit("LABEL").alias("attr"),
-                                                            F.posexplode(F.array(F.lit("ZERO"), F.upper("p_name"))).alias("pos", "value")))
-    for shape, labels in _LABELS_BY_SHAPE.items():
-        rows.append(f.where(F.col("shape") == shape).select("block", "field", F.lit("LABEL").alias("attr"),
-                                                            F.posexplode(F.array(*[F.lit(x) for x in labels])).alias("pos", "value")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    """Attribute replies per field as rows (block, field, attr, pos, value),
+    by shape, generated in one pass: each field explodes the attribute array
+    its shape calls for."""
+
+    def kv(attr, values):
+        return F.transform(
+            F.array(*values) if isinstance(values, list) else values,
+            lambda v, i: F.struct(F.lit(attr).alias("attr"), i.alias("pos"), v.alias("value")),
+        )
+
+    def labels(xs):
+        return kv("LABEL", [F.lit(x) for x in xs])
+
+    shape = F.col("shape")
+    empty = F.array().cast("array<struct<attr:string,pos:int,value:string>>")
+    attrs = F.when(shape == "uint", kv("MAX", [(F.col("p_size") * 1000).cast("string")]))
+    attrs = attrs.when(shape == "scalar", F.concat(
+        kv("UNITS", [F.lit("mm")]), kv("SCALE", [(F.col("p_retailprice") / 1000).cast("string")]),
+        kv("OFFSET", [F.col("p_size").cast("string")]),
+    ))
+    attrs = attrs.when(shape == "enum", kv("LABEL", F.split(F.col("p_name"), " ")))
+    attrs = attrs.when(shape == "pos_mux", kv("LABEL", [F.lit("ZERO"), F.upper("p_name")]))
+    for name, xs in _LABELS_BY_SHAPE.items():
+        attrs = attrs.when(shape == name, labels(xs))
+    attrs = attrs.otherwise(empty)
+    return fields.select("block", "field", F.explode(attrs).alias("a")).select(
+        "block", "field", "a.attr", "a.pos", "a.value"
+    )
 
 
 @register("typed_fields", f"""

@@ -27,13 +27,7 @@ from pyspark.sql import types as T
 
 from strobe.functions.columns import q
 from strobe.operators.ordering import ordered_scan
-from strobe.sources.capture_format import (
-    SPARK_TYPES,
-    FieldSpec,
-    dtype_from_layout,
-    layout_string,
-    record_dtype,
-)
+from strobe.sources.capture_format import SPARK_TYPES, FieldSpec, record_dtype
 
 # message parts, in stream order within an acquisition
 PART_READY, PART_HEADER, PART_FRAME, PART_END = 0, 1, 2, 3
@@ -276,20 +270,3 @@ def decode_payloads(
         + spark_schema(wanted)
     )
     return frames.mapInArrow(run, schema)
-
-
-def layout_of(fields: list[FieldSpec]) -> str:
-    return layout_string(fields)
-
-
-def fields_of_layout(layout: str) -> list[FieldSpec]:
-    dt = dtype_from_layout(layout)
-    out = []
-    for name in dt.names:
-        base, capture = name.rsplit(".", 1)
-        out.append(FieldSpec(name=base, type=dt[name].name, capture=capture))
-    return out
-
-
-def select_fields(df: DataFrame, names: list[str]) -> DataFrame:
-    return df.select(*[F.col(q(n)) for n in names])

@@ -402,20 +402,6 @@ class PieceReader:
         return b"".join(parts)
 
 
-def load_payloads(frames: DataFrame) -> DataFrame:
-    """Fill ``payload`` of frame index rows by reading their byte pieces."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = PieceReader()
-        for batch in batches:
-            pieces = batch.column(batch.schema.get_field_index("pieces")).to_pylist()
-            out = [reader.read(p) for p in pieces]
-            idx = batch.schema.get_field_index("payload")
-            yield batch.set_column(idx, "payload", pa.array(out, pa.binary()))
-
-    return frames.mapInArrow(run, frames.schema)
-
-
 def materialize_index(index: DataFrame, path: str | None = None) -> DataFrame:
     """Write the frame index (one small row per frame) to the shared folder and
     read it back: the forward walk then runs once, and later stages read a

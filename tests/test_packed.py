@@ -103,3 +103,13 @@ def test_roundtrip_layout_order(spark):
     again = unpack_rows(df, "words", LAYOUT, ["t"], enum_labels=True).orderBy("row").collect()
     for k, col in CASE1.items():
         assert [r[k] for r in again] == col
+
+
+def test_word_count_check_and_wide_bits(spark):
+    from strobe.operators.packed import named_bit_columns, valid_word_count
+
+    df = spark.createDataFrame([(1, WORDS1), (2, WORDS1[:-1])], "t int, words array<bigint>")
+    assert [r[0] for r in df.orderBy("t").select(valid_word_count("words", LAYOUT)).collect()] == [True, False]
+    w = spark.createDataFrame([(0b1010,)], "w long")
+    row = named_bit_columns(w, "w", ["TTLIN1.VAL", "TTLIN2.VAL", "TTLIN3.VAL", "TTLIN4.VAL"]).collect()[0]
+    assert [row["TTLIN1.VAL"], row["TTLIN2.VAL"], row["TTLIN3.VAL"], row["TTLIN4.VAL"]] == [False, True, False, True]

@@ -122,3 +122,13 @@ def test_fold_table_writes(spark):
     got = fold_table_writes(writes, ["t"], ["seq"], "op", "rows").orderBy("t", "row_no").collect()
     assert [(r["t"], r["row_no"], r["row"]) for r in got] == [
         ("t", 0, "b"), ("t", 1, "c"), ("t", 2, "d"), ("t", 3, "e"), ("u", 0, "x")]
+
+
+def test_duplicate_keys_across_groups(spark):
+    from strobe.operators.state import duplicate_keys
+
+    changes = spark.createDataFrame([
+        ("d", "ATTR", 0, "A=1"), ("d", "CONFIG", 0, "A=2"), ("d", "CONFIG", 1, "B=1"), ("d", "METADATA", 0, "C<"),
+    ], "snapshot string, group string, seq long, line string")
+    dup = duplicate_keys(changes, ["snapshot"]).collect()
+    assert [(r["field"], r["n_groups"]) for r in dup] == [("A", 2)]
