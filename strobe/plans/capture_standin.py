@@ -200,9 +200,14 @@ def archive(spark: SparkSession, cap: StandinCapture, chunk_bytes: int = 4096, p
     return root
 
 
-def index_archive(spark: SparkSession, root: str) -> DataFrame:
-    """Frame index of an archive, walked once and kept as a table."""
-    return materialize_index(index_chunks(list_chunks(spark, root)), root + "/_index")
+def index_archive(spark: SparkSession, root: str, parallel: bool = True) -> DataFrame:
+    """Frame index of an archive, built once and kept as a table: in parallel
+    over the chunk files, or by the sequential walk per connection."""
+    from strobe.sources.parallel_index import index_chunks_parallel
+
+    listing = list_chunks(spark, root)
+    index = index_chunks_parallel(listing) if parallel else index_chunks(listing)
+    return materialize_index(index, root + "/_index")
 
 
 @dataclass

@@ -257,13 +257,13 @@ def _walk(conn_id: int, cursor: _Cursor, with_payload: bool) -> Iterator[dict]:
     while True:
         # discard lines until the header opens; end of stream here is a clean end
         while True:
+            start = cursor.pos  # a header's position is the start of its "<header>" line
             line = cursor.readline()
             if line is None:
                 return
             if line == HEADER_OPEN:
                 break
         acq_no += 1
-        start = cursor.pos
         text = line
         while line != HEADER_CLOSE:
             line = cursor.readline()

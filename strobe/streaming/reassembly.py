@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strobe.functions.frames import typed_frame
 from strobe.sources.capture_format import (
     END_MARKER,
     END_REASONS,
@@ -196,15 +197,7 @@ class PushParser:
 
 
 def _frame(rows: list[dict]) -> pd.DataFrame:
-    """Output rows as a pandas frame with explicit dtypes: an all-null object
-    column would otherwise not convert to a plain Arrow array."""
-    pdf = pd.DataFrame(rows, columns=OUTPUT_SCHEMA.names)
-    for f in OUTPUT_SCHEMA.fields:
-        if isinstance(f.dataType, T.StringType):
-            pdf[f.name] = pdf[f.name].astype("string")
-        elif isinstance(f.dataType, T.LongType):
-            pdf[f.name] = pdf[f.name].astype("Int64")
-    return pdf
+    return typed_frame(rows, OUTPUT_SCHEMA)
 
 
 def _pack_early(early: dict[int, bytes]) -> bytes:
