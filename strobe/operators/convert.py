@@ -1,7 +1,8 @@
 """Archive conversion: capture archive -> calibrated per-acquisition datasets.
 
 The batch form of the capture-to-file job: list chunk files, build the frame
-index in parallel over the files (kept as a table), decode and calibrate every layout, write the
+index (sequential walk for small connections, parallel over the files for
+large ones; kept as a table), decode and calibrate every layout, write the
 samples in (acquisition, sample) order -- clustered by acquisition by default,
 or one directory per acquisition -- write the acquisitions table (header
 attributes and end records), then fail if any acquisition ended by data
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from strobe.operators.sinks import guard_overruns, write_acquisitions
 from strobe.operators.timebase import offset_ns
 from strobe.sources.dumps import decode_index, list_chunks, materialize_index
-from strobe.sources.parallel_index import index_chunks_parallel
+from strobe.sources.parallel_index import index_archive_files
 
 HEADER_ATTRS = (
     "data struct<_missed: bigint, _process: string, _format: string, _sample_bytes: bigint, "
@@ -62,7 +63,7 @@ def convert_archive(
     partitions: int | None = None,
     layout: str = "clustered",
 ) -> Converted:
-    index = materialize_index(index_chunks_parallel(list_chunks(spark, root)), out.rstrip("/") + "/_index")
+    index = materialize_index(index_archive_files(list_chunks(spark, root)), out.rstrip("/") + "/_index")
     acq = acquisitions_table(index)
     acq.write.mode("overwrite").parquet(out.rstrip("/") + "/acquisitions")
     samples = decode_index(index, calibrated=True, partitions=partitions).drop("process", "frame_no")

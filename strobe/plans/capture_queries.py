@@ -59,7 +59,7 @@ ITEMSIZE = {"int8": 1, "uint8": 1, "int16": 2, "uint16": 2, "int32": 4, "uint32"
 # ----------------------------------------------------------------------------- helpers
 
 
-def _archive_index(spark: SparkSession, sf_dir: str, chunk_bytes: int = 4096):
+def _archive_index(spark: SparkSession, sf_dir: str, chunk_bytes: int = 65536):
     prep = cs.prepared(spark, sf_dir, chunk_bytes)
     return prep, prep.index
 
@@ -154,7 +154,13 @@ WITH {_U}
 SELECT user_id, CAST(ceil(n / 10.0) AS BIGINT) AS n_frames, n * 48 AS payload_bytes, n AS n_samples
 FROM u""")
 def frame_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cap, index = _archive_index(spark, sf_dir, chunk_bytes=1000)
+    """The frame index built in parallel over the archive's chunk files (the
+    other capture queries use the routed index; both give the same rows)."""
+    from strobe.sources.dumps import list_chunks
+    from strobe.sources.parallel_index import index_chunks_parallel
+
+    cap, _ = _archive_index(spark, sf_dir)
+    index = index_chunks_parallel(list_chunks(spark, cap.root))
     frames = index.where(F.col("kind") == "frame").groupBy("conn_id", "acq_no").agg(
         F.count(F.lit(1)).alias("n_frames"), F.sum("n_bytes").alias("payload_bytes"),
         F.sum("n_rows").alias("n_samples"),

@@ -200,14 +200,11 @@ def archive(spark: SparkSession, cap: StandinCapture, chunk_bytes: int = 4096, p
     return root
 
 
-def index_archive(spark: SparkSession, root: str, parallel: bool = True) -> DataFrame:
-    """Frame index of an archive, built once and kept as a table: in parallel
-    over the chunk files, or by the sequential walk per connection."""
-    from strobe.sources.parallel_index import index_chunks_parallel
+def index_archive(spark: SparkSession, root: str) -> DataFrame:
+    """Frame index of an archive, built once and kept as a table."""
+    from strobe.sources.parallel_index import index_archive_files
 
-    listing = list_chunks(spark, root)
-    index = index_chunks_parallel(listing) if parallel else index_chunks(listing)
-    return materialize_index(index, root + "/_index")
+    return materialize_index(index_archive_files(list_chunks(spark, root)), root + "/_index")
 
 
 @dataclass
@@ -224,7 +221,7 @@ class Prepared:
 _PREPARED: dict[tuple, Prepared] = {}
 
 
-def prepared(spark: SparkSession, sf_dir: str, chunk_bytes: int = 4096) -> Prepared:
+def prepared(spark: SparkSession, sf_dir: str, chunk_bytes: int = 65536) -> Prepared:
     """Build (once per application and table folder) the archive of ``events``
     and return its tables; later queries read them instead of re-encoding."""
     import os

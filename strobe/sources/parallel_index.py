@@ -298,6 +298,10 @@ def index_chunks_parallel(listing: DataFrame, lookahead: int = LOOKAHEAD) -> Dat
     true = tagged.groupBy("conn_id", "chunk_no").applyInPandas(
         _marker(), T.StructType([f for f in CAND_SCHEMA.fields])
     )
+    # one small row per message: keep it as a table for the counter scans below
+    true_path = shared_dir(spark, "index-messages")
+    true.write.parquet(true_path)
+    true = spark.read.parquet(true_path)
     if dangling:
         base = dict.fromkeys(CAND_SCHEMA.names)
         bad = spark.createDataFrame(
@@ -381,3 +385,35 @@ def _index_rows(true: DataFrame, placed: DataFrame) -> DataFrame:
         F.lit(None).cast("binary").alias("payload"),
     )
     return frame_rows.unionByName(other_rows).unionByName(rejects)
+
+
+DEFAULT_PARALLEL_ABOVE = 256
+
+
+def index_archive_files(listing: DataFrame, parallel_above: int | None = None) -> DataFrame:
+    """Frame index of an archive listing, choosing per connection: the
+    sequential walk for connections of at most ``parallel_above`` chunk files
+    (``strobe.index.parallelAboveChunks``, default 256) -- cheap and one task
+    each -- and the parallel index for larger ones, so no connection's walk is
+    longer than that many files. Both give the same rows."""
+    from strobe.sources.dumps import index_chunks
+
+    spark = listing.sparkSession
+    limit = parallel_above or int(spark.conf.get("strobe.index.parallelAboveChunks", str(DEFAULT_PARALLEL_ABOVE)))
+    counts = listing.groupBy("conn_id").agg(F.count(F.lit(1)).alias("n_chunks"))
+    sized = listing.join(counts, "conn_id")
+    small = sized.where(F.col("n_chunks") <= limit).drop("n_chunks")
+    large = sized.where(F.col("n_chunks") > limit).drop("n_chunks")
+    has_large = counts.where(F.col("n_chunks") > limit).limit(1).count() > 0
+    has_small = counts.where(F.col("n_chunks") <= limit).limit(1).count() > 0
+    parts = []
+    if has_small:
+        parts.append(index_chunks(small))
+    if has_large:
+        parts.append(index_chunks_parallel(large))
+    if not parts:
+        return spark.createDataFrame([], INDEX_SCHEMA)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -44,3 +44,16 @@ def test_parallel_index_equals_sequential_walk(spark, tmp_path, size):
     assert par == seq
     kinds = {r[1] for r in seq}
     assert {"frame", "header", "end", "reject"} <= kinds
+
+
+def test_mixed_archive_routes_per_connection(spark, tmp_path):
+    from strobe.sources.parallel_index import index_archive_files
+
+    data = _streams()[0]
+    rows = [(0, i, data[o : o + 100]) for i, o in enumerate(range(0, len(data), 100))]
+    rows += [(1, i, data[o : o + 4000]) for i, o in enumerate(range(0, len(data), 4000))]
+    root = str(tmp_path / "arch")
+    write_chunks(spark.createDataFrame(rows, "conn_id long, chunk_no long, data binary"), root).collect()
+    listing = list_chunks(spark, root)
+    mixed = _rows(index_archive_files(listing, parallel_above=10))  # conn 0 parallel, conn 1 sequential
+    assert mixed == _rows(index_chunks(listing))
