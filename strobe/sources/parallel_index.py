@@ -209,29 +209,6 @@ def _scanner(lookahead: int):
     return run
 
 
-def _resolve(entries: pd.DataFrame, lengths: dict[int, int]) -> tuple[pd.DataFrame, list[tuple[int, int]]]:
-    """Follow chunk-entry transitions from the root: one row per true entry,
-    plus positions where a chain lands on a byte that starts no message."""
-    out, dangling = [], []
-    for conn, g in entries.groupby("conn_id"):
-        jump = {}
-        for p, k, e, s, x in zip(g["pos"], g["kind"], g["exit_pos"], g["exit_status"], g["exit_expect"]):
-            jump.setdefault(int(p), {})[k] = (e, s, x)
-        p = int(g.loc[g["kind"] == "R", "pos"].iloc[0]) if (g["kind"] == "R").any() else None
-        kinds = ("R",)
-        while p is not None:
-            found = next((jump[p][k] for k in kinds if p in jump and k in jump[p]), None)
-            if found is None:
-                break
-            out.append((int(conn), p))
-            e, s, x = found
-            p = None if s != "open" or pd.isna(e) else int(e)
-            kinds = ("H",) if x == "H" else ("B", "E")
-        if p is not None and kinds != ("H",) and p + 4 <= lengths.get(int(conn), 0):
-            dangling.append((int(conn), p))
-    return pd.DataFrame(out, columns=["conn_id", "entry"]), dangling
-
-
 def _marker(chunk_bytes_hint=None):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         entries = pdf.loc[pdf["entry"].notna(), "entry"]
@@ -285,14 +262,8 @@ def index_chunks_parallel(listing: DataFrame, lookahead: int = LOOKAHEAD) -> Dat
         "conn_id", F.col("exit_pos").alias("pos")
     ).distinct()
     entries = cands.join(targets, ["conn_id", "pos"], "left_semi").unionByName(cands.where(F.col("kind") == "R"))
-    # about one row per chunk: the skeleton of the stream, resolved in order
-    skeleton = entries.select("conn_id", "pos", "kind", "exit_pos", "exit_status", "exit_expect").toPandas()
-    lengths = {int(r["conn_id"]): int(r["n"]) for r in placed.groupBy("conn_id").agg(F.sum("size").alias("n")).collect()}
-    resolved, dangling = _resolve(skeleton, lengths)
-    if not len(resolved):
-        return spark.createDataFrame([], INDEX_SCHEMA)
-    true_entries = spark.createDataFrame(resolved, "conn_id long, entry long")
-
+    # about one row per chunk: the skeleton of the stream, resolved in Spark
+    true_entries, dangling = _resolve_distributed(entries, placed)
     # mark the true messages of each chunk by following successors from its entry
     tagged = cands.join(true_entries, (cands["conn_id"] == true_entries["conn_id"]) & (cands["pos"] == true_entries["entry"]), "left").drop(true_entries["conn_id"])
     true = tagged.groupBy("conn_id", "chunk_no").applyInPandas(
@@ -302,15 +273,77 @@ def index_chunks_parallel(listing: DataFrame, lookahead: int = LOOKAHEAD) -> Dat
     true_path = shared_dir(spark, "index-messages")
     true.write.parquet(true_path)
     true = spark.read.parquet(true_path)
-    if dangling:
-        base = dict.fromkeys(CAND_SCHEMA.names)
-        bad = spark.createDataFrame(
-            [tuple({**base, "conn_id": c, "pos": p, "kind": "X", "status": "reject", "exit_status": "reject",
-                    "message": "bad marker"}.values()) for c, p in dangling],
-            CAND_SCHEMA,
+    bad = dangling.select(
+        *[
+            (F.col(f.name) if f.name in ("conn_id", "pos") else
+             F.lit({"kind": "X", "status": "reject", "exit_status": "reject", "message": "bad marker"}.get(f.name)))
+            .cast(f.dataType).alias(f.name)
+            for f in CAND_SCHEMA.fields
+        ]
+    )
+    return _index_rows(true.unionByName(bad), placed)
+
+
+def _resolve_distributed(entries: DataFrame, placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries on the path from each connection's root, by pointer doubling.
+
+    Nodes are the chunk-entry candidates; a node's edge leads to where its
+    chain leaves the chunk, if a message of the expected kind starts there.
+    With J_k(x) = x's successor 2^k steps on, the path set grows as
+    S <- S u J_k(S); after about log2(path length) rounds S holds every entry
+    on the path. Each round's small tables are written to the shared folder,
+    which keeps the lineage short. Returns (true entries, dangling rejects).
+    """
+    from strobe.session import shared_dir
+
+    spark = entries.sparkSession
+    nodes = entries.select("conn_id", "pos", "kind", "exit_pos", "exit_status", "exit_expect")
+    kinds = nodes.select("conn_id", F.col("pos").alias("dst"), F.col("kind").alias("dst_kind"))
+    opened = nodes.where(F.col("exit_status") == "open").select(
+        "conn_id", F.col("pos").alias("src"), F.col("exit_pos").alias("dst"), "exit_expect"
+    )
+    fits = (F.col("exit_expect") == "H") & (F.col("dst_kind") == "H") | (
+        (F.col("exit_expect") == "M") & F.col("dst_kind").isin("B", "E")
+    )
+    linked = opened.join(kinds, ["conn_id", "dst"], "left")
+    edges = linked.where(fits).select("conn_id", "src", "dst")
+    loose = linked.where(~F.coalesce(fits, F.lit(False))).select("conn_id", "src", "dst", "exit_expect")
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        path = shared_dir(spark, name)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    jump = keep(edges, "index-jump")
+    path_set = keep(nodes.where(F.col("kind") == "R").select("conn_id", F.col("pos").alias("node")), "index-path")
+    size = path_set.count()
+    while True:
+        reached = path_set.join(jump, (path_set["conn_id"] == jump["conn_id"]) & (path_set["node"] == jump["src"])).select(
+            path_set["conn_id"], jump["dst"].alias("node")
+        )
+        grown = keep(path_set.unionByName(reached).distinct(), "index-path")
+        new_size = grown.count()
+        if new_size == size:
+            break
+        a, b = jump.alias("a"), jump.alias("b")
+        jump = keep(
+            a.join(b, (F.col("a.conn_id") == F.col("b.conn_id")) & (F.col("a.dst") == F.col("b.src"))).select(
+                F.col("a.conn_id").alias("conn_id"), F.col("a.src").alias("src"), F.col("b.dst").alias("dst")
+            ),
+            "index-jump",
         )
-        true = true.unionByName(bad)
-    return _index_rows(true, placed)
+        path_set, size = grown, new_size
+    true_entries = path_set.select("conn_id", F.col("node").alias("entry"))
+    # the path's last node may point at bytes that start no message: the walk
+    # reports a bad marker there (if four bytes remain in the stream)
+    lengths = placed.groupBy("conn_id").agg(F.sum("size").alias("stream_len"))
+    dangling = (
+        loose.join(path_set, (loose["conn_id"] == path_set["conn_id"]) & (loose["src"] == path_set["node"]), "left_semi")
+        .join(lengths, "conn_id")
+        .where((F.col("exit_expect") == "M") & (F.col("dst") + 4 <= F.col("stream_len")))
+        .select("conn_id", F.col("dst").alias("pos"))
+    )
+    return true_entries, dangling
 
 
 def _index_rows(true: DataFrame, placed: DataFrame) -> DataFrame:
