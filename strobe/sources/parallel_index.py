@@ -9,9 +9,9 @@ followed (after one newline) by the next marker. So:
    message (``BIN ``/``END `` bytes, ``<header>`` lines) gets its successor,
    and, following successors inside the chunk, the position where that chain
    leaves the chunk (or ends, or breaks);
-2. only the chains entering each chunk matter; starting from the stream's
-   first header, the entry of every chunk is resolved from a table of about
-   one transition per chunk;
+2. only the chains entering each chunk matter; from the stream's root, the
+   entry of every chunk is resolved over a table of about one transition per
+   chunk by pointer doubling (log2 rounds of small joins, no driver collect);
 3. each chunk then follows its successors from its true entry (a group
    bounded by the chunk), giving exactly the messages the sequential walk
    would find; acquisition numbers, frame numbers and sample bases come from
@@ -209,7 +209,7 @@ def _scanner(lookahead: int):
     return run
 
 
-def _marker(chunk_bytes_hint=None):
+def _marker():
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         entries = pdf.loc[pdf["entry"].notna(), "entry"]
         if entries.empty:
