@@ -107,6 +107,31 @@ def archive_throughput(spark: SparkSession, sf_dir: str, target: int) -> dict:
     }
 
 
+def skew_check(spark: SparkSession, sf_dir: str, copies: int = 20) -> dict:
+    """Positions within a key when one key holds a third of all rows: the
+    split ordered scan against a plain key-wide window (both exact)."""
+    from pyspark.sql import Window
+
+    from strobe.operators.ordering import ordered_scan
+    from strobe.plans.tables import table
+
+    ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id")
+    rep = ev.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).select(
+        (F.col("event_id") * copies + F.col("copy")).alias("event_id"),
+        (F.col("ts") + F.make_dt_interval(days=F.col("copy") * 40)).alias("ts"),
+        F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")).alias("user_id"),
+    )
+    rows = rep.count()
+    t = time.time()
+    run(ordered_scan(rep, ["user_id"], ["ts", "event_id"], out="pos", bucket_rows=max(1000, rows // 64)))
+    split = time.time() - t
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    t = time.time()
+    run(rep.withColumn("pos", F.row_number().over(w) - 1))
+    window = time.time() - t
+    return {"rows": rows, "hot_key_share": 1 / 3, "split_scan_sec": round(split, 3), "key_window_sec": round(window, 3)}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -122,6 +147,8 @@ def main() -> None:
         t = time.time()
         run(QUERIES[name](spark, sf_dir))
         times[name] = round(time.time() - t, 3)
+    skew = skew_check(spark, sf_dir)
+    times["skewed_positions"] = skew["split_scan_sec"]
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "total_sec",
@@ -131,6 +158,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
         "archive": arch,
+        "skew": skew,
         "samples_per_s_per_core": round(arch["samples_per_s"] / cpus, 1),
     }))
 

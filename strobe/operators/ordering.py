@@ -59,12 +59,15 @@ def split_hot_keys(
     # One number: how finely the hottest key must be cut (a plan parameter).
     top = hot.agg(F.max("__n").alias("m")).collect()[0]["m"]
     if top is None:
-        return df.drop("__split").withColumn(_SUB, F.lit(0)), False
+        return df.drop("__split").withColumn(_SUB, F.lit(0)).withColumn("__hot", F.lit(False)), False
     resolution = max(2, math.ceil(top / limit))
     fractions = [i / resolution for i in range(1, resolution)]
     hot_rows = df.join(F.broadcast(hot), list(keys), "left_semi")
+    # cut points only balance work (results are exact for any cuts), so a
+    # coarse sketch -- relative error about 1 / (4 * resolution) -- is enough
+    accuracy = max(200, 4 * resolution)
     cuts = hot_rows.groupBy(*kcols).agg(
-        F.percentile_approx(F.col("__split"), fractions).alias("__cuts")
+        F.percentile_approx(F.col("__split"), fractions, accuracy).alias("__cuts")
     )
     cuts = cuts.join(hot, list(keys)).withColumn(
         "__parts", F.ceil(F.col("__n") / F.lit(limit)).cast("long")
@@ -92,7 +95,7 @@ def split_hot_keys(
         F.floor(F.col("__rank") * F.col("__parts") / F.lit(resolution)).cast("int")
     )
     keep = [F.col(q(x)) for x in df.columns if x != "__split"]
-    return tagged.select(*keep, sub.alias(_SUB)), True
+    return tagged.select(*keep, sub.alias(_SUB), F.col("__cuts").isNotNull().alias("__hot")), True
 
 
 def ordered_scan(
@@ -137,18 +140,15 @@ def ordered_scan(
         scanned = scanned.withColumn(f"prev_{col}", F.lag(F.col(q(col))).over(part))
 
     if not any_hot:
-        return scanned.withColumnRenamed("__local", out).drop(_SUB)
+        return scanned.withColumnRenamed("__local", out).drop(_SUB, "__hot")
 
-    # Offsets and predecessors per sub-bucket of hot keys only:
-    # at most 2 * total / bucket_rows rows, so the broadcast is bounded.
+    # Offsets and predecessors per sub-bucket of hot keys only: at most
+    # 2 * total / bucket_rows rows, so the broadcast is bounded. They are
+    # aggregated from the windowed rows, which are already partitioned by
+    # (key, sub-bucket): no second pass over the input.
     carried = lag or order[:1]
     per_sub = (
-        tagged.where(F.col(_SUB) > 0)
-        .select(*kcols)
-        .distinct()
-    )
-    per_sub = (
-        tagged.join(F.broadcast(per_sub), keys, "left_semi")
+        scanned.where(F.col("__hot"))
         .groupBy(*kcols, _SUB)
         .agg(
             F.sum(w_expr).alias("__tot"),
@@ -171,7 +171,7 @@ def ordered_scan(
     cond = [F.col(q(k)).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
     cond.append(F.col(_SUB) == F.col("__ksub"))
     joined = scanned.join(F.broadcast(per_sub), cond, "left")
-    base_cols = [F.col(q(x)) for x in scanned.columns if x not in (_SUB,)]
+    base_cols = [F.col(q(x)) for x in scanned.columns if x not in (_SUB, "__hot")]
     result = joined.select(*base_cols, "__off", "__prev_last")
     result = result.withColumn(
         out, F.col("__local") + F.coalesce(F.col("__off"), F.lit(0).cast("long"))
