@@ -434,16 +434,18 @@ def index_archive_files(listing: DataFrame, parallel_above: int | None = None) -
     spark = listing.sparkSession
     limit = parallel_above or int(spark.conf.get("strobe.index.parallelAboveChunks", str(DEFAULT_PARALLEL_ABOVE)))
     counts = listing.groupBy("conn_id").agg(F.count(F.lit(1)).alias("n_chunks"))
-    sized = listing.join(counts, "conn_id")
-    small = sized.where(F.col("n_chunks") <= limit).drop("n_chunks")
-    large = sized.where(F.col("n_chunks") > limit).drop("n_chunks")
-    has_large = counts.where(F.col("n_chunks") > limit).limit(1).count() > 0
-    has_small = counts.where(F.col("n_chunks") <= limit).limit(1).count() > 0
+    lo, hi = counts.agg(F.min("n_chunks"), F.max("n_chunks")).collect()[0]
+    if hi is None:
+        return spark.createDataFrame([], INDEX_SCHEMA)
     parts = []
-    if has_small:
-        parts.append(index_chunks(small))
-    if has_large:
-        parts.append(index_chunks_parallel(large))
+    if hi <= limit:
+        parts.append(index_chunks(listing))
+    elif lo > limit:
+        parts.append(index_chunks_parallel(listing))
+    else:
+        sized = listing.join(counts, "conn_id")
+        parts.append(index_chunks(sized.where(F.col("n_chunks") <= limit).drop("n_chunks")))
+        parts.append(index_chunks_parallel(sized.where(F.col("n_chunks") > limit).drop("n_chunks")))
     if not parts:
         return spark.createDataFrame([], INDEX_SCHEMA)
     out = parts[0]
