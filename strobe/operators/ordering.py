@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from strobe.functions.columns import q
 
 DEFAULT_BUCKET_ROWS = 2_000_000
+MAX_CUTS = 4096
 _SUB = "__sub"
 
 
@@ -60,7 +61,9 @@ def split_hot_keys(
     top = hot.agg(F.max("__n").alias("m")).collect()[0]["m"]
     if top is None:
         return df.drop("__split").withColumn(_SUB, F.lit(0)).withColumn("__hot", F.lit(False)), False
-    resolution = max(2, math.ceil(top / limit))
+    # at most MAX_CUTS cut points per hot key keep the plan small; beyond that
+    # a sub-bucket holds top / MAX_CUTS rows (raise strobe.scan.bucketRows)
+    resolution = max(2, min(MAX_CUTS, math.ceil(top / limit)))
     fractions = [i / resolution for i in range(1, resolution)]
     hot_rows = df.join(F.broadcast(hot), list(keys), "left_semi")
     # cut points only balance work (results are exact for any cuts), so a
@@ -70,7 +73,7 @@ def split_hot_keys(
         F.percentile_approx(F.col("__split"), fractions, accuracy).alias("__cuts")
     )
     cuts = cuts.join(hot, list(keys)).withColumn(
-        "__parts", F.ceil(F.col("__n") / F.lit(limit)).cast("long")
+        "__parts", F.least(F.ceil(F.col("__n") / F.lit(limit)), F.lit(resolution)).cast("long")
     ).drop("__n")
     cuts = F.broadcast(
         cuts.select(
