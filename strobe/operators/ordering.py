@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strobe.functions.columns import q
+from strobe.session import shared_dir
 
 DEFAULT_BUCKET_ROWS = 2_000_000
 MAX_CUTS = 4096
@@ -75,11 +76,12 @@ def split_hot_keys(
     cuts = cuts.join(hot, list(keys)).withColumn(
         "__parts", F.least(F.ceil(F.col("__n") / F.lit(limit)), F.lit(resolution)).cast("long")
     ).drop("__n")
-    cuts = F.broadcast(
-        cuts.select(
-            *[F.col(q(k)).alias(f"__k{i}") for i, k in enumerate(keys)], "__cuts", "__parts"
-        )
-    )
+    cuts = cuts.select(*[F.col(q(k)).alias(f"__k{i}") for i, k in enumerate(keys)], "__cuts", "__parts")
+    # one row per hot key (a bounded table): written once, so that every later
+    # branch reads it instead of recounting keys and re-sketching the input
+    path = shared_dir(df.sparkSession, "hot-key-cuts")
+    cuts.write.parquet(path)
+    cuts = F.broadcast(df.sparkSession.read.parquet(path))
     cond = [F.col(q(k)).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
     tagged = df.join(cuts, cond, "left")
     # rank = number of cuts <= value, by binary search over the sorted cuts:
