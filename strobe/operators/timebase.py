@@ -13,11 +13,16 @@ from pyspark.sql import functions as F
 _ISO = r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2})(?:\.(\d{1,9}))?Z?$"
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def iso_to_epoch_ns(col: Column) -> Column:
     """``2024-03-05T20:27:12.605729480Z`` -> epoch nanoseconds (BIGINT)."""
     whole = F.regexp_extract(col, _ISO, 1)
     frac = F.regexp_extract(col, _ISO, 2)
-    seconds = F.unix_timestamp(F.to_timestamp(whole, "yyyy-MM-dd'T'HH:mm:ss"))
+    # wall-clock arithmetic on TIMESTAMP_NTZ: independent of the session time zone
+    seconds = F.timestamp_diff("SECOND", _epoch(), F.to_timestamp_ntz(whole, F.lit("yyyy-MM-dd'T'HH:mm:ss")))
     nanos = F.when(frac == "", F.lit(0)).otherwise(F.rpad(frac, 9, "0").cast("long"))
     return F.when(col.isNull() | (whole == ""), F.lit(None).cast("long")).otherwise(
         seconds.cast("long") * F.lit(1_000_000_000) + nanos
@@ -28,7 +33,7 @@ def epoch_ns_to_iso(col: Column) -> Column:
     """Epoch nanoseconds -> ISO-8601 with nine fraction digits and ``Z``."""
     secs = F.floor(col / F.lit(1_000_000_000))
     nanos = col - secs * F.lit(1_000_000_000)
-    base = F.date_format(F.timestamp_seconds(secs), "yyyy-MM-dd'T'HH:mm:ss")
+    base = F.date_format(F.timestamp_add("SECOND", secs, _epoch()), "yyyy-MM-dd'T'HH:mm:ss")
     return F.concat(base, F.lit("."), F.lpad(nanos.cast("string"), 9, "0"), F.lit("Z"))
 
 

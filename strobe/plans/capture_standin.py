@@ -178,8 +178,7 @@ def build(
         F.col("value").alias("COUNTER1.OUT.Min"),
         F.col("value").alias("COUNTER1.OUT.Max"),
         (
-            (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("t0").cast("timestamp")))
-            * 125
+            F.timestamp_diff("MICROSECOND", F.col("t0"), F.col("ts")) * 125
         ).alias("PCAP.TS_START.Value"),
     )
     # one encoder per record layout (a plan per layout, as on the decode side)
