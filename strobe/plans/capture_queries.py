@@ -276,15 +276,20 @@ def sample_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS sample_idx,
        CAST(3 AS BIGINT) AS n_cuts FROM events""")
 def chunk_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same streams cut three ways and walked as independent streams in one
+    job (the cut variant is folded into the connection key); every sample must
+    decode identically from all three."""
     prep = cs.prepared(spark, sf_dir)
-    out = None
-    for size in (61, 997, 8192):
-        index = index_chunks(cut_chunks(prep.messages, size))
-        dec = cs.decode_index(index, from_files=False).select(
-            c("EVENT.ID.Value").alias("event_id"), "sample_idx", c("COUNTER1.OUT.Mean").alias("v"),
-            F.lit(size).alias("cut"),
-        )
-        out = dec if out is None else out.unionByName(dec)
+    sizes = (61, 997, 8192)
+    cuts = None
+    for k, size in enumerate(sizes):
+        part = cut_chunks(prep.messages, size).withColumn("conn_id", F.col("conn_id") * len(sizes) + k)
+        cuts = part if cuts is None else cuts.unionByName(part)
+    dec = cs.decode_index(index_chunks(cuts), from_files=False, select=["EVENT.ID.Value", "COUNTER1.OUT.Mean"])
+    out = dec.select(
+        c("EVENT.ID.Value").alias("event_id"), "sample_idx", c("COUNTER1.OUT.Mean").alias("v"),
+        (F.col("conn_id") % len(sizes)).alias("cut"),
+    )
     return out.groupBy("event_id", "sample_idx").agg(F.countDistinct("cut").alias("n_cuts"))
 
 
