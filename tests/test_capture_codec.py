@@ -176,3 +176,24 @@ def test_capture_dump_data_source(spark, tmp_path):
     pruned = spark.read.format("capture_dump").option("index", idx_path).option("fields", "COUNTER3.OUT.Value").load()
     assert pruned.columns == ["conn_id", "acq_no", "frame_no", "sample_idx", "COUNTER3.OUT.Value"]
     assert pruned.agg(F.sum(c("COUNTER3.OUT.Value"))).collect()[0][0] == 3 * (58 * 59 / 2 + 20 * 21 / 2)
+
+
+def test_convert_archive_end_to_end(spark, tmp_path):
+    from strobe.operators.convert import convert_archive
+    from strobe.operators.sinks import DataOverrunError
+    from strobe.sources.dumps import write_chunks
+
+    data = stream(acquisition(SCALED_FIELDS, fast_values(), [10, 11, 10, 10, 10, 7], end=("Ok", 58)),
+                  acquisition(SCALED_FIELDS, fast_values(20), [20], end=("Data overrun", 20)))
+    root = str(tmp_path / "captures")
+    write_chunks(chunks_df(spark, data, 700), root).collect()
+    out = str(tmp_path / "converted")
+    with pytest.raises(DataOverrunError):
+        convert_archive(spark, root, out)
+    # the rows were stored before the job failed
+    assert spark.read.parquet(out + "/samples").count() == 78
+    done = convert_archive(spark, root, str(tmp_path / "again"), check_overrun=False, layout="per_acquisition")
+    assert done.samples == 78
+    acq = sorted(tuple(r) for r in done.acquisitions.select("acq_no", "rows", "end_reason").collect())
+    assert acq == [(1, 58, "Ok"), (2, 20, "Data overrun")]
+    assert spark.read.parquet(done.samples_path).where("acq_no = 2").count() == 20
