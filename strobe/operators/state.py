@@ -197,3 +197,31 @@ def entries_to_lines(entries: DataFrame, keys: list[str]) -> DataFrame:
     return placed.select(*keys, "__base", F.posexplode("lines").alias("__i", "line")).select(
         *keys, (F.col("__base") + F.col("__i")).alias("line_no"), "line"
     )
+
+
+class StateError(ValueError):
+    """A saved state cannot be built from the change groups given."""
+
+
+def build_state(changes: DataFrame, multiline: DataFrame, keys: list[str]) -> DataFrame:
+    """Ordered state lines (keys, line_no, line); a field reported with a
+    value in two groups is an error, as is a change set with a malformed line."""
+    dup = duplicate_keys(changes, keys).limit(1).collect()
+    if dup:
+        raise StateError(f"field {dup[0]['field']!r} has values in {dup[0]['n_groups']} groups")
+    bad = invalid_change_sets(changes, [*keys, "group"]).limit(1).collect()
+    if bad:
+        raise StateError(f"change set {tuple(bad[0])} has a line that is not key=value, key< or key (error)")
+    return entries_to_lines(state_entries(changes, multiline, keys), keys)
+
+
+def invalid_change_sets(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """Change sets (one ``*CHANGES`` reply per key tuple) holding a line that
+    parses as none of the three forms; such a set fails as a whole."""
+    cls = classify_change(F.col("line"))
+    return (
+        lines.select(*keys, cls["kind"].alias("kind"))
+        .where(F.col("kind") == "invalid")
+        .select(*keys)
+        .distinct()
+    )

@@ -132,3 +132,18 @@ def test_duplicate_keys_across_groups(spark):
     ], "snapshot string, group string, seq long, line string")
     dup = duplicate_keys(changes, ["snapshot"]).collect()
     assert [(r["field"], r["n_groups"]) for r in dup] == [("A", 2)]
+
+
+def test_build_state_rejects_duplicates_and_bad_lines(spark):
+    from strobe.operators.state import StateError, build_state
+
+    schema = "snapshot string, group string, seq long, line string"
+    multi = spark.createDataFrame([], "snapshot string, field string, values array<string>")
+    ok = spark.createDataFrame([("d", "ATTR", 0, "A=1"), ("d", "CONFIG", 0, "B=2")], schema)
+    assert [r["line"] for r in build_state(ok, multi, ["snapshot"]).orderBy("line_no").collect()] == ["A=1", "B=2"]
+    dup = spark.createDataFrame([("d", "ATTR", 0, "A=1"), ("d", "CONFIG", 0, "A=2")], schema)
+    with pytest.raises(StateError):
+        build_state(dup, multi, ["snapshot"])
+    bad = spark.createDataFrame([("d", "ATTR", 0, "A=1"), ("d", "CONFIG", 0, "garbage")], schema)
+    with pytest.raises(StateError):
+        build_state(bad, multi, ["snapshot"])
