@@ -101,6 +101,8 @@ def pack_row(columns: list[TableColumn], values: dict[str, Column]) -> Column:
     into its word at its shift; negative values wrap to two's complement and
     columns not given stay 0. (Masking deviates from the unmasked original,
     where an over-wide value spills into its neighbours.)"""
+    if not any(c.name in values for c in columns):
+        raise ValueError("a packed table needs at least one column")
     words = []
     for w in range(row_words(columns)):
         acc = F.lit(0).cast("long")

@@ -113,3 +113,8 @@ def test_word_count_check_and_wide_bits(spark):
     w = spark.createDataFrame([(0b1010,)], "w long")
     row = named_bit_columns(w, "w", ["TTLIN1.VAL", "TTLIN2.VAL", "TTLIN3.VAL", "TTLIN4.VAL"]).collect()[0]
     assert [row["TTLIN1.VAL"], row["TTLIN2.VAL"], row["TTLIN3.VAL"], row["TTLIN4.VAL"]] == [False, True, False, True]
+
+
+def test_pack_without_columns_is_an_error():
+    with pytest.raises(ValueError):
+        pack_row(LAYOUT, {})
