@@ -133,11 +133,15 @@ def over_wide(columns: list[TableColumn], values: dict[str, Column]) -> Column:
     return out
 
 
+def _le_hex(word: Column) -> Column:
+    """Hex text of a uint32's four little-endian bytes."""
+    h = F.lpad(F.hex(word.cast("long")), 8, "0")
+    return F.concat(F.substring(h, 7, 2), F.substring(h, 5, 2), F.substring(h, 3, 2), F.substring(h, 1, 2))
+
+
 def words_to_base64(words: Column) -> Column:
     """ARRAY<BIGINT> uint32 words -> base64 of their little-endian bytes."""
-    from strobe.sources.captures import le_uint32
-
-    encoded = F.base64(F.unhex(F.array_join(F.transform(words, lambda w: F.hex(le_uint32(w))), "")))
+    encoded = F.base64(F.unhex(F.array_join(F.transform(words, _le_hex), "")))
     # one line per table value: drop MIME line breaks if the session chunks base64
     return F.regexp_replace(encoded, "[\r\n]", "")
 
