@@ -63,7 +63,15 @@ def start_capture_stream(
     max_acquisitions: int = 0,
     idle_timeout_ms: int = 0,
 ):
-    """Start the stream; returns the StreamingQuery."""
+    """Start the stream; returns the StreamingQuery.
+
+    Per-connection state lives in the RocksDB state store (off the JVM heap,
+    so many connections do not pressure executor memory) unless the session
+    already names a state store provider.
+    """
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if not spark.conf.get(key, None):
+        spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     reader = spark.readStream.schema(CHUNK_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
