@@ -197,3 +197,16 @@ def test_convert_archive_end_to_end(spark, tmp_path):
     acq = sorted(tuple(r) for r in done.acquisitions.select("acq_no", "rows", "end_reason").collect())
     assert acq == [(1, 58, "Ok"), (2, 20, "Data overrun")]
     assert spark.read.parquet(done.samples_path).where("acq_no = 2").count() == 20
+
+
+def test_decode_partitions_follow_payload_bytes(spark):
+    from strobe.sources.dumps import decode_partitions
+
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("strobe.decode.bytesPerPartition", str(1 << 20))
+    try:
+        assert decode_partitions(spark, 0) == floor
+        assert decode_partitions(spark, (floor + 5) << 20) == floor + 5
+        assert decode_partitions(spark, ((floor + 5) << 20) + 1) == floor + 6
+    finally:
+        spark.conf.unset("strobe.decode.bytesPerPartition")
