@@ -9,6 +9,9 @@ Options:
     archives with several layouts are read once per layout.
   * ``fields`` -- comma-separated capture columns to decode (column pruning
     into the binary records); default all.
+  * ``pushdown`` -- ``true`` to push comparisons on conn_id / acq_no /
+    frame_no into the index read (needs
+    ``spark.sql.python.filterPushdown.enabled``).
 
 Rows: conn_id, acq_no, frame_no, sample_idx, then the selected raw columns.
 Calibration is a Column projection on the result (``operators.calibrate``).
@@ -81,7 +84,11 @@ class CaptureDumpDataSource(DataSource):
         return T.StructType(base + spark_schema(fields))
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return CaptureDumpReader(self.options["index"], self._layout(), self.options.get("fields"))
+        cls = CaptureDumpFilteringReader if self.options.get("pushdown", "false").lower() == "true" else CaptureDumpReader
+        return cls(self.options["index"], self._layout(), self.options.get("fields"))
+
+
+_PUSHABLE = ("conn_id", "acq_no", "frame_no")
 
 
 class CaptureDumpReader(DataSourceReader):
@@ -89,42 +96,77 @@ class CaptureDumpReader(DataSourceReader):
         self.index = index
         self.layout = layout
         self.fields = fields
+        self.pushed: list[tuple] = []  # pyarrow filter triples on index columns
 
     def partitions(self) -> list[InputPartition]:
         return [IndexFile(p) for p in _index_files(self.index)]
 
     def read(self, partition: IndexFile) -> Iterator[pa.RecordBatch]:
-        import pyarrow.parquet as pq
-
-        from strobe.sources.captures import _column_array
-        from strobe.sources.dumps import PieceReader
-
-        all_fields = fields_from_json(self.layout)
-        wanted = _selected(all_fields, self.fields)
-        dtype = record_dtype(all_fields)
-        reader = PieceReader()
-        table = pq.read_table(
-            partition.path,
-            columns=["conn_id", "acq_no", "frame_no", "first_sample", "layout", "pieces", "payload", "kind"],
-            filters=[("kind", "=", "frame")],
+        return _read_frames(self, partition)
+
+
+class CaptureDumpFilteringReader(CaptureDumpReader):
+    """The reader with filter pushdown; PySpark only accepts it when
+    ``spark.sql.python.filterPushdown.enabled`` is on, so it is chosen by the
+    ``pushdown`` option."""
+
+    def pushFilters(self, filters):
+        """Comparisons on conn_id / acq_no / frame_no select frames from the
+        index before any payload is read (when
+        ``spark.sql.python.filterPushdown.enabled`` is on); Spark still
+        re-applies every filter, so pushing is only an optimisation."""
+        from pyspark.sql.datasource import (
+            EqualTo,
+            GreaterThan,
+            GreaterThanOrEqual,
+            In,
+            LessThan,
+            LessThanOrEqual,
         )
-        table = table.filter(pa.compute.equal(table.column("layout"), self.layout))
-        for batch in table.to_batches(max_chunksize=256):
-            pieces = batch.column(batch.schema.get_field_index("pieces")).to_pylist()
-            payload = batch.column(batch.schema.get_field_index("payload")).to_pylist()
-            blobs = [p if p is not None else reader.read(pc) for p, pc in zip(payload, pieces)]
-            counts = np.fromiter((len(b) // dtype.itemsize for b in blobs), dtype=np.int64, count=len(blobs))
-            records = np.frombuffer(b"".join(blobs), dtype=dtype)
-            row_of = np.repeat(np.arange(len(blobs)), counts)
-            starts = np.cumsum(counts) - counts
-            first = batch.column(batch.schema.get_field_index("first_sample")).to_numpy(zero_copy_only=False)
-            take = pa.array(row_of)
-            cols = [batch.column(batch.schema.get_field_index(k)).take(take) for k in ("conn_id", "acq_no", "frame_no")]
-            cols.append(pa.array((first[row_of] + (np.arange(len(records)) - starts[row_of])).astype(np.int64)))
-            for f in wanted:
-                cols.append(_column_array(records[f.column], np.dtype(f.type).name))
-            names = ["conn_id", "acq_no", "frame_no", "sample_idx"] + [f.column for f in wanted]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+        ops = {EqualTo: "=", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
+        for f in filters:
+            name = f.attribute[0] if len(f.attribute) == 1 else None
+            if name in _PUSHABLE and type(f) in ops:
+                self.pushed.append((name, ops[type(f)], f.value))
+            elif name in _PUSHABLE and isinstance(f, In):
+                self.pushed.append((name, "in", list(f.value)))
+            else:
+                yield f
+
+
+def _read_frames(src: CaptureDumpReader, partition: IndexFile) -> Iterator[pa.RecordBatch]:
+    import pyarrow.parquet as pq
+
+    from strobe.sources.captures import _column_array
+    from strobe.sources.dumps import PieceReader
+
+    all_fields = fields_from_json(src.layout)
+    wanted = _selected(all_fields, src.fields)
+    dtype = record_dtype(all_fields)
+    reader = PieceReader()
+    table = pq.read_table(
+        partition.path,
+        columns=["conn_id", "acq_no", "frame_no", "first_sample", "layout", "pieces", "payload", "kind"],
+        filters=[("kind", "=", "frame")] + list(src.pushed),
+    )
+    table = table.filter(pa.compute.equal(table.column("layout"), src.layout))
+    for batch in table.to_batches(max_chunksize=256):
+        pieces = batch.column(batch.schema.get_field_index("pieces")).to_pylist()
+        payload = batch.column(batch.schema.get_field_index("payload")).to_pylist()
+        blobs = [p if p is not None else reader.read(pc) for p, pc in zip(payload, pieces)]
+        counts = np.fromiter((len(b) // dtype.itemsize for b in blobs), dtype=np.int64, count=len(blobs))
+        records = np.frombuffer(b"".join(blobs), dtype=dtype)
+        row_of = np.repeat(np.arange(len(blobs)), counts)
+        starts = np.cumsum(counts) - counts
+        first = batch.column(batch.schema.get_field_index("first_sample")).to_numpy(zero_copy_only=False)
+        take = pa.array(row_of)
+        cols = [batch.column(batch.schema.get_field_index(k)).take(take) for k in ("conn_id", "acq_no", "frame_no")]
+        cols.append(pa.array((first[row_of] + (np.arange(len(records)) - starts[row_of])).astype(np.int64)))
+        for f in wanted:
+            cols.append(_column_array(records[f.column], np.dtype(f.type).name))
+        names = ["conn_id", "acq_no", "frame_no", "sample_idx"] + [f.column for f in wanted]
+        yield pa.RecordBatch.from_arrays(cols, names=names)
 
 
 def register(spark) -> None:

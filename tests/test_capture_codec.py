@@ -210,3 +210,24 @@ def test_decode_partitions_follow_payload_bytes(spark):
         assert decode_partitions(spark, ((floor + 5) << 20) + 1) == floor + 6
     finally:
         spark.conf.unset("strobe.decode.bytesPerPartition")
+
+
+def test_capture_dump_pushes_acquisition_filters(spark, tmp_path):
+    from strobe.sources.datasource import register
+    from strobe.sources.dumps import list_chunks, materialize_index, write_chunks
+
+    data = stream(acquisition(SCALED_FIELDS, fast_values(), [10, 11, 10, 10, 10, 7], end=("Ok", 58)),
+                  acquisition(SCALED_FIELDS, fast_values(20), [20], end=("Ok", 20)))
+    root = str(tmp_path / "arch")
+    write_chunks(chunks_df(spark, data, 257), root).collect()
+    idx = str(tmp_path / "index")
+    materialize_index(index_chunks(list_chunks(spark, root)), idx)
+    register(spark)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        df = (spark.read.format("capture_dump").option("index", idx).option("pushdown", "true").load()
+              .where("acq_no = 2 AND frame_no >= 0"))
+        assert df.count() == 20
+        assert df.where("sample_idx < 5").count() == 5
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
