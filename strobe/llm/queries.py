@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strobe.llm import quality_rules
-from strobe.llm.shared import documents
+from strobe.llm import quality_rules, toxicity
+from strobe.llm.shared import documents, held_out_column
 from strobe.plans.tables import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -26,3 +26,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     forest = quality_rules.fit_forest(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
     return quality_rules.apply_rules(docs, forest)
+
+@register
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    machine = toxicity.fit_machine(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"), ~held_out_column())
+    return toxicity.score_documents(docs, machine).select(
+        "doc_id",
+        held_out_column().alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )

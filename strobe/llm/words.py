@@ -110,8 +110,14 @@ def chunks(texts: pa.Array, max_bytes: int = CHUNK_BYTES) -> Iterator[Chunk]:
         at = to
 
 
-def split_words(chunk: Chunk, lower: bool = False) -> Words:
-    """Words of each document of the chunk; lower: A-Z are lower-cased first."""
+#: Everything in ASCII but letters and digits parts the terms of a text.
+TERM_BREAKS = np.ones(256, dtype=bool)
+TERM_BREAKS[np.r_[48:58, 65:91, 97:123, 128:256]] = False
+
+
+def split_words(chunk: Chunk, lower: bool = False, breaks: np.ndarray = _SPACE) -> Words:
+    """Words of each document of the chunk; lower: A-Z are lower-cased first;
+    breaks: the bytes that part words."""
     b, bounds = chunk.data, chunk.bounds
     n = len(b)
     if not n:
@@ -119,7 +125,7 @@ def split_words(chunk: Chunk, lower: bool = False) -> Words:
         return Words(np.zeros(0, dtype=np.uint64), empty, empty, np.zeros(chunk.n, dtype=np.int64))
     if lower:
         b = _LOWER[b]
-    space = _SPACE[b]
+    space = breaks[b]
     solid = ~space
     head, tail = solid.copy(), solid.copy()
     head[1:] &= space[:-1]
