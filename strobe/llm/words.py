@@ -77,6 +77,14 @@ class Words:
     start: np.ndarray
     end: np.ndarray
     counts: np.ndarray
+    total: np.ndarray
+
+    def prefix(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of the first bytes of each word that is longer, and the index
+        of those words."""
+        at = np.flatnonzero(self.end - self.start > size)
+        start = self.start[at]
+        return mix((self.total[start + size] - self.total[start]) * _inverses[start] + np.uint64(size)), at
 
     def doc(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.counts)), self.counts)
@@ -122,7 +130,7 @@ def split_words(chunk: Chunk, lower: bool = False, breaks: np.ndarray = _SPACE)
     n = len(b)
     if not n:
         empty = np.zeros(0, dtype=np.int64)
-        return Words(np.zeros(0, dtype=np.uint64), empty, empty, np.zeros(chunk.n, dtype=np.int64))
+        return Words(np.zeros(0, dtype=np.uint64), empty, empty, np.zeros(chunk.n, dtype=np.int64), np.zeros(1, dtype=np.uint64))
     if lower:
         b = _LOWER[b]
     space = breaks[b]
@@ -143,7 +151,7 @@ def split_words(chunk: Chunk, lower: bool = False, breaks: np.ndarray = _SPACE)
     np.cumsum((b.astype(np.uint64) + np.uint64(1)) * _powers[:n], out=total[1:])
     h = mix((total[end] - total[start]) * _inverses[start])
     counts = np.diff(np.searchsorted(start, bounds))
-    return Words(h, start, end, counts)
+    return Words(h, start, end, counts, total)
 
 
 def ngrams(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
