@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strobe.llm import quality_rules, substring_dedup, toxicity
+from strobe.llm import near_dedup, quality_rules, substring_dedup, toxicity
 from strobe.llm.shared import documents, held_out_column
 from strobe.plans.tables import table
 
@@ -43,3 +43,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.dedup_spans(documents(spark, sf_dir))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), F.size("spans").cast("long").alias("n_spans"))
+
+
+@register
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), size=3, percent=85)
