@@ -43,9 +43,9 @@ from strobe.llm.words import Chunk, Words, chunks, covered, ngrams, split_words
 WINDOW = 13
 #: Words of the sequences that minimizers are chosen from.
 CORE = 5
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Input bytes that one bucket stands for.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 NO_OWNER = np.iinfo(np.int64).max
 BLOCK_SCHEMA = "block long, ids binary, data binary, bounds binary"
 RUN_SCHEMA = "bucket int, block long, core binary, size binary, owner binary, place binary, prints binary"
@@ -189,7 +189,8 @@ def _from40(raw: bytes) -> np.ndarray:
 def _send_runs(buckets: int, k: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, ids, data, bounds in zip(*(batch.column(c).to_pylist() for c in ("block", "ids", "data", "bounds")), strict=True):
+            for i in range(batch.num_rows):
+                block, ids, data, bounds = (batch.column(c)[i].as_py() for c in ("block", "ids", "data", "bounds"))
                 own, chunk = _load(ids, data, bounds)
                 words = split_words(chunk)
                 runs = find_runs(own, words, k)
@@ -323,7 +324,8 @@ def _answer(buckets: int):
                 )
 
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
+            for i in range(batch.num_rows):
+                row = [batch.column(c)[i].as_py() for c in range(7)]
                 if row[0] != now:
                     yield from flush()
                     held, now = [], row[0]
@@ -341,7 +343,8 @@ def _finish(buckets: int, k: int):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, data, bounds, answers in zip(*(batch.column(c).to_pylist() for c in ("ids", "data", "bounds", "answers")), strict=True):
+            for i in range(batch.num_rows):
+                ids, data, bounds, answers = (batch.column(c)[i].as_py() for c in ("ids", "data", "bounds", "answers"))
                 yield _document_rows(*_load(ids, data, bounds), answers or [], buckets, k)
 
     return rows
