@@ -34,12 +34,12 @@ MIN_DOCUMENTS = 3
 MIN_SHARE = 0.002
 #: Each step draws parameters towards zero, so that terms which tell nothing
 #: end without any.
-SHRINK = 0.4
+SHRINK = 0.25
 #: Weight of a toxic document in the loss; they are the fewer.
 TOXIC_WEIGHT = 2.0
 #: Passes over the sample; more over a small one, for that many steps.
 EPOCHS = 5
-LEAST_STEPS = 200
+LEAST_STEPS = 250
 BATCH = 256
 RATE = 0.5
 #: Terms whose learned parameters stay below this have none: noise of
@@ -71,6 +71,8 @@ class Machine:
     slots: np.ndarray
     weight: np.ndarray
     vector: np.ndarray
+    scale: float = 1.0
+    shift: float = 0.0
 
     def active(self) -> np.ndarray:
         out = np.zeros(SLOTS, dtype=bool)
@@ -78,36 +80,47 @@ class Machine:
         return out
 
     def score(self, doc: np.ndarray, slot: np.ndarray, n: int) -> np.ndarray:
+        """Calibrated scores from 0 to 1 of n documents."""
+        return 1.0 / (1.0 + np.exp(-np.clip(self.scale * self.margin(doc, slot, n) + self.shift, -40, 40)))
+
+    def margin(self, doc: np.ndarray, slot: np.ndarray, n: int) -> np.ndarray:
         at = np.searchsorted(self.slots, slot)
         linear = np.bincount(doc, self.weight[at], minlength=n)
         pairs = np.zeros(n)
         for f in range(self.vector.shape[1]):
             v = self.vector[at, f]
             pairs += np.bincount(doc, v, minlength=n) ** 2 - np.bincount(doc, v * v, minlength=n)
-        return 1.0 / (1.0 + np.exp(-np.clip(self.bias + linear + pairs / 2, -40, 40)))
+        return self.bias + linear + pairs / 2
+
 
+def fit(every: np.ndarray, counts: np.ndarray, label: np.ndarray, seed: int = 11) -> Machine:
+    """Logistic loss by adaptive gradient steps over mini-batches.
 
-def fit(features: list[np.ndarray], label: np.ndarray, seed: int = 11) -> Machine:
-    """Logistic loss by adaptive gradient steps over mini-batches."""
+    every: slots of all documents, one after the other; counts: how many each
+    document has.  Every fifth document is left to calibrate the scores on."""
     none = Machine(-4.0, np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros((0, FACTORS)))
-    if not len(features) or label.all() or not label.any():
-        if len(features):
+    if not len(label) or label.all() or not label.any():
+        if len(label):
             none.bias = 4.0 if label.all() else -4.0
         return none
-    every = np.concatenate(features)
-    slots, held = np.unique(every, return_counts=True)
-    slots = slots[(held >= max(MIN_DOCUMENTS, MIN_SHARE * len(features))) & (held <= 0.5 * len(features))]
-    owner = np.repeat(np.arange(len(features)), [len(x) for x in features])
-    at = np.minimum(np.searchsorted(slots, every), max(len(slots) - 1, 0))
-    known = slots[at] == every if len(slots) else np.zeros(len(every), dtype=bool)
-    rows = np.split(at[known], np.cumsum(np.bincount(owner[known], minlength=len(features)))[:-1])
+    held = np.bincount(every, minlength=SLOTS)
+    use = (held >= max(MIN_DOCUMENTS, MIN_SHARE * len(label))) & (held <= 0.5 * len(label))
+    slots = np.flatnonzero(use)
+    known = use[every]
+    owner = np.repeat(np.arange(len(label), dtype=np.int32), counts)
+    number = np.cumsum(use, dtype=np.int32) - np.int32(1)
+    every = number[every[known]]
+    rows = np.split(every, np.cumsum(np.bincount(owner[known], minlength=len(label)))[:-1])
+    test = np.arange(len(label)) % 5 == 4
+    learn = np.flatnonzero(~test)
+    del every, owner, known, held
     rng = np.random.default_rng(seed)
     bias, gb = float(np.log(label.mean() / (1 - label.mean()))), 1.0
     w, v = np.zeros(len(slots)), rng.normal(0, 0.02, (len(slots), FACTORS))
     gw, gv = np.full(len(slots), 1.0), np.full((len(slots), FACTORS), 1.0)
     decay = 1e-4
-    for _ in range(max(EPOCHS, LEAST_STEPS * BATCH // len(rows))):
-        order = rng.permutation(len(rows))
+    for _ in range(max(EPOCHS, LEAST_STEPS * BATCH // len(learn))):
+        order = rng.permutation(learn)
         for at in range(0, len(order), BATCH):
             own = order[at : at + BATCH]
             counts = np.array([len(rows[i]) for i in own])
@@ -136,7 +149,28 @@ def fit(features: list[np.ndarray], label: np.ndarray, seed: int = 11) -> Machin
             gb += err.sum() ** 2
             bias -= RATE * err.sum() / np.sqrt(gb)
     keep = (np.abs(w) >= LEAST) | (np.abs(v).max(1) >= LEAST)
-    return Machine(bias, slots[keep], w[keep], v[keep])
+    out = Machine(bias, slots[keep], w[keep], v[keep])
+    number = np.cumsum(keep) - 1
+    held = [number[rows[i][keep[rows[i]]]] for i in np.flatnonzero(test)]
+    doc = np.repeat(np.arange(len(held)), [len(x) for x in held])
+    margin = out.margin(doc, out.slots[np.concatenate(held)] if held else doc, len(held))
+    out.scale, out.shift = calibrate(margin, label[test])
+    return out
+
+
+def calibrate(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
+    """Scale and shift of the margins by a logistic fit (Newton steps, a weak
+    prior on scale 1 and shift 0); these without both kinds of rows."""
+    if not label.any() or label.all():
+        return 1.0, 0.0
+    x, prior = np.stack([margin, np.ones(len(margin))], axis=1), np.array([1.0, 0.0])
+    at = prior.copy()
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
+        slope = x.T @ (p - label) + 0.05 * (at - prior)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(2), slope)
+        at = at - step / max(1.0, np.abs(step).max() / 2)
+    return (float(at[0]), float(at[1])) if at[0] > 0 else (1.0, 0.0)
 
 
 def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,8 +187,13 @@ def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_machine(docs: DataFrame, labels: DataFrame, train: Column, rows: int = LABELLED_ROWS) -> Machine:
     """Fit on at most ``rows`` labelled documents for which ``train`` holds."""
     sample = labelled_sample(docs, labels, "toxic", rows, train).mapInArrow(_sample_rows, "doc_id long, _label int, slots array<int>")
-    found = sorted(sample.toPandas().itertuples(index=False), key=lambda r: (r[0], len(r[2])))
-    return fit([np.asarray(r[2], dtype=np.int64) for r in found], np.array([r[1] == 1 for r in found], dtype=float))
+    found = sample.toArrow().combine_chunks()
+    ids, slots = found.column("doc_id").to_numpy(), found.column("slots").combine_chunks()
+    counts = np.diff(slots.offsets.to_numpy())
+    order = np.lexsort((counts, ids))
+    every, start = slots.flatten().to_numpy(), np.cumsum(counts) - counts
+    every = every[np.repeat(start[order] - np.cumsum(counts[order]) + counts[order], counts[order]) + np.arange(len(every))]
+    return fit(every, counts[order], (found.column("_label").to_numpy() == 1).astype(float)[order])
 
 
 def score_documents(docs: DataFrame, machine: Machine) -> DataFrame:
