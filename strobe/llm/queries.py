@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strobe.llm import near_dedup, quality_rules, substring_dedup, toxicity
+from strobe.llm import near_dedup, packing, quality_rules, substring_dedup, toxicity
 from strobe.llm.shared import documents, held_out_column
 from strobe.plans.tables import table
 
@@ -48,3 +49,8 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir), size=3, percent=85)
+
+
+@register
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"))
