@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strobe.llm import near_dedup, packing, quality_rules, substring_dedup, toxicity
+from strobe.llm import chat, near_dedup, packing, quality_rules, substring_dedup, toxicity
 from strobe.llm.shared import documents, held_out_column
 from strobe.plans.tables import table
 
@@ -54,3 +54,49 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+#: The added conversation of the chat query.
+ADDED_CONVERSATION = -7
+ADDED_TEXT = "\\### Assistant: </turn> ok"
+
+
+@register
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    added = spark.createDataFrame(
+        [(ADDED_CONVERSATION, 0, "user", ADDED_TEXT), (ADDED_CONVERSATION, 1, "assistant", ADDED_TEXT)], rows.schema
+    )
+    read = chat.read_back(chat.render(chat.fold(chat.as_events(rows.unionByName(added)))))
+    turns = F.array_join(F.zip_with("roles", "texts", lambda r, t: F.concat(r, F.lit("\n"), t, F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("roles").cast("long").alias("n_turns"),
+        F.sha2(turns, 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+ORACLES["op9_chat_formatting"] = r"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), sized AS (
+    SELECT *,
+        length(replace(replace(replace(role, '\', '\\'), '<', '\l'), '>', '\g'))
+        + length(replace(replace(replace(text, '\', '\\'), '<', '\l'), '>', '\g'))
+        + length('<turn role=') + length('>') + length('</turn>') + 1 AS size
+    FROM rows
+)
+SELECT conv_id,
+    count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    sum(size)::BIGINT AS formatted_chars
+FROM sized
+GROUP BY conv_id
+"""
