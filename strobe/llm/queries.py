@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strobe.llm import chat, near_dedup, packing, quality_rules, substring_dedup, toxicity
+from strobe.llm import chat, near_dedup, packing, pii, quality_rules, substring_dedup, toxicity
 from strobe.llm.shared import documents, held_out_column
 from strobe.plans.tables import table
 
@@ -100,3 +100,15 @@ SELECT conv_id,
 FROM sized
 GROUP BY conv_id
 """
+
+
+@register
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = pii.find_spans(docs, pii.fit_trees(docs))
+    return found.select(
+        "doc_id",
+        *(pii.count_of(F.col("base"), k).alias(f"n_{k}") for k in pii.PATTERNS),
+        F.sha2(pii.span_list(F.col("base")), 256).alias("base_sha256"),
+        pii.span_list(F.concat("base", "added")).alias("spans"),
+    )
