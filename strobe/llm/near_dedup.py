@@ -12,12 +12,14 @@ the threshold are linked; components of links are the groups.
    leaving each of its symbols out in turn: nodes that share a key of (chunk,
    left-out position, other symbols) are candidates, and every pair within
    2m - 1 differing symbols shares one.
-3. Each node of a bucket is paired with the smallest node there.  Pairs whose
-   signatures are near enough are confirmed on the full shingle sets, and
-   confirmed links are contracted into components.
-4. In buckets that still hold several components, all pairs across components
-   are compared by signature, large buckets in blocks, and confirmed likewise.
-   Pairs inside a component cannot change the groups and are not compared.
+3. In each of a few rounds, every node of a bucket that holds several
+   components is paired with one node that stands for another: one pair a
+   node.  Pairs whose signatures are near enough are confirmed on the full
+   shingle sets, and confirmed links contract components.
+4. Nodes whose buckets still hold several components are compared across these
+   components in blocks, by signature and then on the full sets, inside the
+   tasks: only links leave them.  Pairs inside a component cannot change the
+   groups and are not compared.
 
 Defined results: texts without words have an empty set and no links; rows that
 repeat an id are one node, whatever their texts; a null id gets its set's size
@@ -42,9 +44,12 @@ from strobe.llm.words import Chunk, by_chunk, chunks, mix, ngrams, signed, split
 #: Chance that a pair right at the threshold has more differing symbols than
 #: the join allows; it falls off steeply above the threshold.
 MISS = 1e-4
-#: Members of one verification group, and of one side of a bucket comparison.
-GROUP = 256
-BLOCK = 1024
+#: Members of one verification group, and nodes of one block of a cluster.
+GROUP = 64
+BLOCK = 512
+#: Rounds of one pair for each node before clusters are compared in full; any
+#: number gives the same groups.
+ROUNDS = 3
 
 
 @dataclass(frozen=True)
@@ -225,56 +230,81 @@ def confirm(pairs: DataFrame, texts: DataFrame, s: Scheme) -> DataFrame:
     return together.mapInArrow(rows, "a long, b long").distinct()
 
 
-def _cross_pairs(members: DataFrame, s: Scheme) -> DataFrame:
-    """Pairs across the components of a bucket within the allowed distance.
+def _opened(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members of buckets that hold several components, with the smallest and
+    the largest (component, node) of the bucket."""
+    labelled = members.join(groups, "node", "left").select("key", "node", F.coalesce("root", "node").alias("component"))
+    pair = F.struct("component", "node")
+    ends = labelled.groupBy("key").agg(F.min(pair).alias("first"), F.max(pair).alias("last")).where("first.component < last.component")
+    return labelled.join(ends, "key")
 
-    A bucket is dealt to blocks of about BLOCK members; every two blocks of it
-    meet in a task, which compares their signatures.
+
+def _star(opened: DataFrame) -> DataFrame:
+    """One pair (a, b) for each node: with the smallest node that stands for
+    another component in one of its buckets."""
+    other = F.when(F.col("first.component") != F.col("component"), F.col("first.node")).otherwise(F.col("last.node"))
+    one = opened.select("node", other.alias("other")).groupBy("node").agg(F.min("other").alias("other"))
+    return one.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def _cluster_links(opened: DataFrame, nodes: DataFrame, texts: DataFrame, s: Scheme) -> DataFrame:
+    """Every link across components among nodes that buckets still connect.
+
+    Such nodes form clusters.  A cluster is dealt to blocks of about BLOCK
+    nodes, and every two of its blocks meet in a task with their texts, where
+    pairs across components within the allowed distance are confirmed.  Only
+    links leave the task, and pairs that found links have joined are skipped.
     """
-    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    opened = materialise(opened.select("key", "node", "component", F.col("first.node").alias("centre")), "near-open")
+    ties = opened.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    clusters = connected_components(ties, "near-clusters").withColumnRenamed("root", "cluster")
+    own = opened.select("node", "component").distinct().join(clusters, "node")
+    sizes = own.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = own.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     meet = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "component", "signature"
+        "cluster", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "component"
     )
+    full = meet.join(nodes.select("node", "signature"), "node").join(texts, "node")
+    columns = ["cluster", "low", "high", "own", "node", "component", "signature", "text"]
 
-    def compare(low: int, high: int, own: np.ndarray, node: np.ndarray, component: np.ndarray, sig: np.ndarray):
-        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
+    def links(now: tuple, rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        node, component, sig = np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), np.stack([r[3] for r in rows])
+        side = np.array([r[0] for r in rows])
+        left, right = np.flatnonzero(side == now[1]), np.flatnonzero(side == now[2])
         for i in left:
-            at = right[right > i] if low == high else right
+            at = right[right > i] if now[1] == now[2] else right
             at = at[component[at] != component[i]]
-            at = at[(sig[at] != sig[i]).sum(axis=1) <= s.errors]
-            if len(at):
-                yield np.minimum(node[i], node[at]), np.maximum(node[i], node[at])
+            if not len(at):
+                continue
+            far = (sig[at] != sig[i]).sum(axis=1)
+            near = far <= s.errors
+            for j in at[near][np.argsort(far[near], kind="stable")]:
+                if component[i] == component[j]:
+                    continue
+                both = _overlap(rows[i][4], rows[j][4])
+                if both and 100 * both >= s.percent * (len(rows[i][4]) + len(rows[j][4]) - both):
+                    yield min(node[i], node[j]), max(node[i], node[j])
+                    component[component == component[j]] = component[i]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        now = None
+        now, held = None, []
 
         def flush():
-            group = pa.Table.from_batches(held).combine_chunks()
-            got = list(
-                compare(now[1], now[2], *(group.column(c).to_numpy() for c in ("own", "node", "component")), _matrix(group.column("signature"), s.length))
-            )
-            if got:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([g[i] for g in got])) for i in (0, 1)], ["a", "b"])
+            found = list(links(now, held)) if len(held) > 1 else []
+            yield pa.RecordBatch.from_arrays([pa.array([int(f[i]) for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, low, high = (np.asarray(batch.column(c)) for c in ("key", "low", "high"))
-            cut = np.flatnonzero((key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])) + 1
-            for at, to in zip([0, *cut], [*cut, len(key)], strict=True):
-                this = (int(key[at]), int(low[at]), int(high[at]))
-                if this != now and held:
-                    yield from flush()
-                    held = []
-                now = this
-                held.append(batch.slice(int(at), int(to - at)))
-        if held:
-            yield from flush()
-
-    dealt_out = meet.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    return dealt_out.mapInArrow(rows, "a long, b long").distinct()
+            key, low, high, own, node, component, sig = (batch.column(c).to_pylist() for c in columns[:-1])
+            for c in chunks(batch.column("text")):
+                for i, shingles in zip(range(c.rows.start, c.rows.stop), shingle_sets(c, s.size), strict=True):
+                    if (key[i], low[i], high[i]) != now:
+                        yield from flush()
+                        now, held = (key[i], low[i], high[i]), []
+                    held.append((own[i], node[i], component[i], np.frombuffer(sig[i], dtype=np.uint8), shingles))
+        yield from flush()
+
+    together = full.select(*columns).repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high")
+    return together.mapInArrow(rows, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -287,30 +317,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     nodes = classes.select("node", "signature")
 
     keys = bucket_keys(nodes, s)
-    shared = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("most")).where("a < most").select("key", "a")
-    members = materialise(keys.join(shared, "key").select("key", "node", "a"), "near-buckets")
+    shared = keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("key")
+    members = materialise(keys.join(shared, "key"), "near-buckets")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(members.select("node").distinct(), "node", "left_semi")
     texts = materialise(texts, "near-texts")
 
-    star = members.where("node > a").select("a", F.col("node").alias("b")).distinct()
     # ids with several sets tie their classes
     same = linkable.select("doc_id", "set_a", "set_b").distinct().join(classes.select("set_a", "set_b", "node"), ["set_a", "set_b"])
     same = same.groupBy("doc_id").agg(F.min("node").alias("a"), F.collect_set("node").alias("others")).where(F.size("others") > 1)
-    same = same.select("a", F.explode("others").alias("b")).where("a < b")
-    links = materialise(confirm(near_pairs(star, nodes, s), texts, s).unionByName(same), "near-links")
-    groups = materialise(connected_components(links, "near-components"), "near-groups")
-
-    labelled = (
-        members.select("key", "node")
-        .join(groups, "node", "left")
-        .select("key", "node", F.coalesce("root", "node").alias("component"))
-    )
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-    open_members = labelled.join(mixed, "key", "left_semi").join(nodes, "node")
-    # pairs with the smallest node of a bucket have been looked at
-    more = _cross_pairs(open_members, s).join(star.select("a", "b"), ["a", "b"], "left_anti")
-    late = confirm(more, texts, s)
-    groups = connected_components(links.unionByName(late), "near-components")
+    links = materialise(same.select("a", F.explode("others").alias("b")).where("a < b"), "near-links")
+    groups = connected_components(links, "near-components")
+    for _ in range(ROUNDS):
+        found_links = confirm(near_pairs(_star(_opened(members, groups)), nodes, s), texts, s)
+        links = links.unionByName(materialise(found_links, "near-links"))
+        groups = connected_components(links, "near-components")
+    links = links.unionByName(_cluster_links(_opened(members, groups), nodes, texts, s))
+    groups = connected_components(links, "near-components")
 
     by_doc = found.join(classes.select("set_a", "set_b", "node"), ["set_a", "set_b"], "left").join(groups, "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("root", "node")).otherwise(F.col("doc_id"))
