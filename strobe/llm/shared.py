@@ -15,6 +15,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents", "doc_id", "text")
 
 
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand Python tasks Arrow batches of a few MB, for rows that are large:
+    the JVM and the worker each hold a batch twice."""
+    spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+
+
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """Write a table in the shared folder and read it again: the lineage is cut
     and any executor can read the result."""

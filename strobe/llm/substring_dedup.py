@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strobe.llm.shared import materialise
+from strobe.llm.shared import materialise, small_batches
 from strobe.llm.words import Chunk, Words, chunks, covered, ngrams, split_words
 
 WINDOW = 13
@@ -45,7 +45,7 @@ WINDOW = 13
 CORE = 5
 BLOCK_BYTES = 2 << 20
 #: Input bytes that one bucket stands for.
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
 NO_OWNER = np.iinfo(np.int64).max
 BLOCK_SCHEMA = "block long, ids binary, data binary, bounds binary"
 RUN_SCHEMA = "bucket int, block long, core binary, size binary, owner binary, place binary, prints binary"
@@ -431,6 +431,7 @@ def dedup_spans(docs: DataFrame, k: int = WINDOW, buckets: int | None = None) ->
     """doc_id, n_words, n_removed, kept_text (kept words joined by one space)
     and spans (removed runs of words with their owner's coordinates)."""
     spark = docs.sparkSession
+    small_batches(spark)
     if buckets is None:
         size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
         buckets = min(1 << 20, max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES))
