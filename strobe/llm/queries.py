@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strobe.llm import chat, near_dedup, packing, pii, quality_rules, substring_dedup, toxicity
+from strobe.llm import chat, decontamination, near_dedup, packing, pii, quality_rules, substring_dedup, toxicity
 from strobe.llm.shared import documents, held_out_column
 from strobe.plans.tables import table
 
@@ -112,3 +112,15 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.span_list(F.col("base")), 256).alias("base_sha256"),
         pii.span_list(F.concat("base", "added")).alias("spans"),
     )
+
+
+@register
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.flag_documents(documents(spark, sf_dir), table(spark, sf_dir, "benchmark", "item_id", "text"), text=False)
+    return found.select(
+        "doc_id",
+        F.col(decontamination.ITEM_COLUMN).isNotNull().alias("contaminated"),
+        F.col(decontamination.ITEM_COLUMN).alias("item_id"),
+        F.col(decontamination.SHARE_COLUMN).alias("covered"),
+        F.col(decontamination.COSINE_COLUMN).alias("cosine"),
+    )
