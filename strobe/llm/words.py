@@ -124,8 +124,10 @@ TERM_BREAKS[np.r_[48:58, 65:91, 97:123, 128:256]] = False
 
 
 def split_words(chunk: Chunk, lower: bool = False, breaks: np.ndarray = _SPACE) -> Words:
-    """Words of each document of the chunk; lower: A-Z are lower-cased first;
-    breaks: the bytes that part words."""
+    """Words of each document of the chunk; lower: A-Z are lower-cased first
+    (for other breaks than white space also the Latin letters above ASCII, as
+    far as they take two bytes that start with C3); breaks: the bytes that
+    part words."""
     b, bounds = chunk.data, chunk.bounds
     n = len(b)
     if not n:
@@ -133,6 +135,10 @@ def split_words(chunk: Chunk, lower: bool = False, breaks: np.ndarray = _SPACE)
         return Words(np.zeros(0, dtype=np.uint64), empty, empty, np.zeros(chunk.n, dtype=np.int64), np.zeros(1, dtype=np.uint64))
     if lower:
         b = _LOWER[b]
+        if breaks is not _SPACE:
+            at = np.flatnonzero(b[:-1] == 0xC3) + 1
+            at = at[(b[at] >= 0x80) & (b[at] <= 0x9E) & (b[at] != 0x97)]
+            b[at] += 0x20
     space = breaks[b]
     solid = ~space
     head, tail = solid.copy(), solid.copy()
