@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strobe.llm import chat, decontamination, near_dedup, packing, pii, quality_rules, substring_dedup, toxicity
+from strobe.llm import chat, decontamination, html_text, licenses, near_dedup, packing, pii, quality_rules, substring_dedup, toxicity
 from strobe.llm.shared import documents, held_out_column
 from strobe.plans.tables import table
 
@@ -124,3 +124,13 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col(decontamination.SHARE_COLUMN).alias("covered"),
         F.col(decontamination.COSINE_COLUMN).alias("cosine"),
     )
+
+
+@register
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir))
+
+
+@register
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages", "page_id", "html"))
