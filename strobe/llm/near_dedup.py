@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strobe.llm.shared import connected_components, materialise
+from strobe.llm.shared import connected_components, materialise, small_batches
 from strobe.llm.words import Chunk, by_chunk, chunks, mix, ngrams, signed, split_words
 
 #: Chance that a pair right at the threshold has more differing symbols than
@@ -310,6 +310,7 @@ def _cluster_links(opened: DataFrame, nodes: DataFrame, texts: DataFrame, s: Sch
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
     s = scheme(size, percent)
+    small_batches(docs.sparkSession)
     found = materialise(signatures(docs, s), "near-signatures")
     linkable = found.where("doc_id is not null and n_shingles > 0")
     classes = linkable.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"), F.min("signature").alias("signature"))
@@ -328,8 +329,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     links = materialise(same.select("a", F.explode("others").alias("b")).where("a < b"), "near-links")
     groups = connected_components(links, "near-components")
     for _ in range(ROUNDS):
-        found_links = confirm(near_pairs(_star(_opened(members, groups)), nodes, s), texts, s)
-        links = links.unionByName(materialise(found_links, "near-links"))
+        more = materialise(confirm(near_pairs(_star(_opened(members, groups)), nodes, s), texts, s), "near-links")
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
         groups = connected_components(links, "near-components")
     links = links.unionByName(_cluster_links(_opened(members, groups), nodes, texts, s))
     groups = connected_components(links, "near-components")
@@ -344,7 +347,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 def keep_representatives(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, with all its columns: that of the smallest
     id, its first row where rows repeat the id.  Rows without id stay."""
-    kept = near_duplicates(docs, size, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
-    known = docs.join(kept, docs["doc_id"].cast("long") == F.col("_kept"), "left_semi")
+    kept = near_duplicates(docs, size, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept_id")).distinct()
+    known = docs.join(kept, docs["doc_id"].cast("long") == F.col("__kept_id"), "left_semi")
     known = known.dropDuplicates(["doc_id"])
     return known.unionByName(docs.where("doc_id is null"))

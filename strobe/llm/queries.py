@@ -108,9 +108,9 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(docs, pii.fit_trees(docs))
     return found.select(
         "doc_id",
-        *(pii.count_of(F.col("base"), k).alias(f"n_{k}") for k in pii.PATTERNS),
-        F.sha2(pii.span_list(F.col("base")), 256).alias("base_sha256"),
-        pii.span_list(F.concat("base", "added")).alias("spans"),
+        *(pii.count_of(F.col(pii.BASE), k).alias(f"n_{k}") for k in pii.PATTERNS),
+        F.sha2(pii.span_list(F.col(pii.BASE)), 256).alias("base_sha256"),
+        pii.span_list(F.concat(pii.BASE, pii.ADDED)).alias("spans"),
     )
 
 

@@ -54,6 +54,8 @@ def connected_components(edges: DataFrame, purpose: str = "components") -> DataF
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(),
         purpose,
     )
+    if now.isEmpty():
+        return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     while True:
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
