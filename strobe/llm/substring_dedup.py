@@ -43,12 +43,12 @@ from strobe.llm.words import Chunk, Words, chunks, covered, ngrams, split_words
 WINDOW = 13
 #: Words of the sequences that minimizers are chosen from.
 CORE = 5
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Input bytes that one bucket stands for.
 BUCKET_BYTES = 2 << 20
 NO_OWNER = np.iinfo(np.int64).max
 BLOCK_SCHEMA = "block long, ids binary, data binary, bounds binary"
-RUN_SCHEMA = "bucket int, block long, core binary, size binary, owner binary, place binary, prints binary"
+RUN_SCHEMA = "bucket int, block long, core binary, size binary, owner binary, place binary, prints binary, sides binary"
 PIECE_SCHEMA = "block long, run binary, offset binary, length binary, owner binary, place binary, linked binary"
 SPAN = "array<struct<start:long,length:long,owner:long,owner_start:long>>"
 
@@ -186,6 +186,12 @@ def _from40(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw[: 4 * n], dtype="<u4").astype(np.uint64) | (np.frombuffer(raw[4 * n :], dtype=np.uint8).astype(np.uint64) << np.uint64(32))
 
 
+def _neighbour(prints: np.ndarray) -> np.ndarray:
+    """Sixteen bits of a neighbour's print, 0 for no window there: enough to
+    tell whether a path branches, which cuts spans and removes nothing."""
+    return np.where(prints == 0, 0, np.maximum(prints & np.uint64(0xFFFF), 1))
+
+
 def _send_runs(buckets: int, k: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,36 +201,31 @@ def _send_runs(buckets: int, k: int):
                 words = split_words(chunk)
                 runs = find_runs(own, words, k)
                 doc, first = words.doc(), words.first()
-                # the print before the run, those in it, and the one after it
                 bucket = ((runs.core >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                out = {name: [] for name in ("bucket", "core", "size", "owner", "place", "prints")}
+                out = {name: [] for name in ("bucket", "core", "size", "owner", "place", "prints", "sides")}
                 for b in range(buckets):
                     at = order[cuts[b] : cuts[b + 1]]
                     if not len(at):
                         continue
                     start, size = runs.first[at], runs.size[at]
                     owner = own[doc[start]]
-                    lead = doc[np.maximum(start - 1, 0)] == doc[start]
-                    lead &= start > 0
+                    lead = (start > 0) & (doc[np.maximum(start - 1, 0)] == doc[start])
                     trail_at = np.minimum(start + size, len(doc) - 1)
                     trail = (doc[trail_at] == doc[start]) & (start + size < len(doc))
-                    wide = _expand(start - 1, size + 2)
-                    prints = runs.prints[np.clip(wide, 0, len(doc) - 1)].copy()
-                    edge = np.cumsum(size + 2)
-                    prints[(edge - size - 2)[~lead]] = 0
-                    prints[(edge - 1)[~trail]] = 0
+                    sides = [np.where(lead, _neighbour(runs.prints[np.maximum(start - 1, 0)]), 0), np.where(trail, _neighbour(runs.prints[trail_at]), 0)]
                     out["bucket"].append(b)
                     out["core"].append((runs.core[at] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes())
                     out["size"].append(size.astype(np.uint8).tobytes())
                     out["owner"].append(_narrow(owner))
                     out["place"].append(_narrow(start - first[doc[start]]))
-                    out["prints"].append(_prints40(prints))
+                    out["prints"].append(_prints40(runs.prints[_expand(start, size)]))
+                    out["sides"].append(np.concatenate(sides).astype("<u2").tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out["bucket"], pa.int32()), pa.array([block] * len(out["bucket"]), pa.int64())]
-                    + [pa.array(out[c], pa.binary()) for c in ("core", "size", "owner", "place", "prints")],
-                    ["bucket", "block", "core", "size", "owner", "place", "prints"],
+                    + [pa.array(out[c], pa.binary()) for c in ("core", "size", "owner", "place", "prints", "sides")],
+                    ["bucket", "block", "core", "size", "owner", "place", "prints", "sides"],
                 )
 
     return rows
@@ -251,15 +252,19 @@ def _pieces_of(rows: list[tuple]) -> Iterator[tuple]:
     # only minimizers that two contents share, or one content of two blocks
     _, inverse, shared = np.unique(core, return_inverse=True, return_counts=True)
     use = np.flatnonzero(shared[inverse] > 1)
-    edge = np.cumsum(size + 2) - size - 2
+    edge = np.cumsum(size) - size
+    sides = [np.frombuffer(r[6], dtype="<u2").reshape(2, -1) for r in rows]
+    lead, trail = (np.concatenate([x[i] for x in sides]).astype(np.uint64) for i in (0, 1))
     block_of = np.repeat(np.arange(len(rows)), count)
     local = np.arange(len(core)) - np.repeat(np.cumsum(count) - count, count)
     # contents that stand alone are owned by their own document, but may
     # stand for more documents of their block: those answers are kept local
     size_u, run = size[use], np.repeat(use, size[use])
-    at = _expand(edge[use] + 1, size_u)
-    offset = at - edge[run] - 1
-    window, before, after = prints[at], prints[at - 1], prints[at + 1]
+    at = _expand(edge[use], size_u)
+    offset = at - edge[run]
+    window = prints[at]
+    before = np.where(offset == 0, lead[run], _neighbour(prints[np.maximum(at - 1, 0)]))
+    after = np.where(offset == size[run] - 1, trail[run], _neighbour(prints[np.minimum(at + 1, len(prints) - 1)]))
     key = window ^ (core[run] * np.uint64(0x9E3779B97F4A7C15))
     spot = place[run] + offset
     order = np.lexsort((spot, owner[run], key))
@@ -325,7 +330,7 @@ def _answer(buckets: int):
 
         for batch in batches:
             for i in range(batch.num_rows):
-                row = [batch.column(c)[i].as_py() for c in range(7)]
+                row = [batch.column(c)[i].as_py() for c in range(8)]
                 if row[0] != now:
                     yield from flush()
                     held, now = [], row[0]
