@@ -33,6 +33,8 @@ class Converted:
     acquisitions: DataFrame
     samples_path: str
     samples: int
+    rejects: DataFrame
+    lost_bytes: int
 
 
 def acquisitions_table(index: DataFrame) -> DataFrame:
@@ -62,7 +64,11 @@ def convert_archive(
     check_overrun: bool = True,
     partitions: int | None = None,
     layout: str = "clustered",
+    fail_on_rejects: bool = False,
 ) -> Converted:
+    """Convert an archive. Bytes that could not be read are listed in the
+    ``rejects`` table (connection, acquisition, position, length, message);
+    ``fail_on_rejects`` raises on them after everything readable is stored."""
     index = materialize_index(index_archive_files(list_chunks(spark, root)), out.rstrip("/") + "/_index")
     acq = acquisitions_table(index)
     acq.write.mode("overwrite").parquet(out.rstrip("/") + "/acquisitions")
@@ -70,6 +76,14 @@ def convert_archive(
     path = out.rstrip("/") + "/samples"
     write_acquisitions(samples, path, presorted=True, layout=layout)
     total = index.where(F.col("kind") == "frame").agg(F.sum("n_rows")).collect()[0][0] or 0
+    rejects_path = out.rstrip("/") + "/rejects"
+    index.where(F.col("kind") == "reject").select(
+        "conn_id", "acq_no", "pos", F.col("n_bytes").alias("lost_bytes"), "message"
+    ).write.mode("overwrite").parquet(rejects_path)
+    rejects = spark.read.parquet(rejects_path)
+    n_rejects, lost = rejects.agg(F.count(F.lit(1)), F.coalesce(F.sum("lost_bytes"), F.lit(0))).collect()[0]
     if check_overrun:
         guard_overruns(index.where(F.col("kind") == "end"))
-    return Converted(index, spark.read.parquet(out.rstrip("/") + "/acquisitions"), path, int(total))
+    if fail_on_rejects and n_rejects:
+        raise ValueError(f"{n_rejects} unreadable stretches of {lost} bytes, listed in {rejects_path}")
+    return Converted(index, spark.read.parquet(out.rstrip("/") + "/acquisitions"), path, int(total), rejects, int(lost))

@@ -89,6 +89,49 @@ def valid_word_count(words_col: str, columns: list[TableColumn]) -> Column:
     return F.size(words_col) % row_words(columns) == 0
 
 
+def table_rejects(tables: DataFrame, words_col: str, columns: list[TableColumn], keys: list[str]) -> DataFrame:
+    """Why packed tables cannot be unpacked as they stand: (keys, row, column,
+    message), one row for each table without words or with a word count that
+    is no multiple of the row's, and for each enum index without a label."""
+    none = F.lit(None)
+    rw = row_words(columns)
+    count = tables.where(F.col(words_col).isNull() | ~valid_word_count(words_col, columns)).select(
+        *keys, none.cast("int").alias("row"), none.cast("string").alias("column"),
+        F.when(F.col(words_col).isNull(), F.lit("no whole words")).otherwise(
+            F.format_string(f"%d words are no rows of {rw}", F.size(words_col))).alias("message"),
+    )
+    out = count
+    enums = [c for c in columns if c.subtype == "enum"]
+    if enums:
+        rows = unpack_rows(tables.where(valid_word_count(words_col, columns)), words_col, columns, keys)
+        for col in enums:
+            bad = rows.where(F.col(col.name) >= len(col.labels))
+            out = out.unionByName(bad.select(
+                *keys, "row", F.lit(col.name).alias("column"),
+                F.format_string(f"index %d of {len(col.labels)} labels", F.col(col.name).cast("int")).alias("message")))
+    return out
+
+
+def label_rejects(rows: DataFrame, columns: list[TableColumn], keys: list[str]) -> DataFrame:
+    """Labels of rows to be packed that their enum column does not have:
+    (keys, column, message)."""
+    out = None
+    for col in (c for c in columns if c.subtype == "enum" and c.name in rows.columns):
+        bad = rows.where(F.col(col.name).isNotNull() & enum_index(F.col(col.name), col).isNull())
+        part = bad.select(*keys, F.lit(col.name).alias("column"), F.concat(F.lit("unknown label "), F.col(col.name)).alias("message"))
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else rows.select(*keys, F.lit("").alias("column"), F.lit("").alias("message")).limit(0)
+
+
+def length_rejects(columns_df: DataFrame, keys: list[str], column: str, length: str) -> DataFrame:
+    """Tables whose columns differ in length: (keys, shortest, longest, columns
+    of another length than the longest)."""
+    per = columns_df.groupBy(*keys).agg(
+        F.min(length).alias("shortest"), F.max(length).alias("longest"), F.collect_list(F.struct(F.col(length).alias("n"), F.col(column).alias("c"))).alias("all"))
+    return per.where("shortest < longest").select(
+        *keys, "shortest", "longest", F.array_sort(F.transform(F.filter("all", lambda x: x["n"] < F.col("longest")), lambda x: x["c"])).alias("short_columns"))
+
+
 def enum_index(value: Column, col: TableColumn) -> Column:
     """Label -> 0-based index; an unknown label gives NULL (reject)."""
     labels = F.array(*[F.lit(x) for x in col.labels])
@@ -147,7 +190,9 @@ def words_to_base64(words: Column) -> Column:
 
 
 def base64_to_words(text: Column) -> Column:
-    """base64 text -> ARRAY<BIGINT> of little-endian uint32 words."""
+    """base64 text -> ARRAY<BIGINT> of little-endian uint32 words; an empty
+    text gives an empty array, bytes that are no whole words give NULL (see
+    ``table_rejects``)."""
     hexed = F.hex(F.unbase64(text))
     n = F.floor(F.length(hexed) / 8).cast("int")
 
@@ -156,7 +201,9 @@ def base64_to_words(text: Column) -> Column:
         le = F.concat(F.substring(h, 7, 2), F.substring(h, 5, 2), F.substring(h, 3, 2), F.substring(h, 1, 2))
         return F.conv(le, 16, 10).cast("long")
 
-    return F.transform(F.sequence(F.lit(0), n - 1), word)
+    whole = F.length(hexed) % 8 == 0
+    empty = F.array().cast("array<bigint>")
+    return F.when(whole & (n > 0), F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), word)).when(whole, empty)
 
 
 def bits_to_rows(df: DataFrame, word_col: str, labels: DataFrame) -> DataFrame:

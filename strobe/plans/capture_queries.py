@@ -698,9 +698,10 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(bad, F.concat(F.lit(b"BAD ").cast("binary"), F.expr("substring(data, 5)"))).otherwise(F.col("data")),
     )
     index = index_chunks(cut_chunks(corrupted, 997))
-    rej = index.where(F.col("kind") == "reject").select("conn_id", "acq_no", "message")
-    heads = index.where(F.col("kind") == "header").groupBy("conn_id").agg(F.count(F.lit(1)).alias("headers_before"))
-    return rej.join(heads, "conn_id")
+    rej = index.where(F.col("kind") == "reject").select("conn_id", "acq_no", "message", F.col("pos").alias("at"))
+    heads = index.where(F.col("kind") == "header").select("conn_id", F.col("pos").alias("head"))
+    before = rej.join(heads, "conn_id").where("head < at")
+    return before.groupBy("conn_id", "acq_no", "message").agg(F.count(F.lit(1)).alias("headers_before"))
 
 
 # ----------------------------------------------------------------------------- §2.4 joins
@@ -749,12 +750,12 @@ def calibrate_long_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("named_bits", """
-SELECT event_id, CAST(b AS BIGINT) AS bit, ((event_id >> b) & 1) = 1 AS is_set FROM events, range(0, 14) r(b)""")
+SELECT event_id, CAST(b AS BIGINT) AS bit, ((event_id >> b) & 1) = 1 AS is_set FROM events, range(0, 32) r(b)""")
 def named_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strobe.operators.packed import bits_to_rows
 
     _, dec = _decoded(spark, sf_dir, select=["EVENT.ID.Value", "PCAP.BITS0.Value"])
-    labels = spark.range(0, 14).select(F.col("id").alias("bit"), F.format_string("BIT%d", F.col("id")).alias("label"))
+    labels = spark.range(0, 32).select(F.col("id").alias("bit"), F.format_string("BIT%d", F.col("id")).alias("label"))
     rows = bits_to_rows(dec.select(c("EVENT.ID.Value").alias("event_id"), c("PCAP.BITS0.Value").alias("word")), "word", labels)
     return rows.select("event_id", "bit", "is_set")
 

@@ -44,6 +44,15 @@ def get_session(master: str | None = None, app: str = "strobe") -> SparkSession:
     return spark
 
 
+def _local_scratch(spark: SparkSession) -> str:
+    """A folder of this machine, for local masters alone: on a cluster other
+    executors could not read it."""
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="strobe-ckpt-")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 
@@ -54,7 +63,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="strobe-ckpt-")
+        base = _local_scratch(spark)
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
@@ -67,7 +76,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="strobe-ckpt-")
+        base = _local_scratch(spark)
         spark.conf.set("spark.checkpoint.dir", base)
     spark.sparkContext.setCheckpointDir(base)
     return spark.sparkContext.getCheckpointDir()

@@ -225,11 +225,28 @@ class _Cursor:
                 return None
 
 
-_LAYOUTS: dict[str, str] = {}
+    def seek_header(self, block_bytes: int = 1 << 20) -> bool:
+        """Move to the next ``<header>`` line, from here on if this is the
+        start of a line; False at the end of the stream. Reads bounded blocks."""
+        mark = HEADER_OPEN + b"\n"
+        first = True
+        while True:
+            self._fill(self.pos + block_bytes)
+            block = self._bytes(self.pos, min(block_bytes, self._end - self.pos))
+            if first and block.startswith(mark):
+                return True
+            first = False
+            hit = block.find(b"\n" + mark)
+            if hit >= 0:
+                self.pos += hit + 1
+                return True
+            if len(block) <= len(mark):
+                self.pos += len(block)
+                return False
+            self.pos += len(block) - len(mark)  # a line that the block cuts is seen again
 
 
-def _parse_cached(text: str):
-    return parse_header(text)
+_LAYOUTS: dict[str, str] = {}
 
 
 def _layout_cached(text: str, header) -> str:
@@ -246,51 +263,58 @@ def _layout_cached(text: str, header) -> str:
 
 
 def _walk(conn_id: int, cursor: _Cursor, with_payload: bool) -> Iterator[dict]:
+    """Index rows of one stream. What cannot be read as a message is a reject:
+    the walk goes on at the next ``<header>`` line, and the reject row says
+    where (``pos``) and how many bytes (``n_bytes``) were passed over."""
+
     def row(kind: str, **kw) -> dict:
         base = {name: None for name in INDEX_SCHEMA.names}
         base.update(conn_id=conn_id, kind=kind, **kw)
         return base
 
+    lost: dict | None = None
+    acq_no = 0
     line = cursor.readline()
     if line != READY_LINE:
-        yield row("reject", pos=0, message=f"expected OK, got {line!r}")
-        return
-    acq_no = 0
+        lost = row("reject", pos=0, message=f"expected OK, got {line!r}")
     while True:
         # discard lines until the header opens; end of stream here is a clean end
-        while True:
-            start = cursor.pos  # a header's position is the start of its "<header>" line
-            line = cursor.readline()
-            if line is None:
-                return
-            if line == HEADER_OPEN:
-                break
+        found = cursor.seek_header()
+        start = cursor.pos  # a header's position is the start of its "<header>" line
+        if lost is not None:
+            yield lost | {"n_bytes": start - lost["pos"]}
+            lost = None
+        if not found:
+            return
         acq_no += 1
-        text = line
+        text, line = b"", None
         while line != HEADER_CLOSE:
             line = cursor.readline()
             if line is None:
-                yield row("reject", acq_no=acq_no, pos=start, message="stream ends inside a header")
+                yield row("reject", acq_no=acq_no, pos=start, n_bytes=cursor._end - start, message="stream ends inside a header")
                 return
             text += line
-        header_text = text.decode()
+        header_text = text.decode(errors="replace")
         try:
-            header = _parse_cached(header_text)
+            header = parse_header(header_text)
         except (ParseError, ValueError, TypeError) as exc:
-            yield row("reject", acq_no=acq_no, pos=start, message=f"bad header: {exc}")
-            return
+            lost = row("reject", acq_no=acq_no, pos=start, message=f"bad header: {exc}")
+            continue
         layout = _layout_cached(header_text, header)
         record = header.sample_bytes
         yield row(
             "header", acq_no=acq_no, pos=start, header=header_text, layout=layout, process=header.process
         )
+        at = cursor.pos
         newline = cursor.read(1)
-        if newline != b"\n":
-            yield row("reject", acq_no=acq_no, pos=cursor.pos, message="expected newline after header")
+        if newline is None:
             return
+        if newline != b"\n":
+            lost = row("reject", acq_no=acq_no, pos=at, message="expected newline after header")
+            continue
         frame_no = 0
         samples = 0
-        while True:
+        while lost is None:
             at = cursor.pos
             marker = cursor.read(4)
             if marker is None:
@@ -301,8 +325,8 @@ def _walk(conn_id: int, cursor: _Cursor, with_payload: bool) -> Iterator[dict]:
                     return
                 n = struct.unpack("<I", size)[0] - 8
                 if n < 0 or n % record:
-                    yield row("reject", acq_no=acq_no, pos=at, message=f"frame of {n} bytes is not whole records of {record}")
-                    return
+                    lost = row("reject", acq_no=acq_no, pos=at, message=f"frame of {n} bytes is not whole records of {record}")
+                    break
                 pieces = cursor.pieces(n)
                 payload = cursor.read(n) if with_payload else (b"" if cursor.skip(n) else None)
                 if payload is None:
@@ -327,15 +351,18 @@ def _walk(conn_id: int, cursor: _Cursor, with_payload: bool) -> Iterator[dict]:
                 if line is None:
                     return
                 parts = line.split(maxsplit=1)
-                reason = parts[1].decode() if len(parts) == 2 else ""
+                reason = parts[1].decode(errors="replace") if len(parts) == 2 else ""
                 if reason not in END_REASONS or not parts[0].isdigit():
-                    yield row("reject", acq_no=acq_no, pos=at, message=f"bad end record {line!r}")
-                    return
+                    lost = row("reject", acq_no=acq_no, pos=at, message=f"bad end record {line!r}")
+                    break
                 yield row("end", acq_no=acq_no, pos=at, samples=int(parts[0]), reason=reason, n_rows=samples)
                 break
             else:
-                yield row("reject", acq_no=acq_no, pos=at, message=f"bad marker {marker!r}")
-                return
+                lost = row("reject", acq_no=acq_no, pos=at, message=f"bad marker {marker!r}")
+
+
+#: Payload bytes of one output frame of the walk, about.
+WALK_BYTES = 32 << 20
 
 
 def _walker(with_payload: bool):
@@ -347,14 +374,16 @@ def _walker(with_payload: bool):
                     yield rec.conn_id, (rec.chunk_no, rec.size, getattr(rec, "path", None), rec.data if has_data else None)
 
         out: list[dict] = []
+        held = 0
         for conn_id, group in itertools.groupby(rows(), key=lambda r: r[0]):
             cursor = _Cursor(item for _, item in group)
             for rec in _walk(int(conn_id), cursor, with_payload):
                 out.append(rec)
-                if len(out) >= 4096:
+                held += len(rec["payload"] or b"")
+                if len(out) >= 4096 or held >= WALK_BYTES:
                     yield pd.DataFrame(out, columns=INDEX_SCHEMA.names)
-                    out = []
-            for _ in cursor._it:  # drain chunks after a reject or cut
+                    out, held = [], 0
+            for _ in cursor._it:  # drain chunks after a cut
                 pass
         if out:
             yield pd.DataFrame(out, columns=INDEX_SCHEMA.names)
@@ -396,7 +425,7 @@ class PieceReader:
             handle = self._handles.get(p["path"])
             if handle is None:
                 if len(self._handles) >= self._max:
-                    self._handles.clear()
+                    self._handles.pop(next(iter(self._handles)))  # the oldest
                 filesystem, inner = _filesystem(p["path"])
                 handle = filesystem.open_input_file(inner)
                 self._handles[p["path"]] = handle

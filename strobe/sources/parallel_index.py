@@ -17,9 +17,12 @@ followed (after one newline) by the next marker. So:
    would find; acquisition numbers, frame numbers and sample bases come from
    skew-safe ordered scans.
 
-Chunk files must have one size per connection (the last may be shorter), as
-``write_chunks`` produces; the byte range of a payload then maps to files
-arithmetically.
+That needs chunk files of one size per connection (the last may be shorter),
+as ``write_chunks`` produces, so that the byte range of a payload maps to files
+arithmetically. ``index_archive_files`` takes this route only where that holds,
+and walks a connection again from the start where the route met anything that
+it could not read: bytes that are no message, or text that runs further past a
+chunk than it looks ahead. So every archive gets the rows of the walk.
 """
 
 from __future__ import annotations
@@ -236,8 +239,9 @@ def index_chunks_parallel(listing: DataFrame, lookahead: int = LOOKAHEAD) -> Dat
     placed = ordered_scan(lst, ["conn_id"], ["chunk_no"], out="start", weight="size")
     # the following chunk files covering ``lookahead`` bytes, for lengths and
     # text lines that cross a chunk's end (one or two files at MB-sized chunks)
-    smallest = placed.agg(F.min("size")).collect()[0][0] or 1
-    ahead = max(1, min(4096, -(-lookahead // max(1, int(smallest))) + 1))
+    # (the last file of a connection may be shorter, the others have one size)
+    smallest = placed.groupBy("conn_id").agg(F.max("size").alias("s")).agg(F.min("s")).collect()[0][0] or 1
+    ahead = max(1, -(-lookahead // max(1, int(smallest))) + 1)
     follow = placed.select(
         "conn_id", F.explode(F.sequence(F.col("chunk_no") - ahead, F.col("chunk_no") - 1)).alias("chunk_no"),
         (F.col("chunk_no")).alias("nno"), F.col("path").alias("npath"), F.col("size").alias("nsize"),
@@ -421,34 +425,34 @@ def _index_rows(true: DataFrame, placed: DataFrame) -> DataFrame:
 
 
 DEFAULT_PARALLEL_ABOVE = 256
+#: Smallest chunk for which looking ahead over the following files pays.
+MIN_CHUNK_BYTES = 4096
 
 
-def index_archive_files(listing: DataFrame, parallel_above: int | None = None) -> DataFrame:
-    """Frame index of an archive listing, choosing per connection: the
-    sequential walk for connections of at most ``parallel_above`` chunk files
-    (``strobe.index.parallelAboveChunks``, default 256) -- cheap and one task
-    each -- and the parallel index for larger ones, so no connection's walk is
-    longer than that many files. Both give the same rows."""
-    from strobe.sources.dumps import index_chunks
+def index_archive_files(listing: DataFrame, parallel_above: int | None = None, min_chunk: int = MIN_CHUNK_BYTES) -> DataFrame:
+    """Frame index of an archive listing.
+
+    Connections of more than ``parallel_above`` chunk files
+    (``strobe.index.parallelAboveChunks``, default 256), of one size and
+    numbered without gaps, are indexed in parallel over their files; all others
+    are walked, one task each. A connection where the parallel index rejects
+    anything is walked as well, so the rows never depend on the route.
+    """
+    from strobe.sources.dumps import index_chunks, materialize_index
 
     spark = listing.sparkSession
-    limit = parallel_above or int(spark.conf.get("strobe.index.parallelAboveChunks", str(DEFAULT_PARALLEL_ABOVE)))
-    counts = listing.groupBy("conn_id").agg(F.count(F.lit(1)).alias("n_chunks"))
-    lo, hi = counts.agg(F.min("n_chunks"), F.max("n_chunks")).collect()[0]
-    if hi is None:
-        return spark.createDataFrame([], INDEX_SCHEMA)
-    parts = []
-    if hi <= limit:
-        parts.append(index_chunks(listing))
-    elif lo > limit:
-        parts.append(index_chunks_parallel(listing))
-    else:
-        sized = listing.join(counts, "conn_id")
-        parts.append(index_chunks(sized.where(F.col("n_chunks") <= limit).drop("n_chunks")))
-        parts.append(index_chunks_parallel(sized.where(F.col("n_chunks") > limit).drop("n_chunks")))
-    if not parts:
-        return spark.createDataFrame([], INDEX_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    limit = int(spark.conf.get("strobe.index.parallelAboveChunks", str(DEFAULT_PARALLEL_ABOVE))) if parallel_above is None else parallel_above
+    n = F.count(F.lit(1))
+    shape = listing.groupBy("conn_id").agg(
+        (
+            (n > limit) & (F.max("size") >= min_chunk) & (F.max("chunk_no") - F.min("chunk_no") + 1 == n)
+            & (F.sum("size") == F.max("size") * (n - 1) + F.max_by("size", "chunk_no"))
+        ).alias("regular")
+    )
+    regular = shape.where("regular").select("conn_id")
+    if regular.isEmpty():
+        return index_chunks(listing)
+    parallel = materialize_index(index_chunks_parallel(listing.join(regular, "conn_id", "left_semi")))
+    again = parallel.where("kind = 'reject'").select("conn_id").distinct()
+    walked = listing.join(regular.join(again, "conn_id", "left_anti"), "conn_id", "left_anti")
+    return parallel.join(again, "conn_id", "left_anti").select(*INDEX_SCHEMA.names).unionByName(index_chunks(walked))

@@ -72,7 +72,14 @@ STATE_SCHEMA = T.StructType(
 
 
 class PushParser:
-    """Incremental parser: ``feed(bytes)`` returns the messages completed so far."""
+    """Incremental parser: ``feed(bytes)`` returns the messages completed so far.
+
+    ``feed`` scans one buffer by position and cuts it once at the end, so a
+    feed is linear in its bytes. What cannot be read as a message becomes a
+    reject, and the parser goes on at the next ``<header>`` line; the reject
+    is reported there, with the bytes that were passed over. After
+    ``max_acquisitions`` nothing more is kept.
+    """
 
     def __init__(self, state: dict | None = None, max_acquisitions: int = 0):
         s = state or {}
@@ -94,106 +101,108 @@ class PushParser:
             "frame_no": self.frame_no, "samples": self.samples,
         }
 
-    def _line(self) -> bytes | None:
-        cut = self.pending.find(b"\n")
-        if cut < 0:
-            return None
-        line, self.pending = self.pending[:cut], self.pending[cut + 1 :]
-        return line
-
     def feed(self, data: bytes) -> list[dict]:
-        self.pending += data
+        if self.phase == "stopped":
+            self.pending = b""
+            return []
+        buf = self.pending + data if self.pending else bytes(data)
         out: list[dict] = []
-        while self.phase not in ("stopped", "failed"):
-            step = self._step()
-            if step is None:
+        at = 0
+        while self.phase != "stopped":
+            to = getattr(self, "_" + self.phase)(buf, at, out)
+            if to is None:
                 break
-            out.extend(step)
+            at = to
+        self.pending = b"" if self.phase == "stopped" else buf[at:]
         return out
 
-    def _row(self, kind: str, **kw) -> dict:
-        return {"kind": kind, "acq_no": self.acq_no, **kw}
+    def _reject(self, out: list[dict], message: str) -> None:
+        out.append({"kind": "reject", "acq_no": self.acq_no, "message": message})
+        self.phase = "seek"
 
-    def _step(self) -> list[dict] | None:
-        if self.phase == "ready":
-            line = self._line()
-            if line is None:
-                return None
-            if line != READY_LINE:
-                self.phase = "failed"
-                return [self._row("reject", message=f"expected OK, got {line!r}")]
-            self.phase = "header_start"
-            return []
-        if self.phase == "header_start":
-            line = self._line()
-            if line is None:
-                return None
-            if line == HEADER_OPEN:
-                self.header = line.decode()
-                self.phase = "header_body"
-            return []
-        if self.phase == "header_body":
-            line = self._line()
-            if line is None:
-                return None
-            self.header += line.decode()
-            if line != HEADER_CLOSE:
-                return []
-            self.acq_no += 1
-            try:
-                h = parse_header(self.header)
-            except Exception as exc:  # noqa: BLE001 - any malformed header is a reject
-                self.phase = "failed"
-                return [self._row("reject", message=f"bad header: {exc}")]
-            self.layout, self.process, self.record = fields_to_json(h.fields), h.process, h.sample_bytes
-            self.frame_no, self.samples = 0, 0
-            self.phase = "header_end"
-            return [self._row("header", header=self.header, layout=self.layout, process=self.process)]
-        if self.phase == "header_end":
-            if len(self.pending) < 1:
+    # Each phase looks at buf from ``at`` on and returns where the next one
+    # starts, or None while its message is not complete.
+
+    def _ready(self, buf: bytes, at: int, out: list[dict]) -> int | None:
+        cut = buf.find(b"\n", at)
+        if cut < 0:
+            return None
+        self.phase = "seek"
+        if buf[at:cut] != READY_LINE:
+            self._reject(out, f"expected OK, got {buf[at:cut]!r}")
+        return cut + 1
+
+    def _seek(self, buf: bytes, at: int, out: list[dict]) -> int | None:
+        """Pass over lines up to the next header's first one."""
+        mark = HEADER_OPEN + b"\n"
+        if buf.startswith(mark, at):
+            self.phase = "head"
+            return at
+        hit = buf.find(b"\n" + mark, at)
+        if hit >= 0:
+            self.phase = "head"
+            return hit + 1
+        # whole lines are done with; the last, open one may become a header's
+        last = buf.rfind(b"\n", at)
+        if last >= at:
+            return last + 1
+        if mark.startswith(buf[at:]) or len(buf) - at < 2:
+            return None
+        return len(buf) - 1  # the open line is none; its last byte stands for it
+
+    def _head(self, buf: bytes, at: int, out: list[dict]) -> int | None:
+        close = buf.find(b"\n" + HEADER_CLOSE + b"\n", at)
+        end = close + len(HEADER_CLOSE) + 2
+        if close < 0 or len(buf) <= end:
+            return None
+        self.acq_no += 1
+        self.header = buf[at:end].replace(b"\n", b"").decode(errors="replace")
+        try:
+            h = parse_header(self.header)
+        except Exception as exc:  # noqa: BLE001 - any malformed header is a reject
+            self._reject(out, f"bad header: {exc}")
+            return end
+        self.layout, self.process, self.record = fields_to_json(h.fields), h.process, h.sample_bytes
+        self.frame_no, self.samples, self.phase = 0, 0, "data"
+        out.append({"kind": "header", "acq_no": self.acq_no, "header": self.header, "layout": self.layout, "process": self.process})
+        if buf[end : end + 1] != b"\n":
+            self._reject(out, "expected newline after header")
+            return end
+        return end + 1
+
+    def _data(self, buf: bytes, at: int, out: list[dict]) -> int | None:
+        marker = buf[at : at + 4]
+        if len(marker) < 4:
+            return None
+        if marker == FRAME_MARKER:
+            if len(buf) < at + 8:
                 return None
-            if self.pending[:1] != b"\n":
-                self.phase = "failed"
-                return [self._row("reject", message="expected newline after header")]
-            self.pending = self.pending[1:]
-            self.phase = "data"
-            return []
-        if self.phase == "data":
-            if len(self.pending) < 4:
+            total = struct.unpack_from("<I", buf, at + 4)[0]
+            if total < 8 or self.record <= 0 or (total - 8) % self.record:
+                self._reject(out, f"frame of {total - 8} bytes is not whole records of {self.record}")
+                return at + 8
+            if len(buf) < at + total:
                 return None
-            marker = self.pending[:4]
-            if marker == FRAME_MARKER:
-                if len(self.pending) < 8:
-                    return None
-                total = struct.unpack("<I", self.pending[4:8])[0]
-                if len(self.pending) < total:
-                    return None
-                payload, self.pending = self.pending[8:total], self.pending[total:]
-                if self.record <= 0 or len(payload) % self.record:
-                    self.phase = "failed"
-                    return [self._row("reject", message="frame is not whole records")]
-                n = len(payload) // self.record
-                row = self._row("frame", frame_no=self.frame_no, first_sample=self.samples, n_rows=n,
-                                layout=self.layout, process=self.process, payload=payload)
-                self.frame_no += 1
-                self.samples += n
-                return [row]
-            if marker == END_MARKER:
-                cut = self.pending.find(b"\n")
-                if cut < 0:
-                    return None
-                line, self.pending = self.pending[4:cut], self.pending[cut + 1 :]
-                parts = line.split(maxsplit=1)
-                reason = parts[1].decode() if len(parts) == 2 else ""
-                if reason not in END_REASONS or not parts[0].isdigit():
-                    self.phase = "failed"
-                    return [self._row("reject", message=f"bad end record {line!r}")]
-                row = self._row("end", samples=int(parts[0]), reason=reason, n_rows=self.samples)
-                self.phase = "stopped" if self.max_acq and self.acq_no >= self.max_acq else "header_start"
-                return [row]
-            self.phase = "failed"
-            return [self._row("reject", message=f"bad marker {marker!r}")]
-        return None
+            n = (total - 8) // self.record
+            out.append({
+                "kind": "frame", "acq_no": self.acq_no, "frame_no": self.frame_no, "first_sample": self.samples, "n_rows": n,
+                "layout": self.layout, "process": self.process, "payload": buf[at + 8 : at + total],
+            })
+            self.frame_no, self.samples = self.frame_no + 1, self.samples + n
+            return at + total
+        if marker != END_MARKER:
+            self._reject(out, f"bad marker {marker!r}")
+            return at + 4
+        cut = buf.find(b"\n", at)
+        if cut < 0:
+            return None
+        count, _, reason = buf[at + 4 : cut].partition(b" ")
+        if not count.isdigit() or reason.decode(errors="replace") not in END_REASONS:
+            self._reject(out, f"bad end record {buf[at + 4 : cut]!r}")
+            return cut + 1
+        out.append({"kind": "end", "acq_no": self.acq_no, "samples": int(count), "reason": reason.decode(), "n_rows": self.samples})
+        self.phase = "stopped" if self.max_acq and self.acq_no >= self.max_acq else "seek"
+        return cut + 1
 
 
 def _frame(rows: list[dict]) -> pd.DataFrame:
@@ -217,34 +226,63 @@ def _unpack_early(blob: bytes | None) -> dict[int, bytes]:
     return early
 
 
-def _reassembler(max_acquisitions: int, idle_timeout_ms: int):
+#: Rows of one output frame, at most about that many payload bytes.
+OUTPUT_BYTES = 16 << 20
+#: Bytes that may wait for a missing chunk. Beyond it the gap is reported as a
+#: reject and the stream goes on behind it, at the next header.
+EARLY_BYTES = 64 << 20
+
+
+def _reassembler(max_acquisitions: int, idle_timeout_ms: int, early_bytes: int = EARLY_BYTES):
     def run(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         conn_id = int(key[0])
+        st = dict(zip(STATE_SCHEMA.names, state.get)) if state.exists else {}
         if state.hasTimedOut:
-            st = dict(zip(STATE_SCHEMA.names, state.get))
-            state.remove()
+            # the connection may go on: its state stays, and the timer runs again
+            state.update(tuple(st[n] for n in STATE_SCHEMA.names))
+            state.setTimeoutDuration(idle_timeout_ms)
             yield _frame([{"conn_id": conn_id, "kind": "idle", "acq_no": st.get("acq_no"),
                            "message": f"no data for {idle_timeout_ms} ms"}])
             return
-        st = dict(zip(STATE_SCHEMA.names, state.get)) if state.exists else {}
         parser = PushParser(st, max_acquisitions)
         next_chunk = int(st.get("next_chunk") or 0)
         early = _unpack_early(st.get("early"))
+        rows: list[dict] = []
+        size = 0
+
+        def feed(no: int) -> None:
+            nonlocal size
+            for r in parser.feed(early.pop(no)):
+                rows.append({"conn_id": conn_id, **r})
+                size += len(r.get("payload") or b"")
+
         for pdf in batches:
             for no, data in zip(pdf["chunk_no"], pdf["data"]):
-                early[int(no)] = bytes(data)
-        rows: list[dict] = []
-        while next_chunk in early:  # feed chunks strictly in order
-            rows.extend(parser.feed(early.pop(next_chunk)))
-            next_chunk += 1
+                if int(no) >= next_chunk and parser.phase != "stopped":
+                    early[int(no)] = bytes(data)
+                while next_chunk in early:  # feed chunks strictly in order
+                    feed(next_chunk)
+                    next_chunk += 1
+                if sum(map(len, early.values())) > early_bytes:
+                    found = min(early)
+                    rows.append({"conn_id": conn_id, "kind": "reject", "acq_no": parser.acq_no,
+                                 "message": f"chunks {next_chunk} to {found - 1} are missing"})
+                    # what is pending continues in the gap; a new line may start a header
+                    parser.phase, parser.pending, next_chunk = "seek", b"", found
+                    while next_chunk in early:
+                        feed(next_chunk)
+                        next_chunk += 1
+                if size >= OUTPUT_BYTES:
+                    yield _frame(rows)
+                    rows, size = [], 0
+        if parser.phase == "stopped":
+            early = {}
         ps = parser.state()
         state.update(tuple([ps["phase"], ps["pending"], ps["header"], ps["layout"], ps["process"], ps["record"],
                             ps["acq_no"], ps["frame_no"], ps["samples"], next_chunk, _pack_early(early)]))
         if idle_timeout_ms:
             state.setTimeoutDuration(idle_timeout_ms)
         if rows:
-            for r in rows:
-                r["conn_id"] = conn_id
             yield _frame(rows)
 
     return run

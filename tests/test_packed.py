@@ -118,3 +118,19 @@ def test_word_count_check_and_wide_bits(spark):
 def test_pack_without_columns_is_an_error():
     with pytest.raises(ValueError):
         pack_row(LAYOUT, {})
+
+
+def test_packed_table_rejects(spark):
+    from strobe.operators import packed as pk
+
+    layout = [pk.TableColumn("a", "uint", 0, 15), pk.TableColumn("e", "enum", 16, 19, ("x", "y")), pk.TableColumn("b", "uint", 32, 63)]
+    rows = [(1, [1 | 1 << 16, 2]), (2, [1, 2, 3]), (3, [1 | 5 << 16, 2]), (4, []), (5, None)]
+    got = pk.table_rejects(spark.createDataFrame(rows, "k long, words array<bigint>"), "words", layout, ["k"]).collect()
+    assert sorted((r.k, r.column, r.message) for r in got if r.column is None or True) == sorted(
+        [(2, None, "3 words are no rows of 2"), (3, "e", "index 5 of 2 labels"), (5, None, "no whole words")], key=lambda r: r[0])
+    labels = pk.label_rejects(spark.createDataFrame([(1, "x"), (2, "z"), (3, None)], "k long, e string"), layout, ["k"]).collect()
+    assert [tuple(r) for r in labels] == [(2, "e", "unknown label z")]
+    lengths = spark.createDataFrame([(1, "a", 3), (1, "b", 3), (2, "a", 3), (2, "b", 2)], "k long, name string, n long")
+    assert [tuple(r) for r in pk.length_rejects(lengths, ["k"], "name", "n").collect()] == [(2, 2, 3, ["b"])]
+    texts = spark.createDataFrame([("",), ("AQAAAA==",), ("AQAA",), (None,)], "t string")
+    assert [r[0] for r in texts.select(pk.base64_to_words(texts.t)).collect()] == [[], [1], None, None]

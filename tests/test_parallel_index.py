@@ -1,12 +1,12 @@
-"""The parallel frame index equals the sequential walk, for any chunking."""
+"""Both routes of the frame index give the same rows, for any chunking."""
 
 import struct
 
 import pytest
 
 from dumpkit import SCALED_FIELDS, acquisition, fast_values, stream
-from strobe.sources.dumps import index_chunks, list_chunks, write_chunks
-from strobe.sources.parallel_index import index_chunks_parallel
+from strobe.sources.dumps import decode_index, index_chunks, list_chunks, write_chunks
+from strobe.sources.parallel_index import index_archive_files, index_chunks_parallel
 
 COLS = ["conn_id", "kind", "acq_no", "frame_no", "pos", "n_bytes", "first_sample", "n_rows", "layout", "process",
         "samples", "reason", "pieces"]
@@ -30,30 +30,92 @@ def _rows(df):
     return sorted((tuple(str(x) for x in r) for r in df.select(*COLS).collect()))
 
 
-@pytest.mark.parametrize("size", [61, 333, 4096])
-def test_parallel_index_equals_sequential_walk(spark, tmp_path, size):
+def _archive(spark, root, streams, cut):
     rows = []
-    for conn, data in _streams().items():
-        rows += [(conn, i, data[o : o + size]) for i, o in enumerate(range(0, len(data), size))]
-    chunks = spark.createDataFrame(rows, "conn_id long, chunk_no long, data binary")
+    for conn, data in streams.items():
+        at = 0
+        for i, n in enumerate(cut(len(data))):
+            rows.append((conn, i, data[at : at + n]))
+            at += n
+    write_chunks(spark.createDataFrame(rows, "conn_id long, chunk_no long, data binary"), root).collect()
+    return list_chunks(spark, root)
+
+
+def _even(size):
+    return lambda total: [min(size, total - o) for o in range(0, total, size)]
+
+
+def _uneven(total):
+    sizes = [300, 1500, 700]
+    return [*sizes, total - sum(sizes)] if total > sum(sizes) else [total]
+
+
+def _samples(spark, index):
+    dec = decode_index(index)
+    names = [x for x in dec.columns if x != "process"]
+    return sorted(tuple(map(str, r)) for r in dec.select(*[f"`{x}`" for x in names]).collect())
+
+
+@pytest.mark.parametrize("cut", [_even(61), _even(333), _even(4096), _uneven], ids=["61", "333", "4096", "uneven"])
+def test_index_routes_give_the_same_rows(spark, tmp_path, cut):
+    listing = _archive(spark, str(tmp_path / "arch"), _streams(), cut)
+    seq = index_chunks(listing)
+    routed = index_archive_files(listing, parallel_above=0, min_chunk=1)
+    assert _rows(routed) == _rows(seq)
+    assert {"frame", "header", "end", "reject"} <= {r[1] for r in _rows(seq)}
+    assert _samples(spark, routed) == _samples(spark, seq)
+
+
+def test_clean_streams_need_no_second_walk(spark, tmp_path):
+    clean = {k: v for k, v in _streams().items() if k in (0, 3)}
+    listing = _archive(spark, str(tmp_path / "arch"), clean, _even(333))
+    assert _rows(index_chunks_parallel(listing)) == _rows(index_chunks(listing))
+
+
+def test_long_text_between_acquisitions_loses_nothing(spark, tmp_path):
+    data = _streams()[0]
+    junk = b"".join(b"ignored line %d\n" % i for i in range(8000))
+    wordy = data.replace(b"END 58 Ok\n", b"END 58 Ok\n" + junk, 1)
+    blanks = data.replace(b"<fields>\n", b"<fields>\n" + b" " * 70_000 + b"\n", 1)
+    assert len(junk) > 100_000
+    listing = _archive(spark, str(tmp_path / "arch"), {0: wordy, 1: blanks, 2: data}, _even(5000))
+    rows = index_archive_files(listing, parallel_above=0).collect()
+    assert not [r for r in rows if r.kind == "reject"]
+    for conn in (0, 1, 2):
+        own = [r for r in rows if r.conn_id == conn]
+        assert sum(r.kind == "header" for r in own) == 3 and sum(r.n_rows or 0 for r in own if r.kind == "frame") == 83
+
+
+def test_walk_goes_on_at_the_next_header(spark, tmp_path):
+    listing = _archive(spark, str(tmp_path / "arch"), _streams(), _even(1000))
+    rows = index_chunks(listing).collect()
+    for conn in (1, 2):
+        own = [r for r in rows if r.conn_id == conn]
+        assert sum(r.kind == "header" for r in own) == 3
+        (reject,) = [r for r in own if r.kind == "reject"]
+        after = min(r.pos for r in own if r.kind == "header" and r.pos > reject.pos)
+        assert reject.pos + reject.n_bytes == after and reject.acq_no == 1
+
+
+def test_conversion_lists_what_it_could_not_read(spark, tmp_path):
+    from strobe.operators.convert import convert_archive
+
     root = str(tmp_path / "arch")
-    write_chunks(chunks, root).collect()
-    listing = list_chunks(spark, root)
-    seq = _rows(index_chunks(listing))
-    par = _rows(index_chunks_parallel(listing))
-    assert par == seq
-    kinds = {r[1] for r in seq}
-    assert {"frame", "header", "end", "reject"} <= kinds
+    _archive(spark, root, {0: _streams()[0], 1: _streams()[1]}, _even(1000))
+    done = convert_archive(spark, root, str(tmp_path / "out"), check_overrun=False)
+    (reject,) = done.rejects.collect()
+    assert reject.conn_id == 1 and reject.lost_bytes == done.lost_bytes > 0
+    assert done.samples == 83 + 25  # of connection 1 the acquisitions behind the reject
+    with pytest.raises(ValueError, match="unreadable"):
+        convert_archive(spark, root, str(tmp_path / "out2"), check_overrun=False, fail_on_rejects=True)
 
 
 def test_mixed_archive_routes_per_connection(spark, tmp_path):
-    from strobe.sources.parallel_index import index_archive_files
-
     data = _streams()[0]
     rows = [(0, i, data[o : o + 100]) for i, o in enumerate(range(0, len(data), 100))]
     rows += [(1, i, data[o : o + 4000]) for i, o in enumerate(range(0, len(data), 4000))]
     root = str(tmp_path / "arch")
     write_chunks(spark.createDataFrame(rows, "conn_id long, chunk_no long, data binary"), root).collect()
     listing = list_chunks(spark, root)
-    mixed = _rows(index_archive_files(listing, parallel_above=10))  # conn 0 parallel, conn 1 sequential
+    mixed = _rows(index_archive_files(listing, parallel_above=10, min_chunk=50))  # conn 0 parallel, conn 1 walked
     assert mixed == _rows(index_chunks(listing))

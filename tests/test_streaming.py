@@ -4,6 +4,7 @@ import datetime
 import os
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from dumpkit import SCALED_FIELDS, acquisition, fast_values, stream
 from strobe.functions.columns import c
 from strobe.sources.dumps import decode_index, index_chunks
 from strobe.streaming.changes import latest_values_stream
-from strobe.streaming.reassembly import PushParser, decode_stream, reassemble_stream
+from strobe.streaming.reassembly import PushParser, _reassembler, decode_stream, reassemble_stream
 from strobe.streaming.windows import windowed_capture_modes
 
 CHUNK_SCHEMA = "conn_id long, chunk_no long, data binary"
@@ -57,6 +58,82 @@ def test_push_parser_any_cut():
     assert sum(r.get("n_rows") or 0 for r in whole if r["kind"] == "frame") == 83
 
 
+def test_push_parser_goes_on_behind_rejects():
+    data = _data()
+    bad = data.replace(b"BIN ", b"BAD ", 2)
+    for size in (5, 64, 1 << 20):
+        p, rows = PushParser(), []
+        for o in range(0, len(bad), size):
+            rows += p.feed(bad[o : o + size])
+        kinds = [r["kind"] for r in rows]
+        assert kinds.count("header") == 3 and kinds.count("reject") == 1
+        assert sum(r["n_rows"] for r in rows if r["kind"] == "frame" and r["acq_no"] > 1) == 25
+
+
+def test_push_parser_keeps_nothing_after_the_stop():
+    p = PushParser(max_acquisitions=1)
+    p.feed(_data())
+    assert p.phase == "stopped" and p.pending == b""
+    assert p.feed(b"x" * 5000) == [] and p.pending == b""
+
+
+def test_push_parser_is_linear_in_a_large_chunk():
+    data = stream(acquisition(SCALED_FIELDS, fast_values(), [58], end=None))
+    head = data[: data.find(b"BIN ")]
+    record = (data[data.find(b"BIN ") :])[8:60]
+    frame = b"BIN " + (8 + 2 * len(record)).to_bytes(4, "little") + record * 2
+    big = head + frame * ((8 << 20) // len(frame))
+    t = time.time()
+    rows = PushParser().feed(big)
+    assert len(rows) == 1 + (8 << 20) // len(frame)
+    assert time.time() - t < 5
+
+
+class _State:
+    """Group state as a user function sees it."""
+
+    def __init__(self):
+        self.value, self.exists, self.hasTimedOut, self.timer = None, False, False, None
+
+    @property
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value, self.exists = value, True
+
+    def remove(self):
+        self.value, self.exists = None, False
+
+    def setTimeoutDuration(self, ms):
+        self.timer = ms
+
+
+def test_idle_event_keeps_the_state():
+    data, state = _data(), _State()
+    run = _reassembler(0, 500)
+    feed = lambda no, part: [r for f in run((7,), iter([pd.DataFrame({"chunk_no": [no], "data": [part]})]), state) for r in f.to_dict("records")]
+    rows = feed(0, data[:700])
+    state.hasTimedOut, state.timer = True, None
+    (idle,) = [r for f in run((7,), iter([]), state) for r in f.to_dict("records")]
+    assert idle["kind"] == "idle" and state.exists and state.timer == 500
+    state.hasTimedOut = False
+    rows += feed(1, data[700:])
+    whole = PushParser().feed(data)
+    assert [(r["kind"], r["acq_no"]) for r in rows] == [(r["kind"], r["acq_no"]) for r in whole]
+
+
+def test_missing_chunk_is_reported_and_passed_over():
+    data, state = _data(), _State()
+    run = _reassembler(0, 0, early_bytes=1000)
+    parts = [data[o : o + 600] for o in range(0, len(data), 600)]
+    frame = pd.DataFrame({"chunk_no": [i for i in range(len(parts)) if i != 1], "data": [p for i, p in enumerate(parts) if i != 1]})
+    rows = [r for f in run((7,), iter([frame]), state) for r in f.to_dict("records")]
+    (reject,) = [r for r in rows if r["kind"] == "reject"]
+    assert reject["message"] == "chunks 1 to 1 are missing"
+    assert {r["acq_no"] for r in rows if r["kind"] == "header"} >= {1, 2}
+
+
 @pytest.mark.parametrize("max_files,size", [(1, 97), (3, 1000)])
 def test_stream_equals_batch(spark, tmp_path, max_files, size):
     data = _data()
