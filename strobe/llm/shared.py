@@ -54,10 +54,8 @@ def connected_components(edges: DataFrame, purpose: str = "components") -> DataF
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(),
         purpose,
     )
-    if now.isEmpty():
-        return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    while True:
-        both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    while not _stars(now):
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # larger neighbours of each node hang on its smallest neighbour
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -70,12 +68,13 @@ def connected_components(edges: DataFrame, purpose: str = "components") -> DataF
             .where("u <> v")
             .distinct()
         )
-        after = materialise(small, purpose)
-        # stars: every child has one parent, and no parent is a child
-        worst = after.groupBy("u").count().where("count > 1").limit(1).count()
-        if not worst and not after.join(after.select(F.col("u").alias("v")).distinct(), "v", "left_semi").limit(1).count():
-            roots = after.select("v").distinct()
-            return after.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-                roots.select(F.col("v").alias("node"), F.col("v").alias("root"))
-            )
-        now = after
+        now = materialise(small, purpose)
+    pair = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("root")), F.struct(F.col("v").alias("node"), F.col("v").alias("root")))
+    return now.select(F.explode(pair).alias("e")).select("e.node", "e.root").distinct()
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every child has one parent and no parent is a child."""
+    twice = edges.groupBy("u").agg(F.min("v").alias("x"), F.max("v").alias("y")).where("x < y").select("u")
+    middle = edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").select("u")
+    return twice.unionByName(middle).isEmpty()

@@ -44,10 +44,10 @@ WINDOW = 13
 #: Words of the sequences that minimizers are chosen from.
 CORE = 5
 BLOCK_BYTES = 1 << 20
-#: Input bytes that one bucket stands for.
-BUCKET_BYTES = 2 << 20
+#: Bytes of text that one bucket stands for.
+BUCKET_BYTES = 4 << 20
 NO_OWNER = np.iinfo(np.int64).max
-BLOCK_SCHEMA = "block long, ids binary, data binary, bounds binary"
+BLOCK_SCHEMA = "block long, size long, ids binary, data binary, bounds binary"
 RUN_SCHEMA = "bucket int, block long, core binary, size binary, owner binary, place binary, prints binary, sides binary"
 PIECE_SCHEMA = "block long, run binary, offset binary, length binary, owner binary, place binary, linked binary"
 SPAN = "array<struct<start:long,length:long,owner:long,owner_start:long>>"
@@ -69,11 +69,12 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int64()),
+                    pa.array([len(c.data)], pa.int64()),
                     pa.array([values[c.rows].tobytes()]),
                     pa.array([pack.compress(c.data.tobytes())]),
                     pa.array([c.bounds.astype(np.int64).tobytes()]),
                 ],
-                ["block", "ids", "data", "bounds"],
+                ["block", "size", "ids", "data", "bounds"],
             )
             number += 1
 
@@ -437,10 +438,10 @@ def dedup_spans(docs: DataFrame, k: int = WINDOW, buckets: int | None = None) ->
     and spans (removed runs of words with their owner's coordinates)."""
     spark = docs.sparkSession
     small_batches(spark)
-    if buckets is None:
-        size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-        buckets = min(1 << 20, max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES))
     blocks = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_blocks, BLOCK_SCHEMA), "substring-blocks")
+    if buckets is None:
+        size = blocks.agg(F.coalesce(F.sum("size"), F.lit(0))).collect()[0][0]
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
     runs = blocks.mapInArrow(_send_runs(buckets, k), RUN_SCHEMA)
     pieces = runs.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_answer(buckets), PIECE_SCHEMA)
     answers = pieces.groupBy("block").agg(F.collect_list(F.struct("run", "offset", "length", "owner", "place", "linked")).alias("answers"))
