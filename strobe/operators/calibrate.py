@@ -38,11 +38,11 @@ def calibration_expr(field: FieldSpec, raw: bool, columns: list[str]) -> Column:
     if raw and field.capture == "Mean":
         gate = c(gate_column(columns))
         return np_divide(x.cast("double") * F.lit(field.scale), gate) + F.lit(field.offset)
-    if raw and field.needs_calibration:
-        return x.cast("double") * F.lit(field.scale) + F.lit(field.offset)
-    if raw and field.scale is not None and field.offset is not None:
-        return x.cast("double")
-    return x
+    if not raw or field.linear is None:
+        return x
+    scale, offset = field.linear
+    value = x.cast("double")
+    return value if (scale, offset) == (1, 0) else value * F.lit(scale) + F.lit(offset)
 
 
 def calibrate(
