@@ -143,6 +143,15 @@ def test_blocks_of_the_benchmark_agree(spark, make_docs, monkeypatch):
     assert decontamination.drop_leaks(docs, empty).count() == 18
 
 
+def test_recall_does_not_depend_on_the_size_of_the_benchmark(spark, make_docs):
+    rng = random.Random(10)
+    own = [a + b + c for a in VOCABULARY for b in VOCABULARY for c in ("", "e")]
+    items = [(i, prose(rng, 38, own)) for i in range(1200)]
+    docs = make_docs([(i, prose(rng, 40, own) + " " + t + " " + prose(rng, 40, own)) for i, t in items])
+    found = decontamination.flag_documents(docs, spark.createDataFrame(items, "item_id long, text string"), text=False).collect()
+    assert {r.doc_id: r[decontamination.ITEM_COLUMN] for r in found} == {i: i for i, _ in items}
+
+
 def test_subsequence_against_dynamic_programming():
     rng = random.Random(9)
     for _ in range(50):
