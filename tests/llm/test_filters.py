@@ -152,6 +152,25 @@ def test_recall_does_not_depend_on_the_size_of_the_benchmark(spark, make_docs):
     assert {r.doc_id: r[decontamination.ITEM_COLUMN] for r in found} == {i: i for i, _ in items}
 
 
+def test_copies_of_short_and_long_items(spark, make_docs, monkeypatch):
+    rng = random.Random(11)
+    common = [a + b for a in VOCABULARY[:10] for b in VOCABULARY[:10]]
+    rare = [a + b + "u" for a in VOCABULARY for b in VOCABULARY]
+    items = [(i, prose(rng, n, common + rare)) for i, n in enumerate([5, 5, 9, 15, 16, 40, 64, 65, 300, 300, 1000, 1000])]
+    items.append((12, prose(rng, 5, common)))
+    clean = [(100 + i, prose(rng, 300, common + rare)) for i in range(60)]
+    docs = make_docs([(i, prose(rng, 200, rare) + " " + t + " " + prose(rng, 207, rare)) for i, t in items] + clean)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = {i: i for i, _ in items} | {i: None for i, _ in clean}
+    found = decontamination.flag_documents(docs, benchmark).collect()
+    assert {r.doc_id: r[decontamination.ITEM_COLUMN] for r in found} == want
+    # several blocks and passes
+    monkeypatch.setattr(decontamination, "ITEMS", 30)
+    monkeypatch.setattr(decontamination, "SPACES", 2)
+    found = decontamination.flag_documents(docs, benchmark, text=False).collect()
+    assert {r.doc_id: r[decontamination.ITEM_COLUMN] for r in found} == want
+
+
 def test_subsequence_against_dynamic_programming():
     rng = random.Random(9)
     for _ in range(50):
