@@ -200,3 +200,16 @@ def test_license_notices(spark, make_docs):
     worded = next(r for r in got if r.doc_id == 10 and r.license == "MIT")
     assert worded.added == "terms of the" and not worded.exact
     assert licenses.scan_licenses(make_docs([])).count() == 0
+
+
+def test_notices_among_other_legal_lines(spark, make_docs):
+    header = "Copyright (c) 2019 Jane Doe <jane@example.org>. All rights reserved.\n"
+    warranty = "The software is provided as is, without warranty of any kind, express or implied.\n"
+    mit, isc, cc, apache = (licenses.TEMPLATES[k][0] + "\n" for k in ("MIT", "ISC", "CC-BY-4.0", "Apache-2.0"))
+    legal = [f"Copyright (c) {1990 + i} holder number {i}.\nNo license is given for part {i} of the redistributable files.\n" for i in range(8)]
+    rows = [(1, header + mit + warranty), (2, "".join(legal[:4]) + mit + "".join(legal[4:])), (3, mit + header + isc + cc + apache + "This work is licensed under the GNU General Public License, version 2.")]
+    got = licenses.scan_licenses(make_docs(rows)).collect()
+    assert {(r.doc_id, r.license) for r in got} == {(1, "MIT"), (2, "MIT"), *((3, k) for k in ("MIT", "ISC", "CC-BY-4.0", "Apache-2.0", "GPL-2.0"))}
+    assert all(r.exact for r in got)
+    texts = dict(rows)
+    assert [texts[r.doc_id][r.start : r.start + r.length].strip() for r in got if r.license == "MIT"] == [mit.strip()] * 3
