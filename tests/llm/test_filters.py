@@ -1,6 +1,7 @@
 """Quality rules, toxicity, decontamination, licenses."""
 
 import random
+import textwrap
 
 import numpy as np
 import pytest
@@ -213,3 +214,13 @@ def test_notices_among_other_legal_lines(spark, make_docs):
     assert all(r.exact for r in got)
     texts = dict(rows)
     assert [texts[r.doc_id][r.start : r.start + r.length].strip() for r in got if r.license == "MIT"] == [mit.strip()] * 3
+
+
+def test_every_template_matches_its_own_text():
+    scanner = licenses.Scanner()
+    for name, texts in licenses.TEMPLATES.items():
+        for i, text in enumerate(texts):
+            for given in (text, f"Some words first. {text} And some prose after it. More of it."):
+                assert [(r[2], r[3], r[8]) for r in scanner.scan(given)] == [(name, i, True)], given
+            wrapped = "\n".join(textwrap.wrap(text, 60))
+            assert [(r[2], r[3], r[8]) for r in scanner.scan(wrapped)] == [(name, i, True)], wrapped
