@@ -9,13 +9,16 @@ padded to columns.
 
 Defined results: null or empty pages render as an empty text; broken markup
 never fails; elements nested deeper than DEPTH are laid out at that depth,
-with their text; rows that repeat an id are rendered each.
+with their visible text; all options of a list are shown; of a drawing, its
+texts, each on a line; rows that repeat an id are rendered each.
 """
 
 from __future__ import annotations
 
+import functools
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,17 +29,26 @@ DEPTH = 120
 
 #: Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head script style template noscript title iframe object audio video canvas datalist svg math select option".split())
+UNSEEN = frozenset("head script style template noscript title iframe object audio video canvas datalist annotation annotation-xml".split())
+#: Of a drawing, elements with text, and those that are drawn by reference only.
+DRAWN = frozenset("text foreignobject".split())
+UNDRAWN = frozenset("defs desc metadata symbol clippath mask pattern marker".split())
 RAW = frozenset("script style title textarea xmp iframe noscript template".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol p pre section summary table tbody td tfoot th thead "
     "tr ul caption hr".split()
 )
+#: Besides blocks, elements that end an open drawing.
+BREAKOUT = frozenset("b big br code em embed font i img nobr s small span strike strong sub sup tt u var".split())
+#: On lines of their own as well, though paragraphs may hold them.
+LINES = frozenset("option optgroup".split())
 #: Blocks set off by an empty line.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure hr".split())
 #: An opening tag ends these open elements, up to the given scope.
 IMPLIED = {
+    "option": (frozenset(["option"]), frozenset(["select", "datalist"])),
+    "optgroup": (frozenset(["option", "optgroup"]), frozenset(["select", "datalist"])),
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu", "dir"])),
     "dt": (frozenset(["dt", "dd"]), frozenset(["dl"])),
     "dd": (frozenset(["dt", "dd"]), frozenset(["dl"])),
@@ -56,84 +68,151 @@ _TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.S,
 )
-_HIDDEN = re.compile(
-    r"(?:^|[\s\"'])hidden(?=$|[\s=/])|style\s*=\s*[\"']?[^\"'>]*(?:display\s*:\s*none|visibility\s*:\s*hidden)|type\s*=\s*[\"']?hidden", re.I
-)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
-_START = re.compile(r"start\s*=\s*[\"']?(\d{1,9})", re.I)
+_START = re.compile(r"\s*(\d{1,9})")
+
+
+def attributes(raw: str) -> dict[str, str]:
+    """Values by lower-case name; the first of a name counts."""
+    out: dict[str, str] = {}
+    for name, double, single, bare in _ATTRIBUTE.findall(raw):
+        out.setdefault(name.lower(), html.unescape(double or single or bare))
+    return out
+
+
+def _unseen(tag: str, attrs: dict[str, str]) -> bool:
+    """Whether an element's name or attributes hide it."""
+    if tag in UNSEEN or "hidden" in attrs or (tag == "input" and attrs.get("type", "").lower() == "hidden"):
+        return True
+    style = {}
+    for part in attrs.get("style", "").lower().split(";"):
+        name, _, value = part.partition(":")
+        style[name.strip()] = value.replace("!important", "").strip()
+    return style.get("display") == "none" or style.get("visibility") == "hidden"
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "hidden")
+    """An element; drawing: whether it is within one, mute: whether its own
+    texts are not shown there."""
+
+    __slots__ = ("tag", "attrs", "children", "hidden", "drawing", "mute")
 
-    def __init__(self, tag: str, attrs: str = "", hidden: bool = False):
-        self.tag, self.attrs, self.hidden, self.children = tag, attrs, hidden, []
+    def __init__(self, tag: str, attrs: dict[str, str] | None = None, hidden: bool = False):
+        self.tag, self.attrs, self.hidden, self.children = tag, attrs or {}, hidden, []
+        self.drawing = self.mute = False
+
+    def within(self, parent: Node) -> None:
+        self.drawing = self.tag == "svg" or (parent.drawing and parent.tag != "foreignobject")
+        self.mute = self.drawing and self.tag not in DRAWN and (self.tag == "svg" or parent.mute)
+        self.hidden = self.hidden or (self.drawing and self.tag in UNDRAWN)
+
+
+class Open:
+    """The open elements, with the places of each tag, so that a page of any
+    depth is read in linear time."""
+
+    def __init__(self) -> None:
+        self.nodes = [Node("html")]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, at: int) -> None:
+        """End the elements from a place on."""
+        while len(self.nodes) > at:
+            self.places[self.nodes.pop().tag].pop()
+
+    def last(self, tags) -> int:
+        """Place of the innermost element of some tags, 0 for none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def first_after(self, tags, place: int) -> int:
+        """Place of the outermost element of some tags beyond a place."""
+        found = (own[bisect_right(own, place)] for t in tags if (own := self.places.get(t)) and own[-1] > place)
+        return min(found, default=0)
 
 
 def parse(page: str) -> Node:
     """Tree of a page; children are nodes and texts."""
-    root = Node("html")
-    stack = [root]
+    stack = Open()
+    root = stack.nodes[0]
     at, size = 0, len(page)
     while at < size:
         m = _TOKEN.match(page, at)
         at = m.end()
         kind = m.lastgroup
+        top = stack.nodes[-1]
         if kind == "text":
-            stack[-1].children.append(html.unescape(m["text"]) if "&" in m["text"] else m["text"])
+            if not top.mute:
+                top.children.append(html.unescape(m["text"]) if "&" in m["text"] else m["text"])
         elif kind == "cdata":
-            stack[-1].children.append(m["cdata"])
+            if not top.mute:
+                top.children.append(m["cdata"])
         elif m["open"]:
-            tag, attrs = m["open"].lower(), m["attrs"] or ""
-            if tag in ("html", "body") and len(stack) > 1 and tag in (n.tag for n in stack):
+            tag, raw = m["open"].lower(), m["attrs"] or ""
+            if tag in ("html", "body") and len(stack.nodes) > 1 and (tag == "html" or stack.places.get(tag)):
                 continue
             _imply(stack, tag)
-            node = Node(tag, attrs, tag in UNSEEN or bool(attrs and _HIDDEN.search(attrs)))
-            stack[-1].children.append(node)
-            if tag in RAW and not attrs.endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>?", re.I).search(page, at)
+            top = stack.nodes[-1]
+            attrs = attributes(raw) if raw else {}
+            node = Node(tag, attrs, _unseen(tag, attrs))
+            node.within(top)
+            if tag == "optgroup" and attrs.get("label"):
+                node.children.append(attrs["label"])
+            leaf = tag in RAW or tag in VOID or raw.endswith("/")
+            if leaf or len(stack.nodes) < DEPTH:
+                top.children.append(node)
+            elif not node.hidden:
+                # laid out as part of the element at that depth
+                if tag in BLOCKS or tag in LINES:
+                    top.children.append(Node("div"))
+                top.children += node.children
+                node.children = top.children
+            if tag in RAW and not raw.endswith("/"):
+                end = _raw_end(tag).search(page, at)
                 if tag == "textarea":
                     node.children.append(html.unescape(page[at : end.start() if end else size]))
                 at = end.end() if end else size
-            elif tag not in VOID and not attrs.endswith("/") and len(stack) < DEPTH:
-                stack.append(node)
+            elif not leaf:
+                stack.push(node)
         elif m["close"]:
             _close(stack, m["close"].lower())
     return root
 
 
-def _imply(stack: list[Node], tag: str) -> None:
+@functools.cache
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}\s*>?", re.I)
+
+
+def _imply(stack: Open, tag: str) -> None:
     """End the open elements that an opening tag ends."""
+    if stack.nodes[-1].drawing and (tag in BLOCKS or tag in BREAKOUT):
+        drawing = stack.first_after(["svg"], stack.last(["foreignobject"]))
+        if drawing:
+            stack.cut(drawing)
     if tag in BLOCKS:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag == "p":
-                del stack[i:]
-                break
-            if stack[i].tag in SCOPES:
-                break
+        p = stack.last(["p"])
+        if p > stack.last(SCOPES):
+            stack.cut(p)
         # what a page's head cannot hold begins its body
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag == "head":
-                del stack[i:]
-                break
-    ends, scope = IMPLIED.get(tag, ((), ()))
-    cut = None
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in scope:
-            break
-        if stack[i].tag in ends:
-            cut = i
-    if cut is not None:
-        del stack[cut:]
-
-
-def _close(stack: list[Node], tag: str) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag == tag:
-            del stack[i:]
-            return
-        if stack[i].tag in SCOPES and tag not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html") and stack[i].tag != tag:
-            return
+        head = stack.last(["head"])
+        if head:
+            stack.cut(head)
+    if tag in IMPLIED:
+        ends, scope = IMPLIED[tag]
+        cut = stack.first_after(ends, stack.last(scope))
+        if cut:
+            stack.cut(cut)
+
+
+def _close(stack: Open, tag: str) -> None:
+    at = stack.last([tag])
+    if at and (tag in ("table", "tr", "tbody", "thead", "tfoot", "body", "html") or at >= stack.last(SCOPES)):
+        stack.cut(at)
 
 
 class Layout:
@@ -228,7 +307,7 @@ def _element(node: Node, out: Layout, pre: bool) -> None:
             lines.pop()
         out.add(lines, "", "")
         out.end(True)
-    elif tag in BLOCKS:
+    elif tag in BLOCKS or tag in LINES or (tag == "text" and node.drawing):
         out.end(tag in SPACED)
         _inline(node, out, pre)
         out.end(tag in SPACED)
@@ -237,7 +316,7 @@ def _element(node: Node, out: Layout, pre: bool) -> None:
 
 
 def _list(node: Node, out: Layout) -> None:
-    start = _START.search(node.attrs) if node.tag == "ol" else None
+    start = _START.match(node.attrs.get("start", "")) if node.tag == "ol" else None
     number = int(start[1]) if start else 1
     for child in node.children:
         if isinstance(child, str):

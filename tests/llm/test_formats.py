@@ -194,6 +194,29 @@ def test_rendering(page, text):
     assert html_text.page_text(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ('<p title="hidden costs">a</p><a aria-label="hidden menu items">b</a><div class="hidden md:block">c</div>', "a\n\nb\nc"),
+    ("<p data-hidden=1>a<p data-style='display:none'>b<p title='style=\"display:none\"'>c<button type='hidden'>d</button>", "a\n\nb\n\ncd"),
+    ("<p HIDDEN>no<p hidden=''>no<p style='color:red; Display : none !important'>no<p style=visibility:hidden>no<p>yes", "yes"),
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds", "so x=2 holds"),
+    ("<svg viewBox='0 0 1 1'><title>t</title> <desc>d</desc><defs><text>no</text></defs><g><text>one <tspan>two</tspan></text><text>three</text></g></svg>z", "one two\nthree\nz"),
+    ("<svg><path d=''><p>after a drawing that is left open", "after a drawing that is left open"),
+    ("<p>pick <select><optgroup label=g><option>x<option selected>y</select> now", "pick\ng\nx\ny\n now"),
+    ("<ol data-start=7><li>a</ol>", "1. a"),
+])
+def test_visible_text_stays(page, text):
+    assert [x.strip() for x in html_text.page_text(page).split("\n")] == [x.strip() for x in text.split("\n")]
+
+
+def test_hidden_text_beyond_the_depth():
+    deep = "<div>" * html_text.DEPTH
+    assert html_text.page_text(deep + "a<span hidden>no<b>no</b><br>no</span>b<span>c</span>" + "</div>" * html_text.DEPTH) == "abc"
+    # an end tag there closes its own element
+    hidden = "<div hidden>" + "<div>" * html_text.DEPTH + "</div>no" + "</div>" * html_text.DEPTH + "yes"
+    assert html_text.page_text(hidden) == "yes"
+    assert html_text.page_text("<p><button>" + "<span>" * 100_000 + "<div>x</div>" * 1000).count("x") == 1000
+
+
 def test_deep_and_long_pages_keep_their_text():
     assert html_text.page_text("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
     assert html_text.page_text("<" * 50_000).count("<") == 50_000
