@@ -1,10 +1,13 @@
 """Packing: lexical retrieval with a sharded BM25 index.
 
-Documents are dealt to shards of bounded size in the order in which a task
-reads them.  A shard has an inverted index of its documents; every seed's
-rarest terms retrieve unused neighbours by BM25, which greedily fill the
+Documents are dealt to tasks by a rare term that they share, so that related
+documents of the whole corpus meet, those of a frequent term in parts of
+bounded size.  A task sorts its documents by their shared terms and fills
+shards of bounded size.  A shard has an inverted index of its documents; all
+terms of a seed retrieve unused neighbours by BM25, which greedily fill the
 window that the seed left open: the best that fits, else the best is cut and
-its rest becomes the next seed.  What a shard has left at its end is cut into
+its rest becomes the next seed.  When the neighbours are used up and there is
+room, the seed asks again.  What a shard has left at its end is cut into
 sequences whose lengths are powers of two, so there is no padding at all.
 
 Document frequencies are counted over all documents, in hashed slots, before
@@ -38,9 +41,12 @@ SLOTS = 1 << 18
 #: Bounds of a shard: documents and tokens.
 SHARD_DOCUMENTS = 2048
 SHARD_TOKENS = 1 << 22
-#: A seed asks with its rarest terms; neighbours that are tried for a window.
-QUERY_TERMS = 12
+#: Neighbours that a seed asks for at a time.
 TRIED = 24
+#: Documents are dealt by their rarest term that so many have, and sorted by
+#: those that fewer have; documents of a term that stay together.
+SHARED = (64, 8, 2)
+TOGETHER = 256
 K1, B = 1.2, 0.75
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, seed boolean"
 
@@ -145,14 +151,12 @@ class Shard:
         self.queries = []
         many = np.bincount(slot, minlength=SLOTS) > 1
         for slots, _ in self.terms:
-            own = slots[many[slots]]
-            if len(own) > QUERY_TERMS:
-                own = own[np.argpartition(-rarity[own], QUERY_TERMS)[:QUERY_TERMS]]
-            self.queries.append(own)
+            self.queries.append(slots[many[slots]])
         self.start = np.searchsorted(self.slot, np.arange(SLOTS + 1))
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents of the shard with a query term, best first."""
+        """The best unused documents of the shard with a query term, best
+        first; none only if no unused one has any."""
         own = self.queries[seed]
         if not len(own):
             return own
@@ -170,12 +174,17 @@ class Shard:
         """All documents in packing order."""
         unused = np.ones(len(self.ids), dtype=bool)
         size = np.array([len(t) for t in self.tokens])
-        out, room, following = [], 0, 0
+        out, room, following, seed = [], 0, 0, None
         near: list[int] = []
         while True:
             choice = next((d for d in near if unused[d] and size[d] <= room), None) if room else None
             if choice is None:
                 choice = next((d for d in near if unused[d]), None)
+            if choice is None and near:
+                # used up: the seed asks for more
+                near = self.neighbours(seed, unused).tolist() if room else []
+                if near:
+                    continue
             if choice is None:
                 while following < len(unused) and not unused[following]:
                     following += 1
@@ -188,9 +197,43 @@ class Shard:
             room = int((room - size[choice]) % window)
             if cut or not near:
                 # the document runs into a new window and is its seed
+                seed = choice
                 near = self.neighbours(choice, unused).tolist() if room else []
 
 
+def deal(docs: DataFrame, counts: np.ndarray) -> DataFrame:
+    """doc_id and text, dealt and sorted by shared terms.  counts: documents
+    with a term of each slot."""
+    df = docs.sparkSession.sparkContext.broadcast(counts)
+    names = ["group", "part", "finer", "finest"]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        number = task.partitionId() if task else 0
+        for batch in batches:
+            for rows_, chunk in by_chunk(batch, "text"):
+                doc, slot, _ = term_counts(chunk)
+                n = df.value[slot]
+                keys = []
+                for least in SHARED:
+                    key = np.full(chunk.n, -1, dtype=np.int64)
+                    use = np.flatnonzero(n >= least)
+                    use = use[np.lexsort((slot[use], n[use], doc[use]))]
+                    first = use[np.r_[True, doc[use][1:] != doc[use][:-1]]] if len(use) else use
+                    key[doc[first]] = slot[first]
+                    keys.append(key)
+                # a frequent term's documents, or those of none, go to several parts
+                size = np.where(keys[0] < 0, SLOTS, df.value[keys[0]])
+                part = (number + np.arange(chunk.n)) % np.maximum(1, -(-size // TOGETHER))
+                number += chunk.n
+                yield pa.RecordBatch.from_arrays(
+                    [rows_.column("doc_id"), rows_.column("text"), *(pa.array(k, pa.int64()) for k in (keys[0], part, *keys[1:]))], ["doc_id", "text", *names]
+                )
+
+    keyed = docs.mapInArrow(rows, "doc_id long, text string, group long, part long, finer long, finest long")
+    return keyed.repartition("group", "part").sortWithinPartitions(*names, "doc_id").select("doc_id", "text")
+
+
 def pieces(sizes: list[int], window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of documents laid one after
     the other and cut into windows; the rest is cut into powers of two."""
@@ -251,4 +294,5 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW) -> DataFrame:
         if shard.ids:
             yield flush()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, PIECES)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return deal(own, counts).mapInArrow(rows, PIECES)

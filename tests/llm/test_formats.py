@@ -171,6 +171,39 @@ def test_neighbours_follow_their_seed():
     assert same >= 34
 
 
+def test_a_seed_asks_until_its_window_is_full():
+    own = [np.array([5, 9], dtype=np.int64)] * 40
+    other = [np.array([7], dtype=np.int64)] * 40
+    # two kinds of short documents by turns
+    terms = [(t, np.ones(len(t), dtype=np.int64)) for pair in zip(own, other, strict=True) for t in pair]
+    shard = packing.Shard(list(range(80)), [np.zeros(10, dtype="<u4")] * 80, terms)
+    shard.index(np.ones(packing.SLOTS, dtype=np.float32), 1.5)
+    order = shard.order(1024)
+    assert sorted(order) == list(range(80)) and [d % 2 for d in order[:40]] == [0] * 40
+
+
+def test_a_seed_asks_with_all_its_terms():
+    # the best neighbour shares many terms, none of them among the rarest
+    rare, common = np.arange(12), np.arange(100, 180)
+    terms = [np.r_[rare, common], common, rare[:1], rare[1:], np.r_[200]]
+    shard = packing.Shard(list(range(5)), [np.zeros(10, dtype="<u4")] * 5, [(t.astype(np.int64), np.ones(len(t), dtype=np.int64)) for t in terms])
+    rarity = np.ones(packing.SLOTS, dtype=np.float32)
+    rarity[rare] = 1.5
+    shard.index(rarity, 40)
+    assert shard.neighbours(0, np.array([False, True, True, True, True]))[0] == 1
+
+
+def test_related_documents_of_the_whole_corpus_meet(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(packing, "SHARED", (3, 2, 2))
+    rows = [(i, f"topic{i % 50} " + " ".join(f"w{i}x{j}" for j in range(20))) for i in range(200)]
+    docs = make_docs(rows).repartition(4, "doc_id").select("doc_id", "text")
+    counts, _, _ = packing.document_frequencies(docs)
+    dealt = [r.doc_id for r in packing.deal(docs, counts).collect()]
+    assert sorted(dealt) == list(range(200))
+    together = sum(a % 50 == b % 50 for a, b in zip(dealt, dealt[1:], strict=False))
+    assert together >= 140
+
+
 def test_document_frequencies_cover_all_documents(spark, make_docs):
     counts, n, mean = packing.document_frequencies(make_docs([(1, "a b b"), (2, "b C"), (3, None)]).repartition(3))
     assert n == 3 and counts.sum() == 4 and sorted(counts[counts > 0].tolist()) == [1, 1, 2] and mean == pytest.approx(4 / 3)
