@@ -15,6 +15,7 @@ was chunked.
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import struct
 from collections.abc import Iterator
@@ -145,10 +146,13 @@ class _Cursor:
 
     def __init__(self, chunks: Iterator[tuple]):
         self._it = chunks  # (chunk_no, size, path, data | None)
-        self._win: list[list] = []  # [stream_start, size, path, data]
+        self._win: list[tuple] = []  # (size, path, data); those before _head are behind the cursor
+        self._starts: list[int] = []  # their stream positions
+        self._head = 0
         self._end = 0
         self.pos = 0
         self._handles: dict[str, object] = {}
+        self.bytes_read = 0
 
     def _fill(self, upto: int) -> bool:
         while self._end < upto:
@@ -156,41 +160,46 @@ class _Cursor:
             if nxt is None:
                 return False
             _, size, path, data = nxt
-            self._win.append([self._end, int(size), path, data])
+            self._win.append((int(size), path, data))
+            self._starts.append(self._end)
             self._end += int(size)
         # forget chunks wholly behind the cursor: memory stays bounded
-        while self._win and self._win[0][0] + self._win[0][1] <= self.pos and len(self._win) > 1:
-            old = self._win.pop(0)
-            self._handles.pop(old[2], None)
+        while self._head < len(self._win) - 1 and self._starts[self._head + 1] <= self.pos:
+            self._handles.pop(self._win[self._head][1], None)
+            self._head += 1
+        if self._head > 64 and 2 * self._head > len(self._win):
+            del self._win[: self._head], self._starts[: self._head]
+            self._head = 0
         return True
 
+    def _spans(self, start: int, n: int) -> Iterator[tuple[tuple, int, int]]:
+        """Chunks that hold [start, start + n), with the span inside each."""
+        i = max(self._head, bisect.bisect_right(self._starts, start, self._head) - 1)
+        while i < len(self._win) and self._starts[i] < start + n:
+            at, size = self._starts[i], self._win[i][0]
+            lo, hi = max(start, at), min(start + n, at + size)
+            if lo < hi:
+                yield self._win[i], lo - at, hi - lo
+            i += 1
+
     def _bytes(self, start: int, n: int) -> bytes:
         out = []
-        for cstart, size, path, data in self._win:
-            lo = max(start, cstart)
-            hi = min(start + n, cstart + size)
-            if lo >= hi:
-                continue
+        for (_, path, data), at, length in self._spans(start, n):
+            self.bytes_read += length
             if data is not None:
-                out.append(bytes(data[lo - cstart : hi - cstart]))
+                out.append(bytes(data[at : at + length]))
             else:
                 handle = self._handles.get(path)
                 if handle is None:
                     filesystem, inner = _filesystem(path)
                     handle = filesystem.open_input_file(inner)
                     self._handles[path] = handle
-                out.append(handle.read_at(hi - lo, lo - cstart))
+                out.append(handle.read_at(length, at))
         return b"".join(out)
 
     def pieces(self, n: int) -> list[dict]:
         self._fill(self.pos + n)
-        out = []
-        for cstart, size, path, _ in self._win:
-            lo = max(self.pos, cstart)
-            hi = min(self.pos + n, cstart + size)
-            if lo < hi:
-                out.append({"path": path, "start": lo - cstart, "length": hi - lo})
-        return out
+        return [{"path": path, "start": at, "length": length} for (_, path, _), at, length in self._spans(self.pos, n)]
 
     def read(self, n: int) -> bytes | None:
         if not self._fill(self.pos + n):
@@ -225,17 +234,18 @@ class _Cursor:
                 return None
 
 
-    def seek_header(self, block_bytes: int = 1 << 20) -> bool:
+    def seek_header(self, most: int = 1 << 20) -> bool:
         """Move to the next ``<header>`` line, from here on if this is the
-        start of a line; False at the end of the stream. Reads bounded blocks."""
+        start of a line; False at the end of the stream. A header that starts
+        here costs its own line; else blocks double from 256 bytes."""
         mark = HEADER_OPEN + b"\n"
-        first = True
+        self._fill(self.pos + len(mark))
+        if self._bytes(self.pos, min(len(mark), self._end - self.pos)) == mark:
+            return True
+        size = 256
         while True:
-            self._fill(self.pos + block_bytes)
-            block = self._bytes(self.pos, min(block_bytes, self._end - self.pos))
-            if first and block.startswith(mark):
-                return True
-            first = False
+            self._fill(self.pos + size)
+            block = self._bytes(self.pos, min(size, self._end - self.pos))
             hit = block.find(b"\n" + mark)
             if hit >= 0:
                 self.pos += hit + 1
@@ -244,6 +254,7 @@ class _Cursor:
                 self.pos += len(block)
                 return False
             self.pos += len(block) - len(mark)  # a line that the block cuts is seen again
+            size = min(2 * size, most)
 
 
 _LAYOUTS: dict[str, str] = {}

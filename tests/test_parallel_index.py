@@ -119,3 +119,16 @@ def test_mixed_archive_routes_per_connection(spark, tmp_path):
     listing = list_chunks(spark, root)
     mixed = _rows(index_archive_files(listing, parallel_above=10, min_chunk=50))  # conn 0 parallel, conn 1 walked
     assert mixed == _rows(index_chunks(listing))
+
+
+@pytest.mark.parametrize("size", [61, 100_000])
+def test_walk_reads_headers_and_markers_alone(size):
+    from strobe.sources.dumps import _Cursor, _walk
+
+    data = stream(*[acquisition(SCALED_FIELDS, fast_values(500), [250, 250], end=("Ok", 500)) for _ in range(400)])
+    cut = [data[o : o + size] for o in range(0, len(data), size)]
+    cursor = _Cursor((i, len(c), "", c) for i, c in enumerate(cut))
+    rows = list(_walk(0, cursor, with_payload=False))
+    heads = sum(len(r["header"]) for r in rows if r["kind"] == "header")
+    assert sum(r["kind"] == "frame" for r in rows) == 800
+    assert cursor.bytes_read < 2 * heads + 400 * 512 < len(data)

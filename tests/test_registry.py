@@ -4,7 +4,7 @@ plus the driver entry point."""
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from strobe.plans.compare import same_result
 from strobe.plans.registry import ORACLES, QUERIES, load_all
 from strobe.plans.tables import TABLES
