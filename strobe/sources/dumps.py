@@ -152,6 +152,7 @@ class _Cursor:
         self._end = 0
         self.pos = 0
         self._handles: dict[str, object] = {}
+        self._ahead = (0, b"")  # where the last block of lines starts, and its bytes
         self.bytes_read = 0
 
     def _fill(self, upto: int) -> bool:
@@ -215,24 +216,24 @@ class _Cursor:
         return True
 
     def readline(self) -> bytes | None:
-        buf = b""
-        start = self.pos
+        at, block = self._ahead
+        if not at <= self.pos < at + len(block):
+            at, block = self.pos, b""
         step = 256
         while True:
-            have = self._fill(start + len(buf) + step)
-            avail = min(step, self._end - (start + len(buf)))
-            if avail <= 0:
-                return None
-            block = self._bytes(start + len(buf), avail)
-            cut = block.find(b"\n")
+            cut = block.find(b"\n", self.pos - at)
             if cut >= 0:
-                buf += block[:cut]
-                self.pos = start + len(buf) + 1
-                return buf
-            buf += block
-            if not have and start + len(buf) >= self._end:
+                self._ahead = (at, block)
+                line = block[self.pos - at : cut]
+                self.pos = at + cut + 1
+                return line
+            have = at + len(block)
+            self._fill(have + step)
+            more = self._bytes(have, min(step, self._end - have))
+            if not more:
                 return None
-
+            at, block = self.pos, block[self.pos - at :] + more
+            step = min(2 * step, 1 << 20)
 
     def seek_header(self, most: int = 1 << 20) -> bool:
         """Move to the next ``<header>`` line, from here on if this is the
