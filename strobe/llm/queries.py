@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strobe.llm import chat, decontamination, html_text, licenses, near_dedup, packing, pii, quality_rules, substring_dedup, toxicity
+from strobe.llm import chat, decontamination, html_text, licenses, near_dedup, packing, pii, quality_rules, substring_dedup, token_counts, toxicity
 from strobe.llm.shared import documents, held_out_column
 from strobe.plans.tables import table
 
@@ -134,3 +134,13 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages", "page_id", "html"))
+
+
+#: Tokens above which a text is over the limit of the token counts query.
+TOKEN_LIMIT = 4096
+
+
+@register
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
