@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strobe.llm import chat, decontamination, html_text, licenses, near_dedup, packing, pii, quality_rules, substring_dedup, token_counts, toxicity
+from strobe.llm import chat, decontamination, html_text, licenses, near_dedup, packing, periodic_runs, pii, quality_rules, substring_dedup, token_counts, toxicity
 from strobe.llm.shared import documents, held_out_column
 from strobe.plans.tables import table
 
@@ -144,3 +144,20 @@ TOKEN_LIMIT = 4096
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
     return found.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@register
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(periodic_runs.planted(documents(spark, sf_dir)))
+    line = F.transform("runs", lambda x: F.concat(x["start"].cast("string"), F.lit(","), x["length"].cast("string"), F.lit(","), x["period"].cast("string"), F.lit("\n")))
+    best = found.withColumn("best", periodic_runs.greatest(F.col("runs")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
