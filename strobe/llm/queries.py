@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strobe.llm import chat, decontamination, html_text, licenses, near_dedup, packing, periodic_runs, pii, quality_rules, substring_dedup, token_counts, toxicity
+from strobe.llm import chat, decontamination, hard_negatives, html_text, licenses, near_dedup, packing, periodic_runs, pii, quality_rules, substring_dedup, token_counts, toxicity
 from strobe.llm.shared import documents, held_out_column
 from strobe.plans.tables import table
 
@@ -161,3 +161,39 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@register
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")
+    finite = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = rows.where(F.col("label").isNotNull() & F.col("embedding").isNotNull() & finite).select(
+        F.col("vec_id").alias("id"), moved.alias("label"), F.transform("embedding", lambda x: F.floor(256 * x.cast("double"))).alias("vector")
+    )
+    return hard_negatives.mine(vectors, F.col("id") % 100 == 0)
+
+
+ORACLES["op11_hard_negatives"] = """
+WITH given AS (
+    SELECT vec_id, label, embedding FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), vectors AS (
+    SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * x::DOUBLE) for x in embedding] AS vector
+    FROM given
+), scores AS (
+    SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_inner_product(a.vector, b.vector)::BIGINT AS score
+    FROM vectors a JOIN vectors b ON a.id % 100 = 0 AND a.id <> b.id
+), positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+    (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INTEGER AS rank,
+    id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
