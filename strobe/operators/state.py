@@ -192,8 +192,7 @@ def entries_to_lines(entries: DataFrame, keys: list[str]) -> DataFrame:
     sized = entries.withColumn("__n", F.size("lines").cast("long")).select(
         "*", F.col("rank.r0").alias("__r0"), F.col("rank.r1").alias("__r1"), F.col("rank.r2").alias("__r2")
     )
-    proxy = F.col("__r0") * F.lit(1e15) + F.col("__r1") * F.lit(1e14) + F.col("__r2")
-    placed = ordered_scan(sized, keys, ["__r0", "__r1", "__r2"], out="__base", weight="__n", split_on=proxy)
+    placed = ordered_scan(sized, keys, ["__r0", "__r1", "__r2"], out="__base", weight="__n")
     return placed.select(*keys, "__base", F.posexplode("lines").alias("__i", "line")).select(
         *keys, (F.col("__base") + F.col("__i")).alias("line_no"), "line"
     )

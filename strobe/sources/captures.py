@@ -141,14 +141,7 @@ def stream_messages(acquisitions: DataFrame, frames: DataFrame) -> DataFrame:
 def stream_offsets(messages: DataFrame) -> DataFrame:
     """Absolute byte offset of every message in its connection's stream."""
     sized = messages.withColumn("n_bytes", F.length("data").cast("long"))
-    proxy = (
-        F.col("acq_no").cast("double") * F.lit(4.0e12)
-        + F.col("part").cast("double") * F.lit(1.0e12)
-        + F.col("seq").cast("double")
-    )
-    return ordered_scan(
-        sized, ["conn_id"], ["acq_no", "part", "seq"], out="offset", weight="n_bytes", split_on=proxy
-    )
+    return ordered_scan(sized, ["conn_id"], ["acq_no", "part", "seq"], out="offset", weight="n_bytes")
 
 
 def cut_chunks(messages: DataFrame, chunk_bytes: int) -> DataFrame:

@@ -76,3 +76,25 @@ def test_ordered_scan_matches_window_with_hot_key(spark, bucket_rows):
     got = a.select("event_id", "pos", "prev_ts").join(b.select("event_id", "run"), "event_id")
     assert got.count() == ref.count()
     assert got.exceptAll(ref.select("event_id", "pos", "prev_ts", "run")).count() == 0
+
+
+@pytest.mark.parametrize(("bucket_rows", "fan"), [(200, 1024), (30, 4), (7, 2)])
+def test_ordered_scan_of_ties_and_strings(spark, monkeypatch, bucket_rows, fan):
+    """One key whose leading order values are equal, then strings: blocks are
+    cut on the whole tuple, level by level, and none exceeds the limit much."""
+    from strobe.operators import ordering
+
+    monkeypatch.setattr(ordering, "FAN", fan)
+    ev = spark.range(3000).select(
+        F.lit("k").alias("key"), F.lit(5).alias("same"), F.concat(F.lit("s"), (F.col("id") % 7).cast("string")).alias("name"), "id",
+        F.when(F.col("id") % 5 == 0, F.col("id")).alias("mark"),
+    ).unionByName(spark.createDataFrame([(None, None, None, 1, 4), ("k", None, None, -1, None)], "key string, same int, name string, id long, mark long"))
+    order = ["same", "name", "id"]
+    w = Window.partitionBy("key").orderBy(*[F.col(o).asc_nulls_first() for o in order])
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    ref = ev.select("key", "id", (F.row_number().over(w) - 1).cast("long").alias("pos"), F.lag("name").over(w).alias("prev_name"), F.last("mark", True).over(before).alias("last_mark"))
+    got = ordered_scan(ev, ["key"], order, out="pos", lag=["name"], fill=["mark"], bucket_rows=bucket_rows)
+    assert got.select(ref.columns).exceptAll(ref).count() == 0 and got.count() == 3002
+    tagged, cut = ordering.split_blocks(ev, ["key"], order, bucket_rows)
+    sizes = [r["count"] for r in tagged.groupBy("key", "__sub").count().collect()]
+    assert cut and max(sizes) <= 4 * bucket_rows + 8
