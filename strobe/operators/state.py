@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strobe.operators.ordering import ordered_scan
+from strobe.operators.ordering import BLOCK, HOT, ordered_scan, split_blocks
 
 # A statement is multi-line when a '<' comes before any '?' or '='.
 MULTILINE_PATTERN = r"^[^?=]*<"
@@ -22,7 +22,7 @@ def is_multiline(line: Column) -> Column:
     return line.rlike(MULTILINE_PATTERN)
 
 
-def segment_statements(lines: DataFrame, keys: list[str], order: str = "line_no") -> DataFrame:
+def segment_statements(lines: DataFrame, keys: list[str], order: str = "line_no", bucket_rows: int | None = None) -> DataFrame:
     """Group state-file lines into statements.
 
     A line closes a statement if it is blank, or if it is the first line of
@@ -34,20 +34,46 @@ def segment_statements(lines: DataFrame, keys: list[str], order: str = "line_no"
 
     Adds ``stmt_no`` (line number of the statement's first line) and keeps
     only lines of complete statements.
+
+    The state before a line is the opener of the body it is in, or none. What
+    a stretch of lines does to the state is a blank in it or none, and the
+    first opener after its last blank; these compose, so blocks of bounded
+    size are read on their own and what enters each is scanned over one row a
+    block. However long a run between blanks is, no task holds it whole.
     """
-    blank = (F.col("line") == "").cast("long")
-    marked = lines.withColumn("__blank", blank).withColumn("__ml", is_multiline(F.col("line")))
-    # run id = number of blank lines strictly before this line
-    runs = ordered_scan(marked, keys, [order], out="__run", weight="__blank")
-    # a run holds at most one statement body, so a window over it is bounded
-    run = Window.partitionBy(*keys, "__run")
-    j = runs.withColumn("__opener", F.min(F.when(F.col("__ml"), F.col(order))).over(run)).withColumn(
-        "__closed", F.max(F.col("__blank")).over(run)
+    marked = lines.withColumn("__blank", (F.col("line") == "").cast("long")).withColumn("__ml", is_multiline(F.col("line")))
+    tagged, any_hot = split_blocks(marked, keys, [order], bucket_rows)
+    block = [*keys, BLOCK]
+    in_order = Window.partitionBy(*block).orderBy(order)
+    blanks = F.coalesce(F.sum("__blank").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    read = tagged.withColumn("__run", blanks).withColumn("__last", F.max(F.when(F.col("__blank") == 1, F.col(order))).over(Window.partitionBy(*block)))
+    so_far = Window.partitionBy(*block, "__run").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    read = read.withColumn("__opener", F.first(F.when(F.col("__ml"), F.col(order)), ignorenulls=True).over(so_far))
+    closed = F.coalesce(F.col(order) <= F.col("__last"), F.lit(False))
+    opener = F.col("__opener")
+    if any_hot:
+        # one row for each block of a hot key: bounded by the total over the bucket size
+        k = [f"__k{i}" for i in range(len(keys))]
+        per_block = (
+            read.where(F.col(HOT))
+            .groupBy(*[F.col(x).alias(n) for x, n in zip(keys, k, strict=True)], F.col(BLOCK).alias("__kblock"))
+            .agg(F.max("__blank").alias("blank"), F.max_by(F.when(F.col("__blank") == 0, opener), order).alias("open"))
+        )
+        by_key = Window.partitionBy(*k).orderBy("__kblock")
+        grouped = per_block.withColumn("g", F.sum("blank").over(by_key.rowsBetween(Window.unboundedPreceding, 0)))
+        after = F.first("open", ignorenulls=True).over(Window.partitionBy(*k, "g").orderBy("__kblock").rowsBetween(Window.unboundedPreceding, 0))
+        entering = grouped.withColumn("after", after).select(
+            *k, "__kblock", F.lag("after").over(by_key).alias("__enters"),
+            F.max("blank").over(by_key.rowsBetween(1, Window.unboundedFollowing)).alias("__later"),
+        )
+        match = [F.col(x).eqNullSafe(F.col(n)) for x, n in zip(keys, k, strict=True)]
+        read = read.join(F.broadcast(entering), [*match, F.col(BLOCK) == F.col("__kblock")], "left")
+        opener = F.when(F.col("__run") == 0, F.coalesce("__enters", "__opener")).otherwise(F.col("__opener"))
+        closed = closed | F.coalesce(F.col("__later") == 1, F.lit(False))
+    found = read.withColumn("__from", opener)
+    return found.where(F.col("__from").isNull() | closed).select(
+        *[x for x in lines.columns if x != "stmt_no"], F.coalesce("__from", order).alias("stmt_no")
     )
-    in_body = F.col("__opener").isNotNull() & (F.col(order) >= F.col("__opener"))
-    stmt = F.when(in_body, F.col("__opener")).otherwise(F.col(order))
-    keep = ~in_body | (F.col("__closed") == 1)
-    return j.where(keep).withColumn("stmt_no", stmt).drop("__blank", "__ml", "__run", "__opener", "__closed")
 
 
 def statement_rows(segmented: DataFrame, keys: list[str], order: str = "line_no") -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strobe.operators.ordering import position_within
+from strobe.operators.ordering import ordered_scan, position_within
 from strobe.operators.packed import (
     TableColumn,
     base64_to_words,
@@ -291,6 +291,42 @@ def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seg.groupBy("user_id", "stmt_no").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
+#: Rows of a block in the queries over one hot key.
+SPLIT_ROWS = 2000
+
+
+@register("statements_long_run", """
+WITH l AS (SELECT event_id, CASE WHEN event_id % 1009 = 3 THEN 'S' || event_id || '.TABLE<' ELSE 'L' || event_id END AS line FROM events),
+o AS (SELECT min(event_id) AS opener FROM l WHERE line LIKE '%<'),
+s AS (SELECT CASE WHEN event_id >= opener THEN opener ELSE event_id END AS stmt_no FROM l, o
+      UNION ALL SELECT coalesce(opener, 1 << 62) FROM o)
+SELECT stmt_no, count(*) AS n_lines FROM s GROUP BY stmt_no""")
+def statements_long_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file of one run: every event is a line, and the only blank is the last."""
+    ev = table(spark, sf_dir, "events", "event_id")
+    name = F.col("event_id").cast("string")
+    line = F.when(F.col("event_id") % 1009 == 3, F.concat(F.lit("S"), name, F.lit(".TABLE<"))).otherwise(F.concat(F.lit("L"), name))
+    last = spark.range(1).select(F.lit(0).alias("file"), F.lit(1 << 62).alias("line_no"), F.lit("").alias("line"))
+    lines = ev.select(F.lit(0).alias("file"), F.col("event_id").alias("line_no"), line.alias("line")).unionByName(last)
+    seg = segment_statements(lines, ["file"], bucket_rows=SPLIT_ROWS)
+    return seg.groupBy("stmt_no").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@register("positions_tied", """
+SELECT event_id, row_number() OVER w - 1 AS pos, lag(event_id) OVER w AS before,
+  last_value(CASE WHEN event_id % 50 = 7 THEN event_id END IGNORE NULLS) OVER (ORDER BY event_type, user_id, event_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS marked
+FROM events WINDOW w AS (ORDER BY event_type, user_id, event_id)""")
+def positions_tied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One key whose leading order column, a string, has a handful of values."""
+    ev = table(spark, sf_dir, "events", "event_id", "event_type", "user_id").select(
+        F.lit(0).alias("key"), "event_type", "user_id", "event_id", F.col("event_id").alias("e"),
+        F.when(F.col("event_id") % 50 == 7, F.col("event_id")).alias("mark"),
+    )
+    scanned = ordered_scan(ev, ["key"], ["event_type", "user_id", "event_id"], out="pos", lag=["e"], fill=["mark"], bucket_rows=SPLIT_ROWS)
+    return scanned.select("event_id", "pos", F.col("prev_e").alias("before"), F.col("last_mark").alias("marked"))
+
+
 @register("state_rows", f"""
 WITH {_LINES_SQL},
 g AS (SELECT user_id, stmt_no, arg_min(line, line_no) AS first, count(*) AS n_lines,

@@ -68,6 +68,19 @@ def test_segmentation_with_hot_file_split(spark):
     assert got == reference_statements(lines)
 
 
+@pytest.mark.parametrize("rare", ["", "E<<"])
+def test_segmentation_of_runs_over_many_blocks(spark, rare):
+    """Runs, and bodies, that are many times as long as a block."""
+    random.seed(4)
+    lines = [rare if random.random() < 0.004 else random.choice(["A=1", "x", "G?"]) for _ in range(2000)]
+    for at in (0, 3, 1400):
+        lines[at] = "B<" if at % 2 else ""
+    df = spark.createDataFrame([(0, i, x) for i, x in enumerate(lines)] + [(1, 0, "B<"), (1, 1, ""), (None, 5, "y")], "f int, line_no long, line string")
+    seg = segment_statements(df, ["f"], bucket_rows=50).where("f = 0")
+    got = sorted((r["stmt_no"], r["n"]) for r in seg.groupBy("stmt_no").agg(F.count("*").alias("n")).collect())
+    assert got == reference_statements(lines)
+
+
 def test_statement_rows_kinds(spark):
     lines = ["Attr=0", "Table<B", "AQAQAAAAAAABAAAAAQAAAA==", "", "Meta<", "l1", "l2", "", "raw", "T<<|", "1", ""]
     df = spark.createDataFrame([(0, i, x) for i, x in enumerate(lines)], "f int, line_no long, line string")
