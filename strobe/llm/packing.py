@@ -48,6 +48,11 @@ TRIED = 24
 SHARED = (64, 8, 2)
 TOGETHER = 256
 K1, B = 1.2, 0.75
+#: Steps of a score; terms in so many documents of a shard count as frequent;
+#: pairs that are summed at a time.
+STEPS = 64
+FREQUENT = 64
+PAIRS = 1 << 21
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, seed boolean"
 
 _encoders: dict[str, object] = {}
@@ -69,8 +74,8 @@ def encoder(path: str):
 
 def token_ids(text: str, path: str) -> np.ndarray:
     """Ids of a text and the end id after them."""
-    coder = encoder(path)
-    ids = coder.encode(text, allowed_special="all") if SPECIAL in text else coder.encode_ordinary(text)
+    special = {"allowed_special": "all"} if SPECIAL in text else {"disallowed_special": ()}
+    ids = encoder(path).encode_to_numpy(text, **special)
     out = np.empty(len(ids) + 1, dtype="<u4")
     out[:-1] = ids
     out[-1] = END_ID
@@ -139,32 +144,46 @@ class Shard:
     terms: list[tuple[np.ndarray, np.ndarray]]
 
     def index(self, rarity: np.ndarray, mean_terms: float) -> None:
-        doc = np.repeat(np.arange(len(self.terms)), [len(t[0]) for t in self.terms])
+        """Scores of every document for every seed's terms, at once: frequent
+        terms as a product of matrices, the others as pairs from their lists."""
+        n = len(self.terms)
+        doc = np.repeat(np.arange(n), [len(t[0]) for t in self.terms])
         slot = np.concatenate([t[0] for t in self.terms])
         count = np.concatenate([t[1] for t in self.terms])
-        length = np.bincount(doc, count, minlength=len(self.terms))
+        length = np.bincount(doc, count, minlength=n)
         norm = K1 * (1 - B + B * length[doc] / max(mean_terms, 1e-9))
-        weight = (rarity[slot] * count * (K1 + 1) / (count + norm)).astype(np.float32)
-        order = np.argsort(slot, kind="stable")
-        self.slot, self.doc, self.weight = slot[order], doc[order].astype(np.int32), weight[order]
-        # a query needs only terms that another document of the shard has
-        self.queries = []
-        many = np.bincount(slot, minlength=SLOTS) > 1
-        for slots, _ in self.terms:
-            self.queries.append(slots[many[slots]])
-        self.start = np.searchsorted(self.slot, np.arange(SLOTS + 1))
+        # whole steps, so that sums do not depend on their order
+        weight = np.ceil(rarity[slot] * count * (K1 + 1) / (count + norm) * STEPS).astype(np.float32)
+        shared = np.bincount(slot, minlength=SLOTS)
+        keep = shared[slot] > 1
+        order = np.argsort(slot[keep], kind="stable")
+        slot, doc, weight = slot[keep][order], doc[keep][order], weight[keep][order]
+        first = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]]) if len(slot) else np.zeros(0, dtype=np.int64)
+        size = np.diff(np.append(first, len(slot)))
+        self.scores = np.zeros((n, n), dtype=np.float32)
+        many = np.flatnonzero(size >= FREQUENT)
+        if len(many):
+            has, weighs = (np.zeros((n, len(many)), dtype=np.float32) for _ in range(2))
+            at = np.concatenate([np.arange(first[m], first[m] + size[m]) for m in many.tolist()])
+            column = np.repeat(np.arange(len(many)), size[many])
+            has[doc[at], column] = 1
+            weighs[doc[at], column] = weight[at]
+            self.scores += has @ weighs.T
+        few = np.flatnonzero(size < FREQUENT)
+        upto = np.cumsum(size[few] ** 2)
+        for group in np.split(few, np.searchsorted(upto, np.arange(PAIRS, upto[-1], PAIRS))) if len(few) else []:
+            if not len(group):
+                continue
+            own = np.repeat(size[group], size[group])
+            member = np.repeat(first[group], size[group]) + np.arange(len(own)) - np.repeat(np.cumsum(size[group]) - size[group], size[group])
+            other = np.repeat(np.repeat(first[group], size[group]), own) + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+            pair = np.repeat(doc[member] * n, own) + doc[other]
+            self.scores += np.bincount(pair, weight[other], minlength=n * n).reshape(n, n)
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """The best unused documents of the shard with a query term, best
-        first; none only if no unused one has any."""
-        own = self.queries[seed]
-        if not len(own):
-            return own
-        spans = [slice(self.start[s], self.start[s + 1]) for s in own.tolist()]
-        doc = np.concatenate([self.doc[s] for s in spans])
-        weight = np.concatenate([self.weight[s] for s in spans])
-        open_ = unused[doc]
-        score = np.bincount(doc[open_], weight[open_], minlength=1)
+        """The best unused documents of the shard with a term of the seed,
+        best first; none only if no unused one has any."""
+        score = self.scores[seed] * unused
         hit = np.flatnonzero(score)
         if len(hit) > TRIED:
             hit = hit[np.argpartition(-score[hit], TRIED)[:TRIED]]

@@ -193,6 +193,36 @@ def test_a_seed_asks_with_all_its_terms():
     assert shard.neighbours(0, np.array([False, True, True, True, True]))[0] == 1
 
 
+@pytest.mark.parametrize(("frequent", "pairs"), [(64, 1 << 21), (3, 50), (1, 10), (1000, 7)])
+def test_scores_are_bm25(monkeypatch, frequent, pairs):
+    """All scores of a shard against a sum over the terms of each pair."""
+    monkeypatch.setattr(packing, "FREQUENT", frequent)
+    monkeypatch.setattr(packing, "PAIRS", pairs)
+    rng = np.random.default_rng(6)
+    terms = []
+    for _ in range(50):
+        slots = np.unique(rng.zipf(1.4, rng.integers(0, 60)) % 500).astype(np.int64)
+        terms.append((slots, rng.integers(1, 6, len(slots))))
+    rarity = rng.uniform(0.01, 9, packing.SLOTS).astype(np.float32)
+    mean = float(np.mean([len(t[0]) for t in terms]))
+    shard = packing.Shard(list(range(50)), [np.zeros(10, dtype="<u4")] * 50, terms)
+    shard.index(rarity, mean)
+    unused = rng.random(50) < 0.7
+    for seed in range(50):
+        want = np.zeros(50)
+        for d, (slots, counts) in enumerate(terms):
+            norm = packing.K1 * (1 - packing.B + packing.B * counts.sum() / mean)
+            for t, c in zip(slots, counts, strict=True):
+                if t in terms[seed][0]:
+                    want[d] += rarity[t] * c * (packing.K1 + 1) / (c + norm)
+        size = len(terms[seed][0])
+        assert (np.abs(shard.scores[seed] / packing.STEPS - want) <= size / packing.STEPS + 1e-4)[np.arange(50) != seed].all()
+        best = shard.neighbours(seed, unused)
+        assert unused[best].all() and len(best) == min(packing.TRIED, np.count_nonzero(shard.scores[seed] * unused))
+        rest = np.setdiff1d(np.flatnonzero(unused), best)
+        assert not len(rest) or not len(best) or shard.scores[seed][best].min() >= shard.scores[seed][rest].max()
+
+
 def test_related_documents_of_the_whole_corpus_meet(spark, make_docs, monkeypatch):
     monkeypatch.setattr(packing, "SHARED", (3, 2, 2))
     rows = [(i, f"topic{i % 50} " + " ".join(f"w{i}x{j}" for j in range(20))) for i in range(200)]
