@@ -38,7 +38,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strobe.llm.shared import connected_components, materialise, small_batches
+from strobe.functions.columns import q
+from strobe.llm.shared import connected_components, counted, materialise, small_batches
 from strobe.llm.words import Chunk, by_chunk, chunks, mix, ngrams, signed, split_words
 
 #: Chance that a pair right at the threshold has more differing symbols than
@@ -230,10 +231,12 @@ def confirm(pairs: DataFrame, texts: DataFrame, s: Scheme) -> DataFrame:
     return together.mapInArrow(rows, "a long, b long").distinct()
 
 
-def _opened(members: DataFrame, groups: DataFrame) -> DataFrame:
+def _opened(members: DataFrame, groups: DataFrame | None) -> DataFrame:
     """Members of buckets that hold several components, with the smallest and
     the largest (component, node) of the bucket."""
-    labelled = members.join(groups, "node", "left").select("key", "node", F.coalesce("root", "node").alias("component"))
+    labelled = members.select("key", "node", F.col("node").alias("component"))
+    if groups is not None:
+        labelled = members.select("key", "node").join(groups, "node", "left").select("key", "node", F.coalesce("root", "node").alias("component"))
     pair = F.struct("component", "node")
     ends = labelled.groupBy("key").agg(F.min(pair).alias("first"), F.max(pair).alias("last")).where("first.component < last.component")
     return labelled.join(ends, "key")
@@ -255,7 +258,7 @@ def _cluster_links(opened: DataFrame, nodes: DataFrame, texts: DataFrame, s: Sch
     pairs across components within the allowed distance are confirmed.  Only
     links leave the task, and pairs that found links have joined are skipped.
     """
-    opened = materialise(opened.select("key", "node", "component", F.col("first.node").alias("centre")), "near-open")
+    opened = opened.select("key", "node", "component", F.col("first.node").alias("centre"))
     ties = opened.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     clusters = connected_components(ties, "near-clusters").withColumnRenamed("root", "cluster")
     own = opened.select("node", "component").distinct().join(clusters, "node")
@@ -326,16 +329,26 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     # ids with several sets tie their classes
     same = linkable.select("doc_id", "set_a", "set_b").distinct().join(classes.select("set_a", "set_b", "node"), ["set_a", "set_b"])
     same = same.groupBy("doc_id").agg(F.min("node").alias("a"), F.collect_set("node").alias("others")).where(F.size("others") > 1)
-    links = materialise(same.select("a", F.explode("others").alias("b")).where("a < b"), "near-links")
-    groups = connected_components(links, "near-components")
-    for _ in range(ROUNDS):
-        more = materialise(confirm(near_pairs(_star(_opened(members, groups)), nodes, s), texts, s), "near-links")
-        if more.isEmpty():
+    links, n, _ = counted(same.select("a", F.explode("others").alias("b")).where("a < b"), "near-links")
+    groups = connected_components(links, "near-components") if n else None
+    # buckets whose nodes have come together stay closed, so each round reads
+    # what the one before left open; groups stand for the links that made them
+    left, open_rows, _ = counted(_opened(members, groups), "near-open")
+    rounds = ROUNDS
+    while open_rows:
+        last = rounds == 0
+        found_links = _cluster_links(left, nodes, texts, s) if last else confirm(near_pairs(_star(left), nodes, s), texts, s)
+        links, n, _ = counted(found_links, "near-links", None if last else open_rows)
+        if n:
+            known = links if groups is None else links.unionByName(groups.select(F.col("node").alias("a"), F.col("root").alias("b")))
+            groups = connected_components(known, "near-components")
+        if last:
             break
-        links = links.unionByName(more)
-        groups = connected_components(links, "near-components")
-    links = links.unionByName(_cluster_links(_opened(members, groups), nodes, texts, s))
-    groups = connected_components(links, "near-components")
+        rounds = rounds - 1 if n else 0
+        if n:
+            left, open_rows, _ = counted(_opened(left, groups), "near-open", open_rows)
+    if groups is None:
+        groups = classes.select("node", F.col("node").alias("root")).limit(0)
 
     by_doc = found.join(classes.select("set_a", "set_b", "node"), ["set_a", "set_b"], "left").join(groups, "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("root", "node")).otherwise(F.col("doc_id"))
@@ -346,8 +359,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 def keep_representatives(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, with all its columns: that of the smallest
-    id, its first row where rows repeat the id.  Rows without id stay."""
+    id, and where rows repeat the id the smallest of them by its columns in
+    order.  Rows without id stay."""
     kept = near_duplicates(docs, size, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept_id")).distinct()
     known = docs.join(kept, docs["doc_id"].cast("long") == F.col("__kept_id"), "left_semi")
-    known = known.dropDuplicates(["doc_id"])
-    return known.unionByName(docs.where("doc_id is null"))
+    known = known.groupBy(F.col("doc_id").alias("__id")).agg(F.min(F.struct(*[F.col(q(c)) for c in docs.columns])).alias("__row"))
+    return known.select("__row.*").unionByName(docs.where("doc_id is null"))

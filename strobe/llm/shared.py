@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import zlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strobe.plans.tables import table
@@ -42,19 +42,37 @@ def held_out_column(doc_id: str = "doc_id", folds: int = 5):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
+#: Rows of one file of a table whose size is known before it is written.
+FILE_ROWS = 1 << 18
+
+
+def counted(df: DataFrame, purpose: str, rows: int | None = None) -> tuple[DataFrame, int, int]:
+    """``materialise`` that also returns how many rows were written and a
+    checksum of them, both gathered while writing.  rows: about how many there
+    will be, if known; small tables then go to few files."""
+    seen = Observation()
+    if rows is not None:
+        # no more tasks than files that are worth having
+        most = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+        files = 1 + rows // FILE_ROWS
+        df = df.coalesce(files) if files < int(most) else df
+    watched = df.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*df.columns)).alias("mark"))
+    out = materialise(watched, purpose)
+    return out, int(seen.get["n"] or 0), int(seen.get["mark"] or 0)
+
+
 def connected_components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     """Smallest node reachable from each node of (a, b) edges: (node, root).
 
     Each round every node hangs its larger neighbours, then its smaller ones,
-    on the smallest node it sees; rounds end when the edges form stars.  Every
-    step is a grouped minimum and a join, both spilling; each round is a table
-    in the shared folder.  Rounds grow with the logarithm of the longest chain.
+    on the smallest node it sees; rounds end when the edges stay the same,
+    which only stars do.  Every step is a grouped minimum and a join, both
+    spilling; each round is one job that writes a table in the shared folder
+    and counts it on the way.  Rounds grow with the logarithm of the longest
+    chain.
     """
-    now = materialise(
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(),
-        purpose,
-    )
-    while not _stars(now):
+    now, n, mark = counted(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), purpose)
+    while n:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # larger neighbours of each node hang on its smallest neighbour
@@ -68,13 +86,9 @@ def connected_components(edges: DataFrame, purpose: str = "components") -> DataF
             .where("u <> v")
             .distinct()
         )
-        now = materialise(small, purpose)
+        before = (n, mark)
+        now, n, mark = counted(small, purpose, n)
+        if (n, mark) == before:
+            break
     pair = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("root")), F.struct(F.col("v").alias("node"), F.col("v").alias("root")))
     return now.select(F.explode(pair).alias("e")).select("e.node", "e.root").distinct()
-
-
-def _stars(edges: DataFrame) -> bool:
-    """Whether every child has one parent and no parent is a child."""
-    twice = edges.groupBy("u").agg(F.min("v").alias("x"), F.max("v").alias("y")).where("x < y").select("u")
-    middle = edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").select("u")
-    return twice.unionByName(middle).isEmpty()
