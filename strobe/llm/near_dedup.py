@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from strobe.functions.columns import q
 from strobe.llm.shared import connected_components, counted, materialise, small_batches
-from strobe.llm.words import Chunk, by_chunk, chunks, mix, ngrams, signed, split_words
+from strobe.llm.words import Chunk, by_chunk, chunks, distinct, mix, ngrams, signed, split_words
 
 #: Chance that a pair right at the threshold has more differing symbols than
 #: the join allows; it falls off steeply above the threshold.
@@ -93,7 +93,7 @@ def shingle_sets(chunk: Chunk, size: int) -> list[np.ndarray]:
     for i in range(chunk.n):
         a, b = int(first[i]), int(first[i + 1])
         if b - a >= size:
-            out.append(np.unique(grams[a : b - size + 1]))
+            out.append(distinct(grams[a : b - size + 1]))
         elif b > a:
             whole = np.uint64(xxhash.xxh3_64_intdigest(words.hash[a:b].tobytes()))
             out.append(np.array([whole], dtype=np.uint64))

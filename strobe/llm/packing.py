@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strobe.llm.words import TERM_BREAKS, Chunk, by_chunk, split_words
+from strobe.llm.words import TERM_BREAKS, Chunk, by_chunk, distinct, split_words
 
 WINDOW = 1024
 END_ID = 0
@@ -101,7 +101,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int, float]:
         for batch in batches:
             for _, chunk in by_chunk(batch, "text"):
                 words = split_words(chunk, lower=True, breaks=TERM_BREAKS)
-                pair = np.unique(words.doc() * SLOTS + (words.hash & np.uint64(SLOTS - 1)).astype(np.int64))
+                pair = distinct(words.doc() * SLOTS + (words.hash & np.uint64(SLOTS - 1)).astype(np.int64))
                 total += np.bincount(pair % SLOTS, minlength=SLOTS)
                 n += chunk.n
         step = SLOTS // parts

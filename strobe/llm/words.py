@@ -180,6 +180,13 @@ def ngrams(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return out, ok
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; much faster than np.unique without options,
+    which hashes."""
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
