@@ -209,6 +209,10 @@ class _Cursor:
         self.pos += n
         return data
 
+    def reaches(self, n: int) -> bool:
+        """Whether the stream has n more bytes."""
+        return self._fill(self.pos + n)
+
     def skip(self, n: int) -> bool:
         if not self._fill(self.pos + n):
             return False
@@ -235,13 +239,13 @@ class _Cursor:
             at, block = self.pos, block[self.pos - at :] + more
             step = min(2 * step, 1 << 20)
 
-    def seek_header(self, most: int = 1 << 20) -> bool:
+    def seek_header(self, line_start: bool = True, most: int = 1 << 20) -> bool:
         """Move to the next ``<header>`` line, from here on if this is the
         start of a line; False at the end of the stream. A header that starts
         here costs its own line; else blocks double from 256 bytes."""
         mark = HEADER_OPEN + b"\n"
         self._fill(self.pos + len(mark))
-        if self._bytes(self.pos, min(len(mark), self._end - self.pos)) == mark:
+        if line_start and self._bytes(self.pos, min(len(mark), self._end - self.pos)) == mark:
             return True
         size = 256
         while True:
@@ -274,6 +278,16 @@ def _layout_cached(text: str, header) -> str:
     return layout
 
 
+def read_header(block: bytes):
+    """Parsed header, its lines joined, and its layout as JSON, of a header
+    block with its line ends."""
+    text = b"".join(block.split(b"\n")).decode(errors="replace")
+    header = parse_header(text)
+    if not header.sample_bytes:
+        raise ValueError("records without bytes")
+    return header, text, _layout_cached(text, header)
+
+
 def _walk(conn_id: int, cursor: _Cursor, with_payload: bool) -> Iterator[dict]:
     """Index rows of one stream. What cannot be read as a message is a reject:
     the walk goes on at the next ``<header>`` line, and the reject row says
@@ -286,33 +300,33 @@ def _walk(conn_id: int, cursor: _Cursor, with_payload: bool) -> Iterator[dict]:
 
     lost: dict | None = None
     acq_no = 0
+    line_start = True  # whether the last byte read ended a line
     line = cursor.readline()
     if line != READY_LINE:
-        lost = row("reject", pos=0, message=f"expected OK, got {line!r}")
+        lost = row("reject", pos=0, message=f"expected OK, got {line if line is None else line[:64]!r}")
     while True:
         # discard lines until the header opens; end of stream here is a clean end
-        found = cursor.seek_header()
+        found = cursor.seek_header(line_start)
+        line_start = True
         start = cursor.pos  # a header's position is the start of its "<header>" line
         if lost is not None:
-            yield lost | {"n_bytes": start - lost["pos"]}
+            yield lost | {"n_bytes": (start if found else cursor._end) - lost["pos"]}
             lost = None
         if not found:
             return
         acq_no += 1
-        text, line = b"", None
+        lines, line = [], None
         while line != HEADER_CLOSE:
             line = cursor.readline()
             if line is None:
                 yield row("reject", acq_no=acq_no, pos=start, n_bytes=cursor._end - start, message="stream ends inside a header")
                 return
-            text += line
-        header_text = text.decode(errors="replace")
+            lines.append(line)
         try:
-            header = parse_header(header_text)
+            header, header_text, layout = read_header(b"\n".join(lines))
         except (ParseError, ValueError, TypeError) as exc:
             lost = row("reject", acq_no=acq_no, pos=start, message=f"bad header: {exc}")
             continue
-        layout = _layout_cached(header_text, header)
         record = header.sample_bytes
         yield row(
             "header", acq_no=acq_no, pos=start, header=header_text, layout=layout, process=header.process
@@ -323,6 +337,7 @@ def _walk(conn_id: int, cursor: _Cursor, with_payload: bool) -> Iterator[dict]:
             return
         if newline != b"\n":
             lost = row("reject", acq_no=acq_no, pos=at, message="expected newline after header")
+            line_start = False
             continue
         frame_no = 0
         samples = 0
@@ -336,13 +351,14 @@ def _walk(conn_id: int, cursor: _Cursor, with_payload: bool) -> Iterator[dict]:
                 if size is None:
                     return
                 n = struct.unpack("<I", size)[0] - 8
+                if n >= 0 and not cursor.reaches(n):
+                    return
                 if n < 0 or n % record:
                     lost = row("reject", acq_no=acq_no, pos=at, message=f"frame of {n} bytes is not whole records of {record}")
+                    line_start = size.endswith(b"\n")
                     break
                 pieces = cursor.pieces(n)
                 payload = cursor.read(n) if with_payload else (b"" if cursor.skip(n) else None)
-                if payload is None:
-                    return
                 yield row(
                     "frame",
                     acq_no=acq_no,
@@ -365,12 +381,13 @@ def _walk(conn_id: int, cursor: _Cursor, with_payload: bool) -> Iterator[dict]:
                 parts = line.split(maxsplit=1)
                 reason = parts[1].decode(errors="replace") if len(parts) == 2 else ""
                 if reason not in END_REASONS or not parts[0].isdigit():
-                    lost = row("reject", acq_no=acq_no, pos=at, message=f"bad end record {line!r}")
+                    lost = row("reject", acq_no=acq_no, pos=at, message=f"bad end record {line[:64]!r}")
                     break
                 yield row("end", acq_no=acq_no, pos=at, samples=int(parts[0]), reason=reason, n_rows=samples)
                 break
             else:
                 lost = row("reject", acq_no=acq_no, pos=at, message=f"bad marker {marker!r}")
+                line_start = marker.endswith(b"\n")
 
 
 #: Payload bytes of one output frame of the walk, about.

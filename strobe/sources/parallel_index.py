@@ -1,34 +1,38 @@
-"""Frame index of a capture archive built in parallel over chunk files.
-
-A stream cannot be parsed from an arbitrary byte, but every message start
-determines the next one: a ``BIN`` frame's length gives the next marker, an
-``END`` line is followed by the next ``<header>`` line, and a header block is
-followed (after one newline) by the next marker. So:
-
-1. each chunk file is scanned on its own: every position that *could* start a
-   message (``BIN ``/``END `` bytes, ``<header>`` lines) gets its successor,
-   and, following successors inside the chunk, the position where that chain
-   leaves the chunk (or ends, or breaks);
-2. only the chains entering each chunk matter; from the stream's root, the
-   entry of every chunk is resolved over a table of about one transition per
-   chunk by pointer doubling (log2 rounds of small joins, no driver collect);
-3. each chunk then follows its successors from its true entry (a group
-   bounded by the chunk), giving exactly the messages the sequential walk
-   would find; acquisition numbers, frame numbers and sample bases come from
-   skew-safe ordered scans.
-
-That needs chunk files of one size per connection (the last may be shorter),
-as ``write_chunks`` produces, so that the byte range of a payload maps to files
-arithmetically. ``index_archive_files`` takes this route only where that holds,
-and walks a connection again from the start where the route met anything that
-it could not read: bytes that are no message, or text that runs further past a
-chunk than it looks ahead. So every archive gets the rows of the walk.
+"""Frame index of a capture archive, built in parallel for any cut of its streams.
+
+A stream cannot be parsed from an arbitrary byte, but what a stretch of bytes
+does to the parser is a function of the state in which it is entered, and these
+functions compose.  There are two states: a marker is expected at a byte
+position, in records of some size (``M``), or the next header line is awaited
+from a position on (``W``).  So:
+
+1. Streams are read in blocks of equal size, whatever the files are; an
+   interval lookup from stream offsets to files (running starts, joined on
+   buckets of about one file) says where a block's bytes lie.
+2. Each block is scanned on its own for every position that could start a
+   message, with what follows it.  The first header line, header close and line
+   end of every block are scanned backwards over the blocks (last non-null
+   value), so that text of any length that leaves a block ends at a known
+   position: nothing looks ahead.  Such texts are read and parsed next.
+3. Chains through a block make its function: where an entry leaves the block,
+   for each record size of the connection.  A position that is no marker, and a
+   frame that is not whole records, are rejects, after which the next header
+   line is awaited; both are part of the function.
+4. The functions are composed from the start of the stream by pointer doubling
+   (log2 rounds of joins over a few rows a block), and every block then lists
+   the messages on its true chain.  Acquisition, frame and sample numbers come
+   from ordered scans.
+
+No step holds a connection in one task; groups are blocks.  The rows are those
+of the forward walk (``dumps.index_chunks``), rejects included.
 """
 
 from __future__ import annotations
 
+import bisect
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from xml.etree.ElementTree import ParseError
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -37,422 +41,454 @@ from pyspark.sql import types as T
 
 from strobe.functions.frames import typed_frame
 from strobe.operators.ordering import ordered_scan, position_within
-from strobe.sources.capture_format import END_REASONS, fields_to_json, parse_header
-from strobe.sources.dumps import INDEX_SCHEMA, _filesystem
-
-LOOKAHEAD = 1 << 16  # bytes read past a chunk's end for lengths and text lines
-
-CAND_SCHEMA = T.StructType(
-    [
-        T.StructField("conn_id", T.LongType()),
-        T.StructField("chunk_no", T.LongType()),
-        T.StructField("pos", T.LongType()),
-        T.StructField("kind", T.StringType()),  # B, E, H, R (stream root)
-        T.StructField("next_pos", T.LongType()),  # NULL: chain ends here
-        T.StructField("status", T.StringType()),  # ok | eof | reject
-        T.StructField("exit_pos", T.LongType()),  # first chain position past the chunk
-        T.StructField("exit_status", T.StringType()),  # open | eof | reject (chain ends inside)
-        T.StructField("exit_expect", T.StringType()),  # M: a marker must start at exit_pos; H: a header line
-        T.StructField("n_bytes", T.LongType()),
-        T.StructField("samples", T.LongType()),
-        T.StructField("reason", T.StringType()),
-        T.StructField("header", T.StringType()),
-        T.StructField("layout", T.StringType()),
-        T.StructField("process", T.StringType()),
-        T.StructField("record", T.LongType()),
-        T.StructField("message", T.StringType()),
-    ]
+from strobe.session import shared_dir
+from strobe.sources.capture_format import (
+    END_MARKER,
+    END_REASONS,
+    FRAME_MARKER,
+    HEADER_CLOSE,
+    HEADER_OPEN,
+    READY_LINE,
 )
+from strobe.sources.captures import concat_binary_in_order
+from strobe.sources.dumps import INDEX_SCHEMA, PieceReader, index_chunks, materialize_index, read_header
+
+DEFAULT_BLOCK_BYTES = 8 << 20
+#: Connections up to so many bytes are walked, one task each.
+DEFAULT_WALK_BYTES = 64 << 20
+#: Bytes read beyond a block for marks that its end cuts, and before it.
+AFTER, BEFORE = 16, 1
+OPEN, CLOSE = HEADER_OPEN + b"\n", b"\n" + HEADER_CLOSE + b"\n"
+
+FOUND = (
+    "conn_id long, block long, pos long, kind string, next long, wait long, stop long, cut boolean, n_bytes long, samples long, "
+    "reason string, header string, layout string, process string, record long, message string, "
+    "first_head long, first_close long, first_line long"
+)
+#: One step of a true chain.
+TRUE = (
+    "conn_id long, pos long, kind string, n_bytes long, samples long, reason string, header string, layout string, process string, "
+    "record long, message string, is_head long"
+)
+EDGES = "conn_id long, pos long, record long, to_pos long, to_record long"
 
 
-def _read(path: str, offset: int, length: int) -> bytes:
-    filesystem, inner = _filesystem(path)
-    with filesystem.open_input_file(inner) as f:
-        return f.read_at(length, offset)
+def _type(ddl: str) -> T.StructType:
+    kinds = {"long": T.LongType(), "string": T.StringType(), "boolean": T.BooleanType()}
+    return T.StructType([T.StructField(name, kinds[kind]) for name, kind in (x.split() for x in ddl.split(", "))])
 
 
-def _scan_chunk(row, data: bytes, base: int, own: int, at_eof: bool) -> list[dict]:
-    """Candidates of one chunk. ``data`` = chunk bytes + lookahead; ``own`` =
-    chunk length; ``base`` = absolute offset of the chunk; ``at_eof``: no byte
-    exists past ``data``."""
-    out: dict[int, dict] = {}
-    end_abs = base + own
+FOUND_TYPE, TRUE_TYPE, EDGES_TYPE = _type(FOUND), _type(TRUE), _type(EDGES)
 
-    def known(p: int) -> bool:  # byte p (relative) is available
-        return p < len(data)
+# --------------------------------------------------------------------------- where bytes lie
 
-    def marker_at(p: int) -> bytes | None:
-        return data[p : p + 4] if p + 4 <= len(data) else None
 
-    def add(p, kind, nxt, status, **kw):
-        out[p] = {"pos": base + p, "kind": kind, "next_pos": None if nxt is None else base + nxt,
-                  "status": status, **kw}
+class Stream:
+    """Byte ranges of connections and the files, or chunks in memory, that hold them."""
 
-    if base == 0:  # stream root: "OK" line, then lines until "<header>"
-        cut = data.find(b"\n")
-        if cut < 0 or data[:cut] != b"OK":
-            add(0, "R", None, "reject", message=f"expected OK, got {data[:cut] if cut >= 0 else data[:16]!r}")
+    def __init__(self, chunks: DataFrame, block_bytes: int):
+        self.in_memory = "data" in chunks.columns
+        if self.in_memory:
+            chunks = chunks.withColumn("size", F.length("data").cast("long")).withColumn("path", F.lit(None).cast("string"))
         else:
-            h = data.find(b"\n<header>\n", cut - 1) if cut > 0 else -1
-            if data.startswith(b"<header>\n", cut + 1):
-                h = cut
-            add(0, "R", None if h < 0 else h + 1, "ok" if h >= 0 else "eof")
-
-    # BIN / END markers anywhere in the chunk
-    for marker, kind in ((b"BIN ", "B"), (b"END ", "E")):
-        p = data.find(marker, 0, own + 3)
-        while 0 <= p < own:
-            if kind == "B":
-                if p + 8 > len(data):
-                    add(p, "B", None, "eof" if at_eof else "reject", message="frame length cut")
-                else:
-                    total = struct.unpack("<I", data[p + 4 : p + 8])[0]
-                    if total < 8:
-                        add(p, "B", None, "reject", message="bad frame length")
-                    else:
-                        add(p, "B", p + total, "ok", n_bytes=total - 8)
-            else:
-                eol = data.find(b"\n", p)
-                if eol < 0:
-                    add(p, "E", None, "eof" if at_eof else "reject", message="end line not complete")
-                else:
-                    parts = data[p + 4 : eol].split(maxsplit=1)
-                    reason = parts[1].decode(errors="replace") if len(parts) == 2 else ""
-                    ok = reason in END_REASONS and parts and parts[0].isdigit()
-                    h = data.find(b"\n<header>\n", eol)
-                    nxt = None if h < 0 else h + 1
-                    if not ok:
-                        status = "reject"
-                    elif nxt is not None:
-                        status = "ok"
-                    else:  # no further header: a clean end, unless it lies beyond the lookahead
-                        status = "eof" if at_eof else "reject"
-                    add(p, "E", nxt if ok else None, status, samples=int(parts[0]) if ok else None,
-                        reason=reason if ok else None, message=None if ok else f"bad end record {data[p + 4:eol]!r}")
-            p = data.find(marker, p + 1, own + 3)
-
-    # header lines
-    p = data.find(b"<header>\n", 0, own + 8)
-    while 0 <= p < own:
-        close = data.find(b"\n</header>\n", p)
-        if close < 0:
-            add(p, "H", None, "eof" if at_eof else "reject", message="header not complete")
+            chunks = chunks.withColumn("data", F.lit(None).cast("binary"))
+        chunks = chunks.where("size > 0").select("conn_id", "chunk_no", "path", "size", "data")
+        self.spark = chunks.sparkSession
+        self.block_bytes = block_bytes
+        place = ordered_scan(chunks.select("conn_id", "chunk_no", "size"), ["conn_id"], ["chunk_no"], out="start", weight="size")
+        place = place.select("conn_id", "chunk_no", "start")
+        self.files = self._table(chunks.join(place, ["conn_id", "chunk_no"]), "index-files")
+        self.length = self._table(chunks.groupBy("conn_id").agg(F.sum("size").alias("length")), "index-lengths")
+        mean = self.files.agg(F.sum("size"), F.count(F.lit(1))).collect()[0]
+        self.bucket = max(256, min(block_bytes, (mean[0] or 1) // max(1, mean[1])))
+
+    def _table(self, df: DataFrame, purpose: str) -> DataFrame:
+        path = shared_dir(self.spark, purpose)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _part(self, lo, hi):
+        """The bytes [lo, hi) of the file in the row."""
+        a, b = F.greatest(lo, F.col("start")), F.least(hi, F.col("start") + F.col("size"))
+        data = F.substring("data", (a - F.col("start") + 1).cast("int"), (b - a).cast("int")) if self.in_memory else F.lit(None).cast("binary")
+        return F.struct(a.alias("at"), F.col("path").alias("path"), (a - F.col("start")).alias("start"), (b - a).alias("length"), data.alias("data"))
+
+    def blocks(self) -> DataFrame:
+        """(conn_id, block, length, parts): each block's bytes and a few around."""
+        size = F.lit(self.block_bytes)
+        first = F.greatest(F.lit(0), F.floor((F.col("start") - AFTER) / size)).cast("long")
+        last = F.floor((F.col("start") + F.col("size")) / size).cast("long")
+        spread = self.files.withColumn("block", F.explode(F.sequence(first, last))).join(self.length, "conn_id").where(F.col("block") * size < F.col("length"))
+        lo, hi = F.col("block") * size - BEFORE, (F.col("block") + 1) * size + AFTER
+        spread = spread.where((F.col("start") < hi) & (F.col("start") + F.col("size") > lo))
+        return spread.select("conn_id", "block", "length", self._part(lo, hi).alias("part")).groupBy("conn_id", "block", "length").agg(
+            F.array_sort(F.collect_list("part")).alias("parts")
+        )
+
+    def gather(self, ranges: DataFrame) -> DataFrame:
+        """Adds the parts of each [lo, hi) of (conn_id, lo, hi) rows; a row that
+        has no bytes has none."""
+        size = F.lit(self.bucket)
+        last = F.greatest(F.col("lo"), F.col("hi") - 1)
+        asked = ranges.where("lo < hi").select("conn_id", "lo", "hi").distinct()
+        asked = asked.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("lo") / size).cast("long"), F.floor(last / size).cast("long"))))
+        held = self.files.withColumn(
+            "bucket", F.explode(F.sequence(F.floor(F.col("start") / size).cast("long"), F.floor((F.col("start") + F.col("size") - 1) / size).cast("long")))
+        )
+        lo = F.greatest(F.col("lo"), F.col("bucket") * size)
+        hi = F.least(F.col("hi"), (F.col("bucket") + 1) * size)
+        met = asked.join(held, ["conn_id", "bucket"]).where((F.col("start") < hi) & (F.col("start") + F.col("size") > lo))
+        # a file that several buckets hold is cut there; the cuts are joined again
+        parts = met.groupBy("conn_id", "lo", "hi", "chunk_no").agg(
+            F.min(F.greatest(lo, F.col("start"))).alias("a"), F.max(F.least(hi, F.col("start") + F.col("size"))).alias("b"),
+            F.first("start").alias("start"), F.first("size").alias("size"), F.first("path").alias("path"), F.first("data").alias("data"),
+        )
+        parts = parts.select("conn_id", "lo", "hi", self._part(F.col("a"), F.col("b")).alias("part"))
+        parts = parts.groupBy("conn_id", "lo", "hi").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+        return ranges.join(parts, ["conn_id", "lo", "hi"], "left")
+
+
+def _bytes(parts, reader: PieceReader) -> bytes:
+    out = []
+    for p in parts if parts is not None else []:
+        out.append(bytes(p["data"]) if p["data"] is not None else reader.read([p]))
+    return b"".join(out)
+
+
+# --------------------------------------------------------------------------- scan
+
+
+def finish(kind: str, pos: int, text: bytes, after: bytes) -> dict:
+    """What follows a message whose text is complete: ``text`` runs from pos
+    to its last line end, ``after`` is the byte behind it."""
+    stop = pos + len(text)
+    if kind == "R":
+        if text == READY_LINE + b"\n":
+            return {"wait": stop}
+        return {"wait": stop, "message": f"expected OK, got {text[:-1][:64]!r}"}
+    if kind == "E":
+        parts = text[4:-1].split(maxsplit=1)
+        reason = parts[1].decode(errors="replace") if len(parts) == 2 else ""
+        if reason not in END_REASONS or not parts[0].isdigit():
+            return {"wait": stop, "message": f"bad end record {text[4:-1][:64]!r}"}
+        return {"wait": stop, "samples": int(parts[0]), "reason": reason}
+    try:
+        header, joined, layout = read_header(text)
+    except (ParseError, ValueError, TypeError) as wrong:
+        return {"wait": stop, "message": f"bad header: {wrong}"}
+    out = {"stop": stop, "header": joined, "layout": layout, "process": header.process, "record": header.sample_bytes}
+    if not after:
+        return out  # the stream ends here
+    return out | ({"next": stop + 1} if after == b"\n" else {"wait": stop + 1, "message": "expected newline after header"})
+
+
+def scan_block(data: bytes, base: int, lo: int, hi: int, length: int) -> list[dict]:
+    """Every possible message of [lo, hi) of a stream, and a row of the first
+    marks of the block.  data: the bytes from base on, a few more than that."""
+    rows: list[dict] = []
+
+    def text_to(mark: bytes, at: int, plus: int) -> int | None:
+        """Where the text that ends with the mark from ``at`` on stops, if the
+        mark starts in the block or the stream ends within the bytes."""
+        hit = data.find(mark, at - base)
+        return base + hit + plus if 0 <= hit and base + hit < hi else None
+
+    def add(kind: str, pos: int, mark: bytes, at: int) -> None:
+        stop, start = text_to(mark, at, len(mark)), max(pos, 0)
+        if stop is None:
+            rows.append({"pos": pos, "kind": kind, "cut": True})
         else:
-            stop = close + len(b"\n</header>\n")
-            text = b"".join(data[p:stop].split(b"\n")).decode(errors="replace")
-            if not known(stop):
-                add(p, "H", None, "eof" if at_eof else "reject", message="expected newline after header")
-            elif data[stop : stop + 1] != b"\n":
-                add(p, "H", None, "reject", message="expected newline after header")
+            rows.append({"pos": pos, "kind": kind} | finish(kind, start, data[start - base : stop - base], data[stop - base : stop - base + 1] if stop < length else b""))
+
+    if lo == 0:
+        add("R", -1, b"\n", 0)
+    at = data.find(FRAME_MARKER, lo - base)
+    while 0 <= at and base + at < hi:
+        pos = base + at
+        if pos + 8 <= length:
+            total = struct.unpack("<I", data[at + 4 : at + 8])[0]
+            if total < 8:
+                rows.append({"pos": pos, "kind": "B", "wait": pos + 8, "message": f"frame of {total - 8} bytes"})
+            elif pos + total <= length:
+                rows.append({"pos": pos, "kind": "B", "next": pos + total, "n_bytes": total - 8})
             else:
-                try:
-                    h = parse_header(text)
-                    add(p, "H", stop + 1, "ok", header=text, layout=fields_to_json(h.fields), process=h.process,
-                        record=h.sample_bytes)
-                except Exception as exc:  # noqa: BLE001 - a malformed header is a reject
-                    add(p, "H", None, "reject", message=f"bad header: {exc}")
-        p = data.find(b"<header>\n", p + 1, own + 8)
-
-    rejects: dict[int, dict] = {}
-    # successors of data-phase messages must be markers: where one is not, the
-    # walk stops there with a reject, so that position becomes a reject node
-    for p in sorted(out, reverse=True):
-        c = out[p]
-        nxt = c["next_pos"]
-        if nxt is not None and c["kind"] in ("B", "H") and c["status"] == "ok":
-            rel = nxt - base
-            if rel < own and (rel not in out or out[rel]["kind"] not in ("B", "E")):
-                m = marker_at(rel)
-                if m is None and at_eof:
-                    c.update(status="eof", next_pos=None)
-                else:
-                    # reject nodes get their own key (-position-1): the same bytes may
-                    # also be read as a header line by another chain
-                    key = -(base + rel) - 1
-                    rejects[key] = {"pos": key, "kind": "X", "next_pos": None, "status": "reject",
-                                    "message": f"bad marker {m!r}", "exit_pos": None, "exit_status": "reject"}
-                    c["next_pos"] = key
-                    c["_succ"] = key
-    for p in sorted(out, reverse=True):
-        c = out[p]
-        if c.get("_succ") is not None:
-            c["exit_pos"], c["exit_status"] = None, "reject"
-            continue
-        if c["next_pos"] is None:
-            c["exit_pos"], c["exit_status"] = None, c["status"]
-        elif c["next_pos"] >= end_abs:
-            c["exit_pos"], c["exit_status"] = c["next_pos"], "open"
-            c["exit_expect"] = "H" if c["kind"] in ("E", "R") else "M"
+                rows.append({"pos": pos, "kind": "Z"})  # the stream ends inside
         else:
-            nx = out[c["next_pos"] - base]
-            c["exit_pos"], c["exit_status"], c["exit_expect"] = nx["exit_pos"], nx["exit_status"], nx.get("exit_expect")
-    rows = []
-    for c in list(out.values()) + list(rejects.values()):
-        c.pop("_succ", None)
-        c.update(conn_id=row.conn_id, chunk_no=row.chunk_no)
-        rows.append(c)
+            rows.append({"pos": pos, "kind": "Z"})
+        at = data.find(FRAME_MARKER, at + 1)
+    at = data.find(END_MARKER, lo - base)
+    while 0 <= at and base + at < hi:
+        add("E", base + at, b"\n", base + at + 4)
+        at = data.find(END_MARKER, at + 1)
+    heads = []
+    at = data.find(b"\n" + OPEN, max(0, lo - base - 1))
+    while 0 <= at and base + at + 1 < hi:
+        if base + at + 1 >= lo:
+            heads.append(base + at + 1)
+            add("H", heads[-1], CLOSE, heads[-1] + len(HEADER_OPEN))
+        at = data.find(b"\n" + OPEN, at + 1)
+
+    def first(mark: bytes, from_: int) -> int | None:
+        hit = data.find(mark, from_ - base)
+        return base + hit if 0 <= hit and base + hit < hi else None
+
+    rows.append({"kind": "S", "first_head": heads[0] if heads else None, "first_close": first(CLOSE, lo), "first_line": first(b"\n", lo)})
     return rows
 
 
-def _scanner(lookahead: int):
+def _scan(block_bytes: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = PieceReader()
         for pdf in batches:
-            rows = []
             for r in pdf.itertuples(index=False):
-                data = _read(r.path, 0, r.size)
-                extra = b""
-                for path, size in zip(r.next_paths, r.next_sizes):
-                    if len(extra) >= lookahead:
-                        break
-                    extra += _read(path, 0, min(size, lookahead - len(extra)))
-                at_eof = len(extra) < lookahead  # every following byte of the stream was read
-                rows.extend(_scan_chunk(r, data + extra, int(r.start), int(r.size), at_eof))
-            yield typed_frame(rows, CAND_SCHEMA)
+                lo = int(r.block) * block_bytes
+                found = scan_block(_bytes(r.parts, reader), max(0, lo - BEFORE), lo, min(lo + block_bytes, int(r.length)), int(r.length))
+                yield typed_frame([{"conn_id": r.conn_id, "block": r.block, "cut": False} | x for x in found], FOUND_TYPE)
 
     return run
 
 
-def _marker():
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        entries = pdf.loc[pdf["entry"].notna(), "entry"]
-        if entries.empty:
-            return pdf.iloc[0:0][[c for c in pdf.columns if c != "entry"]]
-        by_pos = pdf.set_index("pos")
-        keep = []
-        p = int(entries.iloc[0])
-        while p in by_pos.index:
-            keep.append(p)
-            nxt = by_pos.at[p, "next_pos"]
-            if pd.isna(nxt):
-                break
-            p = int(nxt)
-        return by_pos.loc[keep].reset_index()[[c for c in pdf.columns if c != "entry"]]
+def _complete(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Messages whose text leaves their block, with the text."""
+    reader = PieceReader()
+    for pdf in batches:
+        out = []
+        for r in pdf.itertuples(index=False):
+            row = {"conn_id": r.conn_id, "block": r.block, "pos": r.pos, "kind": r.kind, "cut": True}
+            if pd.isna(r.stop):  # the stream ends inside
+                if r.kind == "H":
+                    row["message"] = "stream ends inside a header"
+                elif r.kind == "R":
+                    row |= {"message": "expected OK, got None", "wait": int(r.length)}
+                else:
+                    row["kind"] = "Z"
+            else:
+                text, stop, start = _bytes(r.parts, reader), int(r.stop), max(0, int(r.pos))
+                row |= finish(r.kind, start, text[: stop - start], text[stop - start : stop - start + 1])
+            out.append(row)
+        yield typed_frame(out, FOUND_TYPE)
+
+
+# --------------------------------------------------------------------------- functions of blocks
+
+
+class Block:
+    """The candidates of a block and what lies around it."""
+
+    def __init__(self, cands: pd.DataFrame, info: pd.Series, block_bytes: int):
+        self.lo, self.length = int(info["block"]) * block_bytes, int(info["length"])
+        self.hi = min(self.lo + block_bytes, self.length)
+        self.next_head = None if pd.isna(info["last_first_head"]) else int(info["last_first_head"])
+        rows = cands.to_dict("records")
+        self.markers = {int(r["pos"]): r for r in rows if r["kind"] in ("B", "E", "Z")}
+        self.headers = {int(r["pos"]): r for r in rows if r["kind"] == "H"}
+        self.root = next((r for r in rows if r["kind"] == "R"), None)
+        self.heads = sorted(self.headers)
+
+    def head_from(self, at: int) -> int | None:
+        """The first header line from a position on; in this block or beyond."""
+        i = bisect.bisect_left(self.heads, at)
+        return self.heads[i] if i < len(self.heads) else self.next_head
+
+    def inside(self, pos: int | None) -> bool:
+        return pos is not None and (self.lo <= pos < self.hi or pos == -1 and self.lo == 0)
+
+    def follow(self, pos: int, record: int, seen: list | None = None) -> tuple[int, int] | None:
+        """Where the chain from an entry leaves the block: a marker position
+        with its record size, or a header line with 0; None: it ends.  seen:
+        gets the messages on the way as (kind, row, position, reject bytes)."""
+        while self.inside(pos):
+            wait = None
+            if record:
+                row = self.markers.get(pos)
+                if row is None or row["kind"] == "Z":
+                    if row is not None or pos + 4 > self.length:
+                        return None
+                    wait, wrong, at = pos + 4, "bad marker", pos
+                elif row["kind"] == "B" and pd.notna(row["next"]):
+                    n = int(row["n_bytes"])
+                    if n % record == 0:
+                        if seen is not None:
+                            seen.append(("frame", row, pos, None))
+                        pos = int(row["next"])
+                        continue
+                    wait, wrong, at = pos + 8, f"frame of {n} bytes is not whole records of {record}", pos
+                else:
+                    wait, wrong, at = int(row["wait"]), row["message"], pos
+                    if wrong is None and seen is not None:
+                        seen.append(("end", row, pos, None))
+            else:
+                row = self.root if pos == -1 else self.headers[pos]
+                if pos >= 0 and seen is not None:
+                    seen.append(("header" if row["header"] is not None else "head", row, pos, None))
+                if pd.notna(row["next"]):
+                    pos, record = int(row["next"]), int(row["record"])
+                    continue
+                at = max(pos, 0) if pd.isna(row["stop"]) else int(row["stop"])
+                wrong = row["message"]
+                if pd.isna(row["wait"]):
+                    if wrong is not None and seen is not None:
+                        seen.append(("reject", {"message": wrong}, at, self.length - at))
+                    return None
+                wait = int(row["wait"])
+            head = self.head_from(wait)
+            if wrong is not None and seen is not None:
+                seen.append(("reject", {"message": wrong}, at, (self.length if head is None else head) - at))
+            if head is None:
+                return None
+            pos, record = head, 0
+        return None if pos is None or pos >= self.length else (pos, record)
+
+
+def _edges(block_bytes: int):
+    def run(key, cands: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for i in info.to_dict("records"):
+            block = Block(cands, i, block_bytes)
+            asked = [(int(p), int(r)) for p in (i["entries"] if i["entries"] is not None else []) for r in (i["records"] if i["records"] is not None else [])]
+            asked += [(block.heads[0], 0)] if block.heads else []
+            asked += [(-1, 0)] if block.root is not None else []
+            for pos, record in asked:
+                to = block.follow(pos, record)
+                if to is not None:
+                    rows.append({"conn_id": i["conn_id"], "pos": pos, "record": record, "to_pos": to[0], "to_record": to[1]})
+        return typed_frame(rows, EDGES_TYPE)
 
     return run
 
 
-def index_chunks_parallel(listing: DataFrame, lookahead: int = LOOKAHEAD) -> DataFrame:
-    """Index rows (same schema as the sequential walk, without payloads) from
-    a listing (conn_id, chunk_no, path, size) of uniform-size chunk files."""
-    spark = listing.sparkSession
-    lst = listing.select("conn_id", "chunk_no", "path", "size")
-    placed = ordered_scan(lst, ["conn_id"], ["chunk_no"], out="start", weight="size")
-    # the following chunk files covering ``lookahead`` bytes, for lengths and
-    # text lines that cross a chunk's end (one or two files at MB-sized chunks)
-    # (the last file of a connection may be shorter, the others have one size)
-    smallest = placed.groupBy("conn_id").agg(F.max("size").alias("s")).agg(F.min("s")).collect()[0][0] or 1
-    ahead = max(1, -(-lookahead // max(1, int(smallest))) + 1)
-    follow = placed.select(
-        "conn_id", F.explode(F.sequence(F.col("chunk_no") - ahead, F.col("chunk_no") - 1)).alias("chunk_no"),
-        (F.col("chunk_no")).alias("nno"), F.col("path").alias("npath"), F.col("size").alias("nsize"),
-    )
-    follow = follow.groupBy("conn_id", "chunk_no").agg(
-        F.array_sort(F.collect_list(F.struct("nno", "npath", "nsize"))).alias("nx")
-    )
-    with_next = placed.join(follow, ["conn_id", "chunk_no"], "left").select(
-        "conn_id", "chunk_no", "path", "size", "start",
-        F.coalesce(F.transform("nx", lambda x: x["npath"]), F.array().cast("array<string>")).alias("next_paths"),
-        F.coalesce(F.transform("nx", lambda x: x["nsize"]), F.array().cast("array<bigint>")).alias("next_sizes"),
-    )
-    cands = with_next.mapInPandas(_scanner(lookahead), CAND_SCHEMA)
-    from strobe.session import shared_dir
-
-    path = shared_dir(spark, "index-candidates")
-    cands.write.parquet(path)
-    cands = spark.read.parquet(path)
-
-    # chunk-entry transitions: the root, and every position some chain enters at
-    targets = cands.where(F.col("exit_status") == "open").select(
-        "conn_id", F.col("exit_pos").alias("pos")
-    ).distinct()
-    entries = cands.join(targets, ["conn_id", "pos"], "left_semi").unionByName(cands.where(F.col("kind") == "R"))
-    # about one row per chunk: the skeleton of the stream, resolved in Spark
-    true_entries, dangling = _resolve_distributed(entries, placed)
-    # mark the true messages of each chunk by following successors from its entry
-    tagged = cands.join(true_entries, (cands["conn_id"] == true_entries["conn_id"]) & (cands["pos"] == true_entries["entry"]), "left").drop(true_entries["conn_id"])
-    true = tagged.groupBy("conn_id", "chunk_no").applyInPandas(
-        _marker(), T.StructType([f for f in CAND_SCHEMA.fields])
-    )
-    # one small row per message: keep it as a table for the counter scans below
-    true_path = shared_dir(spark, "index-messages")
-    true.write.parquet(true_path)
-    true = spark.read.parquet(true_path)
-    bad = dangling.select(
-        *[
-            (F.col(f.name) if f.name in ("conn_id", "pos") else
-             F.lit({"kind": "X", "status": "reject", "exit_status": "reject", "message": "bad marker"}.get(f.name)))
-            .cast(f.dataType).alias(f.name)
-            for f in CAND_SCHEMA.fields
-        ]
-    )
-    return _index_rows(true.unionByName(bad), placed)
-
+def _messages(block_bytes: int):
+    def run(key, cands: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for i in info.to_dict("records"):
+            block, seen = Block(cands, i, block_bytes), []
+            block.follow(int(i["at_pos"]), int(i["at_record"]), seen)
+            for kind, row, pos, lost in seen:
+                own = {k: row.get(k) for k in ("samples", "reason", "header", "layout", "process", "record", "message")}
+                if kind == "head":  # a header that cannot be read counts, its reject follows
+                    own = {}
+                elif kind != "reject":
+                    own["message"] = None
+                rows.append(own | {"conn_id": i["conn_id"], "pos": pos, "kind": kind, "n_bytes": lost if kind == "reject" else row.get("n_bytes"), "is_head": int(kind in ("header", "head"))})
+        return typed_frame(rows, TRUE_TYPE)
 
-def _resolve_distributed(entries: DataFrame, placed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Entries on the path from each connection's root, by pointer doubling.
+    return run
 
-    Nodes are the chunk-entry candidates; a node's edge leads to where its
-    chain leaves the chunk, if a message of the expected kind starts there.
-    With J_k(x) = x's successor 2^k steps on, the path set grows as
-    S <- S u J_k(S); after about log2(path length) rounds S holds every entry
-    on the path. Each round's small tables are written to the shared folder,
-    which keeps the lineage short. Returns (true entries, dangling rejects).
-    """
-    from strobe.session import shared_dir
 
-    spark = entries.sparkSession
-    nodes = entries.select("conn_id", "pos", "kind", "exit_pos", "exit_status", "exit_expect")
-    kinds = nodes.select("conn_id", F.col("pos").alias("dst"), F.col("kind").alias("dst_kind"))
-    opened = nodes.where(F.col("exit_status") == "open").select(
-        "conn_id", F.col("pos").alias("src"), F.col("exit_pos").alias("dst"), "exit_expect"
-    )
-    fits = (F.col("exit_expect") == "H") & (F.col("dst_kind") == "H") | (
-        (F.col("exit_expect") == "M") & F.col("dst_kind").isin("B", "E")
-    )
-    linked = opened.join(kinds, ["conn_id", "dst"], "left")
-    edges = linked.where(fits).select("conn_id", "src", "dst")
-    loose = linked.where(~F.coalesce(fits, F.lit(False))).select("conn_id", "src", "dst", "exit_expect")
+def _reached(edges: DataFrame, table: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Nodes (conn_id, pos, record) on the path from each stream's start.
 
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        path = shared_dir(spark, name)
-        df.write.parquet(path)
-        return spark.read.parquet(path)
-
-    jump = keep(edges, "index-jump")
-    path_set = keep(nodes.where(F.col("kind") == "R").select("conn_id", F.col("pos").alias("node")), "index-path")
-    size = path_set.count()
-    while True:
-        reached = path_set.join(jump, (path_set["conn_id"] == jump["conn_id"]) & (path_set["node"] == jump["src"])).select(
-            path_set["conn_id"], jump["dst"].alias("node")
-        )
-        grown = keep(path_set.unionByName(reached).distinct(), "index-path")
-        new_size = grown.count()
-        if new_size == size:
+    With J_k(x) = x's successor 2^k steps on, the path grows as S <- S u
+    J_k(S); after about log2(path length) rounds it is whole.
+    """
+    jump = edges
+    path = table(edges.where("pos = -1").select("conn_id", "pos", "record").distinct(), "index-path")
+    size = path.count()
+    while size:
+        step = path.join(jump, ["conn_id", "pos", "record"]).select("conn_id", F.col("to_pos").alias("pos"), F.col("to_record").alias("record"))
+        grown = table(path.unionByName(step).distinct(), "index-path")
+        new = grown.count()
+        if new == size:
             break
-        a, b = jump.alias("a"), jump.alias("b")
-        jump = keep(
-            a.join(b, (F.col("a.conn_id") == F.col("b.conn_id")) & (F.col("a.dst") == F.col("b.src"))).select(
-                F.col("a.conn_id").alias("conn_id"), F.col("a.src").alias("src"), F.col("b.dst").alias("dst")
-            ),
+        on = jump.select("conn_id", F.col("pos").alias("to_pos"), F.col("record").alias("to_record"), F.col("to_pos").alias("p"), F.col("to_record").alias("r"))
+        jump = table(
+            jump.join(on, ["conn_id", "to_pos", "to_record"]).select("conn_id", "pos", "record", F.col("p").alias("to_pos"), F.col("r").alias("to_record")),
             "index-jump",
         )
-        path_set, size = grown, new_size
-    true_entries = path_set.select("conn_id", F.col("node").alias("entry"))
-    # the path's last node may point at bytes that start no message: the walk
-    # reports a bad marker there (if four bytes remain in the stream)
-    lengths = placed.groupBy("conn_id").agg(F.sum("size").alias("stream_len"))
-    dangling = (
-        loose.join(path_set, (loose["conn_id"] == path_set["conn_id"]) & (loose["src"] == path_set["node"]), "left_semi")
-        .join(lengths, "conn_id")
-        .where((F.col("exit_expect") == "M") & (F.col("dst") + 4 <= F.col("stream_len")))
-        .select("conn_id", F.col("dst").alias("pos"))
-    )
-    return true_entries, dangling
-
-
-def _index_rows(true: DataFrame, placed: DataFrame) -> DataFrame:
+        path, size = grown, new
+    return path
+
+
+def index_chunks_parallel(chunks: DataFrame, block_bytes: int | None = None) -> DataFrame:
+    """Index rows of a listing (conn_id, chunk_no, path, size), or of chunks in
+    memory (conn_id, chunk_no, data; frames then carry their payload)."""
+    spark = chunks.sparkSession
+    size = block_bytes or int(spark.conf.get("strobe.index.blockBytes", str(DEFAULT_BLOCK_BYTES)))
+    stream = Stream(chunks, size)
+    table = stream._table
+    scanned = table(stream.blocks().mapInPandas(_scan(size), FOUND), "index-candidates")
+
+    # what the blocks after each one hold first
+    firsts = scanned.where("kind = 'S'").select("conn_id", "block", "first_head", "first_close", "first_line", (-F.col("block")).alias("back"))
+    around = ordered_scan(firsts, ["conn_id"], ["back"], out="n", fill=["first_head", "first_close", "first_line"]).join(stream.length, "conn_id")
+    around = table(around.select("conn_id", "block", "length", "last_first_head", "last_first_close", "last_first_line"), "index-blocks")
+
+    # texts that leave their block
+    cut = scanned.where("cut").select("conn_id", "block", "pos", "kind").join(around, ["conn_id", "block"])
+    stop = F.when(F.col("kind") == "H", F.col("last_first_close") + len(CLOSE)).otherwise(F.col("last_first_line") + 1)
+    lo = F.greatest(F.col("pos"), F.lit(0))
+    ranges = cut.withColumn("stop", stop).withColumn("lo", lo).withColumn("hi", F.coalesce(F.least(stop + 1, F.col("length")), lo))
+    texts = stream.gather(ranges.select("conn_id", "block", "pos", "kind", "stop", "length", "lo", "hi")).mapInPandas(_complete, FOUND)
+    cands = table(scanned.where("kind <> 'S' AND NOT coalesce(cut, false)").unionByName(texts), "index-messages")
+
+    # functions of the blocks, composed
+    records = cands.where("kind = 'H' AND next IS NOT NULL").groupBy("conn_id").agg(F.collect_set("record").alias("records"))
+    beyond = (F.col("block") + 1) * F.lit(size)
+    entries = cands.where(F.col("next") >= beyond).select("conn_id", "next").distinct().groupBy(
+        "conn_id", F.floor(F.col("next") / size).cast("long").alias("block")
+    ).agg(F.collect_list("next").alias("entries"))
+    info = around.join(records, "conn_id", "left").join(entries, ["conn_id", "block"], "left")
+    by_block = ["conn_id", "block"]
+    edges = info.groupBy(*by_block)
+    edges = table(cands.groupBy(*by_block).cogroup(edges).applyInPandas(_edges(size), EDGES), "index-edges")
+    path = _reached(edges, table)
+    start = F.greatest(F.col("pos"), F.lit(0))
+    roots = cands.where("kind = 'R'").select("conn_id", "pos", F.lit(0).cast("long").alias("record"))
+    entered = path.where("pos >= 0").unionByName(roots)  # a chain enters a block once
+    entered = entered.select("conn_id", F.floor(start / size).cast("long").alias("block"), F.col("pos").alias("at_pos"), F.col("record").alias("at_record"))
+    chosen = around.join(entered, by_block)
+    true = cands.groupBy(*by_block).cogroup(chosen.groupBy(*by_block)).applyInPandas(_messages(size), TRUE)
+    return _index_rows(true, stream)
+
+
+def _index_rows(true: DataFrame, stream: Stream) -> DataFrame:
     """True messages -> index rows with acquisition, frame and sample counters."""
-    total = placed.groupBy("conn_id").agg(F.sum("size").alias("stream_len"))
-    real_pos = F.when(F.col("pos") < 0, -F.col("pos") - 1).otherwise(F.col("pos"))
-    msgs = true.where(F.col("kind") != "R").withColumn("pos", real_pos).join(total, "conn_id")
-    # a frame cut by the end of the stream is not a frame (the walk stops there)
-    cut = (F.col("kind") == "B") & (F.col("pos") + 8 + F.col("n_bytes") > F.col("stream_len"))
-    msgs = msgs.where(~cut)
-    # messages after the first rejected one are not reached by the sequential walk
-    first_reject = msgs.where(F.col("status") == "reject").groupBy("conn_id").agg(F.min("pos").alias("rej"))
-    msgs = msgs.join(first_reject, "conn_id", "left").where(F.col("rej").isNull() | (F.col("pos") <= F.col("rej")))
-    msgs = msgs.withColumn("is_h", ((F.col("kind") == "H") & (F.col("status") == "ok")).cast("long"))
-    msgs = ordered_scan(msgs, ["conn_id"], ["pos"], out="h_before", weight="is_h")
-    msgs = msgs.withColumn("acq_no", F.col("h_before") + F.col("is_h"))
-    heads = msgs.where(F.col("is_h") == 1).select("conn_id", "acq_no", F.col("layout").alias("acq_layout"),
-                                                F.col("process").alias("acq_process"), F.col("record").alias("acq_record"))
-    frames = msgs.where((F.col("kind") == "B") & (F.col("status") != "reject")).join(heads, ["conn_id", "acq_no"])
-    # a frame that is not whole records stops the stream, as in the walk
-    partial = frames.where(F.col("n_bytes") % F.col("acq_record") != 0).groupBy("conn_id").agg(F.min("pos").alias("bad"))
-    frames = frames.join(partial, "conn_id", "left").where(F.col("bad").isNull() | (F.col("pos") < F.col("bad"))).drop("bad")
-    msgs = msgs.join(partial, "conn_id", "left")
-    msgs = msgs.where(F.col("bad").isNull() | (F.col("pos") < F.col("bad"))).unionByName(
-        msgs.where(F.col("pos") == F.col("bad")).withColumn("status", F.lit("reject")).withColumn(
-            "message", F.lit("frame is not whole records"))
-    ).drop("bad")
-    frames = frames.withColumn("n_rows", (F.col("n_bytes") / F.col("acq_record")).cast("long"))
+    numbered = stream._table(true, "index-true").withColumn("rank", F.when(F.col("kind") == "reject", 1).otherwise(0))
+    numbered = ordered_scan(numbered, ["conn_id"], ["pos", "rank"], out="before", weight="is_head")
+    numbered = stream._table(numbered.withColumn("acq_no", F.col("before") + F.col("is_head")), "index-numbered")
+    heads = numbered.where("kind = 'header'").select("conn_id", "acq_no", F.col("layout").alias("own_layout"), F.col("process").alias("own_process"), F.col("record").alias("own_record"))
+    frames = numbered.where("kind = 'frame'").drop("layout", "process", "record").join(heads, ["conn_id", "acq_no"])
+    frames = frames.withColumn("n_rows", F.expr("n_bytes div own_record"))
     frames = position_within(frames, ["conn_id", "acq_no"], ["pos"], out="frame_no")
     frames = ordered_scan(frames, ["conn_id", "acq_no"], ["pos"], out="first_sample", weight="n_rows")
-    size = placed.groupBy("conn_id").agg(F.max("size").alias("csize"))
-    files = placed.select("conn_id", "chunk_no", "path")
-    frames = frames.join(size, "conn_id")
-    lo = F.col("pos") + 8
-    hi = lo + F.col("n_bytes")
-    pieces = frames.withColumn(
-        "cno", F.explode(F.sequence(F.floor(lo / F.col("csize")).cast("long"),
-                                    F.floor((F.greatest(hi, lo + 1) - 1) / F.col("csize")).cast("long")))
-    ).join(files.withColumnRenamed("chunk_no", "cno"), ["conn_id", "cno"])
-    a = F.greatest(lo, F.col("cno") * F.col("csize"))
-    b = F.least(hi, (F.col("cno") + 1) * F.col("csize"))
-    pieces = pieces.groupBy("conn_id", "pos").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("cno").alias("cno"), F.struct(
-            F.col("path").alias("path"), (a - F.col("cno") * F.col("csize")).alias("start"), (b - a).alias("length")
-        ).alias("piece")))).alias("ps")
-    ).select("conn_id", "pos", F.transform("ps", lambda x: x["piece"]).alias("pieces"))
-    frames = frames.join(pieces, ["conn_id", "pos"], "left")
-    frame_rows = frames.select(
-        "conn_id", F.lit("frame").alias("kind"), "acq_no", "frame_no", (F.col("pos") + 8).alias("pos"), "n_bytes",
-        "first_sample", "n_rows", F.lit(None).cast("string").alias("header"), F.col("acq_layout").alias("layout"),
-        F.col("acq_process").alias("process"), F.lit(None).cast("long").alias("samples"),
-        F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("message"),
-        F.coalesce("pieces", F.array().cast(INDEX_SCHEMA["pieces"].dataType)).alias("pieces"),
-        F.lit(None).cast("binary").alias("payload"),
-    )
     totals = frames.groupBy("conn_id", "acq_no").agg(F.sum("n_rows").alias("rows"))
-    other = msgs.where(F.col("kind").isin("H", "E") & (F.col("status") != "reject")).join(totals, ["conn_id", "acq_no"], "left")
-    other_rows = other.select(
-        "conn_id", F.when(F.col("kind") == "H", "header").otherwise("end").alias("kind"), "acq_no",
-        F.lit(None).cast("long").alias("frame_no"), "pos", F.lit(None).cast("long").alias("n_bytes"),
-        F.lit(None).cast("long").alias("first_sample"),
-        F.when(F.col("kind") == "E", F.coalesce("rows", F.lit(0))).cast("long").alias("n_rows"),
-        "header", "layout", "process", "samples", "reason", F.lit(None).cast("string").alias("message"),
-        F.lit(None).cast(INDEX_SCHEMA["pieces"].dataType).alias("pieces"), F.lit(None).cast("binary").alias("payload"),
-    )
-    rejects = msgs.where(F.col("status") == "reject").select(
-        "conn_id", F.lit("reject").alias("kind"), "acq_no", F.lit(None).cast("long").alias("frame_no"), "pos",
-        *[F.lit(None).cast(t).alias(n) for n, t in (("n_bytes", "long"), ("first_sample", "long"), ("n_rows", "long"),
-                                                   ("header", "string"), ("layout", "string"), ("process", "string"),
-                                                   ("samples", "long"), ("reason", "string"))],
-        "message", F.lit(None).cast(INDEX_SCHEMA["pieces"].dataType).alias("pieces"),
-        F.lit(None).cast("binary").alias("payload"),
+    frames = stream.gather(frames.withColumn("lo", F.col("pos") + 8).withColumn("hi", F.col("pos") + 8 + F.col("n_bytes")))
+    if stream.in_memory:
+        data = F.transform("parts", lambda p: F.struct(p["at"].alias("start"), p["data"].alias("data")))
+        pieces = F.array().cast(INDEX_SCHEMA["pieces"].dataType)
+        payload = F.coalesce(concat_binary_in_order(data), F.lit("").cast("binary"))
+    else:
+        pieces = F.transform("parts", lambda p: F.struct(p["path"].alias("path"), p["start"].alias("start"), p["length"].alias("length")))
+        payload = F.lit(None).cast("binary")
+
+    def rows(df: DataFrame, **given) -> DataFrame:
+        return df.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in INDEX_SCHEMA.fields])
+
+    col = F.col
+    common = {"conn_id": col("conn_id"), "acq_no": col("acq_no"), "pos": col("pos")}
+    frame_rows = rows(
+        frames, **common | {"pos": col("pos") + 8}, kind=F.lit("frame"), frame_no=col("frame_no"), n_bytes=col("n_bytes"), first_sample=col("first_sample"),
+        n_rows=col("n_rows"), layout=col("own_layout"), process=col("own_process"), pieces=F.coalesce(pieces, F.array().cast(INDEX_SCHEMA["pieces"].dataType)), payload=payload,
     )
-    return frame_rows.unionByName(other_rows).unionByName(rejects)
+    header_rows = rows(numbered.where("kind = 'header'"), **common, kind=F.lit("header"), header=col("header"), layout=col("layout"), process=col("process"))
+    ends = numbered.where("kind = 'end'").join(totals, ["conn_id", "acq_no"], "left")
+    end_rows = rows(ends, **common, kind=F.lit("end"), samples=col("samples"), reason=col("reason"), n_rows=F.coalesce("rows", F.lit(0)))
+    lost = numbered.where("kind = 'reject'")
+    reject_rows = rows(lost, **common | {"acq_no": F.when(col("acq_no") > 0, col("acq_no"))}, kind=F.lit("reject"), n_bytes=col("n_bytes"), message=col("message"))
+    return frame_rows.unionByName(header_rows).unionByName(end_rows).unionByName(reject_rows)
 
 
-DEFAULT_PARALLEL_ABOVE = 256
-#: Smallest chunk for which looking ahead over the following files pays.
-MIN_CHUNK_BYTES = 4096
-
-
-def index_archive_files(listing: DataFrame, parallel_above: int | None = None, min_chunk: int = MIN_CHUNK_BYTES) -> DataFrame:
+def index_archive_files(listing: DataFrame, walk_bytes: int | None = None, block_bytes: int | None = None) -> DataFrame:
     """Frame index of an archive listing.
 
-    Connections of more than ``parallel_above`` chunk files
-    (``strobe.index.parallelAboveChunks``, default 256), of one size and
-    numbered without gaps, are indexed in parallel over their files; all others
-    are walked, one task each. A connection where the parallel index rejects
-    anything is walked as well, so the rows never depend on the route.
+    Connections of more than ``walk_bytes`` (``strobe.index.walkBytes``,
+    default 64 MiB) are indexed in parallel over their blocks, the others are
+    walked, one bounded task each; the rows are the same either way.
     """
-    from strobe.sources.dumps import index_chunks, materialize_index
-
     spark = listing.sparkSession
-    limit = int(spark.conf.get("strobe.index.parallelAboveChunks", str(DEFAULT_PARALLEL_ABOVE))) if parallel_above is None else parallel_above
-    n = F.count(F.lit(1))
-    shape = listing.groupBy("conn_id").agg(
-        (
-            (n > limit) & (F.max("size") >= min_chunk) & (F.max("chunk_no") - F.min("chunk_no") + 1 == n)
-            & (F.sum("size") == F.max("size") * (n - 1) + F.max_by("size", "chunk_no"))
-        ).alias("regular")
-    )
-    regular = shape.where("regular").select("conn_id")
-    if regular.isEmpty():
+    limit = int(spark.conf.get("strobe.index.walkBytes", str(DEFAULT_WALK_BYTES))) if walk_bytes is None else walk_bytes
+    large = listing.groupBy("conn_id").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > limit).select("conn_id")
+    if large.isEmpty():
         return index_chunks(listing)
-    parallel = materialize_index(index_chunks_parallel(listing.join(regular, "conn_id", "left_semi")))
-    again = parallel.where("kind = 'reject'").select("conn_id").distinct()
-    walked = listing.join(regular.join(again, "conn_id", "left_anti"), "conn_id", "left_anti")
-    return parallel.join(again, "conn_id", "left_anti").select(*INDEX_SCHEMA.names).unionByName(index_chunks(walked))
+    parallel = materialize_index(index_chunks_parallel(listing.join(large, "conn_id", "left_semi"), block_bytes))
+    return parallel.unionByName(index_chunks(listing.join(large, "conn_id", "left_anti")))

@@ -56,20 +56,64 @@ def _samples(spark, index):
     return sorted(tuple(map(str, r)) for r in dec.select(*[f"`{x}`" for x in names]).collect())
 
 
-@pytest.mark.parametrize("cut", [_even(61), _even(333), _even(4096), _uneven], ids=["61", "333", "4096", "uneven"])
-def test_index_routes_give_the_same_rows(spark, tmp_path, cut):
+@pytest.mark.parametrize(("cut", "block"), [(_even(61), 700), (_even(333), 64), (_even(4096), 1 << 20), (_uneven, 333)], ids=["61", "333", "4096", "uneven"])
+def test_index_routes_give_the_same_rows(spark, tmp_path, cut, block):
     listing = _archive(spark, str(tmp_path / "arch"), _streams(), cut)
     seq = index_chunks(listing)
-    routed = index_archive_files(listing, parallel_above=0, min_chunk=1)
+    routed = index_archive_files(listing, walk_bytes=0, block_bytes=block)
     assert _rows(routed) == _rows(seq)
     assert {"frame", "header", "end", "reject"} <= {r[1] for r in _rows(seq)}
     assert _samples(spark, routed) == _samples(spark, seq)
 
 
+def _awkward():
+    """Streams that break in every way the protocol can."""
+    good = _streams()[0]
+    head = good.index(b"<header>")
+    out = {
+        0: good[3:],  # no OK line
+        1: b"OK" + good[2:].replace(b"OK\n", b"", 1),
+        2: b"no line end at all",
+        3: good[: len(good) // 2],
+        4: good[: good.rindex(b"</header>") + 4],  # ends inside a header
+        5: good.replace(b"</header>\n\n", b"</header>\nX", 1),  # no newline behind the header
+        6: good.replace(b"sample_bytes=", b"sample_bytez=", 1),  # a header that cannot be read
+        7: good.replace(b"END 58 Ok\n", b"END 58 Never heard\n", 1),
+        8: good.replace(b"END 58 Ok\n", b"END x Ok\n", 1),
+        9: good[: good.rindex(b"BIN ") + 6],
+        10: good.replace(b"BIN ", b"abc\n", 1),  # a bad marker that ends a line
+        11: good[:head] + b"<header>\n" * 3 + good[head:],
+        12: good.replace(b"END 58 Ok\n", b"END 58 Ok\nBIN \x08\x00\x00\x00END \n" + b"<header>" * 20 + b"\n", 1),
+        13: b"OK\n",
+        14: good[:head] + b"junk " * 20_000 + b"\n" + good[head:],
+        15: good.replace(b"BIN ", b"BIN \x08\x00\x00\x00BIN ", 1),  # a frame without records
+        16: good.replace(b"BIN ", b"BIN \x07\x00\x00\x00", 1),
+    }
+    first = good.find(b"BIN ")
+    for k, wrong in ((17, 8 + 520 + 52 * 2 + 1), (18, 1 << 30), (19, 8 + 521)):
+        out[k] = good[: first + 4] + struct.pack("<I", wrong) + good[first + 8 :]
+    return out
+
+
+@pytest.mark.parametrize(("cut", "block"), [(_even(997), 512), (_uneven, 4096), (_even(7000), 100)])
+def test_broken_streams_give_the_rows_of_the_walk(spark, tmp_path, cut, block):
+    listing = _archive(spark, str(tmp_path / "arch"), _awkward(), cut)
+    assert _rows(index_archive_files(listing, walk_bytes=0, block_bytes=block)) == _rows(index_chunks(listing))
+
+
+def test_chunks_in_memory_keep_their_payloads(spark):
+    data = _streams()[1]
+    rows = [(5, i, data[o : o + 97]) for i, o in enumerate(range(0, len(data), 97))]
+    chunks = spark.createDataFrame(rows, "conn_id long, chunk_no long, data binary")
+    names = ["kind", "acq_no", "frame_no", "pos", "n_bytes", "first_sample", "payload"]
+    got = index_chunks_parallel(chunks, 640).select(names).collect()
+    assert sorted(map(str, got)) == sorted(map(str, index_chunks(chunks).select(names).collect()))
+
+
 def test_clean_streams_need_no_second_walk(spark, tmp_path):
     clean = {k: v for k, v in _streams().items() if k in (0, 3)}
     listing = _archive(spark, str(tmp_path / "arch"), clean, _even(333))
-    assert _rows(index_chunks_parallel(listing)) == _rows(index_chunks(listing))
+    assert _rows(index_chunks_parallel(listing, 2000)) == _rows(index_chunks(listing))
 
 
 def test_long_text_between_acquisitions_loses_nothing(spark, tmp_path):
@@ -79,7 +123,7 @@ def test_long_text_between_acquisitions_loses_nothing(spark, tmp_path):
     blanks = data.replace(b"<fields>\n", b"<fields>\n" + b" " * 70_000 + b"\n", 1)
     assert len(junk) > 100_000
     listing = _archive(spark, str(tmp_path / "arch"), {0: wordy, 1: blanks, 2: data}, _even(5000))
-    rows = index_archive_files(listing, parallel_above=0).collect()
+    rows = index_archive_files(listing, walk_bytes=0, block_bytes=9000).collect()
     assert not [r for r in rows if r.kind == "reject"]
     for conn in (0, 1, 2):
         own = [r for r in rows if r.conn_id == conn]
@@ -113,11 +157,11 @@ def test_conversion_lists_what_it_could_not_read(spark, tmp_path):
 def test_mixed_archive_routes_per_connection(spark, tmp_path):
     data = _streams()[0]
     rows = [(0, i, data[o : o + 100]) for i, o in enumerate(range(0, len(data), 100))]
-    rows += [(1, i, data[o : o + 4000]) for i, o in enumerate(range(0, len(data), 4000))]
+    rows += [(1, 0, data[:900]), (1, 1, data[900:1500])]
     root = str(tmp_path / "arch")
     write_chunks(spark.createDataFrame(rows, "conn_id long, chunk_no long, data binary"), root).collect()
     listing = list_chunks(spark, root)
-    mixed = _rows(index_archive_files(listing, parallel_above=10, min_chunk=50))  # conn 0 parallel, conn 1 walked
+    mixed = _rows(index_archive_files(listing, walk_bytes=2000, block_bytes=1000))  # conn 0 parallel, conn 1 walked
     assert mixed == _rows(index_chunks(listing))
 
 
