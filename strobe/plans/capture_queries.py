@@ -26,8 +26,9 @@ from strobe.plans.registry import register
 from strobe.plans.tables import table
 from strobe.session import shared_dir
 from strobe.sources.capture_format import DEVICE_END_REASONS, END_REASONS, GATE_DURATION_FIELD, SAMPLES_FIELD
-from strobe.sources.captures import cut_chunks
-from strobe.sources.dumps import index_chunks
+from strobe.sources.captures import concat_binary_in_order, cut_chunks
+from strobe.sources.dumps import list_chunks, materialize_index, write_chunks
+from strobe.sources.parallel_index import index_archive_files, index_chunks_parallel
 
 # ----------------------------------------------------------------------------- shared SQL
 
@@ -156,9 +157,6 @@ FROM u""")
 def frame_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The frame index built in parallel over the archive's chunk files (the
     other capture queries use the routed index; both give the same rows)."""
-    from strobe.sources.dumps import list_chunks
-    from strobe.sources.parallel_index import index_chunks_parallel
-
     cap, _ = _archive_index(spark, sf_dir)
     index = index_chunks_parallel(list_chunks(spark, cap.root))
     frames = index.where(F.col("kind") == "frame").groupBy("conn_id", "acq_no").agg(
@@ -168,6 +166,39 @@ def frame_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.join(_users(cap), ["conn_id", "acq_no"]).select("user_id", "n_frames", "payload_bytes", "n_samples")
 
 
+#: Block size of the index over unequal chunks, and junk that one connection has.
+SMALL_BLOCK = 16384
+JUNK_LINES = 4000
+
+
+@register("index_any_cut", f"""
+WITH {_U}
+SELECT user_id, CASE WHEN bad THEN 0 ELSE CAST(ceil(n / 10.0) AS BIGINT) END AS n_frames, CASE WHEN bad THEN 0 ELSE n END AS n_samples,
+  NOT bad AND reason IS NOT NULL AS ended, CAST(bad AS BIGINT) AS n_rejects
+FROM (SELECT *, conn_id = 1 AND acq_no = 2 AS bad FROM a)""")
+def index_any_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive cut into files of ever larger size, with 100 KB of text after
+    the first acquisition of connection 0 and a corrupt frame in connection 1."""
+    prep = cs.prepared(spark, sf_dir)
+    first = (F.col("acq_no") == 1) & (F.col("part") == 3) & (F.col("conn_id") == 0)
+    bad = (F.col("conn_id") == 1) & (F.col("acq_no") == 2) & (F.col("part") == 2) & (F.col("seq") == 0)
+    junk = F.encode(F.repeat(F.lit("BIN and <header> in a line of text\n"), JUNK_LINES), "UTF-8")
+    data = F.when(first, F.concat("data", junk)).when(bad, F.concat(F.lit(b"BAD ").cast("binary"), F.expr("substring(data, 5)"))).otherwise(F.col("data"))
+    small = cut_chunks(prep.messages.drop("offset", "n_bytes").withColumn("data", data), 997)
+    cut = small.groupBy("conn_id", F.floor(F.sqrt(F.col("chunk_no") * 2)).cast("long").alias("new_no")).agg(
+        concat_binary_in_order(F.array_sort(F.collect_list(F.struct("chunk_no", "data")))).alias("data")
+    )
+    root = shared_dir(spark, "unequal-archive")
+    write_chunks(cut.withColumnRenamed("new_no", "chunk_no"), root).write.mode("overwrite").parquet(root + "/_listing")
+    index = materialize_index(index_archive_files(list_chunks(spark, root), walk_bytes=0, block_bytes=SMALL_BLOCK))
+    kind = F.col("kind")
+    per = index.groupBy("conn_id", "acq_no").agg(
+        F.count(F.when(kind == "frame", 1)).alias("n_frames"), F.coalesce(F.sum(F.when(kind == "frame", F.col("n_rows"))), F.lit(0)).alias("n_samples"),
+        F.max(kind == "end").alias("ended"), F.count(F.when(kind == "reject", 1)).alias("n_rejects"),
+    )
+    return per.join(_users(prep), ["conn_id", "acq_no"]).select("user_id", "n_frames", "n_samples", "ended", "n_rejects")
+
+
 _DECLARED_VALUES = """(VALUES (0, 'PCAP.BITS0', 'uint32', 'Value', NULL, NULL, NULL),
  (1, 'EVENT.ID', 'int64', 'Value', NULL, NULL, NULL),
  (2, 'COUNTER1.OUT', 'float64', 'Mean', 0.5, 3.0, 'mm'),
@@ -274,9 +305,9 @@ def sample_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("chunk_reassembly", """
 SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS sample_idx,
-       CAST(3 AS BIGINT) AS n_cuts FROM events""")
+       CAST(3 AS BIGINT) AS n_cuts, round(value, 6) AS least, round(value, 6) AS most FROM events""")
 def chunk_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same streams cut three ways and walked as independent streams in one
+    """The same streams cut three ways and indexed as independent streams in one
     job (the cut variant is folded into the connection key); every sample must
     decode identically from all three."""
     prep = cs.prepared(spark, sf_dir)
@@ -285,12 +316,17 @@ def chunk_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, size in enumerate(sizes):
         part = cut_chunks(prep.messages, size).withColumn("conn_id", F.col("conn_id") * len(sizes) + k)
         cuts = part if cuts is None else cuts.unionByName(part)
-    dec = cs.decode_index(index_chunks(cuts), from_files=False, select=["EVENT.ID.Value", "COUNTER1.OUT.Mean"])
+    index = materialize_index(index_archive_files(cuts))
+    dec = cs.decode_index(index, from_files=False, select=["EVENT.ID.Value", "COUNTER1.OUT.Mean"])
     out = dec.select(
         c("EVENT.ID.Value").alias("event_id"), "sample_idx", c("COUNTER1.OUT.Mean").alias("v"),
         (F.col("conn_id") % len(sizes)).alias("cut"),
     )
-    return out.groupBy("event_id", "sample_idx").agg(F.countDistinct("cut").alias("n_cuts"))
+    # the three cuts of a sample are one bit each: no second shuffle for a distinct count
+    seen = F.bit_count(F.bit_or(F.expr("shiftleft(1, CAST(cut AS INT))"))).cast("long")
+    return out.groupBy("event_id", "sample_idx").agg(
+        seen.alias("n_cuts"), rounded(F.min("v")).alias("least"), rounded(F.max("v")).alias("most")
+    )
 
 
 @register("first_n_acquisitions", f"""
@@ -697,7 +733,7 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         "data",
         F.when(bad, F.concat(F.lit(b"BAD ").cast("binary"), F.expr("substring(data, 5)"))).otherwise(F.col("data")),
     )
-    index = index_chunks(cut_chunks(corrupted, 997))
+    index = materialize_index(index_archive_files(cut_chunks(corrupted, 997)))
     rej = index.where(F.col("kind") == "reject").select("conn_id", "acq_no", "message", F.col("pos").alias("at"))
     heads = index.where(F.col("kind") == "header").select("conn_id", F.col("pos").alias("head"))
     before = rej.join(heads, "conn_id").where("head < at")
@@ -715,7 +751,7 @@ def capture_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = []
     for events in (ev, changed):
         cap = cs.build(spark, sf_dir, events=events)
-        index = index_chunks(cut_chunks(cap.messages, 4096))
+        index = materialize_index(index_archive_files(cut_chunks(cap.messages, 4096)))
         out.append(cs.decode_index(index, from_files=False, select=["EVENT.ID.Value", "COUNTER1.OUT.Mean"]))
     key = ["conn_id", "acq_no", "sample_idx"]
     a = out[0].select(*key, c("EVENT.ID.Value").alias("event_id"), c("COUNTER1.OUT.Mean").alias("before"))

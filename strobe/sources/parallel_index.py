@@ -58,6 +58,7 @@ DEFAULT_BLOCK_BYTES = 8 << 20
 DEFAULT_WALK_BYTES = 64 << 20
 #: Bytes read beyond a block for marks that its end cuts, and before it.
 AFTER, BEFORE = 16, 1
+BAD_MARKER = "bad marker"
 OPEN, CLOSE = HEADER_OPEN + b"\n", b"\n" + HEADER_CLOSE + b"\n"
 
 FOUND = (
@@ -70,6 +71,7 @@ TRUE = (
     "conn_id long, pos long, kind string, n_bytes long, samples long, reason string, header string, layout string, process string, "
     "record long, message string, is_head long"
 )
+REJECTS = "conn_id long, acq_no long, pos long, n_bytes long, message string"
 EDGES = "conn_id long, pos long, record long, to_pos long, to_record long"
 
 
@@ -78,7 +80,7 @@ def _type(ddl: str) -> T.StructType:
     return T.StructType([T.StructField(name, kinds[kind]) for name, kind in (x.split() for x in ddl.split(", "))])
 
 
-FOUND_TYPE, TRUE_TYPE, EDGES_TYPE = _type(FOUND), _type(TRUE), _type(EDGES)
+FOUND_TYPE, TRUE_TYPE, EDGES_TYPE, REJECTS_TYPE = _type(FOUND), _type(TRUE), _type(EDGES), _type(REJECTS)
 
 # --------------------------------------------------------------------------- where bytes lie
 
@@ -208,7 +210,7 @@ def scan_block(data: bytes, base: int, lo: int, hi: int, length: int) -> list[di
         if pos + 8 <= length:
             total = struct.unpack("<I", data[at + 4 : at + 8])[0]
             if total < 8:
-                rows.append({"pos": pos, "kind": "B", "wait": pos + 8, "message": f"frame of {total - 8} bytes"})
+                rows.append({"pos": pos, "kind": "B", "n_bytes": total - 8})
             elif pos + total <= length:
                 rows.append({"pos": pos, "kind": "B", "next": pos + total, "n_bytes": total - 8})
             else:
@@ -304,10 +306,10 @@ class Block:
                 if row is None or row["kind"] == "Z":
                     if row is not None or pos + 4 > self.length:
                         return None
-                    wait, wrong, at = pos + 4, "bad marker", pos
-                elif row["kind"] == "B" and pd.notna(row["next"]):
+                    wait, wrong, at = pos + 4, BAD_MARKER, pos
+                elif row["kind"] == "B":
                     n = int(row["n_bytes"])
-                    if n % record == 0:
+                    if n >= 0 and n % record == 0:
                         if seen is not None:
                             seen.append(("frame", row, pos, None))
                         pos = int(row["next"])
@@ -441,6 +443,17 @@ def index_chunks_parallel(chunks: DataFrame, block_bytes: int | None = None) ->
     return _index_rows(true, stream)
 
 
+def _named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rejects, with the bytes that are no marker in the message."""
+    reader = PieceReader()
+    for pdf in batches:
+        rows = []
+        for r in pdf.itertuples(index=False):
+            wrong = f"{BAD_MARKER} {_bytes(r.parts, reader)!r}" if r.message == BAD_MARKER else r.message
+            rows.append({"conn_id": r.conn_id, "acq_no": r.acq_no, "pos": r.pos, "n_bytes": r.n_bytes, "message": wrong})
+        yield typed_frame(rows, REJECTS_TYPE)
+
+
 def _index_rows(true: DataFrame, stream: Stream) -> DataFrame:
     """True messages -> index rows with acquisition, frame and sample counters."""
     numbered = stream._table(true, "index-true").withColumn("rank", F.when(F.col("kind") == "reject", 1).otherwise(0))
@@ -473,22 +486,25 @@ def _index_rows(true: DataFrame, stream: Stream) -> DataFrame:
     header_rows = rows(numbered.where("kind = 'header'"), **common, kind=F.lit("header"), header=col("header"), layout=col("layout"), process=col("process"))
     ends = numbered.where("kind = 'end'").join(totals, ["conn_id", "acq_no"], "left")
     end_rows = rows(ends, **common, kind=F.lit("end"), samples=col("samples"), reason=col("reason"), n_rows=F.coalesce("rows", F.lit(0)))
-    lost = numbered.where("kind = 'reject'")
+    named = F.when(col("message") == BAD_MARKER, 4).otherwise(0)
+    lost = numbered.where("kind = 'reject'").select("conn_id", "acq_no", "pos", "n_bytes", "message", col("pos").alias("lo"), (col("pos") + named).alias("hi"))
+    lost = stream.gather(lost).select("conn_id", "acq_no", "pos", "n_bytes", "message", "parts").mapInPandas(_named, REJECTS)
     reject_rows = rows(lost, **common | {"acq_no": F.when(col("acq_no") > 0, col("acq_no"))}, kind=F.lit("reject"), n_bytes=col("n_bytes"), message=col("message"))
     return frame_rows.unionByName(header_rows).unionByName(end_rows).unionByName(reject_rows)
 
 
-def index_archive_files(listing: DataFrame, walk_bytes: int | None = None, block_bytes: int | None = None) -> DataFrame:
-    """Frame index of an archive listing.
+def index_archive_files(chunks: DataFrame, walk_bytes: int | None = None, block_bytes: int | None = None) -> DataFrame:
+    """Frame index of an archive listing, or of chunks in memory.
 
     Connections of more than ``walk_bytes`` (``strobe.index.walkBytes``,
     default 64 MiB) are indexed in parallel over their blocks, the others are
     walked, one bounded task each; the rows are the same either way.
     """
-    spark = listing.sparkSession
+    spark = chunks.sparkSession
     limit = int(spark.conf.get("strobe.index.walkBytes", str(DEFAULT_WALK_BYTES))) if walk_bytes is None else walk_bytes
-    large = listing.groupBy("conn_id").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > limit).select("conn_id")
+    size = F.length("data") if "data" in chunks.columns else F.col("size")
+    large = chunks.groupBy("conn_id").agg(F.sum(size).alias("bytes")).where(F.col("bytes") > limit).select("conn_id")
     if large.isEmpty():
-        return index_chunks(listing)
-    parallel = materialize_index(index_chunks_parallel(listing.join(large, "conn_id", "left_semi"), block_bytes))
-    return parallel.unionByName(index_chunks(listing.join(large, "conn_id", "left_anti")))
+        return index_chunks(chunks)
+    parallel = materialize_index(index_chunks_parallel(chunks.join(large, "conn_id", "left_semi"), block_bytes))
+    return parallel.unionByName(index_chunks(chunks.join(large, "conn_id", "left_anti")))

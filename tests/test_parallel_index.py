@@ -9,7 +9,7 @@ from strobe.sources.dumps import decode_index, index_chunks, list_chunks, write_
 from strobe.sources.parallel_index import index_archive_files, index_chunks_parallel
 
 COLS = ["conn_id", "kind", "acq_no", "frame_no", "pos", "n_bytes", "first_sample", "n_rows", "layout", "process",
-        "samples", "reason", "pieces"]
+        "samples", "reason", "message", "pieces"]
 
 
 def _streams():
