@@ -26,8 +26,9 @@ from strobe.plans.registry import register
 from strobe.plans.tables import table
 from strobe.session import shared_dir
 from strobe.sources.capture_format import DEVICE_END_REASONS, END_REASONS, GATE_DURATION_FIELD, SAMPLES_FIELD
-from strobe.sources.captures import concat_binary_in_order, cut_chunks
-from strobe.sources.dumps import list_chunks, materialize_index, write_chunks
+from strobe.sources.captures import cut_chunks
+from strobe.sources.dumps import coalesce_frames as coalesced
+from strobe.sources.dumps import concat_binary_in_order, list_chunks, materialize_index, write_chunks
 from strobe.sources.parallel_index import index_archive_files, index_chunks_parallel
 
 # ----------------------------------------------------------------------------- shared SQL
@@ -557,6 +558,32 @@ def coalesce_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.join(_users(cap), ["conn_id", "acq_no"]).select("user_id", "batch_no", "n_rows", "first_sample")
 
 
+#: Payload bytes of a frame that splits records, and records of a batch.
+ODD_BYTES = 101
+BATCH_ROWS = 40
+
+
+@register("coalesced_samples", f"""
+WITH {_S}
+SELECT event_id, i AS sample_idx, i // 40 AS batch_no, round(value, 6) AS v, 1 + event_id % 125 AS gate FROM s""")
+def coalesced_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frame sent as frames of 101 bytes, which split the 48-byte records,
+    and coalesced to batches of 40 records as content."""
+    prep = cs.prepared(spark, sf_dir)
+    whole = prep.messages.select("conn_id", "acq_no", "part", "seq", "data")
+    split = whole.where("part = 2").withColumn("i", F.explode(F.expr(f"sequence(0, cast(ceil((length(data) - 8) / {ODD_BYTES}) as int) - 1)")))
+    payload = F.expr(f"substring(data, 9 + i * {ODD_BYTES}, {ODD_BYTES})")
+    size = F.unhex(F.concat(F.lpad(F.hex(F.length(payload) + 8), 2, "0"), F.lit("000000")))
+    odd = split.select("conn_id", "acq_no", "part", (F.col("seq") * 64 + F.col("i")).alias("seq"), F.concat(F.lit(b"BIN ").cast("binary"), size, payload).alias("data"))
+    chunks = cut_chunks(whole.where("part <> 2").unionByName(odd), 4096)
+    index = materialize_index(index_archive_files(chunks, whole_frames=False))
+    dec = cs.decode_index(materialize_index(coalesced(index, BATCH_ROWS)), from_files=False, select=["EVENT.ID.Value", "COUNTER1.OUT.Mean", GATE_DURATION_FIELD, SAMPLES_FIELD])
+    return dec.select(
+        c("EVENT.ID.Value").alias("event_id"), "sample_idx", F.col("frame_no").alias("batch_no"), rounded(c("COUNTER1.OUT.Mean")).alias("v"),
+        gate_of(dec).alias("gate"),
+    )
+
+
 # ----------------------------------------------------------------------------- §2.5 aggregates
 
 

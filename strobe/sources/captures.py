@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from strobe.functions.columns import q
 from strobe.operators.ordering import ordered_scan
 from strobe.sources.capture_format import SPARK_TYPES, FieldSpec, record_dtype
+from strobe.sources.dumps import concat_binary_in_order
 
 # message parts, in stream order within an acquisition
 PART_READY, PART_HEADER, PART_FRAME, PART_END = 0, 1, 2, 3
@@ -41,11 +42,6 @@ def le_uint32(col: Column) -> Column:
     )
 
 
-def concat_binary_in_order(items: Column, value: str = "data") -> Column:
-    """Concatenate the binary ``value`` of a sorted array of structs, linearly."""
-    return F.unhex(F.array_join(F.transform(items, lambda x: F.hex(x[value])), ""))
-
-
 # --------------------------------------------------------------------------- encode
 
 

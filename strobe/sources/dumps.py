@@ -23,10 +23,11 @@ from xml.etree.ElementTree import ParseError
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strobe.operators.ordering import ordered_scan
 from strobe.sources.capture_format import (
     END_MARKER,
     END_REASONS,
@@ -38,6 +39,12 @@ from strobe.sources.capture_format import (
     parse_header,
 )
 
+
+def concat_binary_in_order(items: Column, value: str = "data") -> Column:
+    """Concatenate the binary ``value`` of a sorted array of structs, linearly."""
+    return F.unhex(F.array_join(F.transform(items, lambda x: F.hex(x[value])), ""))
+
+
 PIECE = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -288,10 +295,12 @@ def read_header(block: bytes):
     return header, text, _layout_cached(text, header)
 
 
-def _walk(conn_id: int, cursor: _Cursor, with_payload: bool) -> Iterator[dict]:
+def _walk(conn_id: int, cursor: _Cursor, with_payload: bool, whole_frames: bool = True) -> Iterator[dict]:
     """Index rows of one stream. What cannot be read as a message is a reject:
     the walk goes on at the next ``<header>`` line, and the reject row says
-    where (``pos``) and how many bytes (``n_bytes``) were passed over."""
+    where (``pos``) and how many bytes (``n_bytes``) were passed over. Without
+    ``whole_frames`` a record may be split over frames; it counts in the frame
+    where it ends."""
 
     def row(kind: str, **kw) -> dict:
         base = {name: None for name in INDEX_SCHEMA.names}
@@ -340,7 +349,7 @@ def _walk(conn_id: int, cursor: _Cursor, with_payload: bool) -> Iterator[dict]:
             line_start = False
             continue
         frame_no = 0
-        samples = 0
+        taken = 0  # payload bytes of the acquisition
         while lost is None:
             at = cursor.pos
             marker = cursor.read(4)
@@ -353,7 +362,7 @@ def _walk(conn_id: int, cursor: _Cursor, with_payload: bool) -> Iterator[dict]:
                 n = struct.unpack("<I", size)[0] - 8
                 if n >= 0 and not cursor.reaches(n):
                     return
-                if n < 0 or n % record:
+                if n < 0 or whole_frames and n % record:
                     lost = row("reject", acq_no=acq_no, pos=at, message=f"frame of {n} bytes is not whole records of {record}")
                     line_start = size.endswith(b"\n")
                     break
@@ -365,15 +374,15 @@ def _walk(conn_id: int, cursor: _Cursor, with_payload: bool) -> Iterator[dict]:
                     frame_no=frame_no,
                     pos=at + 8,
                     n_bytes=n,
-                    first_sample=samples,
-                    n_rows=n // record,
+                    first_sample=taken // record,
+                    n_rows=(taken + n) // record - taken // record,
                     layout=layout,
                     process=header.process,
                     pieces=pieces,
                     payload=payload if with_payload else None,
                 )
                 frame_no += 1
-                samples += n // record
+                taken += n
             elif marker == END_MARKER:
                 line = cursor.readline()
                 if line is None:
@@ -383,7 +392,7 @@ def _walk(conn_id: int, cursor: _Cursor, with_payload: bool) -> Iterator[dict]:
                 if reason not in END_REASONS or not parts[0].isdigit():
                     lost = row("reject", acq_no=acq_no, pos=at, message=f"bad end record {line[:64]!r}")
                     break
-                yield row("end", acq_no=acq_no, pos=at, samples=int(parts[0]), reason=reason, n_rows=samples)
+                yield row("end", acq_no=acq_no, pos=at, samples=int(parts[0]), reason=reason, n_rows=taken // record)
                 break
             else:
                 lost = row("reject", acq_no=acq_no, pos=at, message=f"bad marker {marker!r}")
@@ -394,7 +403,7 @@ def _walk(conn_id: int, cursor: _Cursor, with_payload: bool) -> Iterator[dict]:
 WALK_BYTES = 32 << 20
 
 
-def _walker(with_payload: bool):
+def _walker(with_payload: bool, whole_frames: bool = True):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows():
             for pdf in batches:
@@ -406,7 +415,7 @@ def _walker(with_payload: bool):
         held = 0
         for conn_id, group in itertools.groupby(rows(), key=lambda r: r[0]):
             cursor = _Cursor(item for _, item in group)
-            for rec in _walk(int(conn_id), cursor, with_payload):
+            for rec in _walk(int(conn_id), cursor, with_payload, whole_frames):
                 out.append(rec)
                 held += len(rec["payload"] or b"")
                 if len(out) >= 4096 or held >= WALK_BYTES:
@@ -420,7 +429,7 @@ def _walker(with_payload: bool):
     return run
 
 
-def index_chunks(chunks: DataFrame, with_payload: bool | None = None) -> DataFrame:
+def index_chunks(chunks: DataFrame, with_payload: bool | None = None, whole_frames: bool = True) -> DataFrame:
     """Walk each connection's stream and emit index rows.
 
     ``chunks`` is either a listing (conn_id, chunk_no, path, size) -- payloads
@@ -438,7 +447,71 @@ def index_chunks(chunks: DataFrame, with_payload: bool | None = None) -> DataFra
     # an explicit count keeps AQE from merging connections into one walking task
     n = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = chunks.select(*cols).repartition(n, "conn_id").sortWithinPartitions("conn_id", "chunk_no")
-    return ordered.mapInPandas(_walker(with_payload), INDEX_SCHEMA)
+    return ordered.mapInPandas(_walker(with_payload, whole_frames), INDEX_SCHEMA)
+
+
+def _record_bytes(layout: Column) -> Column:
+    """Bytes of a record, from the layout of its fields."""
+    fields = F.from_json(layout, "array<struct<type string>>")
+    size = F.transform(fields, lambda f: F.regexp_extract(f["type"], r"(\d+)$", 1).cast("long") / 8)
+    return F.aggregate(size, F.lit(0.0), lambda a, x: a + x).cast("long")
+
+
+def coalesce_frames(index: DataFrame, batch_rows: int) -> DataFrame:
+    """The index with each acquisition's frames as batches of ``batch_rows``
+    records (the last may be shorter), in the columns of the index.
+
+    Batches follow the payload bytes, not the frames: a record that is split
+    over two frames is whole in its batch, which keeps its bytes as pieces of
+    both. Bytes behind the last whole record of an acquisition are left out;
+    ``trailing_bytes`` lists them.
+    """
+    key = ["conn_id", "acq_no"]
+    frames = index.where(F.col("kind") == "frame").withColumn("record", _record_bytes(F.col("layout")))
+    frames = ordered_scan(frames, key, ["frame_no"], out="off", weight="n_bytes")
+    total = index.where(F.col("kind") == "frame").groupBy(*key).agg(F.sum("n_bytes").alias("total"))
+    frames = frames.join(total, key).withColumn("batch", F.col("record") * batch_rows).withColumn("usable", F.col("total") - F.col("total") % F.col("record"))
+    stop = F.least(F.col("off") + F.col("n_bytes"), F.col("usable"))
+    frames = frames.withColumn("stop", stop).where("off < stop")
+    frames = frames.withColumn("batch_no", F.explode(F.sequence(F.expr("off div batch"), F.expr("(stop - 1) div batch"))))
+    lo = F.greatest(F.col("off"), F.col("batch_no") * F.col("batch")) - F.col("off")
+    hi = F.least(F.col("stop"), (F.col("batch_no") + 1) * F.col("batch")) - F.col("off")
+    frames = frames.withColumn("lo", lo).withColumn("hi", hi)
+
+    def clipped(piece: Column, i: Column) -> Column:
+        at = F.aggregate(F.slice("pieces", F.lit(1), i), F.lit(0).cast("long"), lambda a, x: a + x["length"])
+        a, b = F.greatest(at, F.col("lo")), F.least(at + piece["length"], F.col("hi"))
+        return F.struct(piece["path"].alias("path"), (piece["start"] + a - at).alias("start"), (b - a).alias("length"))
+
+    part = F.struct(
+        F.col("off").alias("at"),
+        F.filter(F.transform("pieces", clipped), lambda p: p["length"] > 0).alias("pieces"),
+        F.substring("payload", (F.col("lo") + 1).cast("int"), (F.col("hi") - F.col("lo")).cast("int")).alias("data"),
+        (F.col("hi") - F.col("lo")).alias("size"),
+    )
+    made = frames.select(*key, "batch_no", "layout", "process", "record", "pos", part.alias("part")).groupBy(*key, "batch_no", "layout", "process", "record").agg(
+        F.min("pos").alias("pos"), F.array_sort(F.collect_list("part")).alias("parts")
+    )
+    size = F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + p["size"])
+    data = concat_binary_in_order(F.col("parts"))
+    made = made.withColumn("size", size).select(
+        *[
+            {
+                "kind": F.lit("frame"), "frame_no": F.col("batch_no"), "n_bytes": F.col("size"), "first_sample": F.col("batch_no") * batch_rows,
+                "n_rows": F.expr("size div record"), "pieces": F.flatten(F.transform("parts", lambda p: p["pieces"])),
+                "payload": F.when(F.exists("parts", lambda p: p["data"].isNotNull()), data),
+            }.get(f.name, F.col(f.name) if f.name in (*key, "layout", "process", "pos") else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in INDEX_SCHEMA.fields
+        ]
+    )
+    return made.unionByName(index.where(F.col("kind") != "frame").select(*INDEX_SCHEMA.names))
+
+
+def trailing_bytes(index: DataFrame) -> DataFrame:
+    """(conn_id, acq_no, n_bytes) of acquisitions whose payload ends inside a record."""
+    frames = index.where(F.col("kind") == "frame").withColumn("record", _record_bytes(F.col("layout")))
+    rest = frames.groupBy("conn_id", "acq_no").agg((F.sum("n_bytes") % F.max("record")).alias("n_bytes"))
+    return rest.where("n_bytes > 0")
 
 
 class PieceReader:

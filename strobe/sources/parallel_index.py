@@ -50,8 +50,7 @@ from strobe.sources.capture_format import (
     HEADER_OPEN,
     READY_LINE,
 )
-from strobe.sources.captures import concat_binary_in_order
-from strobe.sources.dumps import INDEX_SCHEMA, PieceReader, index_chunks, materialize_index, read_header
+from strobe.sources.dumps import INDEX_SCHEMA, PieceReader, concat_binary_in_order, index_chunks, materialize_index, read_header
 
 DEFAULT_BLOCK_BYTES = 8 << 20
 #: Connections up to so many bytes are walked, one task each.
@@ -277,7 +276,8 @@ def _complete(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 class Block:
     """The candidates of a block and what lies around it."""
 
-    def __init__(self, cands: pd.DataFrame, info: pd.Series, block_bytes: int):
+    def __init__(self, cands: pd.DataFrame, info: dict, block_bytes: int, whole: bool):
+        self.whole = whole
         self.lo, self.length = int(info["block"]) * block_bytes, int(info["length"])
         self.hi = min(self.lo + block_bytes, self.length)
         self.next_head = None if pd.isna(info["last_first_head"]) else int(info["last_first_head"])
@@ -309,7 +309,7 @@ class Block:
                     wait, wrong, at = pos + 4, BAD_MARKER, pos
                 elif row["kind"] == "B":
                     n = int(row["n_bytes"])
-                    if n >= 0 and n % record == 0:
+                    if n >= 0 and (not self.whole or n % record == 0):
                         if seen is not None:
                             seen.append(("frame", row, pos, None))
                         pos = int(row["next"])
@@ -342,11 +342,11 @@ class Block:
         return None if pos is None or pos >= self.length else (pos, record)
 
 
-def _edges(block_bytes: int):
+def _edges(block_bytes: int, whole: bool):
     def run(key, cands: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for i in info.to_dict("records"):
-            block = Block(cands, i, block_bytes)
+            block = Block(cands, i, block_bytes, whole)
             asked = [(int(p), int(r)) for p in (i["entries"] if i["entries"] is not None else []) for r in (i["records"] if i["records"] is not None else [])]
             asked += [(block.heads[0], 0)] if block.heads else []
             asked += [(-1, 0)] if block.root is not None else []
@@ -359,11 +359,11 @@ def _edges(block_bytes: int):
     return run
 
 
-def _messages(block_bytes: int):
+def _messages(block_bytes: int, whole: bool):
     def run(key, cands: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for i in info.to_dict("records"):
-            block, seen = Block(cands, i, block_bytes), []
+            block, seen = Block(cands, i, block_bytes, whole), []
             block.follow(int(i["at_pos"]), int(i["at_record"]), seen)
             for kind, row, pos, lost in seen:
                 own = {k: row.get(k) for k in ("samples", "reason", "header", "layout", "process", "record", "message")}
@@ -401,9 +401,10 @@ def _reached(edges: DataFrame, table: Callable[[DataFrame, str], DataFrame]) ->
     return path
 
 
-def index_chunks_parallel(chunks: DataFrame, block_bytes: int | None = None) -> DataFrame:
+def index_chunks_parallel(chunks: DataFrame, block_bytes: int | None = None, whole_frames: bool = True) -> DataFrame:
     """Index rows of a listing (conn_id, chunk_no, path, size), or of chunks in
-    memory (conn_id, chunk_no, data; frames then carry their payload)."""
+    memory (conn_id, chunk_no, data; frames then carry their payload).
+    Without ``whole_frames`` records may be split over frames."""
     spark = chunks.sparkSession
     size = block_bytes or int(spark.conf.get("strobe.index.blockBytes", str(DEFAULT_BLOCK_BYTES)))
     stream = Stream(chunks, size)
@@ -432,14 +433,14 @@ def index_chunks_parallel(chunks: DataFrame, block_bytes: int | None = None) ->
     info = around.join(records, "conn_id", "left").join(entries, ["conn_id", "block"], "left")
     by_block = ["conn_id", "block"]
     edges = info.groupBy(*by_block)
-    edges = table(cands.groupBy(*by_block).cogroup(edges).applyInPandas(_edges(size), EDGES), "index-edges")
+    edges = table(cands.groupBy(*by_block).cogroup(edges).applyInPandas(_edges(size, whole_frames), EDGES), "index-edges")
     path = _reached(edges, table)
     start = F.greatest(F.col("pos"), F.lit(0))
     roots = cands.where("kind = 'R'").select("conn_id", "pos", F.lit(0).cast("long").alias("record"))
     entered = path.where("pos >= 0").unionByName(roots)  # a chain enters a block once
     entered = entered.select("conn_id", F.floor(start / size).cast("long").alias("block"), F.col("pos").alias("at_pos"), F.col("record").alias("at_record"))
     chosen = around.join(entered, by_block)
-    true = cands.groupBy(*by_block).cogroup(chosen.groupBy(*by_block)).applyInPandas(_messages(size), TRUE)
+    true = cands.groupBy(*by_block).cogroup(chosen.groupBy(*by_block)).applyInPandas(_messages(size, whole_frames), TRUE)
     return _index_rows(true, stream)
 
 
@@ -461,9 +462,11 @@ def _index_rows(true: DataFrame, stream: Stream) -> DataFrame:
     numbered = stream._table(numbered.withColumn("acq_no", F.col("before") + F.col("is_head")), "index-numbered")
     heads = numbered.where("kind = 'header'").select("conn_id", "acq_no", F.col("layout").alias("own_layout"), F.col("process").alias("own_process"), F.col("record").alias("own_record"))
     frames = numbered.where("kind = 'frame'").drop("layout", "process", "record").join(heads, ["conn_id", "acq_no"])
-    frames = frames.withColumn("n_rows", F.expr("n_bytes div own_record"))
     frames = position_within(frames, ["conn_id", "acq_no"], ["pos"], out="frame_no")
-    frames = ordered_scan(frames, ["conn_id", "acq_no"], ["pos"], out="first_sample", weight="n_rows")
+    frames = ordered_scan(frames, ["conn_id", "acq_no"], ["pos"], out="taken", weight="n_bytes")
+    # a record counts in the frame where it ends
+    frames = frames.withColumn("first_sample", F.expr("taken div own_record"))
+    frames = frames.withColumn("n_rows", F.expr("(taken + n_bytes) div own_record - first_sample"))
     totals = frames.groupBy("conn_id", "acq_no").agg(F.sum("n_rows").alias("rows"))
     frames = stream.gather(frames.withColumn("lo", F.col("pos") + 8).withColumn("hi", F.col("pos") + 8 + F.col("n_bytes")))
     if stream.in_memory:
@@ -493,7 +496,9 @@ def _index_rows(true: DataFrame, stream: Stream) -> DataFrame:
     return frame_rows.unionByName(header_rows).unionByName(end_rows).unionByName(reject_rows)
 
 
-def index_archive_files(chunks: DataFrame, walk_bytes: int | None = None, block_bytes: int | None = None) -> DataFrame:
+def index_archive_files(
+    chunks: DataFrame, walk_bytes: int | None = None, block_bytes: int | None = None, whole_frames: bool = True
+) -> DataFrame:
     """Frame index of an archive listing, or of chunks in memory.
 
     Connections of more than ``walk_bytes`` (``strobe.index.walkBytes``,
@@ -505,6 +510,6 @@ def index_archive_files(chunks: DataFrame, walk_bytes: int | None = None, block_
     size = F.length("data") if "data" in chunks.columns else F.col("size")
     large = chunks.groupBy("conn_id").agg(F.sum(size).alias("bytes")).where(F.col("bytes") > limit).select("conn_id")
     if large.isEmpty():
-        return index_chunks(chunks)
-    parallel = materialize_index(index_chunks_parallel(chunks.join(large, "conn_id", "left_semi"), block_bytes))
-    return parallel.unionByName(index_chunks(chunks.join(large, "conn_id", "left_anti")))
+        return index_chunks(chunks, whole_frames=whole_frames)
+    parallel = materialize_index(index_chunks_parallel(chunks.join(large, "conn_id", "left_semi"), block_bytes, whole_frames))
+    return parallel.unionByName(index_chunks(chunks.join(large, "conn_id", "left_anti"), whole_frames=whole_frames))
