@@ -3,7 +3,7 @@ fields and their typed metadata, table layouts, bit words."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
@@ -116,3 +116,102 @@ def bit_word_fields(lines: DataFrame) -> DataFrame:
     tokens = F.split(F.trim(F.col("line")), r"\s+")
     keep = (F.size(tokens) == 4) & (tokens[2] == "ext_out") & (tokens[3] == "bits")
     return lines.where(keep).select("*", F.concat(F.lit("PCAP."), tokens[0]).alias("word"))
+
+
+# --------------------------------------------------------------------------- typed metadata
+
+#: Version from which a table's writes can say how they continue.
+MODE_VERSION = (4, 0)
+ATTRIBUTES = "attr string, part string, pos int, value string"
+COLUMN_LINE = r"^(\d+):(\d+)\s+(\S+)\s+(\S+)$"
+
+
+def typed_fields(fields: DataFrame, attributes: DataFrame, keys: list[str]) -> DataFrame:
+    """Typed metadata of every field, one nullable struct for each of the
+    shapes that have attributes.
+
+    ``fields``: (keys, field, type, subtype, shape, api_major, api_minor);
+    ``attributes``: (keys, field, attr, part, pos, value), the replies about a
+    field: DESC, MAX, UNITS, SCALE, OFFSET, CAPTURE_WORD, MAX_DELAY and
+    MAX_LENGTH are single values; LABELS, UNIT_LABELS, CAPTURE_LABELS, BITS and
+    FIELDS (the lines of a table's columns) are lists ordered by ``pos``;
+    COLUMN_LABELS (a list) and COLUMN_DESC belong to the column ``part``.
+
+    Both are brought together by one grouped aggregation, without a pivot or a
+    join; the rows of a field are bounded by the protocol. A field without
+    replies keeps its type; a value that is no number is null and its attribute
+    is listed in ``unreadable``; of repeated single values the one with the
+    largest ``pos`` counts; replies about unknown fields give no row.
+    """
+    own = [*keys, "field"]
+    about = ["type", "subtype", "shape", "api_major", "api_minor"]
+    given = ["attr", "part", "pos", "value"]
+    rows = fields.select(*own, F.lit(True).alias("known"), *about, *[F.lit(None).cast(t).alias(n) for n, t in (x.split() for x in ATTRIBUTES.split(", "))])
+    rows = rows.unionByName(
+        attributes.select(*own, F.lit(False).alias("known"), *[F.lit(None).cast(fields.schema[c].dataType).alias(c) for c in about], *given)
+    )
+    single = {
+        a: F.max_by("value", F.when(F.col("attr") == a, F.coalesce("pos", F.lit(0)))).alias(f"__{a}")
+        for a in ("DESC", "MAX", "UNITS", "SCALE", "OFFSET", "CAPTURE_WORD", "MAX_DELAY", "MAX_LENGTH")
+    }
+    listed = {
+        a: F.array_sort(F.collect_list(F.when(F.col("attr") == a, F.struct("pos", "value", "part")))).alias(f"__{a}")
+        for a in ("LABELS", "UNIT_LABELS", "CAPTURE_LABELS", "BITS", "FIELDS", "COLUMN_LABELS", "COLUMN_DESC")
+    }
+    found = rows.groupBy(*own).agg(
+        F.max("known").alias("__known"), *[F.max(F.when(F.col("known"), F.col(c))).alias(c) for c in about], *single.values(), *listed.values()
+    ).where("__known")
+
+    def values(attr: str) -> Column:
+        return F.transform(f"__{attr}", lambda x: x["value"])
+
+    def number(attr: str, kind: str = "long") -> Column:
+        return F.col(f"__{attr}").try_cast(kind)
+
+    def of_column(attr: str, name: Column) -> Column:
+        return F.transform(F.filter(f"__{attr}", lambda x: x["part"] == name), lambda x: x["value"])
+
+    def column(line: Column) -> Column:
+        name = F.regexp_extract(line["value"], COLUMN_LINE, 3)
+        subtype = F.regexp_extract(line["value"], COLUMN_LINE, 4)
+        return F.struct(
+            name.alias("name"), subtype.alias("subtype"),
+            F.regexp_extract(line["value"], COLUMN_LINE, 2).cast("int").alias("bit_low"),
+            F.regexp_extract(line["value"], COLUMN_LINE, 1).cast("int").alias("bit_high"),
+            F.get(of_column("COLUMN_DESC", name), F.lit(0)).alias("description"),
+            F.when(subtype == "enum", of_column("COLUMN_LABELS", name)).alias("labels"),
+        )
+
+    readable = F.filter("__FIELDS", lambda x: x["value"].rlike(COLUMN_LINE))
+    columns = F.transform(readable, column)
+    highest = F.aggregate(columns, F.lit(0), lambda a, x: F.greatest(a, x["bit_high"]))
+    major, minor = F.col("api_major"), F.col("api_minor")
+    has_mode = (major > MODE_VERSION[0]) | ((major == MODE_VERSION[0]) & (minor >= MODE_VERSION[1]))
+    shapes = {
+        "uint": [number("MAX").alias("max_val")],
+        "scalar": [F.col("__UNITS").alias("units"), number("SCALE", "double").alias("scale"), number("OFFSET").alias("offset")],
+        "subtype_time": [values("UNIT_LABELS").alias("units_labels")],
+        "enum": [values("LABELS").alias("labels")],
+        "time": [values("UNIT_LABELS").alias("units_labels")],
+        "bit_out": [F.col("__CAPTURE_WORD").alias("capture_word"), number("OFFSET").alias("offset")],
+        "bit_mux": [number("MAX_DELAY").alias("max_delay"), values("LABELS").alias("labels")],
+        "pos_mux": [values("LABELS").alias("labels")],
+        "table": [
+            number("MAX_LENGTH").alias("max_length"), columns.alias("fields"), (F.floor(highest / 32) + 1).cast("int").alias("row_words"),
+            F.coalesce(has_mode, F.lit(False)).alias("has_mode"),
+        ],
+        "pos_out": [values("CAPTURE_LABELS").alias("capture_labels")],
+        "ext_out": [values("CAPTURE_LABELS").alias("capture_labels")],
+        "ext_out_bits": [values("BITS").alias("bits"), values("CAPTURE_LABELS").alias("capture_labels")],
+    }
+    numbers = {"uint": [("MAX", "long")], "scalar": [("SCALE", "double"), ("OFFSET", "long")], "bit_out": [("OFFSET", "long")], "bit_mux": [("MAX_DELAY", "long")], "table": [("MAX_LENGTH", "long")]}
+    wrong = [
+        F.when((F.col("shape") == shape) & F.col(f"__{a}").isNotNull() & number(a, kind).isNull(), F.lit(a))
+        for shape, attrs in numbers.items() for a, kind in attrs
+    ]
+    wrong.append(F.when((F.col("shape") == "table") & (F.size(readable) < F.size("__FIELDS")), F.lit("FIELDS")))
+    return found.select(
+        *own, "type", "subtype", "shape", F.col("__DESC").alias("description"),
+        *[F.when(F.col("shape") == name, F.struct(*attrs)).alias(name) for name, attrs in shapes.items()],
+        F.array_compact(F.array(*wrong)).alias("unreadable"),
+    )

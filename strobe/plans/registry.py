@@ -25,4 +25,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so that its queries register themselves."""
-    from strobe.plans import capture_queries, config_queries, control_queries  # noqa: F401
+    from strobe.plans import capture_queries, config_queries, control_queries, metadata_queries  # noqa: F401
