@@ -8,6 +8,8 @@ acquisitions whose layouts differ.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +27,9 @@ def gate_column(columns: list[str]) -> str:
     raise ValueError("gated mean needs PCAP.GATE_DURATION.Value or PCAP.SAMPLES.Value")
 
 
-def calibration_expr(field: FieldSpec, raw: bool, columns: list[str]) -> Column:
-    """Expression producing the stored value of ``field``.
+def calibration_expr(field: FieldSpec, raw: bool, columns: list[str], of: Callable[[str], Column] = c) -> Column:
+    """Expression producing the stored value of ``field``; ``of`` finds the
+    column of a captured field.
 
     Raw ``Mean`` captures are sums over the gate: ``x * scale / gate + offset``
     (this wins even for scale 1 / offset 0; a zero gate gives +-inf or NaN as
@@ -34,9 +37,9 @@ def calibration_expr(field: FieldSpec, raw: bool, columns: list[str]) -> Column:
     ``x * scale + offset``. Everything else passes through; in raw mode a field
     with scale and offset is still stored as double.
     """
-    x = c(field.column)
+    x = of(field.column)
     if raw and field.capture == "Mean":
-        gate = c(gate_column(columns))
+        gate = of(gate_column(columns))
         return np_divide(x.cast("double") * F.lit(field.scale), gate) + F.lit(field.offset)
     if not raw or field.linear is None:
         return x
@@ -65,6 +68,23 @@ def calibrate(
     return samples.select(*exprs)
 
 
+def calibrate_layouts(samples: DataFrame, layouts: dict[str, tuple[list[FieldSpec], str]]) -> DataFrame:
+    """Calibrate samples that hold each layout in a struct column of its own
+    (``sources.datasource``); layouts: struct column -> (fields, process). Each
+    layout keeps the types of its own process, whatever the others have."""
+    made = []
+    for name in samples.columns:
+        if name not in layouts:
+            made.append(F.col(q(name)))
+            continue
+        fields, process = layouts[name]
+        have = samples.schema[name].dataType.names
+        fields = [f for f in fields if f.column in have]
+        values = [calibration_expr(f, process == "Raw", have, F.col(q(name)).getField).alias(f.column) for f in fields]
+        made.append(F.when(F.col(q(name)).isNotNull(), F.struct(*values)).alias(name))
+    return samples.select(*made)
+
+
 # --------------------------------------------------------------------------- field table rules
 
 

@@ -28,7 +28,7 @@ from strobe.session import shared_dir
 from strobe.sources.capture_format import DEVICE_END_REASONS, END_REASONS, GATE_DURATION_FIELD, SAMPLES_FIELD
 from strobe.sources.captures import cut_chunks
 from strobe.sources.dumps import coalesce_frames as coalesced
-from strobe.sources.dumps import concat_binary_in_order, list_chunks, materialize_index, write_chunks
+from strobe.sources.dumps import concat_binary_in_order, list_chunks, materialize_index, publish_index, write_chunks
 from strobe.sources.parallel_index import index_archive_files, index_chunks_parallel
 
 # ----------------------------------------------------------------------------- shared SQL
@@ -558,6 +558,76 @@ def coalesce_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.join(_users(cap), ["conn_id", "acq_no"]).select("user_id", "batch_no", "n_rows", "first_sample")
 
 
+def _published(spark: SparkSession, sf_dir: str) -> tuple[cs.Prepared, str]:
+    from strobe.sources.datasource import register as register_sources
+
+    prep, index = _archive_index(spark, sf_dir)
+    register_sources(spark)
+    return prep, publish_index(index, shared_dir(spark, "published-index"), partition_bytes=1 << 18)
+
+
+@register("dump_source_all", f"""
+WITH {_U}, {_S}
+SELECT user_id, event_id, i AS sample_idx, CASE WHEN user_id % 2 = 0 THEN 'Raw' ELSE 'Scaled' END AS process,
+  1 + event_id % 125 AS gate, round(value, 6) AS v, (epoch_us(ts) - epoch_us(t0)) * 125 AS ticks,
+  user_id % 5 = 0 AS declares_gate
+FROM s JOIN u USING (user_id)""")
+def dump_source_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sample of the archive, of all its layouts, through the data source."""
+    from strobe.sources.datasource import as_variant
+
+    prep, index = _published(spark, sf_dir)
+    mixed = as_variant(spark.read.format("capture_dump").option("index", index).load()).join(_users(prep), ["conn_id", "acq_no"])
+
+    def of(name: str, kind: str):
+        return F.try_variant_get("sample", f"$['{name}']", kind)
+
+    return mixed.select(
+        "user_id", of("EVENT.ID.Value", "long").alias("event_id"), "sample_idx", "process",
+        F.coalesce(of(GATE_DURATION_FIELD, "long"), of(SAMPLES_FIELD, "long")).alias("gate"),
+        rounded(of("COUNTER1.OUT.Mean", "double")).alias("v"), of("PCAP.TS_START.Value", "long").alias("ticks"),
+        of(GATE_DURATION_FIELD, "long").isNotNull().alias("declares_gate"),
+    )
+
+
+@register("write_typed", f"""
+WITH {_U}, {_S}
+SELECT event_id * 35184372088832 + 1 AS big, i AS sample_idx, 1 + event_id % 125 AS gate,
+  CASE WHEN user_id % 2 = 0 THEN round((epoch_us(ts) - epoch_us(t0)) * 125 * 8e-09, 6) END AS seconds,
+  CASE WHEN user_id % 2 = 1 THEN (epoch_us(ts) - epoch_us(t0)) * 125 END AS ticks,
+  CASE WHEN user_id % 2 = 0 THEN 'double' ELSE 'bigint' END AS time_type
+FROM s JOIN u USING (user_id)""")
+def write_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each layout calibrated and written in its own types through the sink with
+    a commit protocol, then read back; ids are moved above 2^53 on the way."""
+    from strobe.operators.calibrate import calibrate_layouts
+    from strobe.sources.datasource import read_layouts, read_registry
+
+    _, index = _published(spark, sf_dir)
+    layouts = read_registry(index)
+    samples = calibrate_layouts(
+        spark.read.format("capture_dump").option("index", index).load(), {x.column: (list(x.fields), x.process) for x in layouts}
+    )
+    big = "`EVENT.ID.Value`"
+    for x in layouts:
+        samples = samples.withColumn(x.column, F.col(x.column).withField(big, F.col(x.column).getField("EVENT.ID.Value") * (1 << 45) + 1))
+    path = shared_dir(spark, "typed-samples")
+    samples.drop("process").write.format("capture_layouts").option("path", path).option("index", index).mode("append").save()
+    out = None
+    for x in layouts:
+        own = read_layouts(spark, path).get(x.column)
+        if own is None:
+            continue
+        time = c("PCAP.TS_START.Value")
+        scaled = F.lit(x.process == "Raw")
+        rows = own.select(
+            c("EVENT.ID.Value").alias("big"), "sample_idx", gate_of(own).cast("long").alias("gate"),
+            F.when(scaled, rounded(time)).alias("seconds"), F.when(~scaled, time.cast("long")).alias("ticks"), F.typeof(time).alias("time_type"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 #: Payload bytes of a frame that splits records, and records of a batch.
 ODD_BYTES = 101
 BATCH_ROWS = 40

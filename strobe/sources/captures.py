@@ -181,9 +181,10 @@ def spark_schema(fields: list[FieldSpec]) -> list[T.StructField]:
 
 def _column_array(values: np.ndarray, type_name: str) -> pa.Array:
     if type_name == "uint64":
-        import decimal
-
-        return pa.array([decimal.Decimal(int(v)) for v in values], type=pa.decimal128(20, 0))
+        # a decimal is 16 bytes, little-endian: the value and eight zero bytes
+        wide = np.zeros((len(values), 2), dtype="<u8")
+        wide[:, 0] = values
+        return pa.Array.from_buffers(pa.decimal128(20, 0), len(values), [None, pa.py_buffer(wide.tobytes())])
     widen = {"uint8": np.int16, "uint16": np.int32, "uint32": np.int64}.get(type_name)
     return pa.array(values.astype(widen) if widen is not None else values)
 
@@ -238,20 +239,23 @@ def decode_payloads(
             pieces = batch.column(batch.schema.get_field_index("pieces")).to_pylist() if has_pieces else None
             first = batch.column(batch.schema.get_field_index("first_sample")).to_numpy(zero_copy_only=False)
             rows: list[int] = []
-            blobs: list[bytes] = []
             pending = 0
+
+            def taken(rows: list[int]) -> pa.RecordBatch:
+                # frames of an archive on storage are read from their byte pieces here, near ones together
+                stored = [i for i in rows if payload[i] is None]
+                read = dict(zip(stored, reader.read_many([pieces[i] for i in stored]), strict=True)) if pieces is not None else {}
+                return emit(batch, rows, [payload[i] if payload[i] is not None else read.get(i, b"") for i in rows], first)
+
             for i, blob in enumerate(payload):
-                # frames of an archive on storage are read from their byte pieces here
-                if blob is None and pieces is not None:
-                    blob = reader.read(pieces[i])
                 rows.append(i)
-                blobs.append(blob or b"")
-                pending += len(blob or b"") // dtype.itemsize
+                size = len(blob) if blob is not None else sum(p["length"] for p in (pieces[i] or [])) if pieces is not None else 0
+                pending += size // dtype.itemsize
                 if pending >= max_records:
-                    yield emit(batch, rows, blobs, first)
-                    rows, blobs, pending = [], [], 0
+                    yield taken(rows)
+                    rows, pending = [], 0
             if rows:
-                yield emit(batch, rows, blobs, first)
+                yield taken(rows)
 
     schema = T.StructType(
         [frames.schema[k] for k in keep]

@@ -23,7 +23,7 @@ from xml.etree.ElementTree import ParseError
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -521,6 +521,23 @@ class PieceReader:
         self._handles: dict[str, object] = {}
         self._max = max_open
 
+    def read_many(self, wanted: list, gap: int = 1 << 16, most: int = 8 << 20) -> list[bytes]:
+        """The bytes of each list of pieces. Pieces of one file that lie at
+        most ``gap`` bytes apart are read together, up to ``most`` bytes."""
+        asked = sorted((p["path"], p["start"], p["length"], i, j) for i, pieces in enumerate(wanted) for j, p in enumerate(pieces if pieces is not None else []))
+        parts: list[dict[int, bytes]] = [{} for _ in wanted]
+        at = 0
+        while at < len(asked):
+            path, start, length = asked[at][:3]
+            end, to = start + length, at + 1
+            while to < len(asked) and asked[to][0] == path and asked[to][1] <= end + gap and asked[to][1] + asked[to][2] - start <= most:
+                end, to = max(end, asked[to][1] + asked[to][2]), to + 1
+            block = memoryview(self.read([{"path": path, "start": start, "length": end - start}]))
+            for _, lo, n, i, j in asked[at:to]:
+                parts[i][j] = bytes(block[lo - start : lo - start + n])
+            at = to
+        return [b"".join(own[j] for j in sorted(own)) for own in parts]
+
     def read(self, pieces) -> bytes:
         parts = []
         for p in pieces or []:
@@ -547,6 +564,32 @@ def materialize_index(index: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.parquet(path)
 
 
+REGISTRY = "_registry"
+
+
+def publish_index(index: DataFrame, path: str, partition_bytes: int = 128 << 20) -> str:
+    """Write an index for ``capture_dump``: files of about ``partition_bytes``
+    of payload each, in stream order, which become its input partitions, and a
+    registry of the record layouts (``sig``, ``layout``, ``process``, frames,
+    bytes)."""
+    frames = index.where(F.col("kind") == "frame")
+    spark = index.sparkSession
+    kinds = frames.groupBy("layout", "process").agg(F.count(F.lit(1)).alias("frames"), F.sum("n_bytes").alias("bytes"))
+    # one row for each layout of the archive; numbered in one order
+    registry = kinds.withColumn("sig", (F.row_number().over(Window.orderBy("layout", "process")) - 1).cast("int"))
+    registry.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{REGISTRY}")
+    registry = spark.read.parquet(f"{path.rstrip('/')}/{REGISTRY}")
+    total = registry.agg(F.coalesce(F.sum("bytes"), F.lit(0))).collect()[0][0]
+    order = ["conn_id", "acq_no", "frame_no"]
+    placed = ordered_scan(frames.withColumn("all", F.lit(0)), ["all"], order, out="before", weight="n_bytes")
+    placed = placed.join(registry.select("layout", "process", "sig"), ["layout", "process"])
+    placed = placed.withColumn("part", F.floor(F.col("before") / partition_bytes).cast("int"))
+    n = -(-int(total) // partition_bytes) + 1
+    placed = placed.select("part", *INDEX_SCHEMA.names, "sig").repartitionByRange(n, "part", *order).sortWithinPartitions(*order)
+    placed.drop("part").write.mode("overwrite").parquet(f"{path.rstrip('/')}/frames")
+    return path
+
+
 # --------------------------------------------------------------------------- decode
 
 

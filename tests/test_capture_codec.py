@@ -161,14 +161,14 @@ def test_files_roundtrip_matches_memory(spark, tmp_path):
 
 def test_capture_dump_data_source(spark, tmp_path):
     from strobe.sources.datasource import register
-    from strobe.sources.dumps import list_chunks, materialize_index, write_chunks
+    from strobe.sources.dumps import list_chunks, publish_index, write_chunks
 
     data = stream(acquisition(SCALED_FIELDS, fast_values(), [10, 11, 10, 10, 10, 7], end=("Ok", 58)),
                   acquisition(SCALED_FIELDS, fast_values(20), [20], end=("Ok", 20)))
     root = str(tmp_path / "arch")
     write_chunks(chunks_df(spark, data, 257), root).collect()
     idx_path = str(tmp_path / "index")
-    materialize_index(index_chunks(list_chunks(spark, root)), idx_path)
+    publish_index(index_chunks(list_chunks(spark, root)), idx_path)
     register(spark)
     df = spark.read.format("capture_dump").option("index", idx_path).load()
     assert df.count() == 78
@@ -214,14 +214,14 @@ def test_decode_partitions_follow_payload_bytes(spark):
 
 def test_capture_dump_pushes_acquisition_filters(spark, tmp_path):
     from strobe.sources.datasource import register
-    from strobe.sources.dumps import list_chunks, materialize_index, write_chunks
+    from strobe.sources.dumps import list_chunks, publish_index, write_chunks
 
     data = stream(acquisition(SCALED_FIELDS, fast_values(), [10, 11, 10, 10, 10, 7], end=("Ok", 58)),
                   acquisition(SCALED_FIELDS, fast_values(20), [20], end=("Ok", 20)))
     root = str(tmp_path / "arch")
     write_chunks(chunks_df(spark, data, 257), root).collect()
     idx = str(tmp_path / "index")
-    materialize_index(index_chunks(list_chunks(spark, root)), idx)
+    publish_index(index_chunks(list_chunks(spark, root)), idx)
     register(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     try:
