@@ -13,13 +13,14 @@ the threshold are linked; components of links are the groups.
    left-out position, other symbols) are candidates, and every pair within
    2m - 1 differing symbols shares one.
 3. In each of a few rounds, every node of a bucket that holds several
-   components is paired with one node that stands for another: one pair a
-   node.  Pairs whose signatures are near enough are confirmed on the full
-   shingle sets, and confirmed links contract components.
+   groups is paired with one node that stands for another: one pair a node.
+   Pairs whose signatures are near enough are confirmed on the full shingle
+   sets, and confirmed links bring groups together: the smallest node within
+   two links, which two grouped minima find.
 4. Nodes whose buckets still hold several components are compared across these
    components in blocks, by signature and then on the full sets, inside the
-   tasks: only links leave them.  Pairs inside a component cannot change the
-   groups and are not compared.
+   tasks: only links leave them.  Pairs inside a group cannot change the
+   result and are not compared.  All links together then give the components.
 
 Defined results: texts without words have an empty set and no links; rows that
 repeat an id are one node, whatever their texts; a null id gets its set's size
@@ -28,6 +29,7 @@ but no group (component null, kept); other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strobe.functions.columns import q
-from strobe.llm.shared import connected_components, counted, materialise, small_batches
+from strobe.llm.shared import connected_components, counted, materialise, nearest_roots, small_batches
 from strobe.llm.words import Chunk, by_chunk, chunks, distinct, mix, ngrams, signed, split_words
 
 #: Chance that a pair right at the threshold has more differing symbols than
@@ -330,24 +332,28 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     same = linkable.select("doc_id", "set_a", "set_b").distinct().join(classes.select("set_a", "set_b", "node"), ["set_a", "set_b"])
     same = same.groupBy("doc_id").agg(F.min("node").alias("a"), F.collect_set("node").alias("others")).where(F.size("others") > 1)
     links, n, _ = counted(same.select("a", F.explode("others").alias("b")).where("a < b"), "near-links")
-    groups = connected_components(links, "near-components") if n else None
+    every = [links] if n else []
+    # nodes that links have brought together, as far as a cheap step tells
+    groups = nearest_roots(links, "near-groups") if n else None
     # buckets whose nodes have come together stay closed, so each round reads
-    # what the one before left open; groups stand for the links that made them
+    # what the one before left open
     left, open_rows, _ = counted(_opened(members, groups), "near-open")
     rounds = ROUNDS
     while open_rows:
         last = rounds == 0
         found_links = _cluster_links(left, nodes, texts, s) if last else confirm(near_pairs(_star(left), nodes, s), texts, s)
         links, n, _ = counted(found_links, "near-links", None if last else open_rows)
-        if n:
-            known = links if groups is None else links.unionByName(groups.select(F.col("node").alias("a"), F.col("root").alias("b")))
-            groups = connected_components(known, "near-components")
+        every += [links] if n else []
         if last:
             break
         rounds = rounds - 1 if n else 0
         if n:
+            known = links if groups is None else links.unionByName(groups.select(F.col("node").alias("a"), F.col("root").alias("b")))
+            groups = nearest_roots(known, "near-groups", open_rows)
             left, open_rows, _ = counted(_opened(left, groups), "near-open", open_rows)
-    if groups is None:
+    if every:
+        groups = connected_components(functools.reduce(DataFrame.unionByName, every), "near-components")
+    else:
         groups = classes.select("node", F.col("node").alias("root")).limit(0)
 
     by_doc = found.join(classes.select("set_a", "set_b", "node"), ["set_a", "set_b"], "left").join(groups, "node", "left")

@@ -61,6 +61,16 @@ def counted(df: DataFrame, purpose: str, rows: int | None = None) -> tuple[DataF
     return out, int(seen.get["n"] or 0), int(seen.get["mark"] or 0)
 
 
+def nearest_roots(edges: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
+    """(node, root): the smallest node within two (a, b) edges of each node
+    that has a smaller one so near.  A step towards components, for what needs
+    no more than that nodes with one root belong together."""
+    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    one = both.groupBy(F.col("u").alias("v")).agg(F.least(F.first("u"), F.min("v")).alias("m"))
+    two = both.join(one, "v").groupBy(F.col("u").alias("node")).agg(F.min("m").alias("root"))
+    return counted(two.where("root < node"), purpose, rows)[0]
+
+
 def connected_components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     """Smallest node reachable from each node of (a, b) edges: (node, root).
 
