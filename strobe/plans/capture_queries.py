@@ -628,6 +628,29 @@ def write_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@register("stream_equals_batch", f"""
+WITH {_U}, {_S}
+SELECT user_id, event_id, i AS sample_idx, round(value, 6) AS v FROM s JOIN u USING (user_id)""")
+def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive read as a stream while it grows: the first files of each
+    connection, then, from the checkpoint, all of them."""
+    from strobe.streaming.reassembly import reassemble_stream
+    from strobe.streaming.source import register as register_stream
+
+    prep = cs.prepared(spark, sf_dir)
+    register_stream(spark)
+    root, out, checkpoint = (shared_dir(spark, f"stream-{x}") for x in ("archive", "rows", "checkpoint"))
+    chunks = cut_chunks(prep.messages, 65000)
+    for part in (F.col("chunk_no") < 2, F.col("chunk_no") >= 2):
+        write_chunks(chunks.where(part), root).write.format("noop").mode("overwrite").save()
+        rows = reassemble_stream(spark.readStream.format("capture_archive").option("path", root).load())
+        query = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+    frames = spark.read.parquet(out).withColumn("n_bytes", F.length("payload").cast("long"))
+    dec = cs.decode_index(frames, from_files=False, select=["EVENT.ID.Value", "COUNTER1.OUT.Mean"]).join(_users(prep), ["conn_id", "acq_no"])
+    return dec.select("user_id", c("EVENT.ID.Value").alias("event_id"), "sample_idx", rounded(c("COUNTER1.OUT.Mean")).alias("v"))
+
+
 #: Payload bytes of a frame that splits records, and records of a batch.
 ODD_BYTES = 101
 BATCH_ROWS = 40

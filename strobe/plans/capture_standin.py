@@ -38,7 +38,6 @@ from strobe.sources.dumps import (  # noqa: F401
     index_chunks,
     list_chunks,
     materialize_index,
-    signatures,
     write_chunks,
 )
 

@@ -593,24 +593,11 @@ def publish_index(index: DataFrame, path: str, partition_bytes: int = 128 << 20)
 # --------------------------------------------------------------------------- decode
 
 
-def signatures(index: DataFrame, limit: int = 256) -> list[tuple[str, str]]:
-    """Distinct (layout, process) pairs; a plan is built per signature."""
-    return [(layout, process) for layout, process, _ in signature_sizes(index, limit)]
-
-
-def signature_sizes(index: DataFrame, limit: int = 256) -> list[tuple[str, str, int]]:
+def signature_sizes(index: DataFrame) -> list[tuple[str, str, int]]:
     """(layout, process, payload bytes) per signature, in one small aggregate
-    over the index; more than ``limit`` layouts is refused."""
-    rows = (
-        index.where(F.col("kind") == "frame")
-        .groupBy("layout", "process")
-        .agg(F.sum("n_bytes").alias("bytes"))
-        .limit(limit + 1)
-        .collect()
-    )
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} record layouts in one archive")
-    return [(r["layout"], r["process"], int(r["bytes"] or 0)) for r in rows]
+    over the index: a row for each record layout of the archive."""
+    frames = index.where(F.col("kind") == "frame").groupBy("layout", "process").agg(F.sum("n_bytes").alias("bytes"))
+    return [(r["layout"], r["process"], int(r["bytes"] or 0)) for r in frames.collect()]
 
 
 DEFAULT_DECODE_BYTES = 256 << 20

@@ -23,15 +23,13 @@ from strobe.streaming.reassembly import reassemble_stream
 CHUNK_SCHEMA = "conn_id long, chunk_no long, data binary"
 
 
-def _write_batch(out: str, max_layouts: int = 256):
+def _write_batch(out: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             frames = batch.where(F.col("kind") == "frame")
-            sigs = frames.select("layout", "process").distinct().limit(max_layouts + 1).collect()
-            if len(sigs) > max_layouts:
-                raise ValueError(f"more than {max_layouts} record layouts in one micro-batch")
-            for row in sigs:
+            # one write for each layout of the batch
+            for row in frames.select("layout", "process").distinct().toLocalIterator():
                 layout, process = row["layout"], row["process"]
                 fields = fields_from_json(layout)
                 sig = hashlib.sha1(f"{process}|{layout}".encode()).hexdigest()[:12]
@@ -66,12 +64,8 @@ def start_capture_stream(
     """Start the stream; returns the StreamingQuery.
 
     Per-connection state lives in the RocksDB state store (off the JVM heap,
-    so many connections do not pressure executor memory) unless the session
-    already names a state store provider.
+    so many connections do not pressure executor memory).
     """
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if not spark.conf.get(key, None):
-        spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     reader = spark.readStream.schema(CHUNK_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -1,16 +1,23 @@
 """Streaming reassembly and decode of capture streams (Structured Streaming).
 
-Chunks of a connection's byte stream arrive as rows (conn_id, chunk_no, data)
-in micro-batches. A push parser per connection keeps only what a frame
+Chunks of a connection's byte stream arrive as rows in micro-batches, numbered
+(conn_id, chunk_no, data) or placed by their byte position (conn_id, start,
+data). A ``transformWithState`` processor per connection keeps what a frame
 boundary has not yet released -- pending bytes (less than one message), the
-current header's layout and counters -- as group state, so state stays
-bounded however long the connection lives. Complete frames are emitted in
-append mode as index rows with their payload; decoding them is a stateless
-step on the output.
-
-* rows do not depend on how the stream was cut or batched (ST1, ST2);
+current header's layout and counters -- as a value state, and chunks that
+arrived before their turn in a map state, one entry each. Complete frames are
+emitted in append mode as index rows with their payload; decoding them is a
+stateless step on the output.
+
+* rows do not depend on how the stream was cut, batched or ordered (ST1, ST2);
+* a chunk that is missing for longer than ``retention_ms`` is given up by a
+  timer: its gap is a reject, and the stream goes on behind it at the next
+  header. Within that time nothing is given up, however many chunks wait (they
+  lie in the state store, not in memory); a chunk that arrives after its gap
+  was given up is emitted as a ``late`` row with its bytes, so none is lost.
+  What was given up is remembered for ``remember_ms`` (a TTL of the state);
 * a connection silent for longer than ``idle_timeout_ms`` emits an ``idle``
-  row (processing-time timeout; ST3);
+  row (processing-time timer; ST3) and keeps its state;
 * ``max_acquisitions`` stops emitting after that many acquisitions (ST6).
 """
 
@@ -23,6 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from strobe.functions.frames import typed_frame
 from strobe.sources.capture_format import (
@@ -65,8 +73,11 @@ STATE_SCHEMA = T.StructType(
         T.StructField("acq_no", T.LongType()),
         T.StructField("frame_no", T.LongType()),
         T.StructField("samples", T.LongType()),
-        T.StructField("next_chunk", T.LongType()),
-        T.StructField("early", T.BinaryType()),  # out-of-order chunks, serialised
+        T.StructField("next", T.LongType()),  # chunk, or byte, whose turn it is
+        T.StructField("waiting", T.LongType()),  # chunks in the map state
+        T.StructField("gap_at", T.LongType()),  # when the gap before them is given up
+        T.StructField("gap_next", T.LongType()),
+        T.StructField("idle_at", T.LongType()),
     ]
 )
 
@@ -84,7 +95,10 @@ class PushParser:
     def __init__(self, state: dict | None = None, max_acquisitions: int = 0):
         s = state or {}
         self.phase = s.get("phase") or "ready"
-        self.pending = bytes(s.get("pending") or b"")
+        self.parts = [bytes(s["pending"])] if s.get("pending") else []
+        self.size = sum(map(len, self.parts))
+        self.need = 0  # bytes that the open message has at least
+        self.searched = 0  # of them, those known not to end it
         self.header = s.get("header") or ""
         self.layout = s.get("layout")
         self.process = s.get("process")
@@ -94,6 +108,16 @@ class PushParser:
         self.samples = int(s.get("samples") or 0)
         self.max_acq = max_acquisitions
 
+    @property
+    def pending(self) -> bytes:
+        """Bytes of the message that is not complete."""
+        if len(self.parts) > 1:
+            self.parts = [b"".join(self.parts)]
+        return self.parts[0] if self.parts else b""
+
+    def drop_pending(self) -> None:
+        self.parts, self.size, self.need, self.searched = [], 0, 0, 0
+
     def state(self) -> dict:
         return {
             "phase": self.phase, "pending": self.pending, "header": self.header, "layout": self.layout,
@@ -103,17 +127,26 @@ class PushParser:
 
     def feed(self, data: bytes) -> list[dict]:
         if self.phase == "stopped":
-            self.pending = b""
+            self.drop_pending()
             return []
-        buf = self.pending + data if self.pending else bytes(data)
+        self.parts.append(bytes(data))
+        self.size += len(data)
+        if self.size < self.need:  # the open message cannot be complete yet
+            return []
+        buf = self.pending
         out: list[dict] = []
-        at = 0
+        at, self.need = 0, 0
         while self.phase != "stopped":
             to = getattr(self, "_" + self.phase)(buf, at, out)
             if to is None:
                 break
-            at = to
-        self.pending = b"" if self.phase == "stopped" else buf[at:]
+            at, self.searched = to, 0
+        if self.phase == "stopped":
+            self.drop_pending()
+        else:
+            self.parts = [buf[at:]] if at < len(buf) else []
+            self.size = len(buf) - at
+            self.need = max(0, self.need - at)
         return out
 
     def _reject(self, out: list[dict], message: str) -> None:
@@ -151,9 +184,12 @@ class PushParser:
         return len(buf) - 1  # the open line is none; its last byte stands for it
 
     def _head(self, buf: bytes, at: int, out: list[dict]) -> int | None:
-        close = buf.find(b"\n" + HEADER_CLOSE + b"\n", at)
-        end = close + len(HEADER_CLOSE) + 2
+        mark = b"\n" + HEADER_CLOSE + b"\n"
+        close = buf.find(mark, at + self.searched)
+        end = close + len(mark)
         if close < 0 or len(buf) <= end:
+            # what has been searched is not searched again
+            self.searched = max(0, (len(buf) if close < 0 else close) - at - len(mark) + (close >= 0))
             return None
         self.acq_no += 1
         self.header = buf[at:end].replace(b"\n", b"").decode(errors="replace")
@@ -182,6 +218,7 @@ class PushParser:
                 self._reject(out, f"frame of {total - 8} bytes is not whole records of {self.record}")
                 return at + 8
             if len(buf) < at + total:
+                self.need = at + total
                 return None
             n = (total - 8) // self.record
             out.append({
@@ -209,92 +246,153 @@ def _frame(rows: list[dict]) -> pd.DataFrame:
     return typed_frame(rows, OUTPUT_SCHEMA)
 
 
-def _pack_early(early: dict[int, bytes]) -> bytes:
-    out = b""
-    for k, v in sorted(early.items()):
-        out += struct.pack("<qI", k, len(v)) + v
-    return out
-
-
-def _unpack_early(blob: bytes | None) -> dict[int, bytes]:
-    early, pos = {}, 0
-    blob = blob or b""
-    while pos < len(blob):
-        k, n = struct.unpack("<qI", blob[pos : pos + 12])
-        early[k] = blob[pos + 12 : pos + 12 + n]
-        pos += 12 + n
-    return early
-
-
 #: Rows of one output frame, at most about that many payload bytes.
 OUTPUT_BYTES = 16 << 20
-#: Bytes that may wait for a missing chunk. Beyond it the gap is reported as a
-#: reject and the stream goes on behind it, at the next header.
-EARLY_BYTES = 64 << 20
-
-
-def _reassembler(max_acquisitions: int, idle_timeout_ms: int, early_bytes: int = EARLY_BYTES):
-    def run(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        conn_id = int(key[0])
-        st = dict(zip(STATE_SCHEMA.names, state.get)) if state.exists else {}
-        if state.hasTimedOut:
-            # the connection may go on: its state stays, and the timer runs again
-            state.update(tuple(st[n] for n in STATE_SCHEMA.names))
-            state.setTimeoutDuration(idle_timeout_ms)
-            yield _frame([{"conn_id": conn_id, "kind": "idle", "acq_no": st.get("acq_no"),
-                           "message": f"no data for {idle_timeout_ms} ms"}])
-            return
-        parser = PushParser(st, max_acquisitions)
-        next_chunk = int(st.get("next_chunk") or 0)
-        early = _unpack_early(st.get("early"))
-        rows: list[dict] = []
+DEFAULT_RETENTION_MS = 10 * 60 * 1000
+DEFAULT_REMEMBER_MS = 24 * 60 * 60 * 1000
+
+
+class Reassembler(StatefulProcessor):
+    """Keyed by connection; see the module's description."""
+
+    def __init__(self, by_position: bool, max_acquisitions: int, idle_timeout_ms: int, retention_ms: int, remember_ms: int):
+        self.by_position = by_position
+        self.max_acquisitions = max_acquisitions
+        self.idle_timeout_ms = idle_timeout_ms
+        self.retention_ms = retention_ms
+        self.remember_ms = remember_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.parser = handle.getValueState("parser", STATE_SCHEMA)
+        self.early = handle.getMapState("early", "at long", "data binary")
+        self.given_up = handle.getMapState("given_up", "first long", "next long", self.remember_ms)
+
+    def close(self) -> None:
+        pass
+
+    def _load(self) -> dict:
+        return dict(zip(STATE_SCHEMA.names, self.parser.get(), strict=True)) if self.parser.exists() else {}
+
+    def _store(self, st: dict) -> None:
+        self.parser.update(tuple(st.get(n) for n in STATE_SCHEMA.names))
+
+    def _late(self, at: int) -> bool:
+        """Whether a chunk lies in a gap that was given up; else it is a copy."""
+        return any(int(first[0]) <= at < int(self.given_up.getValue(first)[0]) for first in list(self.given_up.keys()))
+
+    def _unit(self, data: bytes) -> int:
+        return len(data) if self.by_position else 1
+
+    def _feed(self, st: dict, parser: PushParser, data: bytes, conn_id: int) -> list[dict]:
+        st["next"] = int(st.get("next") or 0) + self._unit(data)
+        return [{"conn_id": conn_id, **r} for r in parser.feed(data)]
+
+    def _drain(self, st: dict, parser: PushParser, conn_id: int) -> Iterator[dict]:
+        """Chunks that waited and whose turn it is."""
+        while st.get("waiting") and self.early.containsKey((st["next"],)):
+            key = (st["next"],)
+            data = bytes(self.early.getValue(key)[0])
+            self.early.removeKey(key)
+            st["waiting"] -= 1
+            yield from self._feed(st, parser, data, conn_id)
+
+    def _watch_gap(self, st: dict, now: int) -> None:
+        """The timer of the gap in front of the waiting chunks."""
+        if not st.get("waiting"):
+            st["gap_at"] = None
+        elif st.get("gap_at") is None or st.get("gap_next") != st["next"]:
+            st["gap_at"], st["gap_next"] = now + self.retention_ms, st["next"]
+            self.handle.registerTimer(st["gap_at"])
+
+    def _watch_idle(self, st: dict, now: int) -> None:
+        if self.idle_timeout_ms:
+            if st.get("idle_at"):
+                self.handle.deleteTimer(st["idle_at"])
+            st["idle_at"] = now + self.idle_timeout_ms
+            self.handle.registerTimer(st["idle_at"])
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        conn_id, st = int(key[0]), self._load()
+        now = timerValues.getCurrentProcessingTimeInMs()
+        parser = PushParser(st, self.max_acquisitions)
+        st["next"] = int(st.get("next") or 0)
+        st["waiting"] = int(st.get("waiting") or 0)
+        out: list[dict] = []
         size = 0
-
-        def feed(no: int) -> None:
-            nonlocal size
-            for r in parser.feed(early.pop(no)):
-                rows.append({"conn_id": conn_id, **r})
-                size += len(r.get("payload") or b"")
-
-        for pdf in batches:
-            for no, data in zip(pdf["chunk_no"], pdf["data"]):
-                if int(no) >= next_chunk and parser.phase != "stopped":
-                    early[int(no)] = bytes(data)
-                while next_chunk in early:  # feed chunks strictly in order
-                    feed(next_chunk)
-                    next_chunk += 1
-                if sum(map(len, early.values())) > early_bytes:
-                    found = min(early)
-                    rows.append({"conn_id": conn_id, "kind": "reject", "acq_no": parser.acq_no,
-                                 "message": f"chunks {next_chunk} to {found - 1} are missing"})
-                    # what is pending continues in the gap; a new line may start a header
-                    parser.phase, parser.pending, next_chunk = "seek", b"", found
-                    while next_chunk in early:
-                        feed(next_chunk)
-                        next_chunk += 1
+        for pdf in rows:
+            for at, data in zip(pdf["start" if self.by_position else "chunk_no"], pdf["data"], strict=True):
+                at, data, found = int(at), bytes(data), []
+                if parser.phase == "stopped" or not data and self.by_position:
+                    continue
+                if at == st["next"]:
+                    found = [*self._feed(st, parser, data, conn_id), *self._drain(st, parser, conn_id)]
+                elif at > st["next"]:
+                    if not self.early.containsKey((at,)):
+                        st["waiting"] += 1
+                        self.early.updateValue((at,), (data,))
+                elif self._late(at):
+                    found = [{"conn_id": conn_id, "kind": "late", "acq_no": parser.acq_no, "payload": data,
+                              "message": f"chunk {at} arrived after its gap was given up"}]
+                out += found
+                size += sum(len(r.get("payload") or b"") for r in found)
                 if size >= OUTPUT_BYTES:
-                    yield _frame(rows)
-                    rows, size = [], 0
-        if parser.phase == "stopped":
-            early = {}
-        ps = parser.state()
-        state.update(tuple([ps["phase"], ps["pending"], ps["header"], ps["layout"], ps["process"], ps["record"],
-                            ps["acq_no"], ps["frame_no"], ps["samples"], next_chunk, _pack_early(early)]))
-        if idle_timeout_ms:
-            state.setTimeoutDuration(idle_timeout_ms)
-        if rows:
-            yield _frame(rows)
-
-    return run
+                    yield _frame(out)
+                    out, size = [], 0
+        if parser.phase == "stopped" and st["waiting"]:
+            self.early.clear()
+            st["waiting"] = 0
+        st |= parser.state()
+        self._watch_gap(st, now)
+        self._watch_idle(st, now)
+        self._store(st)
+        if out:
+            yield _frame(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        conn_id, st = int(key[0]), self._load()
+        now, at = timerValues.getCurrentProcessingTimeInMs(), expiredTimerInfo.getExpiryTimeInMs()
+        out: list[dict] = []
+        if st.get("waiting") and st.get("gap_at") == at:
+            parser = PushParser(st, self.max_acquisitions)
+            found = min(int(k[0]) for k in self.early.keys())
+            out.append({"conn_id": conn_id, "kind": "reject", "acq_no": parser.acq_no,
+                        "message": f"{'bytes' if self.by_position else 'chunks'} {st['next']} to {found - 1} are missing"})
+            self.given_up.updateValue((st["next"],), (found,))
+            # what is pending continues in the gap; a new line may start a header
+            parser.phase, st["next"] = "seek", found
+            parser.drop_pending()
+            out += self._drain(st, parser, conn_id)
+            st |= parser.state()
+            self._watch_gap(st, now)
+        elif st.get("idle_at") == at:
+            # the connection may go on: its state stays, and the timer runs again
+            out.append({"conn_id": conn_id, "kind": "idle", "acq_no": st.get("acq_no"), "message": f"no data for {self.idle_timeout_ms} ms"})
+            st["idle_at"] = None
+            self._watch_idle(st, now)
+        self._store(st)
+        if out:
+            yield _frame(out)
 
 
 def reassemble_stream(
-    chunks: DataFrame, max_acquisitions: int = 0, idle_timeout_ms: int = 0
+    chunks: DataFrame,
+    max_acquisitions: int = 0,
+    idle_timeout_ms: int = 0,
+    retention_ms: int = DEFAULT_RETENTION_MS,
+    remember_ms: int = DEFAULT_REMEMBER_MS,
 ) -> DataFrame:
-    """Streaming chunks (conn_id, chunk_no, data) -> index rows with payloads."""
-    timeout = "ProcessingTimeTimeout" if idle_timeout_ms else "NoTimeout"
-    return chunks.select("conn_id", "chunk_no", "data").groupBy("conn_id").applyInPandasWithState(
-        _reassembler(max_acquisitions, idle_timeout_ms), OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout
+    """Streaming chunks (conn_id, chunk_no, data) or (conn_id, start, data) ->
+    index rows with payloads. The state store has to be RocksDB, which is set
+    where the session names none."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    spark = chunks.sparkSession
+    if not spark.conf.get(provider, None):
+        spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    by_position = "start" in chunks.columns
+    processor = Reassembler(by_position, max_acquisitions, idle_timeout_ms, retention_ms, remember_ms)
+    return chunks.select("conn_id", "start" if by_position else "chunk_no", "data").groupBy("conn_id").transformWithStateInPandas(
+        processor, OUTPUT_SCHEMA, "Append", "ProcessingTime"
     )
 
 

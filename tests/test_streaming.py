@@ -12,7 +12,7 @@ from dumpkit import SCALED_FIELDS, acquisition, fast_values, stream
 from strobe.functions.columns import c
 from strobe.sources.dumps import decode_index, index_chunks
 from strobe.streaming.changes import latest_values_stream
-from strobe.streaming.reassembly import PushParser, _reassembler, decode_stream, reassemble_stream
+from strobe.streaming.reassembly import PushParser, Reassembler, decode_stream, reassemble_stream
 from strobe.streaming.windows import windowed_capture_modes
 
 CHUNK_SCHEMA = "conn_id long, chunk_no long, data binary"
@@ -89,49 +89,154 @@ def test_push_parser_is_linear_in_a_large_chunk():
     assert time.time() - t < 5
 
 
-class _State:
-    """Group state as a user function sees it."""
-
+class _Value:
     def __init__(self):
-        self.value, self.exists, self.hasTimedOut, self.timer = None, False, False, None
+        self.value = None
+
+    def exists(self):
+        return self.value is not None
 
-    @property
     def get(self):
         return self.value
 
     def update(self, value):
-        self.value, self.exists = value, True
+        self.value = value
+
+
+class _Map:
+    def __init__(self):
+        self.held = {}
+
+    def containsKey(self, key):
+        return key in self.held
+
+    def getValue(self, key):
+        return self.held.get(key)
+
+    def updateValue(self, key, value):
+        self.held[key] = value
+
+    def removeKey(self, key):
+        self.held.pop(key)
+
+    def keys(self):
+        return iter(list(self.held))
+
+    def clear(self):
+        self.held.clear()
+
+
+class _Handle:
+    """State, timers and a clock as a stateful processor sees them."""
+
+    def __init__(self):
+        self.now, self.timers = 1000, set()
+
+    def getValueState(self, name, schema):
+        return _Value()
+
+    def getMapState(self, name, key, value, ttl=None):
+        return _Map()
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+    def getExpiryTimeInMs(self):
+        return self.now
+
+
+def _processor(**kw):
+    given = {"by_position": False, "max_acquisitions": 0, "idle_timeout_ms": 0, "retention_ms": 500, "remember_ms": 10_000}
+    handle, p = _Handle(), Reassembler(**given | kw)
+    p.init(handle)
+    order = "start" if p.by_position else "chunk_no"
 
-    def remove(self):
-        self.value, self.exists = None, False
+    def feed(*chunks):
+        pdf = pd.DataFrame({order: [c[0] for c in chunks], "data": [c[1] for c in chunks]})
+        return [r for f in p.handleInputRows((7,), iter([pdf]), handle) for r in f.to_dict("records")]
 
-    def setTimeoutDuration(self, ms):
-        self.timer = ms
+    def wait(ms):
+        """Time passes; timers that are due fire at their time."""
+        until, rows = handle.now + ms, []
+        while due := [t for t in handle.timers if t <= until]:
+            handle.now = min(due)
+            handle.timers.discard(handle.now)
+            rows += [r for f in p.handleExpiredTimer((7,), handle, handle) for r in f.to_dict("records")]
+        handle.now = until
+        return rows
+
+    return p, handle, feed, wait
+
+
+def _plain(rows):
+    return [(r["kind"], r["acq_no"], None if pd.isna(r.get("frame_no")) else r.get("frame_no")) for r in rows]
 
 
 def test_idle_event_keeps_the_state():
-    data, state = _data(), _State()
-    run = _reassembler(0, 500)
-    feed = lambda no, part: [r for f in run((7,), iter([pd.DataFrame({"chunk_no": [no], "data": [part]})]), state) for r in f.to_dict("records")]
-    rows = feed(0, data[:700])
-    state.hasTimedOut, state.timer = True, None
-    (idle,) = [r for f in run((7,), iter([]), state) for r in f.to_dict("records")]
-    assert idle["kind"] == "idle" and state.exists and state.timer == 500
-    state.hasTimedOut = False
-    rows += feed(1, data[700:])
-    whole = PushParser().feed(data)
-    assert [(r["kind"], r["acq_no"]) for r in rows] == [(r["kind"], r["acq_no"]) for r in whole]
+    data = _data()
+    _, handle, feed, wait = _processor(idle_timeout_ms=500)
+    rows = feed((0, data[:700]))
+    idle = wait(1200)
+    assert [r["kind"] for r in idle] == ["idle", "idle"] and len(handle.timers) == 1
+    rows += feed((1, data[700:]))
+    assert _plain(rows) == _plain(PushParser().feed(data))
+
+
+def test_early_chunks_wait_however_many_there_are():
+    data = _data()
+    parts = [data[o : o + 60] for o in range(0, len(data), 60)]
+    p, handle, feed, wait = _processor()
+    rows = feed((0, parts[0]), *[(i, x) for i, x in reversed(list(enumerate(parts))) if i > 1])
+    assert len(p.early.held) == len(parts) - 2 and wait(400) == []
+    rows += feed((1, parts[1]))  # late, but within the retention
+    assert _plain(rows) == _plain(PushParser().feed(data)) and not p.early.held
+    wait(1000)
+    assert feed((1, parts[1])) == []  # a copy of what has been read
 
 
-def test_missing_chunk_is_reported_and_passed_over():
-    data, state = _data(), _State()
-    run = _reassembler(0, 0, early_bytes=1000)
+def test_gap_is_given_up_after_the_retention_and_late_bytes_are_kept():
+    data = _data()
     parts = [data[o : o + 600] for o in range(0, len(data), 600)]
-    frame = pd.DataFrame({"chunk_no": [i for i in range(len(parts)) if i != 1], "data": [p for i, p in enumerate(parts) if i != 1]})
-    rows = [r for f in run((7,), iter([frame]), state) for r in f.to_dict("records")]
-    (reject,) = [r for r in rows if r["kind"] == "reject"]
+    p, handle, feed, wait = _processor()
+    rows = feed(*[(i, x) for i, x in enumerate(parts) if i != 1])
+    after = wait(600)
+    (reject,) = [r for r in after if r["kind"] == "reject"]
     assert reject["message"] == "chunks 1 to 1 are missing"
-    assert {r["acq_no"] for r in rows if r["kind"] == "header"} >= {1, 2}
+    assert {r["acq_no"] for r in rows + after if r["kind"] == "header"} >= {1, 2}
+    (late,) = feed((1, parts[1]))
+    assert late["kind"] == "late" and late["payload"] == parts[1] and not p.early.held
+
+
+def test_chunks_by_position_for_any_cut_and_order():
+    data = _data()
+    cuts = [0, 5, 700, 701, 1500, 2900, len(data)]
+    parts = [(a, data[a:b]) for a, b in zip(cuts, cuts[1:])]
+    _, _, feed, _ = _processor(by_position=True)
+    rows = [r for x in [*parts[3:], *parts[:3], parts[1]] for r in feed(x)]
+    assert _plain(rows) == _plain(PushParser().feed(data))
+
+
+def test_stop_clears_what_waits():
+    data = _data()
+    p, _, feed, _ = _processor(max_acquisitions=1)
+    feed((5, b"x" * 100), (0, data))
+    assert p.parser.get()[0] == "stopped" and not p.early.held
+
+
+def test_header_without_an_end_is_searched_once():
+    p, t = PushParser(), time.time()
+    p.feed(b"OK\n<header>\n")
+    for _ in range(256):
+        p.feed(b"<x />\n" * 3000)
+    assert time.time() - t < 20 and p.searched > 4_000_000
+    rows = p.feed(b"</header>\n\n")
+    assert [r["kind"] for r in rows] == ["reject"]
 
 
 @pytest.mark.parametrize("max_files,size", [(1, 97), (3, 1000)])
@@ -150,6 +255,36 @@ def test_stream_equals_batch(spark, tmp_path, max_files, size):
     assert ends == 4  # the third acquisition of each connection has no end record
 
 
+def test_archive_stream_goes_on_from_its_checkpoint(spark, tmp_path):
+    """Files are added, and the last one grows, between two runs."""
+    from strobe.streaming.source import register
+
+    register(spark)
+    data, root = _data(), tmp_path / "arch"
+    for conn in (0, 3):
+        (root / f"conn={conn}").mkdir(parents=True)
+        (root / f"conn={conn}" / "chunk-000000000.bin").write_bytes(data[:900])
+    (root / "conn=0" / "chunk-000000001.bin").write_bytes(data[900:1300])
+    (root / "conn=0" / "chunk-000000003.bin").write_bytes(data[2500:])  # behind a hole
+
+    def run():
+        s = spark.readStream.format("capture_archive").option("path", str(root)).option("partitionBytes", 256).load()
+        q = (reassemble_stream(s).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+             .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
+        q.awaitTermination(300)
+        return spark.read.parquet(str(tmp_path / "out")).collect()
+
+    first = run()
+    (root / "conn=0" / "chunk-000000001.bin").write_bytes(data[900:1400])
+    (root / "conn=0" / "chunk-000000002.bin").write_bytes(data[1400:2500])
+    (root / "conn=3" / "chunk-000000001.bin").write_bytes(data[900:])
+    rows = run()
+    want = sorted(map(str, _plain(PushParser().feed(data))))
+    for conn in (0, 3):
+        assert sorted(str((r.kind, r.acq_no, r.frame_no)) for r in rows if r.conn_id == conn) == want
+    assert 0 < len(first) < len(rows)
+
+
 def test_stream_stops_after_n_acquisitions(spark, tmp_path):
     src = str(tmp_path / "src")
     _write_chunk_files(spark, src, _data(), 500, conns=(0,))
