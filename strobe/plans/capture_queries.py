@@ -643,7 +643,7 @@ def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = cut_chunks(prep.messages, 65000)
     for part in (F.col("chunk_no") < 2, F.col("chunk_no") >= 2):
         write_chunks(chunks.where(part), root).write.format("noop").mode("overwrite").save()
-        rows = reassemble_stream(spark.readStream.format("capture_archive").option("path", root).load())
+        rows = reassemble_stream(spark.readStream.format("capture_archive").option("path", root).load(), watch=False)
         query = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         query.awaitTermination()
     frames = spark.read.parquet(out).withColumn("n_bytes", F.length("payload").cast("long"))

@@ -69,7 +69,7 @@ def start_capture_stream(
     reader = spark.readStream.schema(CHUNK_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = reassemble_stream(reader.parquet(source), max_acquisitions, idle_timeout_ms)
+    rows = reassemble_stream(reader.parquet(source), max_acquisitions, idle_timeout_ms, watch=not available_now)
     writer = rows.writeStream.foreachBatch(_write_batch(out)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=flush_period)
     return writer.start()

@@ -255,8 +255,9 @@ DEFAULT_REMEMBER_MS = 24 * 60 * 60 * 1000
 class Reassembler(StatefulProcessor):
     """Keyed by connection; see the module's description."""
 
-    def __init__(self, by_position: bool, max_acquisitions: int, idle_timeout_ms: int, retention_ms: int, remember_ms: int):
+    def __init__(self, by_position: bool, max_acquisitions: int, idle_timeout_ms: int, retention_ms: int, remember_ms: int, watch: bool = True):
         self.by_position = by_position
+        self.watch = watch
         self.max_acquisitions = max_acquisitions
         self.idle_timeout_ms = idle_timeout_ms
         self.retention_ms = retention_ms
@@ -266,7 +267,8 @@ class Reassembler(StatefulProcessor):
         self.handle = handle
         self.parser = handle.getValueState("parser", STATE_SCHEMA)
         self.early = handle.getMapState("early", "at long", "data binary")
-        self.given_up = handle.getMapState("given_up", "first long", "next long", self.remember_ms)
+        # a TTL needs a clock, as timers do
+        self.given_up = handle.getMapState("given_up", "first long", "next long", self.remember_ms if self.watch else None)
 
     def close(self) -> None:
         pass
@@ -299,6 +301,8 @@ class Reassembler(StatefulProcessor):
 
     def _watch_gap(self, st: dict, now: int) -> None:
         """The timer of the gap in front of the waiting chunks."""
+        if not self.watch:
+            return
         if not st.get("waiting"):
             st["gap_at"] = None
         elif st.get("gap_at") is None or st.get("gap_next") != st["next"]:
@@ -306,7 +310,7 @@ class Reassembler(StatefulProcessor):
             self.handle.registerTimer(st["gap_at"])
 
     def _watch_idle(self, st: dict, now: int) -> None:
-        if self.idle_timeout_ms:
+        if self.idle_timeout_ms and self.watch:
             if st.get("idle_at"):
                 self.handle.deleteTimer(st["idle_at"])
             st["idle_at"] = now + self.idle_timeout_ms
@@ -314,7 +318,7 @@ class Reassembler(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         conn_id, st = int(key[0]), self._load()
-        now = timerValues.getCurrentProcessingTimeInMs()
+        now = timerValues.getCurrentProcessingTimeInMs() if self.watch else 0
         parser = PushParser(st, self.max_acquisitions)
         st["next"] = int(st.get("next") or 0)
         st["waiting"] = int(st.get("waiting") or 0)
@@ -381,18 +385,21 @@ def reassemble_stream(
     idle_timeout_ms: int = 0,
     retention_ms: int = DEFAULT_RETENTION_MS,
     remember_ms: int = DEFAULT_REMEMBER_MS,
+    watch: bool = True,
 ) -> DataFrame:
     """Streaming chunks (conn_id, chunk_no, data) or (conn_id, start, data) ->
     index rows with payloads. The state store has to be RocksDB, which is set
-    where the session names none."""
+    where the session names none. ``watch``: run timers for gaps and silence; a
+    query that watches runs on for them, so one that is to end by itself
+    (``availableNow``) does not watch, and early chunks wait in its state."""
     provider = "spark.sql.streaming.stateStore.providerClass"
     spark = chunks.sparkSession
     if not spark.conf.get(provider, None):
         spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     by_position = "start" in chunks.columns
-    processor = Reassembler(by_position, max_acquisitions, idle_timeout_ms, retention_ms, remember_ms)
+    processor = Reassembler(by_position, max_acquisitions, idle_timeout_ms, retention_ms, remember_ms, watch)
     return chunks.select("conn_id", "start" if by_position else "chunk_no", "data").groupBy("conn_id").transformWithStateInPandas(
-        processor, OUTPUT_SCHEMA, "Append", "ProcessingTime"
+        processor, OUTPUT_SCHEMA, "Append", "ProcessingTime" if watch else "None"
     )
 
 

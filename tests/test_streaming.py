@@ -39,7 +39,7 @@ def _write_chunk_files(spark, folder, data, size, conns=(0, 1), files=5):
 def _run_stream(spark, src, out, ckpt, max_files, **kw):
     s = spark.readStream.schema(CHUNK_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(src)
     q = (
-        reassemble_stream(s, **kw).writeStream.format("parquet").option("path", out)
+        reassemble_stream(s, watch=False, **kw).writeStream.format("parquet").option("path", out)
         .option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     )
     q.awaitTermination(300)
@@ -269,7 +269,7 @@ def test_archive_stream_goes_on_from_its_checkpoint(spark, tmp_path):
 
     def run():
         s = spark.readStream.format("capture_archive").option("path", str(root)).option("partitionBytes", 256).load()
-        q = (reassemble_stream(s).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        q = (reassemble_stream(s, watch=False).writeStream.format("parquet").option("path", str(tmp_path / "out"))
              .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
         q.awaitTermination(300)
         return spark.read.parquet(str(tmp_path / "out")).collect()
