@@ -884,6 +884,44 @@ def capture_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Samples of a fingerprinted block.
+DIFF_BLOCK = 16
+
+
+@register("capture_diff_blocks", """
+SELECT event_id, round(value, 6) AS before, round(value + 1, 6) AS after FROM events WHERE user_id % 10 = 3 AND event_id % 5 = 0""")
+def capture_diff_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stored captures compared by their block fingerprints; frames of
+    equal blocks are not decoded again."""
+    from strobe.operators.compare import compare_blocks, differing_blocks, fingerprints, frames_of
+
+    ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    moved = (F.col("user_id") % 10 == 3) & (F.col("event_id") % 5 == 0)
+    changed = ev.withColumn("value", F.when(moved, F.col("value") + 1).otherwise(F.col("value")))
+    columns = ["EVENT.ID.Value", "COUNTER1.OUT.Mean", "PCAP.TS_START.Value"]
+    marks, indexes = [], []
+    for events in (None, changed):
+        if events is None:
+            index, files = _archive_index(spark, sf_dir)[1], True
+        else:
+            index, files = materialize_index(index_archive_files(cut_chunks(cs.build(spark, sf_dir, events=events).messages, 4096))), False
+        indexes.append((index, files))
+        path = shared_dir(spark, "fingerprints")
+        fingerprints(cs.decode_index(index, select=columns, from_files=files), columns, DIFF_BLOCK).write.parquet(path)
+        marks.append(spark.read.parquet(path))
+    blocks = materialize_index(differing_blocks(*marks))
+    sides = [cs.decode_index(frames_of(index, blocks, DIFF_BLOCK), select=columns, from_files=files) for index, files in indexes]
+    diff = compare_blocks(*sides, blocks, columns, DIFF_BLOCK)
+
+    def of(side: str, name: str):
+        return F.col(side).getField(name)
+
+    return diff.select(
+        F.coalesce(of("before", columns[0]), of("after", columns[0])).alias("event_id"),
+        rounded(of("before", columns[1])).alias("before"), rounded(of("after", columns[1])).alias("after"),
+    )
+
+
 @register("calibrate_long", """
 SELECT event_id, 'COUNTER1.OUT.Mean' AS "column",
        CASE WHEN user_id % 2 = 0 THEN round(value * 0.5 / (1 + event_id % 125) + 3.0, 6) ELSE round(value, 6) END AS v FROM events

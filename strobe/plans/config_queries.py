@@ -433,6 +433,29 @@ def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_diff(a, b, "o_orderkey", "o_orderstatus")
 
 
+@register("snapshot_merge", """
+SELECT CASE WHEN o_orderkey % 11 = 4 THEN o_orderkey + 100000000 ELSE o_orderkey END AS key,
+  CASE WHEN o_orderkey % 7 = 1 THEN 'second' WHEN o_orderkey % 11 = 4 THEN 'new' ELSE o_orderstatus END AS value,
+  CASE WHEN o_orderkey % 11 <> 4 THEN o_orderstatus END AS before
+FROM orders WHERE o_orderkey % 13 <> 5 OR o_orderkey % 7 = 1
+UNION ALL SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 1 THEN 'second' ELSE o_orderstatus END, o_orderstatus
+FROM orders WHERE o_orderkey % 11 = 4 AND (o_orderkey % 13 <> 5 OR o_orderkey % 7 = 1)""")
+def snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a stored snapshot; a feed changes some fields twice, removes
+    some and brings new ones."""
+    from strobe.operators.snapshots import merged, write_snapshot
+
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus")
+    snapshot = write_snapshot(o, "o_orderkey", "o_orderstatus")
+    k = F.col("o_orderkey")
+    twice = F.array(F.struct(F.lit(1).alias("seq"), F.lit("first").alias("v")), F.struct(F.lit(3).alias("seq"), F.lit("second").alias("v")))
+    feed = o.where(k % 7 == 1).select(k.alias("field"), F.explode(twice).alias("c")).select("field", "c.seq", "c.v")
+    gone = o.where(k % 13 == 5).select(k.alias("field"), F.lit(2).alias("seq"), F.lit(None).cast("string").alias("v"))
+    kept = (k % 13 != 5) | (k % 7 == 1)
+    new = o.where((k % 11 == 4) & kept).select((k + 100000000).alias("field"), F.lit(1).alias("seq"), F.when(k % 7 == 1, "second").otherwise("new").alias("v"))
+    return merged(spark, snapshot, feed.unionByName(gone).unionByName(new), "field", "v", "seq").select("key", "value", "before")
+
+
 # ----------------------------------------------------------------------------- saved state (orders)
 
 _STATE_SQL = f"""{_WORDS_SQL},
