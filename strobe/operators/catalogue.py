@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strobe.operators.ordering import position_within
+
 # ---------------------------------------------------------------------------
 # The (type, subtype) pairs of the field-type protocol, in the
 # order of the server's field-type documentation, with the metadata shape
@@ -90,6 +92,13 @@ def parse_field_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def field_names(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """Names-only mode: (keys, field, type, subtype, position) of field lines,
+    in definition order, without asking for metadata."""
+    parsed = parse_field_lines(lines)
+    return position_within(parsed, keys, ["field_index", "field"], out="position").select(*keys, "field", "type", "subtype", "position")
+
+
 def with_shape(fields: DataFrame, spark: SparkSession) -> DataFrame:
     """Attach the metadata shape of each field's (type, subtype); unknown pairs
     keep the field with shape ``unknown`` (description only)."""

@@ -20,6 +20,8 @@ from strobe.operators.calibrate import (
 )
 from strobe.operators.ordering import ordered_scan, position_within
 from strobe.operators.reduce import capture_modes
+from strobe.operators.reduce import throughput as reduce_throughput
+from strobe.operators.sinks import DataOverrunError, guard_overruns, write_acquisitions
 from strobe.operators.timebase import iso_to_epoch_ns, offset_ns, system_start_ns
 from strobe.plans import capture_standin as cs
 from strobe.plans.registry import register
@@ -724,15 +726,14 @@ WITH {_U}, d AS (SELECT user_id, n, ((epoch_us(t1) - epoch_us(t0)) * 125) * 8e-0
 SELECT user_id, round(n * 48 / nullif(secs, 0), 3) AS bytes_per_s, round(n / nullif(secs, 0), 6) AS samples_per_s
 FROM d""")
 def throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record size and the scale of the time stamps come from the headers."""
     prep, index = _archive_index(spark, sf_dir)
+    times = header_field_rows(index).where("name = 'PCAP.TS_START'").select("conn_id", "acq_no", "scale", "sample_bytes")
     dec = cs.decode_index(index, select=["PCAP.TS_START.Value"])
-    per = dec.groupBy("conn_id", "acq_no").agg(
-        F.count(F.lit(1)).alias("n"), (F.max(c("PCAP.TS_START.Value")) * F.lit(8e-09)).alias("secs")
-    ).join(_users(prep), ["conn_id", "acq_no"])
-    secs = F.when(F.col("secs") != 0, F.col("secs"))
-    return per.select(
-        "user_id", F.round(F.col("n") * 48 / secs, 3).alias("bytes_per_s"), F.round(F.col("n") / secs, 6).alias("samples_per_s")
-    )
+    per = dec.groupBy("conn_id", "acq_no").agg(F.count(F.lit(1)).alias("samples"), F.max(c("PCAP.TS_START.Value")).alias("last"))
+    per = per.join(times, ["conn_id", "acq_no"]).join(_users(prep), ["conn_id", "acq_no"])
+    rates = reduce_throughput(per.withColumn("duration_s", F.nullif(F.col("last") * F.col("scale"), F.lit(0.0))))
+    return rates.select("user_id", F.round("bytes_per_s", 3).alias("bytes_per_s"), F.round("samples_per_s", 6).alias("samples_per_s"))
 
 
 # ----------------------------------------------------------------------------- §2.6 windows
@@ -804,9 +805,21 @@ def overrun_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {_U}
 SELECT user_id, n AS rows_stored FROM a WHERE reason = 'Data overrun'""")
 def overrun_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The guard fails after the rows are stored; what is stored of the
+    acquisitions that overran is counted from the files."""
     cap, index = _archive_index(spark, sf_dir)
-    overrun = index.where((F.col("kind") == "end") & (F.col("reason") == "Data overrun")).select("conn_id", "acq_no")
-    stored = index.where(F.col("kind") == "frame").groupBy("conn_id", "acq_no").agg(F.sum("n_rows").alias("rows_stored"))
+    path = shared_dir(spark, "guarded-samples")
+    write_acquisitions(cs.decode_index(index, calibrated=True).drop("process", "frame_no"), path, presorted=True, layout="clustered")
+    ends = index.where(F.col("kind") == "end")
+    overrun = ends.where(F.col("reason") == "Data overrun").select("conn_id", "acq_no")
+    try:
+        guard_overruns(ends)
+        raised = False
+    except DataOverrunError:
+        raised = True
+    if raised == overrun.isEmpty():
+        raise RuntimeError("the overrun guard does not agree with the end records")
+    stored = spark.read.parquet(path).groupBy("conn_id", "acq_no").agg(F.count(F.lit(1)).alias("rows_stored"))
     return overrun.join(stored, ["conn_id", "acq_no"]).join(_users(cap), ["conn_id", "acq_no"]).select("user_id", "rows_stored")
 
 
@@ -928,16 +941,25 @@ SELECT event_id, 'COUNTER1.OUT.Mean' AS "column",
 UNION ALL
 SELECT event_id, 'COUNTER1.OUT.Min', CASE WHEN user_id % 2 = 0 THEN round(value * 0.5 + 3.0, 6) ELSE round(value, 6) END FROM events
 UNION ALL
-SELECT event_id, 'COUNTER1.OUT.Max', round(value, 6) FROM events""")
+SELECT event_id, 'COUNTER1.OUT.Max', round(value, 6) FROM events
+UNION ALL
+SELECT event_id, 'PCAP.BITS0.Value', CAST(event_id AS DOUBLE) FROM events
+UNION ALL
+SELECT event_id, 'EVENT.ID.Value', CAST(event_id AS DOUBLE) FROM events
+UNION ALL
+SELECT event_id, 'PCAP.TS_START.Value', CASE WHEN user_id % 2 = 0 THEN round(ticks * 8e-09, 6) ELSE CAST(ticks AS DOUBLE) END
+FROM (SELECT event_id, user_id, (epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY user_id)) * 125 AS ticks FROM events)
+UNION ALL
+SELECT event_id, 'PCAP.GATE_DURATION.Value', CAST(1 + event_id % 125 AS DOUBLE) FROM events WHERE user_id % 5 = 0""")
 def calibrate_long_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     cap, index = _archive_index(spark, sf_dir)
     dec = cs.decode_index(index)
-    cols = ["COUNTER1.OUT.Mean", "COUNTER1.OUT.Min", "COUNTER1.OUT.Max"]
+    cols = [f.column for f in cs.DECLARED_B]  # all that a header declares in any layout
     stacked = dec.select(
         "conn_id", "acq_no", "sample_idx", c("EVENT.ID.Value").alias("event_id"),
         gate_of(dec).alias("gate"),
         F.explode(F.array(*[F.struct(F.lit(x).alias("column"), c(x).cast("double").alias("value")) for x in cols])).alias("kv"),
-    ).select("*", "kv.column", "kv.value").drop("kv")
+    ).select("*", "kv.column", "kv.value").drop("kv").where("value IS NOT NULL")
     fields = header_field_rows(index).withColumn("column", F.concat_ws(".", "name", "capture"))
     out = calibrate_long(stacked, fields, ["conn_id", "acq_no"])
     return out.select("event_id", "column", rounded(F.col("calibrated")).alias("v"))

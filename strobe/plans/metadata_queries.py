@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strobe.operators.catalogue import typed_fields
-from strobe.plans.control_queries import _FIELDS_SQL, _LABELS_BY_SHAPE, _fields
+from strobe.operators.catalogue import field_names, ordered_labels, typed_fields
+from strobe.plans.control_queries import _FIELDS_SQL, _LABELS_BY_SHAPE, _fields, field_lines
 from strobe.plans.registry import register
 
 #: Reply that lists the labels of a shape.
@@ -107,7 +107,12 @@ WITH {_FIELDS_SQL}, ll AS (SELECT block, field, {_LABELS_SQL} AS labels FROM fl)
 SELECT block, field, labels FROM ll WHERE labels IS NOT NULL""")
 def label_lists_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordered label lists of all shapes that have some."""
-    from strobe.operators.catalogue import ordered_labels
-
     lists = replies(_fields(spark, sf_dir)).where(F.col("attr").isin(*set(LABEL_REPLY.values())))
     return ordered_labels(lists, ["block", "field"], "pos", "value").select("block", "field", F.array_join("labels", ",").alias("labels"))
+
+
+@register("field_names", f"""
+WITH {_FIELDS_SQL}
+SELECT block, field, type, subtype, row_number() OVER (PARTITION BY block ORDER BY field_index, field) - 1 AS position FROM fl""")
+def field_names_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return field_names(field_lines(spark, sf_dir), ["block"])

@@ -1,9 +1,8 @@
 """Saved-state files as ordered lines: (file, line_no, line).
 
-Each save file is read whole (``wholetext``) so that line order is exact;
-save files are small (one device configuration, a few hundred lines), and
-files are spread over tasks. Splitting one file by byte ranges would lose the
-order of its lines.
+Files are read as text in splits, so a large one is read by several tasks; the
+place of a split in its file and the order of the lines in a task give the line
+numbers, with an ordered scan that no large file goes through whole.
 """
 
 from __future__ import annotations
@@ -11,16 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strobe.operators.ordering import position_within
+
 
 def read_state_files(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.text(path, wholetext=True).select(
-        F.input_file_name().alias("file"), "value"
-    )
-    # a trailing newline ends the last line; it does not start a new one
-    body = F.regexp_replace("value", r"\n\z", "")
-    return raw.select("file", F.posexplode(F.split(body, "\n")).alias("line_no", "line")).select(
-        "file", F.col("line_no").cast("long").alias("line_no"), "line"
+    """Lines end with a newline; the last one may do without."""
+    raw = spark.read.option("lineSep", "\n").text(path).select(
+        F.input_file_name().alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("row"), F.col("value").alias("line"),
     )
+    return position_within(raw, ["file"], ["split", "row"], out="line_no").select("file", "line_no", "line")
 
 
 def write_state_files(lines: DataFrame, keys: list[str], path: str) -> None:

@@ -28,6 +28,21 @@ def test_state_file_roundtrip(spark, tmp_path):
     assert [r["line"] for r in back.orderBy("line_no").collect()] == SAVE
 
 
+def test_state_file_of_many_splits(spark, tmp_path):
+    src = tmp_path / "large"
+    src.mkdir()
+    want = [f"F{i}=" + "x" * (i % 90) for i in range(4000)] + ["", "last without a newline"]
+    (src / "a.sav").write_text("\n".join(want))
+    (src / "empty.sav").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        lines = read_state_files(spark, str(src))
+        got = [(r["line_no"], r["line"]) for r in lines.orderBy("line_no").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == list(enumerate(want))
+
+
 def test_stage_chains_by_kind(spark):
     data = stream(acquisition(SCALED_FIELDS, fast_values(), [10, 11, 10, 10, 10, 7], end=("Ok", 58)))
     index = index_chunks(chunks_df(spark, data, 100))
