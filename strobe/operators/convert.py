@@ -1,7 +1,7 @@
 """Archive conversion: capture archive -> calibrated per-acquisition datasets.
 
 The batch form of the capture-to-file job: list chunk files, build the frame
-index (sequential walk for small connections, parallel over the files for
+index (sequential walk for small connections, parallel over blocks for
 large ones; kept as a table), decode and calibrate every layout, write the
 samples in (acquisition, sample) order -- clustered by acquisition by default,
 or one directory per acquisition -- write the acquisitions table (header

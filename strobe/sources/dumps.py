@@ -6,8 +6,8 @@ stream cut into ordered chunk files at arbitrary byte positions.
 A stream is not splittable from an arbitrary byte (markers are not unique
 bytes). This module's index is a forward walk per connection that reads only
 header lines, 8-byte frame prefixes and end lines, seeking over payloads;
-``parallel_index`` builds the same index in parallel over the chunk files of
-large connections. The *frame index* says where each frame's payload lies,
+``parallel_index`` builds the same index in parallel over blocks of large
+connections, however they are cut into files. The *frame index* says where each frame's payload lies,
 with its acquisition, sample base and record layout; decoding then reads
 payload byte ranges in parallel over the index, independent of how the stream
 was chunked.
