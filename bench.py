@@ -96,8 +96,10 @@ def archive_throughput(spark: SparkSession, sf_dir: str, target: int) -> dict:
     converted = convert_archive(spark, root, out, check_overrun=False)
     t_decode = time.time() - t1
     assert converted.samples == n_events * copies
+    frames = converted.index.where("kind = 'frame'").count()
     samples = n_events * copies
     return {
+        "parallel_index_sec": index_in_parallel(spark, root, frames),
         "samples": samples,
         "sample_bytes": cs.SAMPLE_BYTES,
         "archive_build_sec": round(t_build, 3),
@@ -107,6 +109,32 @@ def archive_throughput(spark: SparkSession, sf_dir: str, target: int) -> dict:
     }
 
 
+def index_in_parallel(spark: SparkSession, root: str, frames: int) -> float:
+    """Seconds of the parallel index over the files of an archive."""
+    from strobe.sources.dumps import list_chunks
+    from strobe.sources.parallel_index import index_archive_files
+
+    t = time.time()
+    index = index_archive_files(list_chunks(spark, root), walk_bytes=0)
+    assert index.where("kind = 'frame'").count() == frames
+    return round(time.time() - t, 3)
+
+
+def small_acquisitions(spark: SparkSession, sf_dir: str) -> float:
+    """Seconds to convert an archive of many acquisitions of ten samples."""
+    from strobe.operators.convert import convert_archive
+    from strobe.plans import capture_standin as cs
+    from strobe.plans.tables import table
+    from strobe.session import shared_dir
+
+    ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    cap = cs.build(spark, sf_dir, events=ev.withColumn("user_id", F.expr("event_id div 10")))
+    root = cs.archive(spark, cap, chunk_bytes=8 << 20)
+    t = time.time()
+    convert_archive(spark, root, shared_dir(spark, "bench-small"), check_overrun=False)
+    return round(time.time() - t, 3)
+
+
 def skew_check(spark: SparkSession, sf_dir: str, copies: int = 20) -> dict:
     """Positions within a key when one key holds a third of all rows: the
     split ordered scan against a plain key-wide window (both exact)."""
@@ -143,6 +171,8 @@ def main() -> None:
     times: dict[str, float] = {}
     arch = archive_throughput(spark, sf_dir, target)
     times["archive_convert"] = arch["archive_convert_sec"]
+    times["parallel_index"] = arch.pop("parallel_index_sec")
+    times["small_acquisitions"] = small_acquisitions(spark, sf_dir)
     for name in HEADLINE:
         t = time.time()
         run(QUERIES[name](spark, sf_dir))

@@ -53,8 +53,9 @@ from strobe.sources.capture_format import (
 from strobe.sources.dumps import INDEX_SCHEMA, PieceReader, concat_binary_in_order, index_chunks, materialize_index, read_header
 
 DEFAULT_BLOCK_BYTES = 8 << 20
-#: Connections up to so many bytes are walked, one task each.
-DEFAULT_WALK_BYTES = 64 << 20
+#: Connections up to so many bytes are walked, one task each; the walk reads
+#: their headers and markers, not their payloads.
+DEFAULT_WALK_BYTES = 256 << 20
 #: Bytes read beyond a block for marks that its end cuts, and before it.
 AFTER, BEFORE = 16, 1
 BAD_MARKER = "bad marker"
@@ -502,7 +503,7 @@ def index_archive_files(
     """Frame index of an archive listing, or of chunks in memory.
 
     Connections of more than ``walk_bytes`` (``strobe.index.walkBytes``,
-    default 64 MiB) are indexed in parallel over their blocks, the others are
+    default 256 MiB) are indexed in parallel over their blocks, the others are
     walked, one bounded task each; the rows are the same either way.
     """
     spark = chunks.sparkSession
