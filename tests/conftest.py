@@ -13,7 +13,7 @@ def spark():
     s = (
         SparkSession.builder.master("local[*]")
         .appName("strobe-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
