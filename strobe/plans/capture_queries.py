@@ -592,6 +592,13 @@ def dump_source_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def moved_id(event_id):
+    """``event_id * 2^45 + 1``. From 2^18 on 64 bits do not hold that: the bits
+    that leave at the top come back at the bottom, so that no two ids meet."""
+    turned = F.shiftleft(event_id, 45).bitwiseOR(F.shiftrightunsigned(event_id, 19)).bitwiseXOR(F.lit(1).cast("long"))
+    return F.coalesce(F.try_multiply(event_id, F.lit(1 << 45)) + 1, turned)
+
+
 @register("write_typed", f"""
 WITH {_U}, {_S}
 SELECT event_id * 35184372088832 + 1 AS big, i AS sample_idx, 1 + event_id % 125 AS gate,
@@ -601,7 +608,8 @@ SELECT event_id * 35184372088832 + 1 AS big, i AS sample_idx, 1 + event_id % 125
 FROM s JOIN u USING (user_id)""")
 def write_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each layout calibrated and written in its own types through the sink with
-    a commit protocol, then read back; ids are moved above 2^53 on the way."""
+    a commit protocol, then read back; ids are moved above 2^53 on the way (see
+    ``moved_id`` for those that the SQL's product has no room for)."""
     from strobe.operators.calibrate import calibrate_layouts
     from strobe.sources.datasource import read_layouts, read_registry
 
@@ -612,7 +620,7 @@ def write_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     big = "`EVENT.ID.Value`"
     for x in layouts:
-        samples = samples.withColumn(x.column, F.col(x.column).withField(big, F.col(x.column).getField("EVENT.ID.Value") * (1 << 45) + 1))
+        samples = samples.withColumn(x.column, F.col(x.column).withField(big, moved_id(F.col(x.column).getField("EVENT.ID.Value"))))
     path = shared_dir(spark, "typed-samples")
     samples.drop("process").write.format("capture_layouts").option("path", path).option("index", index).mode("append").save()
     out = None
