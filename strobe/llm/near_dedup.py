@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strobe.functions.columns import q
-from strobe.llm.shared import connected_components, counted, materialise, nearest_roots, small_batches
+from strobe.llm.shared import connected_components, counted, materialise, nearest_roots, shuffled_joins, small_batches
 from strobe.llm.words import Chunk, by_chunk, chunks, distinct, mix, ngrams, signed, split_words
 
 #: Chance that a pair right at the threshold has more differing symbols than
@@ -314,8 +314,18 @@ def _cluster_links(opened: DataFrame, nodes: DataFrame, texts: DataFrame, s: Sch
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
-    s = scheme(size, percent)
     small_batches(docs.sparkSession)
+    with shuffled_joins(docs.sparkSession):
+        found, classes, groups = _grouped(docs, scheme(size, percent))
+    by_doc = found.join(classes.select("set_a", "set_b", "node"), ["set_a", "set_b"], "left").join(groups, "node", "left")
+    component = F.when(F.col("n_shingles") > 0, F.coalesce("root", "node")).otherwise(F.col("doc_id"))
+    return by_doc.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id")).select(
+        "*", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
+    )
+
+
+def _grouped(docs: DataFrame, s: Scheme) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signed documents, classes of one set, and the root of every linked node."""
     found = materialise(signatures(docs, s), "near-signatures")
     linkable = found.where("doc_id is not null and n_shingles > 0")
     classes = linkable.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"), F.min("signature").alias("signature"))
@@ -355,12 +365,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         groups = connected_components(functools.reduce(DataFrame.unionByName, every), "near-components")
     else:
         groups = classes.select("node", F.col("node").alias("root")).limit(0)
-
-    by_doc = found.join(classes.select("set_a", "set_b", "node"), ["set_a", "set_b"], "left").join(groups, "node", "left")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("root", "node")).otherwise(F.col("doc_id"))
-    return by_doc.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id")).select(
-        "*", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
-    )
+    return found, classes, groups
 
 
 def keep_representatives(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

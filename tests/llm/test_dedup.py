@@ -130,3 +130,28 @@ def test_long_texts(make_docs):
     long = prose(rng, 120_000)
     rows = [(1, " ".join(long)), (2, " ".join(long[50_000:])), (3, " ".join(prose(rng, 30) + long[:20]))]
     check_substrings(make_docs(rows), rows)
+
+
+def test_near_dedup_leaves_no_joined_table_in_the_driver(spark, make_docs, monkeypatch):
+    """Every table that the rounds write is joined by shuffles; the session's
+    own setting is there again afterwards, also after a failure."""
+    from strobe.llm import near_dedup, shared
+
+    conf, seen = "spark.sql.autoBroadcastJoinThreshold", []
+    before = spark.conf.get(conf)
+    write = shared.materialise
+    for module in (near_dedup, shared):
+        monkeypatch.setattr(module, "materialise", lambda df, purpose: seen.append(spark.conf.get(conf)) or write(df, purpose))
+    words = " ".join(f"word{i}" for i in range(60))
+    rows = near_dedup.near_duplicates(make_docs([(1, words), (2, words + " more"), (3, "other text of its own")])).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {1: 1, 2: 1, 3: 3}
+    assert seen and set(seen) == {"-1"}
+    assert spark.conf.get(conf) == before
+
+    def broken(df, purpose):
+        raise OSError
+
+    monkeypatch.setattr(near_dedup, "materialise", broken)
+    with pytest.raises(OSError):
+        near_dedup.near_duplicates(make_docs([(1, "a b")]))
+    assert spark.conf.get(conf) == before
