@@ -6,15 +6,15 @@ candidates, among them base matches that fail their check and long runs of
 letters and digits, are scored by gradient-boosted trees on their format and
 context; each kind has a threshold, calibrated on candidates that the fit has
 not seen, and what scores above it is added.  No labels of personal data are
-given: the fit learns from the checks and from naming words before a span, on
-a bounded sample of documents.
+given: the fit learns from the checks and from naming words before a span, in
+all documents.
 
 Only DataFrame and SQL functions run.  The trees become SQL expressions, so
-documents are read once, without a shuffle.
+documents are read once for the fit and once for the spans, without a shuffle.
 
 Defined results: a null or empty text has no spans; a null id is kept; rows
-that repeat an id are judged each; without candidates of both outcomes in the
-sample nothing is added; offsets are code points, ends exclusive.
+that repeat an id are judged each; without candidates of both outcomes
+nothing is added; offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -44,10 +44,7 @@ NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 NAMING = r"(?i)(?:token|secret|password|passwd|api.?key|bearer)\W{0,6}$"
 KINDS = [*PATTERNS, *MORE_PATTERNS]
 
-#: Bounds and settings of the fit.
-SAMPLE_DOCUMENTS = 6000
-#: Partitions of the candidates of the sample.
-SAMPLE_PARTS = 4
+#: Settings of the fit.
 TREES, DEPTH = 10, 4
 PRECISION = 0.995
 CONTEXT = 24
@@ -194,13 +191,11 @@ def _node(node) -> tuple | float:
     return split.featureIndex(), split.threshold(), _node(node.leftChild()), _node(node.rightChild())
 
 
-def fit_trees(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> Trees:
-    """Fit on the candidates of at most ``documents`` documents, those whose
-    ids have the smallest hashes; a fifth of them calibrates the thresholds."""
-    ids = docs.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+def fit_trees(docs: DataFrame) -> Trees:
+    """Fit on the candidates of all documents; those of a fifth of the
+    documents calibrate the thresholds."""
     text = F.coalesce("text", F.lit(""))
-    every = candidates(sample).select("doc_id", text.alias("text"), F.explode(F.concat(
+    every = candidates(docs.select("doc_id", "text")).select("doc_id", text.alias("text"), F.explode(F.concat(
         F.transform(BASE, lambda m: F.struct(m.alias("m"), F.lit(1.0).alias("label"))),
         F.transform(OPEN, lambda m: F.struct(m.alias("m"), F.lit(0.0).alias("label"))),
     )).alias("c"))
@@ -210,8 +205,8 @@ def fit_trees(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> Trees:
     mark = F.when(F.col("kind") < len(PATTERNS), F.col("label")).otherwise(F.get("x", F.lit(number["named"])) * F.get("x", F.lit(number["mixed"])))
     rows = materialise(
         x.select("kind", mark.alias("label"), (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(5)) == 0).alias("test"), *(F.get("x", F.lit(i)).alias(f"x{i}") for i in range(len(FEATURES)))),
-        "pii-sample",
-    ).coalesce(SAMPLE_PARTS)
+        "pii-candidates",
+    )
     learn = rows.where("not test")
     ends = learn.agg(F.min("label").alias("least"), F.max("label").alias("most")).collect()[0]
     if ends.least == ends.most:

@@ -3,7 +3,14 @@
 import random
 
 import numpy as np
-from strobe.llm import decontamination
+from pyspark.sql import functions as F
+
+from strobe.llm import decontamination, pii
+
+
+def by_hash(spark, n):
+    """Ids below n, those that a draw by hash would take last at the end."""
+    return [r.id for r in spark.range(n).orderBy(F.xxhash64("id"), "id").collect()]
 
 
 def test_space_of_the_benchmark_keeps_every_cosine():
@@ -19,3 +26,17 @@ def test_space_of_the_benchmark_keeps_every_cosine():
     used = np.flatnonzero(dense.any(axis=0))
     unit = dense[:, used] / np.linalg.norm(dense[:, used], axis=1)[:, None]
     assert np.abs(space.target @ space.target.T - unit @ unit.T).max() < 1e-4
+
+
+def test_trees_learn_from_every_document(spark, make_docs):
+    rng = random.Random(3)
+    hexes = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    rows = []
+    for at, i in enumerate(by_hash(spark, 7200)):
+        tail = "plain"
+        if at >= 6000:
+            tail = {0: f'token = "{hexes()}" end', 1: f"hash {hexes()} end", 2: f"a{i}@b.co card 4111 1111 1111 1112", 3: "plain"}[at % 4]
+        rows.append((i, f"some words {tail}"))
+    docs = make_docs(rows, extra=False)
+    added = pii.find_spans(docs, pii.fit_trees(docs)).where(F.size(pii.ADDED) > 0).select("doc_id").collect()
+    assert {r.doc_id for r in added} == {i for i, t in rows if "token" in t}
