@@ -1,8 +1,9 @@
 """Quality rules: an isolation forest over rule statistics.
 
-``measure`` counts over whole texts; ``fit_forest`` grows random-split trees on
-a bounded sample of documents labelled good and calibrates the anomaly
-threshold on good and bad ones; ``apply_rules`` and ``keep_documents`` judge every document.
+``measure`` counts over whole texts; ``fit_forest`` grows random-split trees, each
+on its own draw of all documents labelled good (what an isolation tree is grown
+on), and calibrates the anomaly threshold on every labelled document;
+``apply_rules`` and ``keep_documents`` judge every document.
 
 Defined results: a null or empty text has no words and fails the base rules; a
 null id is kept as it is; repeated rows are judged each; without labelled rows
@@ -19,7 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strobe.llm.shared import materialise
 from strobe.llm.words import _SPACE, Chunk, by_chunk, covered, ngrams, split_words, mix
+from strobe.operators.ordering import position_within
 
 #: Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -27,8 +30,7 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
-#: Bounds of the fit: labelled rows read at most, rows to grow a tree on, trees.
-LABELLED_ROWS = 8000
+#: Rows to grow a tree on, trees.
 TREE_ROWS = 1024
 TREES = 100
 #: Share of labelled good documents that the calibrated threshold may reject.
@@ -181,18 +183,6 @@ def grow_forest(x: np.ndarray, box: np.ndarray, trees: int = TREES, rows: int =
     return out
 
 
-def calibrate(score: np.ndarray, good: np.ndarray, max_good_rejected: float = MAX_GOOD_REJECTED) -> float:
-    """The highest threshold that rejects most labelled bad rows among those
-    that reject at most the allowed share of the good ones; infinite without
-    both kinds."""
-    if not good.any() or good.all():
-        return float("inf")
-    own = np.sort(score[good])[::-1]
-    least = own[int(max_good_rejected * len(own))]
-    bad = score[~good & (score > least)]
-    return float(bad.min()) if len(bad) else float("inf")
-
-
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, where=None) -> DataFrame:
     """At most ``rows`` labelled documents, the same ones at each run: the ids
     with the smallest hashes.  The id list has that bound, so it is broadcast."""
@@ -209,30 +199,65 @@ def _features(s: dict[str, np.ndarray]) -> np.ndarray:
     return np.sqrt(np.stack([s[f] for f in FEATURES], axis=1).astype(float))
 
 
-def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _measured_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, chunk in by_chunk(batch, "text"):
             s = measure(chunk)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("_label"), pa.array(base_failed(s))] + [pa.array(s[f], pa.float64()) for f in FEATURES],
-                ["doc_id", "_label", "failed", *FEATURES],
+                [part.column("doc_id"), pa.array(base_failed(s))] + [pa.array(s[f], pa.float64()) for f in FEATURES],
+                ["doc_id", "failed", *FEATURES],
             )
 
 
-def fit_forest(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Forest:
-    """Grow and calibrate on at most ``rows`` labelled documents that pass the
-    base rules (quality 1: good, 0: bad)."""
-    schema = "doc_id long, _label int, failed boolean, " + ", ".join(f"{f} double" for f in FEATURES)
-    sample = labelled_sample(docs, labels, "quality", rows).mapInArrow(_sample_rows, schema)
-    found = sample.where("not failed").toPandas().sort_values(["doc_id", *FEATURES])
-    if found.empty:
+def labelled_statistics(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, _label (1: good, 0: bad) and FEATURES of every labelled document
+    that passes the base rules; only statistics are shuffled, no texts."""
+    marks = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
+    marks = marks.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("_label"))
+    schema = "doc_id long, failed boolean, " + ", ".join(f"{f} double" for f in FEATURES)
+    measured = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_measured_rows, schema)
+    return materialise(measured.where("not failed").drop("failed").join(marks, "doc_id"), "quality-labelled")
+
+
+def fit_forest(docs: DataFrame, labels: DataFrame) -> Forest:
+    """Grow and calibrate on the labelled documents that pass the base rules."""
+    found = labelled_statistics(docs, labels)
+    good = F.col("_label") == 1
+    ends = [f(x).alias(f"{name}_{x}") for name, f in (("least", F.min), ("most", F.max)) for x in FEATURES]
+    all_of = found.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(good, 1)).alias("n_good"), *ends).collect()[0]
+    if not all_of.n:
         return Forest()
-    x, good = _features({f: found[f].to_numpy() for f in FEATURES}), found["_label"].to_numpy() == 1
-    forest = grow_forest(x[good], np.stack([x.min(0), x.max(0)]))
-    forest.threshold = calibrate(forest.score(x), good)
+    # what the trees draw from: all good rows, or enough for each tree to have its own
+    most = max(1, -(-all_of.n_good // (TREES * TREE_ROWS)))
+    drawn = found.where(good & (F.pmod(F.xxhash64("doc_id", *FEATURES), F.lit(most)) == 0)).select("doc_id", *FEATURES)
+    drawn = drawn.toPandas().sort_values(["doc_id", *FEATURES])
+    box = _features({x: np.array([all_of[f"least_{x}"], all_of[f"most_{x}"]]) for x in FEATURES})
+    forest = grow_forest(_features({x: drawn[x].to_numpy() for x in FEATURES}), box)
+    if 0 < all_of.n_good < all_of.n:
+        forest.threshold = calibrate(found, forest, all_of.n_good)
     return forest
 
 
+def calibrate(found: DataFrame, forest: Forest, n_good: int, max_good_rejected: float = MAX_GOOD_REJECTED) -> float:
+    """The highest threshold that rejects most labelled bad rows among those
+    that reject at most the allowed share of the good ones; infinite if no bad
+    row scores so high.  Exact over all rows: the score at that place in the
+    order of the good ones, and the smallest one of the bad ones above it."""
+    model = found.sparkSession.sparkContext.broadcast(forest)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _features({f: batch.column(f).to_numpy() for f in FEATURES})
+            score = model.value.score(x) if len(x) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_label"), pa.array(score, pa.float64())], ["doc_id", "_label", "score"])
+
+    scored = materialise(found.mapInArrow(rows, "doc_id long, _label int, score double"), "quality-scores")
+    own = position_within(scored.where("_label = 1").withColumn("all", F.lit(0)), ["all"], ["score", "doc_id"], out="at")
+    least = own.where(F.col("at") == n_good - 1 - int(max_good_rejected * n_good)).first().score
+    bad = scored.where((F.col("_label") != 1) & (F.col("score") > least)).agg(F.min("score")).first()[0]
+    return float("inf") if bad is None else float(bad)
+
+
 def judge(chunk: Chunk, forest: Forest) -> dict[str, np.ndarray]:
     s = measure(chunk)
     s["base_failed"] = base_failed(s)
