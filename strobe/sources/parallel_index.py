@@ -56,6 +56,12 @@ DEFAULT_BLOCK_BYTES = 8 << 20
 #: Connections up to so many bytes are walked, one task each; the walk reads
 #: their headers and markers, not their payloads.
 DEFAULT_WALK_BYTES = 256 << 20
+#: Stream bytes of a task, about, where there are more than the session's
+#: shuffle partitions take; of the blocks that one call looks at; and rows of
+#: an output frame of a scan.
+TASK_BYTES = 64 << 20
+SPAN_BYTES = 1 << 20
+FRAME_ROWS = 8192
 #: Bytes read beyond a block for marks that its end cuts, and before it.
 AFTER, BEFORE = 16, 1
 BAD_MARKER = "bad marker"
@@ -103,6 +109,11 @@ class Stream:
         self.length = self._table(chunks.groupBy("conn_id").agg(F.sum("size").alias("length")), "index-lengths")
         mean = self.files.agg(F.sum("size"), F.count(F.lit(1))).collect()[0]
         self.bucket = max(256, min(block_bytes, (mean[0] or 1) // max(1, mean[1])))
+        # a block is a few numbers in a shuffle and its bytes are read behind it:
+        # tasks are counted by bytes of the streams, and AQE, which would count
+        # those of the shuffle, does not merge a given number
+        self.tasks = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-(mean[0] or 1) // TASK_BYTES))
+        self.span = max(1, SPAN_BYTES // block_bytes)
 
     def _table(self, df: DataFrame, purpose: str) -> DataFrame:
         path = shared_dir(self.spark, purpose)
@@ -123,9 +134,12 @@ class Stream:
         spread = self.files.withColumn("block", F.explode(F.sequence(first, last))).join(self.length, "conn_id").where(F.col("block") * size < F.col("length"))
         lo, hi = F.col("block") * size - BEFORE, (F.col("block") + 1) * size + AFTER
         spread = spread.where((F.col("start") < hi) & (F.col("start") + F.col("size") > lo))
-        return spread.select("conn_id", "block", "length", self._part(lo, hi).alias("part")).groupBy("conn_id", "block", "length").agg(
-            F.array_sort(F.collect_list("part")).alias("parts")
-        )
+        spread = spread.select("conn_id", "block", "length", self._part(lo, hi).alias("part")).repartition(self.tasks, "conn_id", "block")
+        return spread.groupBy("conn_id", "block", "length").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+
+    def spans(self, df: DataFrame) -> DataFrame:
+        """Rows of blocks, dealt to tasks by runs of blocks that one call looks at."""
+        return df.withColumn("span", F.floor(F.col("block") / self.span).cast("long")).repartition(self.tasks, "conn_id", "span")
 
     def gather(self, ranges: DataFrame) -> DataFrame:
         """Adds the parts of each [lo, hi) of (conn_id, lo, hi) rows; a row that
@@ -240,12 +254,17 @@ def scan_block(data: bytes, base: int, lo: int, hi: int, length: int) -> list[di
 
 def _scan(block_bytes: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = PieceReader()
+        reader, out = PieceReader(), []
         for pdf in batches:
             for r in pdf.itertuples(index=False):
                 lo = int(r.block) * block_bytes
                 found = scan_block(_bytes(r.parts, reader), max(0, lo - BEFORE), lo, min(lo + block_bytes, int(r.length)), int(r.length))
-                yield typed_frame([{"conn_id": r.conn_id, "block": r.block, "cut": False} | x for x in found], FOUND_TYPE)
+                out += [{"conn_id": r.conn_id, "block": r.block, "cut": False} | x for x in found]
+                if len(out) >= FRAME_ROWS:
+                    yield typed_frame(out, FOUND_TYPE)
+                    out = []
+        if out:
+            yield typed_frame(out, FOUND_TYPE)
 
     return run
 
@@ -277,12 +296,11 @@ def _complete(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 class Block:
     """The candidates of a block and what lies around it."""
 
-    def __init__(self, cands: pd.DataFrame, info: dict, block_bytes: int, whole: bool):
+    def __init__(self, rows: list[dict], info: dict, block_bytes: int, whole: bool):
         self.whole = whole
         self.lo, self.length = int(info["block"]) * block_bytes, int(info["length"])
         self.hi = min(self.lo + block_bytes, self.length)
         self.next_head = None if pd.isna(info["last_first_head"]) else int(info["last_first_head"])
-        rows = cands.to_dict("records")
         self.markers = {int(r["pos"]): r for r in rows if r["kind"] in ("B", "E", "Z")}
         self.headers = {int(r["pos"]): r for r in rows if r["kind"] == "H"}
         self.root = next((r for r in rows if r["kind"] == "R"), None)
@@ -343,11 +361,18 @@ class Block:
         return None if pos is None or pos >= self.length else (pos, record)
 
 
+def _by_block(cands: pd.DataFrame) -> dict[int, list[dict]]:
+    out: dict[int, list[dict]] = {}
+    for row in cands.to_dict("records"):
+        out.setdefault(int(row["block"]), []).append(row)
+    return out
+
+
 def _edges(block_bytes: int, whole: bool):
     def run(key, cands: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
-        rows = []
+        rows, of = [], _by_block(cands)
         for i in info.to_dict("records"):
-            block = Block(cands, i, block_bytes, whole)
+            block = Block(of.get(int(i["block"]), []), i, block_bytes, whole)
             asked = [(int(p), int(r)) for p in (i["entries"] if i["entries"] is not None else []) for r in (i["records"] if i["records"] is not None else [])]
             asked += [(block.heads[0], 0)] if block.heads else []
             asked += [(-1, 0)] if block.root is not None else []
@@ -362,9 +387,9 @@ def _edges(block_bytes: int, whole: bool):
 
 def _messages(block_bytes: int, whole: bool):
     def run(key, cands: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
-        rows = []
+        rows, of = [], _by_block(cands)
         for i in info.to_dict("records"):
-            block, seen = Block(cands, i, block_bytes, whole), []
+            block, seen = Block(of.get(int(i["block"]), []), i, block_bytes, whole), []
             block.follow(int(i["at_pos"]), int(i["at_record"]), seen)
             for kind, row, pos, lost in seen:
                 own = {k: row.get(k) for k in ("samples", "reason", "header", "layout", "process", "record", "message")}
@@ -432,16 +457,17 @@ def index_chunks_parallel(chunks: DataFrame, block_bytes: int | None = None, who
         "conn_id", F.floor(F.col("next") / size).cast("long").alias("block")
     ).agg(F.collect_list("next").alias("entries"))
     info = around.join(records, "conn_id", "left").join(entries, ["conn_id", "block"], "left")
-    by_block = ["conn_id", "block"]
-    edges = info.groupBy(*by_block)
-    edges = table(cands.groupBy(*by_block).cogroup(edges).applyInPandas(_edges(size, whole_frames), EDGES), "index-edges")
+    by_span = ["conn_id", "span"]
+    spanned = stream.spans(cands).groupBy(*by_span)
+    edges = stream.spans(info).groupBy(*by_span)
+    edges = table(spanned.cogroup(edges).applyInPandas(_edges(size, whole_frames), EDGES), "index-edges")
     path = _reached(edges, table)
     start = F.greatest(F.col("pos"), F.lit(0))
     roots = cands.where("kind = 'R'").select("conn_id", "pos", F.lit(0).cast("long").alias("record"))
     entered = path.where("pos >= 0").unionByName(roots)  # a chain enters a block once
     entered = entered.select("conn_id", F.floor(start / size).cast("long").alias("block"), F.col("pos").alias("at_pos"), F.col("record").alias("at_record"))
-    chosen = around.join(entered, by_block)
-    true = cands.groupBy(*by_block).cogroup(chosen.groupBy(*by_block)).applyInPandas(_messages(size, whole_frames), TRUE)
+    chosen = stream.spans(around.join(entered, ["conn_id", "block"]))
+    true = spanned.cogroup(chosen.groupBy(*by_span)).applyInPandas(_messages(size, whole_frames), TRUE)
     return _index_rows(true, stream)
 
 
