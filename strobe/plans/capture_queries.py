@@ -500,12 +500,12 @@ SELECT event_id, i AS sample_idx,
        CASE WHEN user_id % 2 = 0 THEN round(value * 0.5 / (1 + event_id % 125) + 3.0, 6) ELSE round(value, 6) END AS v
 FROM s""")
 def write_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from strobe.operators.sinks import write_acquisitions
+    from strobe.operators.sinks import read_acquisitions, write_acquisitions
 
     _, dec = _decoded(spark, sf_dir, calibrated=True)
     path = shared_dir(spark, "acquisitions")
     write_acquisitions(dec.drop("user_id"), path)
-    back = spark.read.parquet(path)
+    back = read_acquisitions(spark, path, ["EVENT.ID.Value", "sample_idx", "COUNTER1.OUT.Mean"])
     return back.select(c("EVENT.ID.Value").alias("event_id"), "sample_idx", rounded(c("COUNTER1.OUT.Mean")).alias("v"))
 
 
