@@ -581,8 +581,11 @@ def publish_index(index: DataFrame, path: str, partition_bytes: int = 128 << 20)
     registry = spark.read.parquet(f"{path.rstrip('/')}/{REGISTRY}")
     total = registry.agg(F.coalesce(F.sum("bytes"), F.lit(0))).collect()[0][0]
     order = ["conn_id", "acq_no", "frame_no"]
-    placed = ordered_scan(frames.withColumn("all", F.lit(0)), ["all"], order, out="before", weight="n_bytes")
-    placed = placed.join(registry.select("layout", "process", "sig"), ["layout", "process"])
+    # one order over all frames: the scan sees four numbers of each, not its
+    # layout, pieces and payload
+    before = ordered_scan(frames.select(F.lit(0).alias("all"), *order, "n_bytes"), ["all"], order, out="before", weight="n_bytes").select(*order, "before")
+    slim = frames.join(registry.select("layout", "process", "sig"), ["layout", "process"]).drop("layout", "process")
+    placed = slim.join(before, order).join(F.broadcast(registry.select("layout", "process", "sig")), "sig")
     placed = placed.withColumn("part", F.floor(F.col("before") / partition_bytes).cast("int"))
     n = -(-int(total) // partition_bytes) + 1
     placed = placed.select("part", *INDEX_SCHEMA.names, "sig").repartitionByRange(n, "part", *order).sortWithinPartitions(*order)
